@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitepulse.functions.numeric import round_half_even
@@ -183,22 +183,16 @@ def overview_metrics(readings: DataFrame, assignments: DataFrame, profiles: Data
 
 def standardize(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as (x - mean) / population deviation; a column without variance becomes 0."""
+    # One row of two numbers per column, fetched like any fitted scaler.
     moments = table.agg(
-        F.struct(
-            *[F.avg(c).alias(f"mean_{c}") for c in columns],
-            *[F.stddev_pop(c).alias(f"std_{c}") for c in columns],
-        ).alias("m")
-    ).scalar()
-    return (
-        table.withColumn("_m", moments)
-        .withColumns(
-            {
-                c: F.coalesce(F.try_divide(F.col(c) - F.col(f"_m.mean_{c}"), F.col(f"_m.std_{c}")), F.lit(0.0))
-                for c in columns
-            }
-        )
-        .drop("_m")
-    )
+        *[F.avg(c).alias(f"mean_{c}") for c in columns], *[F.stddev_pop(c).alias(f"std_{c}") for c in columns]
+    ).first()
+
+    def scaled(c: str) -> Column:
+        mean, std = moments[f"mean_{c}"], moments[f"std_{c}"]
+        return (F.col(c) - F.lit(mean)) / F.lit(std) if std else F.lit(0.0)
+
+    return table.withColumns({c: scaled(c) for c in columns})
 
 
 def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -218,13 +212,13 @@ def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows:
     own = F.pmod(F.xxhash64("Junction"), F.col("_blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     left = placed.select("Junction", "vector", own.alias("a"), every.alias("b"))
-    right = placed.select("vector", "labels", own.alias("b"), every.alias("a"))
+    right = placed.select(F.col("vector").alias("facing"), "labels", own.alias("b"), every.alias("a"))
 
     def sums(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         columns = ["Junction", "number", "Cluster", "distance"]
         if ours.empty or theirs.empty:
             return pd.DataFrame(columns=columns)
-        x, y = np.stack(ours["vector"]), np.stack(theirs["vector"])
+        x, y = np.stack(ours["vector"]), np.stack(theirs["facing"])
         squares = np.zeros((len(x), len(y)))
         for axis in range(x.shape[1]):
             squares += (x[:, axis, None] - y[None, :, axis]) ** 2

@@ -340,10 +340,11 @@ def junction_detail(data: DataFrame) -> DataFrame:
     )
 
 
-def junction_moments(cube: DataFrame) -> DataFrame:
+def junction_moments(cube: DataFrame, **more: Column) -> DataFrame:
     """Counts, mean, sample deviation, extremes and day-type means per junction from its cells.
 
-    The deviation adds the spread inside the cells and the spread between their means.
+    The deviation adds the spread inside the cells and the spread between their means. ``more``
+    names further aggregates of the cells to take in the same pass.
     """
     site = Window.partitionBy("Junction")  # at most 168 cells
     mean = F.try_divide(F.sum("Total").over(site).cast("double"), F.sum("Readings").over(site).cast("double"))
@@ -362,6 +363,7 @@ def junction_moments(cube: DataFrame) -> DataFrame:
             F.max("Max").alias("Max"),
             cube_mean(weekend).alias("Weekend_Avg"),
             cube_mean(~weekend).alias("Weekday_Avg"),
+            *[column.alias(name) for name, column in more.items()],
         )
         .withColumn("Std", F.sqrt(F.when(F.col("Readings") > 1, F.col("_squares") / (F.col("Readings") - 1))))
         .drop("_squares")

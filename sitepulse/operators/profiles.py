@@ -42,8 +42,9 @@ def junction_features(readings: DataFrame, cube: DataFrame | None = None) -> Dat
     counts. Pass ``cube`` when it has already been computed.
     """
     cells = as_cube(readings) if cube is None else cube
-    hours = junction_hour_pivot(cells)
-    stats = junction_moments(cells)
+    # One pass over at most 168 cells per junction gives hours and statistics together.
+    hours = {name: F.coalesce(cube_mean(F.col("Hour") == h), F.lit(0.0)) for h, name in enumerate(HOUR_COLUMNS)}
+    stats = junction_moments(cells, **hours)
     median = quantiles(value_counts(readings, "Junction"), "Junction", probs=(0.5,)).select(
         "Junction", F.col("Quantiles")[0].alias("_median")
     )
@@ -53,8 +54,7 @@ def junction_features(readings: DataFrame, cube: DataFrame | None = None) -> Dat
     )
     ratio = F.try_divide(F.col("Weekend_Avg"), F.col("Weekday_Avg"))
     return (
-        hours.join(stats, "Junction")
-        .join(median, "Junction", "left")
+        stats.join(median, "Junction", "left")
         .withColumn("_peak", peak)
         .select(
             "Junction",
