@@ -207,9 +207,11 @@ def timeseries_first(readings: DataFrame, n: int = 5) -> DataFrame:
     return readings.join(F.broadcast(chosen), "Junction", "left_semi").select("Junction", "DateTime", "Vehicles")
 
 
-def junction_slice(readings: DataFrame, junction: int) -> DataFrame:
-    """Readings of one junction."""
-    return readings.where(F.col("Junction") == junction)
+def junction_slice(readings: DataFrame, junctions: int | DataFrame) -> DataFrame:
+    """Readings of one junction, or of the junctions listed in a table."""
+    if isinstance(junctions, DataFrame):
+        return readings.join(junctions.select("Junction"), "Junction", "left_semi")
+    return readings.where(F.col("Junction") == junctions)
 
 
 # --- spread of the counts ------------------------------------------------------------------

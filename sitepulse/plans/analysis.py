@@ -7,7 +7,6 @@ nulls and outliers alone, ``policy="first"`` fills gaps, keeps the first copy an
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 

@@ -31,16 +31,15 @@ def load_readings(
         raw = spark.read.parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}: use csv or parquet")
-    parse = F.try_to_timestamp if lenient else F.to_timestamp
+    clock = F.col("DateTime")
     typed = {
         # Through double: a column with gaps is often exported as 15.0 rather than 15.
         "Vehicles": F.col("Vehicles").cast("double").cast(vehicles_type),
         "Junction": F.col("Junction").cast("bigint"),
     }
     if dict(raw.dtypes)["DateTime"] == "string":
-        typed["DateTime"] = parse(F.col("DateTime"), F.lit(CLOCK_FORMAT)).cast("timestamp_ntz")
-    else:
-        typed["DateTime"] = F.col("DateTime").cast("timestamp_ntz")
+        clock = F.try_to_timestamp(clock, F.lit(CLOCK_FORMAT)) if lenient else F.to_timestamp(clock, CLOCK_FORMAT)
+    typed["DateTime"] = clock.cast("timestamp_ntz")
     if "ID" in raw.columns:
         typed["ID"] = F.col("ID").cast("bigint")
     readings = raw.withColumns(typed)

@@ -51,9 +51,13 @@ def write_csv(table: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_readings(processed: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write processed readings as Parquet by month, so that later analyses can skip months."""
+    """Write processed readings as Parquet by month, so that later analyses can skip months.
+
+    Rebalancing gathers a month into files of even size; a month with most of the rows is split.
+    """
     (
         processed.withColumn("ReadingMonth", F.date_format("DateTime", "yyyy-MM"))
+        .hint("rebalance", F.col("ReadingMonth"))
         .write.mode(mode)
         .partitionBy("ReadingMonth")
         .parquet(path)
