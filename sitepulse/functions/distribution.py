@@ -9,20 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def value_counts(readings: DataFrame, *keys: str, value: str = "Vehicles") -> DataFrame:
-    """Rows (keys, value, Readings): how often each non-null value occurs."""
-    return (
-        readings.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("Readings"))
-    )
+    """Rows (keys, value, Readings): how often each value occurs; null is a value as well."""
+    return readings.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("Readings"))
 
 
 def quantiles(counts: DataFrame, *keys: str, probs: Sequence[float], value: str = "Vehicles") -> DataFrame:
-    """Linear-interpolation quantiles per key as the array column Quantiles."""
-    points = F.array(*[F.lit(float(p)) for p in probs])
-    return counts.groupBy(*keys).agg(F.percentile(value, points, F.col("Readings")).alias("Quantiles"))
+    """Linear-interpolation quantiles of the non-null values per key, as the array column Quantiles."""
+    return counts.groupBy(*keys).agg(quantile_array(probs, value).alias("Quantiles"))
+
+
+def quantile_array(probs: Sequence[float], value: str = "Vehicles") -> Column:
+    """The aggregate of value counts behind ``quantiles``."""
+    return F.percentile(value, F.array(*[F.lit(float(p)) for p in probs]), F.col("Readings"))

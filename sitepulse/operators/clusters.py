@@ -35,20 +35,17 @@ def matrix_labels(k: int) -> tuple[str, ...]:
 # --- labels and profiles -------------------------------------------------------------------
 
 
-def rank_labels(means: DataFrame, mean: str, labels: Sequence[str], label: str) -> DataFrame:
-    """Name the clusters of a (Cluster, mean) table in ascending order of the mean.
+def with_levels(table: DataFrame, mean: str, labels: Sequence[str], label: str) -> DataFrame:
+    """Name the clusters of a table with one row per Cluster, in ascending order of a mean.
 
-    Beyond the given names a cluster is called "Level i". The table has one row per cluster, so
-    ordering it as a single array is bounded by k.
+    Beyond the given names a cluster is called "Level i". The rows pass through one sorted array,
+    which k bounds, so what led to the table is computed once.
     """
     names = F.array(*[F.lit(x) for x in labels]) if labels else F.array().cast("array<string>")
-    ranked = means.where(F.col("Cluster").isNotNull()).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(mean).alias("mean"), "Cluster"))).alias("order")
-    )
-    return ranked.select(F.posexplode("order").alias("at", "item")).select(
-        F.col("item.Cluster").alias("Cluster"),
-        F.coalesce(F.try_element_at(names, F.col("at") + 1), F.format_string("Level %d", F.col("at") + 1)).alias(label),
-    )
+    rows = F.struct(F.col(mean).alias("_mean"), F.col("Cluster").alias("_cluster"), F.struct(*table.columns).alias("row"))
+    order = table.where(F.col("Cluster").isNotNull()).agg(F.sort_array(F.collect_list(rows)).alias("order"))
+    level = F.coalesce(F.try_element_at(names, F.col("at") + 1), F.format_string("Level %d", F.col("at") + 1))
+    return order.select(F.posexplode("order").alias("at", "item")).select("item.row.*", level.alias(label))
 
 
 def label_profiles(profiles: DataFrame, assignments: DataFrame, labels: Sequence[str] = PROFILE_LABELS) -> DataFrame:
@@ -56,7 +53,8 @@ def label_profiles(profiles: DataFrame, assignments: DataFrame, labels: Sequence
     joined = profiles.join(assignments.select("Junction", "Cluster"), "Junction", "left")
     means = joined.groupBy("Cluster").agg(F.avg("Avg_Vehicles").alias("mean"))
     # One row per cluster, hence the broadcast.
-    return joined.join(F.broadcast(rank_labels(means, "mean", labels, "Congestion_Level")), "Cluster", "left").select(
+    levels = with_levels(means, "mean", labels, "Congestion_Level").drop("mean")
+    return joined.join(F.broadcast(levels), "Cluster", "left").select(
         *profiles.columns, "Cluster", "Congestion_Level"
     )
 
@@ -76,9 +74,8 @@ def cluster_profiles(features: DataFrame, assignments: DataFrame, n_clusters: in
     members = features.join(assignments.select("Junction", "Cluster"), "Junction", "left").where(
         F.col("Cluster").isNotNull()
     )
-    peak = F.array_max(
-        F.array(*[F.struct(F.col(c).alias("mean"), F.lit(-h).alias("back")) for h, c in enumerate(HOUR_COLUMNS)])
-    )
+    shape = ", ".join(HOUR_COLUMNS)
+    peak = F.expr(f"array_max(transform(array({shape}), (mean, hour) -> struct(mean, -hour AS back)))")
     profiles = (
         members.groupBy("Cluster")
         .agg(
@@ -87,7 +84,7 @@ def cluster_profiles(features: DataFrame, assignments: DataFrame, n_clusters: in
             F.avg("Vehicles_std").alias("AvgStdDev"),
             F.avg("Vehicles_max").alias("AvgMaxTraffic"),
             F.avg("Weekend_Weekday_Ratio").alias("AvgWeekendWeekdayRatio"),
-            *[F.avg(c).alias(c) for c in HOUR_COLUMNS],
+            *[F.expr(f"avg({c}) AS {c}") for c in HOUR_COLUMNS],
         )
         .withColumn("_peak", peak)
         .select(
@@ -101,8 +98,7 @@ def cluster_profiles(features: DataFrame, assignments: DataFrame, n_clusters: in
             "AvgWeekendWeekdayRatio",
         )
     )
-    levels = rank_labels(profiles.select("Cluster", "AvgTraffic"), "AvgTraffic", matrix_labels(n_clusters), "CongestionLevel")
-    return profiles.join(F.broadcast(levels), "Cluster")
+    return with_levels(profiles, "AvgTraffic", matrix_labels(n_clusters), "CongestionLevel")
 
 
 # --- shapes and slices ---------------------------------------------------------------------

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitepulse.functions.distribution import quantiles, value_counts
+from sitepulse.functions.distribution import quantile_array, quantiles, value_counts
 from sitepulse.functions.numeric import round_half_even
 
 HOURS = list(range(24))
@@ -218,71 +218,70 @@ def junction_slice(readings: DataFrame, junctions: int | DataFrame) -> DataFrame
 
 
 def _spread(readings: DataFrame, factor: float = 1.5) -> tuple[DataFrame, DataFrame]:
-    """Per-junction moments, quartiles and fences, and the value counts they come from."""
+    """Quartiles, fences and moments per junction, and the value counts they all come from."""
     counts = value_counts(readings, "Junction")
-    q = F.col("Quantiles")
-    shape = quantiles(counts, "Junction", probs=(0.25, 0.5, 0.75)).select(
-        "Junction",
-        q[0].alias("Q1"),
-        q[1].alias("Median"),
-        q[2].alias("Q3"),
-        (q[2] - q[0]).alias("IQR"),
-        (q[0] - factor * (q[2] - q[0])).alias("Low"),
-        (q[2] + factor * (q[2] - q[0])).alias("High"),
-    )
-    moments = readings.groupBy("Junction").agg(
-        F.count("Vehicles").alias("Count"),
-        F.avg("Vehicles").alias("Mean"),
-        F.stddev_samp("Vehicles").alias("Std"),
+    shape = counts.groupBy("Junction").agg(
+        quantile_array((0.25, 0.5, 0.75)).alias("q"),
+        F.expr("coalesce(sum(if(Vehicles IS NULL, 0, Readings)), 0) AS Count"),
+        F.expr("double(sum(Vehicles * Readings)) / sum(if(Vehicles IS NULL, null, Readings)) AS Mean"),
         F.min("Vehicles").alias("Min"),
         F.max("Vehicles").alias("Max"),
     )
-    return moments.join(shape, "Junction", "left"), counts
+    q1, q3 = F.col("q")[0], F.col("q")[2]
+    return (
+        shape.select(
+            "*",
+            q1.alias("Q1"),
+            F.col("q")[1].alias("Median"),
+            q3.alias("Q3"),
+            (q3 - q1).alias("IQR"),
+            (q1 - factor * (q3 - q1)).alias("Low"),
+            (q3 + factor * (q3 - q1)).alias("High"),
+        ).drop("q"),
+        counts,
+    )
+
+
+def _spread_detail(readings: DataFrame) -> DataFrame:
+    """The spread with deviation, whisker ends and number of outliers."""
+    shape, counts = _spread(readings)
+    inside = F.col("Vehicles").between(F.col("Low"), F.col("High"))
+    squares = F.col("Readings") * F.pow(F.col("Vehicles") - F.col("Mean"), F.lit(2))
+    deviation = F.sqrt(F.sum(squares) / F.when(F.col("Count") > 1, F.col("Count") - 1))
+    return (
+        counts.join(shape, "Junction")
+        .groupBy(*shape.columns)
+        .agg(
+            deviation.alias("Std"),
+            F.min(F.when(inside, F.col("Vehicles"))).alias("Whisker_Low"),
+            F.max(F.when(inside, F.col("Vehicles"))).alias("Whisker_High"),
+            F.sum(F.when(~inside, F.col("Readings")).otherwise(0)).alias("Outliers"),
+        )
+    )
 
 
 def junction_spread(readings: DataFrame) -> DataFrame:
     """Mean, median, standard deviation, IQR and number of readings beyond 1.5 IQR per junction."""
-    stats, counts = _spread(readings)
-    outside = ~F.col("Vehicles").between(F.col("Low"), F.col("High"))
-    beyond = (
-        counts.join(stats.select("Junction", "Low", "High"), "Junction")
-        .groupBy("Junction")
-        .agg(F.sum(F.when(outside, F.col("Readings")).otherwise(0)).alias("Outliers"))
-    )
-    return stats.join(beyond, "Junction", "left").select(
-        "Junction", "Mean", "Median", "Std", "IQR", F.coalesce("Outliers", F.lit(0)).alias("Outliers")
-    )
+    return _spread_detail(readings).select("Junction", "Mean", "Median", "Std", "IQR", "Outliers")
 
 
 def junction_describe(readings: DataFrame) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per junction."""
-    stats, _ = _spread(readings)
-    return stats.select("Junction", "Count", "Mean", "Std", "Min", "Q1", "Median", "Q3", "Max")
+    return _spread_detail(readings).select("Junction", "Count", "Mean", "Std", "Min", "Q1", "Median", "Q3", "Max")
 
 
 def boxplot_stats(readings: DataFrame) -> DataFrame:
     """Quartiles, whisker ends (extreme readings within 1.5 IQR), outlier count and mean per junction."""
-    stats, counts = _spread(readings)
-    inside = F.col("Vehicles").between(F.col("Low"), F.col("High"))
-    whiskers = (
-        counts.join(stats.select("Junction", "Low", "High"), "Junction")
-        .groupBy("Junction")
-        .agg(
-            F.min(F.when(inside, F.col("Vehicles"))).alias("Whisker_Low"),
-            F.max(F.when(inside, F.col("Vehicles"))).alias("Whisker_High"),
-            F.sum(F.when(inside, 0).otherwise(F.col("Readings"))).alias("Outliers"),
-        )
-    )
-    return stats.join(whiskers, "Junction").select(
+    return _spread_detail(readings).select(
         "Junction", "Q1", "Median", "Q3", "Whisker_Low", "Whisker_High", "Outliers", "Mean"
     )
 
 
 def boxplot_outliers(readings: DataFrame) -> DataFrame:
     """The values drawn as single points in a box plot, with how often each occurs."""
-    stats, counts = _spread(readings)
+    shape, counts = _spread(readings)
     return (
-        counts.join(stats.select("Junction", "Low", "High"), "Junction")
+        counts.join(shape.select("Junction", "Low", "High"), "Junction")
         .where(~F.col("Vehicles").between(F.col("Low"), F.col("High")))
         .select("Junction", "Vehicles", "Readings")
     )
@@ -294,7 +293,7 @@ def vehicle_histogram(readings: DataFrame, bins: int = 30) -> DataFrame:
     Bins are closed on the left, the last one on both sides. A junction with a single value gets
     bins from half below to half above it.
     """
-    counts = value_counts(readings, "Junction")
+    counts = value_counts(readings, "Junction").where(F.col("Vehicles").isNotNull())
     ranges = counts.groupBy("Junction").agg(
         F.min("Vehicles").cast("double").alias("low"),
         F.max("Vehicles").cast("double").alias("high"),
@@ -342,31 +341,47 @@ def junction_detail(data: DataFrame) -> DataFrame:
     )
 
 
-def junction_moments(cube: DataFrame, **more: Column) -> DataFrame:
-    """Counts, mean, sample deviation, extremes and day-type means per junction from its cells.
+def junction_moments(cube: DataFrame) -> DataFrame:
+    """Counts, mean, sample deviation, extremes, day-type means and hourly means per junction.
 
-    The deviation adds the spread inside the cells and the spread between their means. ``more``
-    names further aggregates of the cells to take in the same pass.
+    The deviation adds the spread inside the cells and the spread between their means. HourMeans
+    is an array of (mean, hour) structs, one for each hour with readings.
     """
     site = Window.partitionBy("Junction")  # at most 168 cells
     mean = F.try_divide(F.sum("Total").over(site).cast("double"), F.sum("Readings").over(site).cast("double"))
-    cell_mean = F.try_divide(F.col("Total").cast("double"), F.col("Readings").cast("double"))
-    between = F.col("Readings") * F.pow(cell_mean - mean, F.lit(2))
-    weekend = F.col("IsWeekend") == 1
-    return (
-        cube.withColumn("_between", between)
-        .groupBy("Junction")
+    between = F.expr("Readings * pow(try_divide(double(Total), double(Readings)) - _mean, 2)")
+    # The window has brought each junction together, so neither aggregate shuffles again.
+    by_hour = (
+        cube.withColumn("_mean", mean)
+        .groupBy("Junction", "Hour")
         .agg(
             F.sum("Records").alias("Records"),
             F.sum("Readings").alias("Readings"),
-            cube_mean().alias("Mean"),
-            F.sum(F.col("Squares") + F.col("_between")).alias("_squares"),
+            F.sum("Total").alias("Total"),
+            F.sum(F.col("Squares") + between).alias("Squares"),
             F.min("Min").alias("Min"),
             F.max("Max").alias("Max"),
-            cube_mean(weekend).alias("Weekend_Avg"),
-            cube_mean(~weekend).alias("Weekday_Avg"),
-            *[column.alias(name) for name, column in more.items()],
+            F.expr("sum(if(IsWeekend = 1, Total, null)) AS EndTotal"),
+            F.expr("sum(if(IsWeekend = 1, Readings, null)) AS EndReadings"),
+            F.expr("sum(if(IsWeekend = 0, Total, null)) AS DayTotal"),
+            F.expr("sum(if(IsWeekend = 0, Readings, null)) AS DayReadings"),
+            cube_mean().alias("_hour_mean"),
         )
-        .withColumn("Std", F.sqrt(F.when(F.col("Readings") > 1, F.col("_squares") / (F.col("Readings") - 1))))
-        .drop("_squares")
+    )
+
+    def share(total: str, readings: str, name: str) -> Column:
+        return F.expr(f"try_divide(double(sum({total})), double(sum({readings}))) AS {name}")
+
+    return by_hour.groupBy("Junction").agg(
+        F.sum("Records").alias("Records"),
+        F.sum("Readings").alias("Readings"),
+        share("Total", "Readings", "Mean"),
+        F.expr("if(sum(Readings) > 1, sqrt(sum(Squares) / (sum(Readings) - 1)), null) AS Std"),
+        F.min("Min").alias("Min"),
+        F.max("Max").alias("Max"),
+        share("EndTotal", "EndReadings", "Weekend_Avg"),
+        share("DayTotal", "DayReadings", "Weekday_Avg"),
+        F.expr(
+            "collect_list(if(_hour_mean IS NULL, null, struct(_hour_mean AS mean, Hour AS hour))) AS HourMeans"
+        ),
     )

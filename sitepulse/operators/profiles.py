@@ -42,30 +42,27 @@ def junction_features(readings: DataFrame, cube: DataFrame | None = None) -> Dat
     counts. Pass ``cube`` when it has already been computed.
     """
     cells = as_cube(readings) if cube is None else cube
-    # One pass over at most 168 cells per junction gives hours and statistics together.
-    hours = {name: F.coalesce(cube_mean(F.col("Hour") == h), F.lit(0.0)) for h, name in enumerate(HOUR_COLUMNS)}
-    stats = junction_moments(cells, **hours)
     median = quantiles(value_counts(readings, "Junction"), "Junction", probs=(0.5,)).select(
         "Junction", F.col("Quantiles")[0].alias("_median")
     )
-    # Highest mean first, then the earliest hour: max over (mean, -hour).
-    peak = F.array_max(
-        F.array(*[F.struct(F.col(c).alias("mean"), F.lit(-h).alias("back")) for h, c in enumerate(HOUR_COLUMNS)])
-    )
+    # Highest mean first, then the earliest hour.
+    peak = F.expr("array_max(transform(HourMeans, x -> struct(x.mean AS mean, -x.hour AS back)))")
+    by_hour = F.expr("map_from_entries(transform(HourMeans, x -> struct(x.hour, x.mean)))")
     ratio = F.try_divide(F.col("Weekend_Avg"), F.col("Weekday_Avg"))
     return (
-        stats.join(median, "Junction", "left")
-        .withColumn("_peak", peak)
+        junction_moments(cells)
+        .join(median, "Junction", "left")
+        .withColumns({"_peak": peak, "_hours": by_hour})
         .select(
             "Junction",
-            *HOUR_COLUMNS,
+            *[F.expr(f"coalesce(_hours[{h}], 0D) AS {name}") for h, name in enumerate(HOUR_COLUMNS)],
             _zero(round_half_even(F.col("Mean"))).alias("Vehicles_mean"),
             _zero(round_half_even(F.col("Std"))).alias("Vehicles_std"),
             _zero("Min").alias("Vehicles_min"),
             _zero("Max").alias("Vehicles_max"),
             _zero(round_half_even(F.col("_median"))).alias("Vehicles_median"),
-            (-F.col("_peak.back")).alias("PeakHour"),
-            F.col("_peak.mean").alias("PeakHourTraffic"),
+            F.expr("coalesce(-_peak.back, 0) AS PeakHour"),
+            F.expr("coalesce(_peak.mean, 0D) AS PeakHourTraffic"),
             _zero("Weekend_Avg").alias("Weekend_Avg"),
             _zero("Weekday_Avg").alias("Weekday_Avg"),
             _zero(round_half_even(ratio)).alias("Weekend_Weekday_Ratio"),
