@@ -30,7 +30,8 @@ class ClusterModel:
 
     def assign(self, table: DataFrame) -> DataFrame:
         """(Junction, Cluster) for every row of a junction table with the model's columns."""
-        return self.pipeline.transform(table).select("Junction", F.col("Cluster").cast("int").alias("Cluster"))
+        scored = self.pipeline.transform(table.select("Junction", *self.columns))
+        return scored.select("Junction", F.col("Cluster").cast("int").alias("Cluster"))
 
     def save(self, path: str, profiles: DataFrame) -> None:
         """Write the model, its settings and the cluster profiles below ``path``."""
@@ -162,6 +163,6 @@ def best_k(choice: DataFrame) -> int:
 
 def cluster_scores(table: DataFrame, columns: Sequence[str], assignments: DataFrame) -> DataFrame:
     """Silhouette and Davies-Bouldin index of assignments on the standardized columns, as one row."""
-    scaled = standardize(table, columns).join(assignments.select("Junction", "Cluster"), "Junction")
+    scaled = standardize(table.select("Junction", *columns), columns).join(assignments.select("Junction", "Cluster"), "Junction")
     shape = silhouette(scaled, columns).scalar()
     return davies_bouldin(scaled, columns).select(shape.alias("Silhouette"), "Davies_Bouldin")
