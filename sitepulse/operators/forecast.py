@@ -74,12 +74,11 @@ def _fit(train: DataFrame, features: list[str], trees: int, depth: int, seed: in
         seed=seed,
         featureSubsetStrategy="all",
     )
-    # Trees depend on how rows are spread over partitions: a fixed number of ranges in clock order
-    # makes a repeated fit under the same settings repeat its result, and keeps adaptive execution
-    # from merging the ranges of a small table into one.
+    # Trees depend on how rows are spread over partitions. Hashing into a fixed number of them, each
+    # in clock order, makes a repeated fit under the same settings repeat its result.
     parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = train.select("Junction", "DateTime", "Vehicles", *features)
-    ordered = rows.repartitionByRange(parts, "Junction", "DateTime").sortWithinPartitions("Junction", "DateTime")
+    ordered = rows.repartition(parts, "Junction", "DateTime").sortWithinPartitions("Junction", "DateTime")
     model = forest.fit(assembler.transform(ordered))
     return PipelineModel(stages=[assembler, model])
 

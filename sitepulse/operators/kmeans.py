@@ -21,22 +21,28 @@ JUNCTIONS_PER_PARTITION = 50_000
 
 @dataclass
 class ClusterModel:
-    """A fitted model: assembler, scaler and k-means, the columns it reads and its inertia."""
+    """A fitted model: assembler, scaler and k-means, the columns it reads and its inertia.
 
-    pipeline: PipelineModel
+    MLlib starts at two clusters, so a model of one cluster has no pipeline.
+    """
+
+    pipeline: PipelineModel | None
     columns: list[str]
     k: int
     inertia: float
 
     def assign(self, table: DataFrame) -> DataFrame:
         """(Junction, Cluster) for every row of a junction table with the model's columns."""
+        if self.pipeline is None:
+            return table.select("Junction", F.lit(0).alias("Cluster"))
         scored = self.pipeline.transform(table.select("Junction", *self.columns))
         return scored.select("Junction", F.col("Cluster").cast("int").alias("Cluster"))
 
     def save(self, path: str, profiles: DataFrame) -> None:
         """Write the model, its settings and the cluster profiles below ``path``."""
         spark = profiles.sparkSession
-        self.pipeline.write().overwrite().save(os.path.join(path, "model"))
+        if self.pipeline is not None:
+            self.pipeline.write().overwrite().save(os.path.join(path, "model"))
         settings = [(self.columns, self.k, self.inertia)]
         spark.createDataFrame(settings, "columns array<string>, k int, inertia double").coalesce(1).write.mode(
             "overwrite"
@@ -47,9 +53,8 @@ class ClusterModel:
     def load(spark: SparkSession, path: str) -> tuple[ClusterModel, DataFrame]:
         """The model and the cluster profiles written by ``save``."""
         settings = spark.read.parquet(os.path.join(path, "settings")).first()
-        model = ClusterModel(
-            PipelineModel.load(os.path.join(path, "model")), list(settings["columns"]), settings["k"], settings["inertia"]
-        )
+        pipeline = PipelineModel.load(os.path.join(path, "model")) if settings["k"] > 1 else None
+        model = ClusterModel(pipeline, list(settings["columns"]), settings["k"], settings["inertia"])
         return model, spark.read.parquet(os.path.join(path, "profiles"))
 
 
@@ -73,9 +78,9 @@ def _scale(table: DataFrame, columns: Sequence[str]) -> _Scaled:
     scaler: StandardScalerModel = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(
         assembled
     )
-    # Range partitions in junction order: the same table always gives the same clusters.
+    # Hashed junctions in a fixed order: the same table always gives the same clusters.
     parts = max(1, -(-n // JUNCTIONS_PER_PARTITION))
-    ordered = assembled.repartitionByRange(parts, "Junction").sortWithinPartitions("Junction")
+    ordered = assembled.repartition(parts, "Junction").sortWithinPartitions("Junction")
     vectors = scaler.transform(ordered).select("Junction", "features").persist()
     vectors.count()
     assembled.unpersist()
@@ -116,8 +121,9 @@ def fit_clusters(
         if not 1 <= k <= scaled.n:
             raise ValueError(f"k must be between 1 and the number of junctions ({scaled.n}), not {k}")
         if k == 1:
-            # MLlib starts at two clusters; a single one holds every junction.
-            raise ValueError("one cluster needs no model: assign 0 to every junction")
+            # Every column that varies adds its variance of one per junction.
+            varying = sum(1 for deviation in scaled.stages[1].std if deviation > 0)
+            return ClusterModel(None, list(columns), 1, float(varying * scaled.n))
         best = _best_fits(scaled, [k], restarts, seed, max_iter, parallelism)[k]
         return ClusterModel(PipelineModel(stages=[*scaled.stages, best]), list(columns), k, scaled.inertia(best))
     finally:
