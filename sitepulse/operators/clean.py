@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sitepulse.functions.distribution import quantiles, value_counts
@@ -32,10 +32,11 @@ def fill_gaps(
     Readings are ordered by (DateTime, order) inside a junction; values never cross junctions.
     ``order`` must be a number that no two copies of a reading share.
 
-    A junction may hold a large part of all rows, so no window spans one. The values at the two
-    ends of every clock time travel through the month, then through the months of the junction,
-    and only rows of one clock time meet in a task. Clock times with very many copies are cut
-    further into slices of equal width in ``order``.
+    A junction may hold a large part of all rows, so no window spans its readings. The last value of
+    every clock time travels through the month, then from month to month, and only rows of one clock
+    time meet in a task. Clock times with very many copies are cut further into slices of equal
+    width in ``order``. Filling from the next value only concerns rows before the first value of a
+    junction, so that one value serves them all.
     """
     crowded = (
         readings.groupBy(*KEY)
@@ -58,43 +59,35 @@ def fill_gaps(
 
     block = [*KEY, "_slice"]
     month = ["Junction", "_month"]
-    ends = placed.groupBy(*block, "_month").agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first_{c}") for c in columns],
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}") for c in columns],
-    )
-    place = F.struct("DateTime", "_slice")
-    month_ends = ends.groupBy(*month).agg(
-        *[F.min_by(f"_first_{c}", F.when(F.col(f"_first_{c}").isNotNull(), place)).alias(f"_first_{c}") for c in columns],
-        *[F.max_by(f"_last_{c}", F.when(F.col(f"_last_{c}").isNotNull(), place)).alias(f"_last_{c}") for c in columns],
-    )
 
-    def neighbours(table: DataFrame, keys: list[str], along: list[str], tag: str) -> DataFrame:
-        line = Window.partitionBy(*keys).orderBy(*along)
-        before = line.rowsBetween(Window.unboundedPreceding, -1)
-        after = line.rowsBetween(1, Window.unboundedFollowing)
-        found = {f"_{tag}_before_{c}": F.last(f"_last_{c}", ignorenulls=True).over(before) for c in columns}
-        found |= {f"_{tag}_after_{c}": F.first(f"_first_{c}", ignorenulls=True).over(after) for c in columns}
-        return table.withColumns(found).drop(*[f"_{end}_{c}" for end in ("first", "last") for c in columns])
+    def ends(table: DataFrame, keys: list[str], along: Column, first: str, last: str) -> DataFrame:
+        """The first and last non-null value of each column per key."""
+
+        def place(c: str) -> Column:
+            return F.when(F.col(c).isNotNull(), along)
+
+        return table.groupBy(*keys).agg(
+            *[F.min_by(first.format(c), place(first.format(c))).alias(f"_first_{c}") for c in columns],
+            *[F.max_by(last.format(c), place(last.format(c))).alias(f"_last_{c}") for c in columns],
+        )
 
-    carried = neighbours(ends, month, ["DateTime", "_slice"], "near").join(
-        neighbours(month_ends, ["Junction"], ["_month"], "far"), month, "left"
+    def earlier(window: WindowSpec, column: str) -> Column:
+        return F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    blocks = ends(placed, [*block, "_month"], F.col(order), "{}", "{}")
+    months = ends(blocks, month, F.struct("DateTime", "_slice"), "_first_{}", "_last_{}")
+    in_month = Window.partitionBy(*month).orderBy("DateTime", "_slice")
+    over_months = Window.partitionBy("Junction").orderBy("_month")
+    whole = over_months.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    near = blocks.select(*block, "_month", *[earlier(in_month, f"_last_{c}").alias(f"_near_{c}") for c in columns])
+    far = months.select(
+        *month,
+        *[earlier(over_months, f"_last_{c}").alias(f"_far_{c}") for c in columns],
+        *[F.first(f"_first_{c}", ignorenulls=True).over(whole).alias(f"_opening_{c}") for c in columns],
     )
     inside = Window.partitionBy(*block).orderBy(order)
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    after = inside.rowsBetween(1, Window.unboundedFollowing)
-    filled = placed.join(carried.drop("_month"), block, "left").withColumns(
-        {
-            c: F.coalesce(
-                F.col(c),
-                F.last(c, ignorenulls=True).over(before),
-                F.col(f"_near_before_{c}"),
-                F.col(f"_far_before_{c}"),
-                F.first(c, ignorenulls=True).over(after),
-                F.col(f"_near_after_{c}"),
-                F.col(f"_far_after_{c}"),
-            )
-            for c in columns
-        }
+    filled = placed.join(near.join(far, month, "left").drop("_month"), block, "left").withColumns(
+        {c: F.coalesce(c, earlier(inside, c), f"_near_{c}", f"_far_{c}", f"_opening_{c}") for c in columns}
     )
     return filled.select(*readings.columns)
 
