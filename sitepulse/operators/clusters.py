@@ -23,8 +23,10 @@ MATRIX_LABELS_4 = (
     "High Congestion",
 )
 
-# Junctions per block of the pairwise silhouette: two blocks and their distances fit in one task.
-BLOCK_ROWS = 2048
+# Junctions per block of the pairwise silhouette. Larger blocks are copied less often; distances are
+# formed for a few rows at a time, so that two blocks fit in a task.
+BLOCK_ROWS = 8192
+ROWS_AT_A_TIME = 512
 
 
 def matrix_labels(k: int) -> tuple[str, ...]:
@@ -201,7 +203,10 @@ def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows:
     task or driver holds all junctions. All labelings share the distances.
     """
     numbers, names = list(label_sets), list(label_sets.values())
-    blocks = points.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("int")).scalar()
+    n = F.count(F.lit(1))
+    # A few thousand junctions are still cut into some blocks, to share the work.
+    wanted = F.greatest(F.ceil(n / block_rows), F.least(F.ceil(n / 256), F.lit(6)), F.lit(1))
+    blocks = points.agg(wanted.cast("int")).scalar()
     placed = points.select(
         "Junction", "vector", F.array(*[F.col(c).cast("int") for c in names]).alias("labels")
     ).withColumn("_blocks", blocks)
@@ -215,18 +220,20 @@ def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows:
         if ours.empty or theirs.empty:
             return pd.DataFrame(columns=columns)
         x, y = np.stack(ours["vector"]), np.stack(theirs["facing"])
-        squares = np.zeros((len(x), len(y)))
-        for axis in range(x.shape[1]):
-            squares += (x[:, axis, None] - y[None, :, axis]) ** 2
-        distances = np.sqrt(squares)
         labels = np.stack(theirs["labels"])
-        parts = []
-        for at, number in enumerate(numbers):
-            for cluster in np.unique(labels[:, at]):
-                total = distances[:, labels[:, at] == cluster].sum(axis=1)
-                parts.append(
-                    pd.DataFrame({"Junction": ours["Junction"], "number": number, "Cluster": cluster, "distance": total})
-                )
+        junctions, parts = ours["Junction"].to_numpy(), []
+        for start in range(0, len(x), ROWS_AT_A_TIME):
+            some = slice(start, start + ROWS_AT_A_TIME)
+            squares = sum((x[some, axis, None] - y[None, :, axis]) ** 2 for axis in range(x.shape[1]))
+            distances = np.sqrt(squares)
+            for at, number in enumerate(numbers):
+                for cluster in np.unique(labels[:, at]):
+                    total = distances[:, labels[:, at] == cluster].sum(axis=1)
+                    parts.append(
+                        pd.DataFrame(
+                            {"Junction": junctions[some], "number": number, "Cluster": cluster, "distance": total}
+                        )
+                    )
         return pd.concat(parts)[columns]
 
     totals = (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -63,7 +66,12 @@ def add_site_mean(split: DataFrame) -> DataFrame:
     return split.join(means, "Junction")
 
 
-def _fit(train: DataFrame, features: list[str], trees: int, depth: int, seed: int) -> PipelineModel:
+ROWS_PER_PARTITION = 50_000
+
+
+def _fit(
+    train: DataFrame, features: list[str], trees: int, depth: int, seed: int, rows: int | None = None
+) -> PipelineModel:
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     forest = RandomForestRegressor(
         featuresCol="features",
@@ -77,8 +85,10 @@ def _fit(train: DataFrame, features: list[str], trees: int, depth: int, seed: in
     # Trees depend on how rows are spread over partitions. Hashing into a fixed number of them, each
     # in clock order, makes a repeated fit under the same settings repeat its result.
     parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = train.select("Junction", "DateTime", "Vehicles", *features)
-    ordered = rows.repartition(parts, "Junction", "DateTime").sortWithinPartitions("Junction", "DateTime")
+    if rows is not None:
+        parts = min(parts, rows // ROWS_PER_PARTITION + 1)
+    needed = train.select("Junction", "DateTime", "Vehicles", *features)
+    ordered = needed.repartition(parts, "Junction", "DateTime").sortWithinPartitions("Junction", "DateTime")
     model = forest.fit(assembler.transform(ordered))
     return PipelineModel(stages=[assembler, model])
 
@@ -93,11 +103,42 @@ def train_all(split: DataFrame, trees: int = 100, depth: int = 10, seed: int = 4
 
 
 def train_junction(
-    split: DataFrame, junction: int, trees: int = 100, depth: int = 10, seed: int = 42
+    split: DataFrame, junction: int, trees: int = 100, depth: int = 10, seed: int = 42, rows: int | None = None
 ) -> PipelineModel:
-    """A forest of one junction on the five features, for a few junctions of interest."""
+    """A forest of one junction on the five features, for a few junctions of interest.
+
+    ``rows``, when known, keeps a short series in few partitions.
+    """
     side = (F.col("Side") == "train") & (F.col("Junction") == junction)
-    return _fit(split.where(side), FEATURES, trees, depth, seed)
+    return _fit(split.where(side), FEATURES, trees, depth, seed, rows)
+
+
+def train_each(
+    split: DataFrame,
+    trees: int = 100,
+    depth: int = 10,
+    seed: int = 42,
+    most: int = 32,
+    parallelism: int = 8,
+) -> dict[int, PipelineModel]:
+    """A forest of its own for every junction, fitted side by side.
+
+    Every fit is a series of Spark jobs, so this is for few junctions; more than ``most`` are an
+    error, because ``train_all`` covers any number at the cost of one fit.
+    """
+    train = split.where(F.col("Side") == "train")
+    sizes = train.groupBy("Junction").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
+    if len(sizes) > most:
+        raise ValueError(f"more than {most} junctions: use train_all")
+    with ThreadPool(min(parallelism, max(len(sizes), 1))) as pool:
+        models = pool.map(lambda size: train_junction(split, size["Junction"], trees, depth, seed, size["n"]), sizes)
+    return {size["Junction"]: model for size, model in zip(sizes, models)}
+
+
+def predict_each(models: dict[int, PipelineModel], split: DataFrame) -> DataFrame:
+    """Rows of the split with Predicted from the forest of their own junction."""
+    parts = [predict(model, split.where(F.col("Junction") == junction)) for junction, model in models.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def predict(model: PipelineModel, split: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sitepulse.functions.temporal import add_calendar
 from sitepulse.operators import clean, clusters, forecast, kmeans, patterns, profiles, recommend, rules
+from sitepulse.session import scratch_folder
 from sitepulse.sources.readings import load_readings
 from sitepulse.sources.tables import write_csv, write_readings
 
@@ -32,15 +33,23 @@ def prepare(readings: DataFrame, policy: str = "sum", cap: bool = True, order: s
 
 
 def stored(table: DataFrame, folder: str | None, name: str) -> DataFrame:
-    """A table that several stages read: written below the folder and read back, or else cached."""
-    if folder is None:
+    """A table that several stages read: written and read back, so that a lost executor costs no repeat.
+
+    It goes below ``folder``, else below the shared folder of the cluster; a session that names none
+    caches it instead.
+    """
+    spark = table.sparkSession
+    if folder is not None:
+        path = os.path.join(folder, name)
+    elif spark.conf.get("spark.checkpoint.dir", None):
+        path = scratch_folder(spark, name)
+    else:
         return table.persist()
-    path = os.path.join(folder, name)
     if "DateTime" in table.columns:
         write_readings(table, path)
     else:
         table.write.mode("overwrite").parquet(path)
-    return table.sparkSession.read.parquet(path).select(*table.columns)
+    return spark.read.parquet(path).select(*table.columns)
 
 
 def process_readings(spark: SparkSession, path: str, output: str | None = None, fmt: str = "csv") -> dict[str, DataFrame]:
@@ -160,8 +169,7 @@ def complete_analysis(
 ) -> dict[str, DataFrame]:
     """Prepare, build features, cluster, chart data and rules.
 
-    With ``output`` the readings and the cube are written there once and everything is exported;
-    a lost executor then re-reads them instead of repeating the cleaning. Without it they are cached.
+    With ``output`` everything is exported there, and so are the tables that several stages read.
     """
     timeseries = stored(prepare(readings, "first", order=order), output and os.path.join(output, "work"), "timeseries")
     cube = stored(patterns.hour_cube(timeseries), output and os.path.join(output, "work"), "hour_cube")

@@ -8,7 +8,7 @@ against SQL use the fixed assignment Junction mod 3, so that no model is involve
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,14 @@ def query(function: Query) -> Query:
     return function
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
+
+
 # --- inputs --------------------------------------------------------------------------------
 
 
@@ -86,7 +94,7 @@ def _cluster_profiles(readings: DataFrame) -> DataFrame:
 # --- sources and sinks ---------------------------------------------------------------------
 
 
-@query
+@named("load_readings")
 def load_readings_csv(spark, folder):
     path = scratch_folder(spark, "raw")
     write_csv(_raw(spark, folder), path)
@@ -100,7 +108,7 @@ def load_readings_without_id(spark, folder):
     return load_readings(spark, path, drop_id=True)
 
 
-@query
+@named("read_processed")
 def read_processed_csv(spark, folder):
     path = scratch_folder(spark, "processed")
     write_csv(_processed(spark, folder), path)
@@ -563,6 +571,12 @@ def rf_train(spark, folder):
     return forecast.forecast_metrics(forecast.predict(model, split))
 
 
+@query
+def rf_train_each(spark, folder):
+    split = forecast.training_matrix(_shaped(spark, folder)).persist()
+    return forecast.forecast_metrics(forecast.predict_each(forecast.train_each(split), split))
+
+
 @query
 def feature_importance(spark, folder):
     return forecast.feature_importance(*_forest(spark, folder))
@@ -672,6 +686,3 @@ def advise(spark, folder):
         "Recommendations", F.array_join("Recommendations", "\n")
     )
 
-
-def names(only: Sequence[str] | None = None) -> list[str]:
-    return [n for n in QUERIES if only is None or n in only]

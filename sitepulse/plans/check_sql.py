@@ -345,9 +345,9 @@ _BY_JUNCTION = "FROM q JOIN m USING (Junction) JOIN "
 
 SQL: dict[str, str] = {
     # sources and sinks
-    "load_readings_csv": over_raw("SELECT ID, DateTime, Junction, Vehicles FROM raw"),
+    "load_readings": over_raw("SELECT ID, DateTime, Junction, Vehicles FROM raw"),
     "load_readings_without_id": over_raw("SELECT DateTime, Junction, Vehicles FROM raw"),
-    "read_processed_csv": over_sum("SELECT * FROM r"),
+    "read_processed": over_sum("SELECT * FROM r"),
     "write_roundtrip": over_first("SELECT * FROM r"),
     # cleaning
     "null_count": over_raw("SELECT count(*) AS Nulls FROM raw WHERE ID % 3 = 0 OR Vehicles IS NULL"),

@@ -128,6 +128,16 @@ def test_one_junction_forest(trained):
     assert row["R2"] > 0.9
 
 
+def test_forest_per_junction(trained):
+    _, split = trained
+    models = forecast.train_each(split, trees=5, depth=4)
+    assert set(models) == {1, 2, 3}
+    predicted = forecast.predict_each(models, split)
+    assert predicted.count() == split.count()
+    with pytest.raises(ValueError):
+        forecast.train_each(split, most=2)
+
+
 def test_rollout_equals_step_by_step(spark, trained):
     """The 24 columns give what feeding one prediction after the other to the model gives."""
     model, split = trained
