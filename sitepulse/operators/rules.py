@@ -23,6 +23,78 @@ RULE_FIELDS = [
 ]
 SHOWN_JUNCTIONS = 5
 
+# Names, priorities and texts of the rules. Triples go from high over medium to low
+# congestion; %s and %d are filled in.
+LEVEL_PRIORITIES = ("Critical", "High", "Medium")
+
+PEAK_TYPE = "Peak Hour Management"
+PEAK_INCREASES = ("40-50%", "25-35%", "10-15%")
+PEAK_EXTRAS = (
+    "Consider implementing adaptive signal control",
+    "Monitor traffic flow and adjust as needed",
+    "Maintain standard signal timing with minor adjustments",
+)
+PEAK_WINDOW = "%02d:00 - %02d:00"
+PEAK_DESCRIPTION = "Increase green signal duration by %s during peak hours (%s) at junctions in %s areas."
+PEAK_ACTION = "At %s: Extend green light phase by %s at %02d:00. %s."
+PEAK_IMPACT = "Reduce queue length and waiting time during peak congestion"
+
+SIGNAL_TYPE = "Signal Timing Strategy"
+SIGNAL_CYCLES = ("120-150 seconds", "90-120 seconds", "60-90 seconds")
+SIGNAL_VARIED = (
+    "Implement adaptive signal timing that responds to real-time traffic conditions. "
+    "High variability (σ=%s) indicates fluctuating traffic patterns."
+)
+SIGNAL_STEADY = (
+    "Use time-of-day signal timing plans with consistent patterns. "
+    "Low variability (σ=%s) indicates predictable traffic."
+)
+SIGNAL_VARIED_SYSTEM = "Adaptive/Dynamic"
+SIGNAL_STEADY_SYSTEM = "Fixed with Time-of-Day"
+SIGNAL_ACTION = "At %s: Set signal cycle length to %s. Use %s signal control system."
+SIGNAL_IMPACT = "Optimize traffic flow and minimize delays"
+SIGNAL_TIME = "Continuous"
+
+MORNING_TYPE = "Morning Rush Hour Strategy"
+MORNING_ACTIONS = (
+    "Deploy traffic officers and consider reversible lanes",
+    "Increase signal green time by 30% for main routes",
+    "Monitor traffic flow and maintain standard timing",
+)
+MORNING_DESCRIPTION = (
+    "Morning rush hour (06:00-10:00) shows elevated traffic (%s vehicles/hour, %s%% above average)."
+)
+MORNING_ACTION = "At %s: %s. Prioritize routes toward city center/business districts."
+MORNING_IMPACT = "Reduce morning commute delays by 15-25%"
+MORNING_TIME = "06:00-10:00 on weekdays"
+
+EVENING_TYPE = "Evening Rush Hour Strategy"
+EVENING_ACTIONS = (
+    "Maximize outbound route capacity and extend green times by 40%",
+    "Increase signal green time by 30% for outbound routes",
+    "Adjust timing to favor outbound traffic flow",
+)
+EVENING_DESCRIPTION = (
+    "Evening rush hour (16:00-20:00) shows elevated traffic (%s vehicles/hour, %s%% above average)."
+)
+EVENING_ACTION = "At %s: %s. Prioritize routes away from city center/toward residential areas."
+EVENING_IMPACT = "Reduce evening commute delays by 15-25%"
+EVENING_TIME = "16:00-20:00 on weekdays"
+
+WEEKEND_TYPE = "Weekend Traffic Management"
+WEEKEND_LOWER = "Weekend traffic is %s%% lower than weekdays (%s vs %s vehicles/hour)."
+WEEKEND_LOWER_ACTION = (
+    "At %s: Reduce signal cycle lengths by 20-30%% on weekends. "
+    "Consider using pedestrian-priority timing in retail/leisure areas."
+)
+WEEKEND_LOWER_IMPACT = "Improve pedestrian flow and reduce unnecessary delays"
+WEEKEND_HIGHER = "Weekend traffic is %s%% higher than weekdays (%s vs %s vehicles/hour)."
+WEEKEND_HIGHER_ACTION = (
+    "At %s: Increase signal capacity on weekends. Focus on routes to shopping/entertainment districts."
+)
+WEEKEND_HIGHER_IMPACT = "Prevent weekend congestion buildup"
+WEEKEND_TIME = "Saturdays and Sundays"
+
 
 def cluster_traffic(data: DataFrame, assignments: DataFrame) -> DataFrame:
     """Per cluster: mean of all readings, of 6-10 and 16-20 o'clock, and of both day types."""
@@ -58,8 +130,8 @@ def member_text(assignments: DataFrame) -> DataFrame:
     return shown.join(sizes, "Cluster").select("Cluster", text.alias("members"))
 
 
-def _by_level(high: str, medium: str, low: str) -> Column:
-    level = F.col("CongestionLevel")
+def _by_level(texts: tuple[str, str, str]) -> Column:
+    level, (high, medium, low) = F.col("CongestionLevel"), texts
     return F.when(level.contains("High"), high).when(level.contains("Medium"), medium).otherwise(low)
 
 
@@ -75,144 +147,87 @@ def _rule(rule_type: str, priority, description, action, impact: str, when) -> C
 
 
 def peak_hour_rule() -> Column:
+    """Longer green around the peak hour; the window does not wrap at midnight."""
     peak = F.col("PeakHour").cast("int")
-    window = F.format_string(
-        "%02d:00 - %02d:00", F.greatest(peak - 1, F.lit(0)), F.least(peak + 1, F.lit(23))
-    )
-    increase = _by_level("40-50%", "25-35%", "10-15%")
-    extra = _by_level(
-        "Consider implementing adaptive signal control",
-        "Monitor traffic flow and adjust as needed",
-        "Maintain standard signal timing with minor adjustments",
-    )
+    window = F.format_string(PEAK_WINDOW, F.greatest(peak - 1, F.lit(0)), F.least(peak + 1, F.lit(23)))
+    increase = _by_level(PEAK_INCREASES)
     return _rule(
-        "Peak Hour Management",
-        _by_level("Critical", "High", "Medium"),
-        F.format_string(
-            "Increase green signal duration by %s during peak hours (%s) at junctions in %s areas.",
-            increase,
-            window,
-            F.col("CongestionLevel"),
-        ),
-        F.format_string(
-            "At %s: Extend green light phase by %s at %02d:00. %s.", F.col("members"), increase, peak, extra
-        ),
-        "Reduce queue length and waiting time during peak congestion",
+        PEAK_TYPE,
+        _by_level(LEVEL_PRIORITIES),
+        F.format_string(PEAK_DESCRIPTION, increase, window, F.col("CongestionLevel")),
+        F.format_string(PEAK_ACTION, F.col("members"), increase, peak, _by_level(PEAK_EXTRAS)),
+        PEAK_IMPACT,
         F.concat(window, F.lit(" daily")),
     )
 
 
 def signal_timing_rule() -> Column:
-    deviation = one_decimal(F.col("AvgStdDev"))
+    """Adaptive signals where the deviation exceeds half the mean, fixed plans elsewhere."""
     varied = F.col("AvgStdDev") > F.col("AvgTraffic") * 0.5
-    description = F.when(
-        varied,
-        F.format_string(
-            "Implement adaptive signal timing that responds to real-time traffic conditions. "
-            "High variability (σ=%s) indicates fluctuating traffic patterns.",
-            deviation,
-        ),
-    ).otherwise(
-        F.format_string(
-            "Use time-of-day signal timing plans with consistent patterns. "
-            "Low variability (σ=%s) indicates predictable traffic.",
-            deviation,
-        )
-    )
+
+    def either(if_varied, if_steady) -> Column:
+        return F.when(varied, if_varied).otherwise(if_steady)
+
+    deviation = one_decimal(F.col("AvgStdDev"))
     return _rule(
-        "Signal Timing Strategy",
-        F.when(varied, "High").otherwise("Medium"),
-        description,
+        SIGNAL_TYPE,
+        either("High", "Medium"),
+        either(F.format_string(SIGNAL_VARIED, deviation), F.format_string(SIGNAL_STEADY, deviation)),
         F.format_string(
-            "At %s: Set signal cycle length to %s. Use %s signal control system.",
+            SIGNAL_ACTION,
             F.col("members"),
-            _by_level("120-150 seconds", "90-120 seconds", "60-90 seconds"),
-            F.when(varied, "Adaptive/Dynamic").otherwise("Fixed with Time-of-Day"),
+            _by_level(SIGNAL_CYCLES),
+            either(SIGNAL_VARIED_SYSTEM, SIGNAL_STEADY_SYSTEM),
         ),
-        "Optimize traffic flow and minimize delays",
-        "Continuous",
+        SIGNAL_IMPACT,
+        SIGNAL_TIME,
     )
 
 
-def _rush_rule(part: str, hours: str, mean: Column, action: Column, goal: str) -> Column:
-    above = (mean / F.col("row_mean") - 1) * 100
+def _rush_rule(rule_type: str, mean: Column, description: str, action: str, actions: tuple, impact: str, when: str) -> Column:
+    """A rule for hours whose mean exceeds the mean of all hours by a fifth."""
+    above = (F.try_divide(mean, F.col("row_mean")) - 1) * 100
     rule = _rule(
-        f"{part} Rush Hour Strategy",
-        _by_level("Critical", "High", "Medium"),
-        F.format_string(
-            f"{part} rush hour ({hours}) shows elevated traffic (%s vehicles/hour, %s%% above average).",
-            one_decimal(mean),
-            one_decimal(above),
-        ),
-        F.format_string(f"At %s: %s. Prioritize routes {goal}.", F.col("members"), action),
-        f"Reduce {part.lower()} commute delays by 15-25%",
-        f"{hours} on weekdays",
+        rule_type,
+        _by_level(LEVEL_PRIORITIES),
+        F.format_string(description, one_decimal(mean), one_decimal(above)),
+        F.format_string(action, F.col("members"), _by_level(actions)),
+        impact,
+        when,
     )
     return F.when((mean > F.col("row_mean") * 1.2) & (F.col("row_mean") != 0), rule)
 
 
 def rush_hour_rules() -> list[Column]:
+    """The morning and the evening rule."""
     return [
         _rush_rule(
-            "Morning",
-            "06:00-10:00",
-            F.col("morning"),
-            _by_level(
-                "Deploy traffic officers and consider reversible lanes",
-                "Increase signal green time by 30% for main routes",
-                "Monitor traffic flow and maintain standard timing",
-            ),
-            "toward city center/business districts",
+            MORNING_TYPE, F.col("morning"), MORNING_DESCRIPTION, MORNING_ACTION, MORNING_ACTIONS, MORNING_IMPACT, MORNING_TIME
         ),
         _rush_rule(
-            "Evening",
-            "16:00-20:00",
-            F.col("evening"),
-            _by_level(
-                "Maximize outbound route capacity and extend green times by 40%",
-                "Increase signal green time by 30% for outbound routes",
-                "Adjust timing to favor outbound traffic flow",
-            ),
-            "away from city center/toward residential areas",
+            EVENING_TYPE, F.col("evening"), EVENING_DESCRIPTION, EVENING_ACTION, EVENING_ACTIONS, EVENING_IMPACT, EVENING_TIME
         ),
     ]
 
 
 def weekend_rule() -> Column:
+    """A rule where weekends lie a fifth below or above weekdays, and none in between."""
     weekend, weekday = F.col("weekend"), F.col("weekday")
     # No weekday traffic but some at weekends is an unlimited ratio; none on either side is no rule.
     ratio = F.when((weekday == 0) & (weekend > 0), F.lit(float("inf"))).otherwise(F.try_divide(weekend, weekday))
 
-    def rule(priority: str, change: Column, word: str, action: str, impact: str) -> Column:
+    def rule(priority: str, change: Column, description: str, action: str, impact: str) -> Column:
         return _rule(
-            "Weekend Traffic Management",
+            WEEKEND_TYPE,
             priority,
-            F.format_string(
-                f"Weekend traffic is %s%% {word} than weekdays (%s vs %s vehicles/hour).",
-                one_decimal(change * 100),
-                one_decimal(weekend),
-                one_decimal(weekday),
-            ),
-            F.format_string(f"At %s: {action}", F.col("members")),
+            F.format_string(description, one_decimal(change * 100), one_decimal(weekend), one_decimal(weekday)),
+            F.format_string(action, F.col("members")),
             impact,
-            "Saturdays and Sundays",
+            WEEKEND_TIME,
         )
 
-    lower = rule(
-        "Low",
-        1 - ratio,
-        "lower",
-        "Reduce signal cycle lengths by 20-30%% on weekends. "
-        "Consider using pedestrian-priority timing in retail/leisure areas.",
-        "Improve pedestrian flow and reduce unnecessary delays",
-    )
-    higher = rule(
-        "Medium",
-        ratio - 1,
-        "higher",
-        "Increase signal capacity on weekends. Focus on routes to shopping/entertainment districts.",
-        "Prevent weekend congestion buildup",
-    )
+    lower = rule("Low", 1 - ratio, WEEKEND_LOWER, WEEKEND_LOWER_ACTION, WEEKEND_LOWER_IMPACT)
+    higher = rule("Medium", ratio - 1, WEEKEND_HIGHER, WEEKEND_HIGHER_ACTION, WEEKEND_HIGHER_IMPACT)
     return F.when(ratio < 0.8, lower).when(ratio > 1.2, higher)
 
 

@@ -642,10 +642,10 @@ def _rules_of(*types: str) -> Query:
     return lambda spark, folder: _rules(spark, folder).where(F.col("rule_type").isin(list(types)))
 
 
-QUERIES["rule_peak_hour"] = _rules_of("Peak Hour Management")
-QUERIES["rule_signal_timing"] = _rules_of("Signal Timing Strategy")
-QUERIES["rule_rush_hour"] = _rules_of("Morning Rush Hour Strategy", "Evening Rush Hour Strategy")
-QUERIES["rule_weekend"] = _rules_of("Weekend Traffic Management")
+QUERIES["rule_peak_hour"] = _rules_of(rules.PEAK_TYPE)
+QUERIES["rule_signal_timing"] = _rules_of(rules.SIGNAL_TYPE)
+QUERIES["rule_rush_hour"] = _rules_of(rules.MORNING_TYPE, rules.EVENING_TYPE)
+QUERIES["rule_weekend"] = _rules_of(rules.WEEKEND_TYPE)
 QUERIES["rules"] = _rules
 
 
