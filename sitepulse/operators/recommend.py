@@ -45,7 +45,9 @@ def advice(level: Column, morning: Column, evening: Column, weekend: Column, wee
     return F.array_compact(F.array(*[F.when(condition, F.lit(text)) for condition, text in conditions]))
 
 
-def _advised(profiles: DataFrame) -> DataFrame:
+def _inputs(profiles: DataFrame) -> dict[str, Column]:
+    """What the advice of a profile depends on, with stand-ins for columns it lacks."""
+
     def number(name: str) -> Column:
         return (F.col(name) if name in profiles.columns else F.lit(0.0)).cast("double")
 
@@ -55,16 +57,14 @@ def _advised(profiles: DataFrame) -> DataFrame:
         level = F.col("Cluster").cast("string")
     else:
         level = F.lit("Unknown")
-    return profiles.select(
-        "Junction",
-        level.alias("Congestion_Level"),
-        number("Morning_Peak").alias("Morning_Peak"),
-        number("Evening_Peak").alias("Evening_Peak"),
-        number("Weekend_Traffic").alias("Weekend_Traffic"),
-        number("Weekday_Traffic").alias("Weekday_Traffic"),
-    ).withColumn(
-        "Recommendations",
-        advice(*[F.col(c) for c in ("Congestion_Level", "Morning_Peak", "Evening_Peak", "Weekend_Traffic", "Weekday_Traffic")]),
+    peaks = ("Morning_Peak", "Evening_Peak", "Weekend_Traffic", "Weekday_Traffic")
+    return {"Congestion_Level": level, **{name: number(name) for name in peaks}}
+
+
+def _advised(profiles: DataFrame) -> DataFrame:
+    inputs = _inputs(profiles)
+    return profiles.select("Junction", *[column.alias(name) for name, column in inputs.items()]).withColumn(
+        "Recommendations", advice(*[F.col(name) for name in inputs])
     )
 
 
@@ -110,12 +110,12 @@ def recommendations_export(recommended: DataFrame) -> DataFrame:
 
 def junction_report(profiles: DataFrame) -> DataFrame:
     """The downloadable report row, for every junction at once."""
-    texts = recommendations(profiles).select("Junction", "Recommendations")
-    return profiles.join(texts, "Junction").select(
+    inputs = _inputs(profiles)
+    return profiles.select(
         "Junction",
-        "Congestion_Level",
+        inputs["Congestion_Level"].alias("Congestion_Level"),
         F.col("Avg_Vehicles").alias("Avg_Traffic"),
         "Morning_Peak",
         "Evening_Peak",
-        joined_text(F.col("Recommendations")).alias("Recommendations"),
+        joined_text(advice(*inputs.values())).alias("Recommendations"),
     )

@@ -252,26 +252,31 @@ def rules(profiles: DataFrame, data: DataFrame, assignments: DataFrame) -> DataF
     )
 
 
+def _chosen(priorities: Sequence[str] | None, clusters: Sequence[int] | None) -> Column:
+    wanted = F.lit(True)
+    if priorities is not None:
+        wanted = wanted & F.col("priority").isin(list(priorities))
+    if clusters is not None:
+        wanted = wanted & F.col("cluster_id").isin(list(clusters))
+    return wanted
+
+
 def filter_rules(
     all_rules: DataFrame,
     priorities: Sequence[str] | None = None,
     clusters: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rules of the given priorities and clusters; None leaves a side open."""
-    out = all_rules
-    if priorities is not None:
-        out = out.where(F.col("priority").isin(list(priorities)))
-    if clusters is not None:
-        out = out.where(F.col("cluster_id").isin(list(clusters)))
-    return out
+    return all_rules.where(_chosen(priorities, clusters))
 
 
 def filter_counts(
     all_rules: DataFrame, priorities: Sequence[str] | None = None, clusters: Sequence[int] | None = None
 ) -> DataFrame:
     """How many rules a filter shows, and how many there are, as one row."""
-    shown = filter_rules(all_rules, priorities, clusters).agg(F.count(F.lit(1))).scalar()
-    return all_rules.agg(F.count(F.lit(1)).alias("Total")).select(shown.alias("Shown"), "Total")
+    return all_rules.agg(
+        F.count_if(_chosen(priorities, clusters)).alias("Shown"), F.count(F.lit(1)).alias("Total")
+    )
 
 
 def rules_summary(all_rules: DataFrame) -> DataFrame:
