@@ -111,18 +111,18 @@ SQL: dict[str, str] = {
             FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
         ), rep AS (
             SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words
-            FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM tri), (VALUES (0), (1), (2)) v(o)
+            FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM tri), (SELECT unnest([0, 1, 2]) AS o)
             WHERE n > 1 GROUP BY doc_id
         ), line AS (
-            SELECT doc_id, at, x, regexp_extract_all(x, {_WORD}) AS lw
-            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM d)
+            SELECT doc_id, pos, x, regexp_extract_all(x, {_WORD}) AS lw
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d)
         ), judged AS (
-            SELECT doc_id, x, len(lw) AS n, list_sum(list_transform(lw, y -> length(y))) AS chars,
-                   len(list_filter(lw, y -> y IN ('|', '||', '/', '>', '>>', '»', '›', '•', '·', '::'))) AS seps,
+            SELECT doc_id, x, len(lw) AS n, list_sum(list_transform(lw, lambda y: length(y))) AS chars,
+                   len(list_filter(lw, lambda y: y IN ('|', '||', '/', '>', '>>', '»', '›', '•', '·', '::'))) AS seps,
                    length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS symbols,
                    right(lw[-1], 1) AS last,
                    translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
-                   row_number() OVER (PARTITION BY doc_id, x ORDER BY at) AS nth
+                   row_number() OVER (PARTITION BY doc_id, x ORDER BY pos) AS nth
             FROM line WHERE len(lw) > 0
         ), failed AS (
             SELECT *, (seps >= 3 AND 100 * seps >= 15 * n)
@@ -135,7 +135,7 @@ SQL: dict[str, str] = {
                    count_if(nth > 1) AS dup
             FROM failed GROUP BY doc_id
         ), f AS (
-            SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, y -> length(y))), 0) AS word_chars,
+            SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) AS word_chars,
                    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
                    coalesce(dup, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
                    coalesce(removed, 0) AS removed_lines, coalesce(lost, 0) AS lost_chars
@@ -153,7 +153,7 @@ SQL: dict[str, str] = {
             SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS w FROM documents
         ), s AS (
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-                   ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh
+                   ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh
             FROM w
         ), t AS (
             SELECT doc_id, len(sh) AS n, unnest(sh) AS k FROM s
@@ -176,7 +176,7 @@ SQL: dict[str, str] = {
             SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
         ), ok AS (
             SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL
-              AND len(list_filter(x, e -> e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(x, e -> e <> 0)) > 0
+              AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0
         ), link AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
             ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
