@@ -6,8 +6,9 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sitepulse.session import scratch_folder
 
@@ -35,6 +36,16 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that no later stage reads, so that they don't fill the shared disk."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        configuration = table.sparkSession._jsc.hadoopConfiguration()
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(configuration).delete(path, True)
+
+
 def map_batches(table: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply ``work`` to Arrow batches, given and returned as a list per column.
 
@@ -59,9 +70,27 @@ def map_batches(table: DataFrame, work: Callable[[dict[str, list]], dict[str, li
     return table.mapInArrow(run, schema)
 
 
-def text_key(*columns: str) -> Column:
-    """128 bits that tell rows with the same id but different content apart."""
-    return F.md5(F.concat_ws("\x00", *[F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in columns]))
+def add_columns(
+    table: DataFrame, needs: list[str], work: Callable[[dict[str, list]], dict[str, list]], schema: str
+) -> DataFrame:
+    """``table`` with the columns that ``work`` makes from batches of ``needs``; the other columns pass untouched."""
+    table.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    kinds = table.sparkSession.createDataFrame([], schema).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(kinds)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
+                part = batch.slice(at, ROWS_PER_BATCH)
+                made = work({name: part.column(part.schema.get_field_index(name)).to_pylist() for name in needs})
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *[pa.array(made[field.name], field.type) for field in arrow]],
+                    names=[*part.schema.names, *arrow.names],
+                )
+
+    return table.mapInArrow(run, StructType([*table.schema.fields, *kinds.fields]))
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:

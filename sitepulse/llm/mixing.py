@@ -219,3 +219,15 @@ def mix_documents(
         ),
         "rate",
     )
+
+
+def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as often as its rate says; the fraction is settled by a hash of the row."""
+    part = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
+    copies = mixed.groupBy("doc_id", "text_hash").agg(F.max("rate").alias("rate"))
+    copies = copies.withColumn("_copies", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
+    keyed = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    copies = stored(copies.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_key"), "_copies"), "mixing-copies")
+    joined = keyed.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")))
+    once = joined.where("_copies > 0").withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return once.select(*docs.columns)
