@@ -28,7 +28,7 @@ EDGES = {
 #: Words whose presence is a feature, and labelled documents they are chosen from.
 CUES, CUE_ROWS = 24, 4_000
 #: Gradient steps between two written tables of rates, and at most.
-STEPS_PER_TABLE, STEPS = 20, 80
+STEPS_PER_TABLE, STEPS = 20, 120
 
 
 def domain_column() -> Column:
@@ -139,11 +139,12 @@ def fit_rates(
 ) -> DataFrame:
     """Adds ``rate``: least <= rate <= most, so that sums of rate * tokens * p_k are in the ratio of the targets.
 
-    Least squares on the domain totals by projected gradients from rate 1. Totals are weighted by the
-    inverse of their Gram matrix, which makes a full step safe and exact until a rate meets a bound; the
-    steps end when all totals are within ``tolerance`` of the whole. The whole is the number of tokens, or
-    with ``upsample`` the smallest one in which no domain has to shrink. Every step is one aggregate of a
-    row per domain; rates are a chain of expressions that is written after every ``STEPS_PER_TABLE`` steps.
+    Least squares on the domain totals by projected gradients from rate 1, each taken a little ahead of the
+    last rates. Totals are weighted by the inverse of their Gram matrix, which makes a full step safe and
+    exact until a rate meets a bound; the steps end when all totals are within ``tolerance`` of the whole,
+    or when the bounds leave no way further. The whole is the number of tokens, or with ``upsample`` the
+    smallest one in which no domain has to shrink. Every step is one aggregate of two rows of totals; rates
+    are a chain of expressions that is written after every ``STEPS_PER_TABLE`` steps.
     """
     k = len(targets)
     p = [F.col(f"p{i}") for i in range(k)]
@@ -163,22 +164,30 @@ def fit_rates(
     aim = weights * min(whole, most)
     gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total**2
     inverse = np.linalg.inv(gram + np.eye(k) * max(np.trace(gram) * 1e-9, 1e-300))
-    gap, steps = current - aim, 0
-    while np.abs(gap).max() > tolerance and steps < STEPS:
-        pull = inverse @ gap
+    kept = [F.col(c) for c in shares.columns]
+    now = now.withColumn("ahead", F.col("rate"))
+    gap = gap_ahead = current - aim
+    since, still = 0, 0
+    for step in range(1, STEPS + 1):
+        if np.abs(gap).max() <= tolerance or still == 3:
+            break
+        pull = inverse @ gap_ahead
         change = F.lit(0.0)
         for i in range(k):
             change = change + p[i] * float(pull[i] / total)
-        now = now.withColumn("rate", F.least(F.lit(most), F.greatest(F.lit(least), F.col("rate") - tokens * change)))
-        steps += 1
-        if steps % STEPS_PER_TABLE == 0:
+        fresh = F.least(F.lit(most), F.greatest(F.lit(least), F.col("ahead") - tokens * change))
+        ahead = F.col("fresh") + since / (since + 3) * (F.col("fresh") - F.col("rate"))
+        now = now.select(*kept, "rate", fresh.alias("fresh")).select(*kept, F.col("fresh").alias("rate"), ahead.alias("ahead"))
+        if step % STEPS_PER_TABLE == 0:
             now = stored(now, "mixing-rates")
-        sums = now.agg(*[F.sum(F.col("rate") * tokens * p[i]).alias(f"m{i}") for i in range(k)]).first()
-        moved = np.array([sums[f"m{i}"] for i in range(k)]) / total - aim
-        if np.abs(moved - gap).max() < tolerance * 1e-3:
-            break  # the bounds on the rates leave no way further
+        sums = now.agg(
+            *[F.sum(F.col(c) * tokens * p[i]).alias(f"{c}{i}") for c in ("rate", "ahead") for i in range(k)]
+        ).first()
+        moved, gap_ahead = (np.array([sums[f"{c}{i}"] for i in range(k)]) / total - aim for c in ("rate", "ahead"))
+        still = still + 1 if np.abs(moved - gap).max() < tolerance * 1e-2 else 0
+        since = 0 if moved @ inverse @ moved > gap @ inverse @ gap else since + 1
         gap = moved
-    return now
+    return now.drop("ahead")
 
 
 def mix_documents(
