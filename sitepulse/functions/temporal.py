@@ -39,8 +39,13 @@ def add_calendar(readings: DataFrame, with_period: bool = False) -> DataFrame:
 def date_range(readings: DataFrame, first: str, last: str) -> DataFrame:
     """Readings of the calendar days first..last, both included.
 
-    Written as a half-open range on the raw clock, so that the scan can use it to skip row groups.
+    A half-open range on the clock itself; over a scanned column it reaches the scan.
     """
+    return readings.where(within_days(F.col("DateTime"), first, last))
+
+
+def within_days(clock: Column, first: str, last: str) -> Column:
+    """Is the clock time in the calendar days first..last? Holds alike before and after truncating it to hours."""
     start = F.lit(first).cast("date").cast("timestamp_ntz")
     stop = F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")
-    return readings.where((F.col("DateTime") >= start) & (F.col("DateTime") < stop))
+    return (clock >= start) & (clock < stop)

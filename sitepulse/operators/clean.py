@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from sitepulse.functions.distribution import quantiles, value_counts
+from sitepulse.functions.distribution import quantiles, quantiles_by_range, value_counts
 
 KEY = ["Junction", "DateTime"]
 
@@ -32,33 +32,18 @@ def fill_gaps(
     Readings are ordered by (DateTime, order) inside a junction; values never cross junctions.
     ``order`` must be a number that no two copies of a reading share.
 
-    A junction may hold a large part of all rows, so no window spans its readings. The last value of
-    every clock time travels through the month, then from month to month, and only rows of one clock
-    time meet in a task. Clock times with very many copies are cut further into slices of equal
-    width in ``order``. Filling from the next value only concerns rows before the first value of a
-    junction, so that one value serves them all.
+    A junction may hold a large part of all rows, so no window spans its readings. Rows of a clock time
+    without nulls pass as they are. The last value of every clock time travels through the month, then
+    from month to month, and only rows of one clock time that holds a null meet in a task. Clock times
+    with very many copies are cut further into slices: ``order`` is dealt into ranges by its quantiles,
+    so slices hold about as many rows however the numbers are spread. Filling from the next value only
+    concerns rows before the first value of a junction, so that one value serves them all.
     """
-    crowded = (
-        readings.groupBy(*KEY)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_low"), F.max(order).alias("_high"))
-        .where(F.col("_n") > rows_per_slice)
-        .select(
-            *KEY,
-            "_low",
-            ((F.col("_high") - F.col("_low") + 1) / F.ceil(F.col("_n") / rows_per_slice)).alias("_width"),
-        )
-    )
-    # There are at most (rows / rows_per_slice) crowded clock times: 200,000 in 10^12 rows, so
-    # this stays within a few megabytes.
-    placed = (
-        readings.join(F.broadcast(crowded), KEY, "left")
-        .withColumn("_slice", F.coalesce(F.floor((F.col(order) - F.col("_low")) / F.col("_width")), F.lit(0)))
-        .withColumn("_month", F.trunc("DateTime", "month"))
-        .drop("_low", "_width")
-    )
-
-    block = [*KEY, "_slice"]
     month = ["Junction", "_month"]
+    block = [*KEY, "_slice"]
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
 
     def ends(table: DataFrame, keys: list[str], along: Column, first: str, last: str) -> DataFrame:
         """The first and last non-null value of each column per key."""
@@ -74,22 +59,48 @@ def fill_gaps(
     def earlier(window: WindowSpec, column: str) -> Column:
         return F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
 
-    blocks = ends(placed, [*block, "_month"], F.col(order), "{}", "{}")
-    months = ends(blocks, month, F.struct("DateTime", "_slice"), "_first_{}", "_last_{}")
-    in_month = Window.partitionBy(*month).orderBy("DateTime", "_slice")
+    # One pass over the readings: per clock time its ends, its size, whether it holds a null, its slices.
+    clocks = (
+        readings.groupBy(*KEY)
+        .agg(
+            *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first_{c}") for c in columns],
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}") for c in columns],
+            F.count(F.lit(1)).alias("_n"),
+            F.max(missing).alias("_gap"),
+            F.percentile_approx(F.col(order), [i / 128 for i in range(1, 128)], 1_000).alias("_borders"),
+        )
+        .withColumn("_month", F.trunc("DateTime", "month"))
+        # Of 127 borders as many are kept as the size asks for; a small clock time keeps none.
+        .withColumn("_step", F.greatest(F.lit(1), F.floor(128 * rows_per_slice / F.col("_n"))).cast("int"))
+        .withColumn(
+            "_borders",
+            F.when(F.col("_n") > rows_per_slice, F.filter("_borders", lambda x, i: (i + 1) % F.col("_step") == 0)).otherwise(
+                F.array().cast("array<double>")
+            ),
+        )
+    )
+    months = ends(clocks, month, F.col("DateTime"), "_first_{}", "_last_{}")
+    in_month = Window.partitionBy(*month).orderBy("DateTime")
     over_months = Window.partitionBy("Junction").orderBy("_month")
     whole = over_months.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    near = blocks.select(*block, "_month", *[earlier(in_month, f"_last_{c}").alias(f"_near_{c}") for c in columns])
+    near = clocks.select(*KEY, "_month", "_gap", "_borders", *[earlier(in_month, f"_last_{c}").alias(f"_near_{c}") for c in columns])
     far = months.select(
         *month,
         *[earlier(over_months, f"_last_{c}").alias(f"_far_{c}") for c in columns],
         *[F.first(f"_first_{c}", ignorenulls=True).over(whole).alias(f"_opening_{c}") for c in columns],
     )
+    carried = near.where("_gap").join(far, month, "left").drop("_month", "_gap")
+    sound = readings.join(carried.select(*KEY), KEY, "left_anti")
+    placed = readings.join(carried, KEY).withColumn("_slice", F.size(F.filter("_borders", lambda x: x < F.col(order))))
+    # What earlier slices of the same clock time end with.
+    slices = ends(placed, block, F.col(order), "{}", "{}")
+    in_clock = Window.partitionBy(*KEY).orderBy("_slice")
+    before = slices.select(*block, *[earlier(in_clock, f"_last_{c}").alias(f"_here_{c}") for c in columns])
     inside = Window.partitionBy(*block).orderBy(order)
-    filled = placed.join(near.join(far, month, "left").drop("_month"), block, "left").withColumns(
-        {c: F.coalesce(c, earlier(inside, c), f"_near_{c}", f"_far_{c}", f"_opening_{c}") for c in columns}
+    filled = placed.join(before, block).withColumns(
+        {c: F.coalesce(c, earlier(inside, c), f"_here_{c}", f"_near_{c}", f"_far_{c}", f"_opening_{c}") for c in columns}
     )
-    return filled.select(*readings.columns)
+    return sound.select(*readings.columns).union(filled.select(*readings.columns))
 
 
 def duplicate_count(readings: DataFrame) -> DataFrame:
@@ -117,25 +128,33 @@ def merge_duplicates(readings: DataFrame, order: str = "ID") -> DataFrame:
     )
 
 
-def keep_first(readings: DataFrame, order: str = "ID") -> DataFrame:
-    """The row with the lowest ``order`` of each (Junction, DateTime).
+def keep_first(readings: DataFrame, order: str | None = "ID") -> DataFrame:
+    """The row with the lowest ``order`` of each (Junction, DateTime), whole.
 
-    An aggregate rather than a ranking window: copies are dropped before the shuffle, so a key
-    with very many copies costs nothing extra.
+    Rows without an ``order`` come after those that have one; ties, and tables without the column, are
+    settled by the other columns, so that the kept row is always one of the rows given. An aggregate rather than a
+    ranking window: copies are dropped before the shuffle, so a key with very many copies costs nothing
+    extra.
     """
     others = [c for c in readings.columns if c not in KEY]
+    rank = [F.col(order).isNull().alias("_unknown"), F.col(order).alias("_order")] if order in others else []
     return (
         readings.groupBy(*KEY)
-        .agg(*[F.min_by(c, order).alias(c) for c in others])
-        .select(*readings.columns)
+        .agg(F.min(F.struct(*rank, *others)).alias("_row"))
+        .select(*[F.col(c) if c in KEY else F.col("_row")[c].alias(c) for c in readings.columns])
     )
 
 
-def outlier_bounds(readings: DataFrame, factor: float = 3.0) -> DataFrame:
-    """Quartiles of Vehicles over all rows and the fences factor x IQR beyond them, as one row."""
+def outlier_bounds(readings: DataFrame, factor: float = 3.0, spread_values: bool = False) -> DataFrame:
+    """Quartiles of Vehicles over all rows and the fences factor x IQR beyond them, as one row.
+
+    The different values meet in one task, which suits whole counts; ``spread_values`` ranks them over
+    many tasks, for fractional values of which there may be as many as rows.
+    """
     q = F.col("Quantiles")
+    found = quantiles_by_range if spread_values else quantiles
     return (
-        quantiles(value_counts(readings), probs=(0.25, 0.75))
+        found(value_counts(readings), probs=(0.25, 0.75))
         .select(q[0].alias("Q1"), q[1].alias("Q3"), (q[1] - q[0]).alias("IQR"))
         .select(
             "*",
@@ -145,8 +164,8 @@ def outlier_bounds(readings: DataFrame, factor: float = 3.0) -> DataFrame:
     )
 
 
-def _fences(readings: DataFrame, factor: float):
-    return outlier_bounds(readings, factor).select(F.struct("LowerBound", "UpperBound")).scalar()
+def _fences(readings: DataFrame, factor: float, spread_values: bool = False):
+    return outlier_bounds(readings, factor, spread_values).select(F.struct("LowerBound", "UpperBound")).scalar()
 
 
 def outlier_count(readings: DataFrame, factor: float = 3.0) -> DataFrame:

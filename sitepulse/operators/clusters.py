@@ -211,38 +211,79 @@ def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows:
         "Junction", "vector", F.array(*[F.col(c).cast("int") for c in names]).alias("labels")
     ).withColumn("_blocks", blocks)
     own = F.pmod(F.xxhash64("Junction"), F.col("_blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    left = placed.select("Junction", "vector", own.alias("a"), every.alias("b"))
-    right = placed.select(F.col("vector").alias("facing"), "labels", own.alias("b"), every.alias("a"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    # Two blocks meet once, with the sums of both sides.
+    dealt = placed.select("Junction", "vector", "labels", own.alias("block"), other.alias("other")).select(
+        "Junction", "vector", "labels", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")
+    )
 
-    def sums(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+    def sums(group: pd.DataFrame) -> pd.DataFrame:
         columns = ["Junction", "number", "Cluster", "distance"]
+        first = group["block"] == group["a"]
+        ours = group[first]
+        theirs = ours if group["a"].iloc[0] == group["b"].iloc[0] else group[~first]
         if ours.empty or theirs.empty:
             return pd.DataFrame(columns=columns)
-        x, y = np.stack(ours["vector"]), np.stack(theirs["facing"])
-        labels = np.stack(theirs["labels"])
-        junctions, parts = ours["Junction"].to_numpy(), []
+        x, y = np.stack(ours["vector"]), np.stack(theirs["vector"])
+        our_labels, their_labels = np.stack(ours["labels"]), np.stack(theirs["labels"])
+        junctions, facing = ours["Junction"].to_numpy(), theirs["Junction"].to_numpy()
+        parts, back = [], {}
         for start in range(0, len(x), ROWS_AT_A_TIME):
             some = slice(start, start + ROWS_AT_A_TIME)
             squares = sum((x[some, axis, None] - y[None, :, axis]) ** 2 for axis in range(x.shape[1]))
             distances = np.sqrt(squares)
             for at, number in enumerate(numbers):
-                for cluster in np.unique(labels[:, at]):
-                    total = distances[:, labels[:, at] == cluster].sum(axis=1)
+                for cluster in np.unique(their_labels[:, at]):
+                    total = distances[:, their_labels[:, at] == cluster].sum(axis=1)
                     parts.append(
-                        pd.DataFrame(
-                            {"Junction": junctions[some], "number": number, "Cluster": cluster, "distance": total}
-                        )
+                        pd.DataFrame({"Junction": junctions[some], "number": number, "Cluster": cluster, "distance": total})
                     )
+                if theirs is not ours:
+                    for cluster in np.unique(our_labels[some, at]):
+                        total = distances[our_labels[some, at] == cluster].sum(axis=0)
+                        back[number, cluster] = back.get((number, cluster), 0.0) + total
+        for (number, cluster), total in back.items():
+            parts.append(pd.DataFrame({"Junction": facing, "number": number, "Cluster": cluster, "distance": total}))
         return pd.concat(parts)[columns]
 
     totals = (
-        left.groupBy("a", "b")
-        .cogroup(right.groupBy("a", "b"))
+        dealt.groupBy("a", "b")
         .applyInPandas(sums, "Junction bigint, number int, Cluster int, distance double")
         .groupBy("Junction", "number", "Cluster")
         .agg(F.sum("distance").alias("distance"))
     )
+    return _scores(points, label_sets, totals)
+
+
+def squared_silhouette_parts(points: DataFrame, label_sets: dict[int, str]) -> DataFrame:
+    """As ``silhouette_parts`` with squared distances, in time linear in the junctions.
+
+    The squared distances of a point to a cluster add up to size * |x|^2 - 2 x * sum(y) + sum(|y|^2), so one
+    row per cluster stands for its members. That row goes to every task: k rows per labeling.
+    """
+    sets = F.array(*[F.struct(F.lit(n).alias("number"), F.col(c).cast("int").alias("own")) for n, c in label_sets.items()])
+    member = points.select("Junction", "vector", F.explode(sets).alias("s")).select("Junction", "vector", "s.number", "s.own")
+    square = F.aggregate("vector", F.lit(0.0), lambda t, v: t + v * v)
+    sums = (
+        member.select("number", F.col("own").alias("Cluster"), square.alias("square"), F.posexplode("vector").alias("axis", "v"))
+        .groupBy("number", "Cluster", "axis")
+        .agg(F.sum("v").alias("total"), F.sum("square").alias("squares"), F.count(F.lit(1)).alias("size"))
+        .groupBy("number", "Cluster")
+        .agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("axis", "total"))), lambda x: x["total"]).alias("totals"),
+            F.max("squares").alias("squares"),
+            F.max("size").alias("size"),
+        )
+    )
+    product = F.aggregate(F.zip_with("vector", "totals", lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+    totals = member.join(F.broadcast(sums), "number").select(
+        "Junction", "number", "Cluster", (F.col("size") * square - 2 * product + F.col("squares")).alias("distance")
+    )
+    return _scores(points, label_sets, totals)
+
+
+def _scores(points: DataFrame, label_sets: dict[int, str], totals: DataFrame) -> DataFrame:
+    """Scores from the sums of distances (Junction, number, Cluster, distance)."""
     member = points.select(
         "Junction",
         F.explode(
@@ -273,15 +314,22 @@ def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows:
     )
 
 
-def silhouette(table: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Mean Euclidean silhouette of a table with Junction, Cluster and feature columns, as one row.
+def silhouette(
+    table: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS, distance: str = "euclidean"
+) -> DataFrame:
+    """Mean silhouette of a table with Junction, Cluster and feature columns, as one row.
 
-    Null when there is one cluster, or as many clusters as junctions.
+    ``distance`` is "euclidean", over all pairs, or "squared", over squared distances and linear. Null when there is one cluster, or as many clusters as junctions.
     """
     points = table.select("Junction", "Cluster", F.array(*[F.col(c).cast("double") for c in columns]).alias("vector"))
+    if distance == "squared":
+        parts = squared_silhouette_parts(points, {0: "Cluster"})
+    elif distance == "euclidean":
+        parts = silhouette_parts(points, {0: "Cluster"}, block_rows)
+    else:
+        raise ValueError(f"unknown distance {distance!r}: use euclidean or squared")
     return (
-        silhouette_parts(points, {0: "Cluster"}, block_rows)
-        .groupBy("Cluster")
+        parts.groupBy("Cluster")
         .agg(F.sum("Silhouette").alias("total"), F.count(F.lit(1)).alias("n"))
         .agg(
             F.when(F.count(F.lit(1)) < F.sum("n"), F.try_divide(F.sum("total"), F.sum("n").cast("double"))).alias("Silhouette")

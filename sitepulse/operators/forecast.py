@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -62,15 +63,15 @@ def split_report(split: DataFrame) -> DataFrame:
 
 def add_site_mean(split: DataFrame) -> DataFrame:
     """Mean of the training side per junction, which lets one pooled forest tell junctions apart."""
-    means = split.where(F.col("Side") == "train").groupBy("Junction").agg(F.avg("Vehicles").alias(SITE_MEAN))
-    return split.join(means, "Junction")
-
-
-ROWS_PER_PARTITION = 50_000
+    train = split.where(F.col("Side") == "train")
+    means = train.groupBy("Junction").agg(F.avg("Vehicles").alias(SITE_MEAN))
+    overall = train.agg(F.avg("Vehicles").alias("mean")).scalar()
+    # A junction too short to have a training side gets the mean of all training rows.
+    return split.join(means, "Junction", "left").withColumn(SITE_MEAN, F.coalesce(F.col(SITE_MEAN), overall))
 
 
 def _fit(
-    train: DataFrame, features: list[str], trees: int, depth: int, seed: int, rows: int | None = None
+    train: DataFrame, features: list[str], trees: int, depth: int, seed: int, partitions: int
 ) -> PipelineModel:
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     forest = RandomForestRegressor(
@@ -82,61 +83,57 @@ def _fit(
         seed=seed,
         featureSubsetStrategy="all",
     )
-    # Trees depend on how rows are spread over partitions. Hashing into a fixed number of them, each
-    # in clock order, makes a repeated fit under the same settings repeat its result.
-    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if rows is not None:
-        parts = min(parts, rows // ROWS_PER_PARTITION + 1)
+    # Trees depend on how rows are spread over partitions. Hashing into a stated number of them, each
+    # in clock order, makes the same data give the same forest on any cluster.
     needed = train.select("Junction", "DateTime", "Vehicles", *features)
-    ordered = needed.repartition(parts, "Junction", "DateTime").sortWithinPartitions("Junction", "DateTime")
+    ordered = needed.repartition(partitions, "Junction", "DateTime").sortWithinPartitions("Junction", "DateTime")
     model = forest.fit(assembler.transform(ordered))
     return PipelineModel(stages=[assembler, model])
 
 
-def train_all(split: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
+def train_all(
+    split: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42, partitions: int = 8
+) -> PipelineModel:
     """One forest for all junctions, on the five features and the junction's training mean.
 
-    The number of Spark jobs does not depend on the number of junctions. ``split`` comes from
+    The number of Spark jobs does not depend on the number of junctions. ``partitions`` is part of the
+    model's definition, as the seed is: choose it by the size of the data, not of the cluster. ``split`` comes from
     ``training_matrix`` followed by ``add_site_mean``.
     """
-    return _fit(split.where(F.col("Side") == "train"), [*FEATURES, SITE_MEAN], trees, depth, seed)
+    return _fit(split.where(F.col("Side") == "train"), [*FEATURES, SITE_MEAN], trees, depth, seed, partitions)
 
 
 def train_junction(
-    split: DataFrame, junction: int, trees: int = 100, depth: int = 10, seed: int = 42, rows: int | None = None
+    split: DataFrame, junction: int, trees: int = 100, depth: int = 10, seed: int = 42, partitions: int = 1
 ) -> PipelineModel:
-    """A forest of one junction on the five features, for a few junctions of interest.
-
-    ``rows``, when known, keeps a short series in few partitions.
-    """
+    """A forest of one junction on the five features."""
     side = (F.col("Side") == "train") & (F.col("Junction") == junction)
-    return _fit(split.where(side), FEATURES, trees, depth, seed, rows)
+    return _fit(split.where(side), FEATURES, trees, depth, seed, partitions)
 
 
 def train_each(
     split: DataFrame,
+    junctions: Sequence[int],
     trees: int = 100,
     depth: int = 10,
     seed: int = 42,
-    most: int = 32,
     parallelism: int = 8,
+    partitions: int = 1,
 ) -> dict[int, PipelineModel]:
-    """A forest of its own for every junction, fitted side by side.
+    """A forest of its own for each of the named junctions, fitted side by side.
 
-    Every fit is a series of Spark jobs, so this is for few junctions; more than ``most`` are an
-    error, because ``train_all`` covers any number at the cost of one fit.
+    Every fit is a series of Spark jobs, so this is for junctions of interest; ``train_all`` covers any
+    number at the cost of one fit. A named junction without training rows gets no forest.
     """
-    train = split.where(F.col("Side") == "train")
-    sizes = train.groupBy("Junction").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
-    if len(sizes) > most:
-        raise ValueError(f"more than {most} junctions: use train_all")
-    with ThreadPool(min(parallelism, max(len(sizes), 1))) as pool:
-        models = pool.map(lambda size: train_junction(split, size["Junction"], trees, depth, seed, size["n"]), sizes)
-    return {size["Junction"]: model for size, model in zip(sizes, models)}
+    wanted = split.where((F.col("Side") == "train") & F.col("Junction").isin(list(junctions)))
+    known = sorted(row["Junction"] for row in wanted.select("Junction").distinct().collect())  # at most those named
+    with ThreadPool(min(parallelism, max(len(known), 1))) as pool:
+        models = pool.map(lambda junction: train_junction(split, junction, trees, depth, seed, partitions), known)
+    return dict(zip(known, models))
 
 
 def predict_each(models: dict[int, PipelineModel], split: DataFrame) -> DataFrame:
-    """Rows of the split with Predicted from the forest of their own junction."""
+    """Rows of the junctions that have a forest of their own, with Predicted from it."""
     parts = [predict(model, split.where(F.col("Junction") == junction)) for junction, model in models.items()]
     return reduce(DataFrame.unionByName, parts)
 

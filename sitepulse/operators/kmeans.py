@@ -14,9 +14,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.operators.clusters import davies_bouldin, silhouette, silhouette_parts, standardize
-
-JUNCTIONS_PER_PARTITION = 50_000
+from sitepulse.operators.clusters import (
+    davies_bouldin,
+    silhouette,
+    silhouette_parts,
+    squared_silhouette_parts,
+    standardize,
+)
 
 
 @dataclass
@@ -71,16 +75,15 @@ class _Scaled:
         return model.summary.trainingCost * (self.n / (self.n - 1) if self.n > 1 else 1.0)
 
 
-def _scale(table: DataFrame, columns: Sequence[str]) -> _Scaled:
+def _scale(table: DataFrame, columns: Sequence[str], partitions: int) -> _Scaled:
     assembler = VectorAssembler(inputCols=list(columns), outputCol="raw")
     assembled = assembler.transform(table.select("Junction", *columns)).select("Junction", "raw").persist()
     n = assembled.count()
     scaler: StandardScalerModel = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(
         assembled
     )
-    # Hashed junctions in a fixed order: the same table always gives the same clusters.
-    parts = max(1, -(-n // JUNCTIONS_PER_PARTITION))
-    ordered = assembled.repartition(parts, "Junction").sortWithinPartitions("Junction")
+    # Hashed junctions in a fixed order: the same table always gives the same clusters, on any cluster.
+    ordered = assembled.repartition(partitions, "Junction").sortWithinPartitions("Junction")
     vectors = scaler.transform(ordered).select("Junction", "features").persist()
     vectors.count()
     assembled.unpersist()
@@ -114,9 +117,14 @@ def fit_clusters(
     seed: int = 42,
     max_iter: int = 300,
     parallelism: int = 8,
+    partitions: int = 1,
 ) -> ClusterModel:
-    """K-Means on the standardized columns of a junction table, the best of several restarts."""
-    scaled = _scale(table, columns)
+    """K-Means on the standardized columns of a junction table, the best of several restarts.
+
+    Start centres depend on how junctions are spread, so ``partitions`` is part of the model's definition,
+    as the seed is; a table of very many junctions needs more than one.
+    """
+    scaled = _scale(table, columns, partitions)
     try:
         if not 1 <= k <= scaled.n:
             raise ValueError(f"k must be between 1 and the number of junctions ({scaled.n}), not {k}")
@@ -137,9 +145,15 @@ def choose_k(
     restarts: int = 10,
     seed: int = 42,
     parallelism: int = 8,
+    partitions: int = 1,
+    distance: str = "euclidean",
 ) -> DataFrame:
-    """Inertia and silhouette for k = 2 up to min(max_clusters, junctions - 1), as (k, Inertia, Silhouette)."""
-    scaled = _scale(table, columns)
+    """Inertia and silhouette for k = 2 up to min(max_clusters, junctions - 1), as (k, Inertia, Silhouette).
+
+    ``distance`` "euclidean" compares all pairs of junctions; "squared" scores squared distances, whose
+    means follow from sums per cluster, in time linear in the junctions.
+    """
+    scaled = _scale(table, columns, partitions)
     try:
         tried = range(2, min(max_clusters + 1, scaled.n))
         if not tried:
@@ -149,8 +163,9 @@ def choose_k(
         for k, model in models.items():
             points = model.setPredictionCol(f"k{k}").transform(points)
         points = points.select("Junction", vector_to_array("features").alias("vector"), *[f"k{k}" for k in tried])
+        parts = {"euclidean": silhouette_parts, "squared": squared_silhouette_parts}[distance]
         scores = (
-            silhouette_parts(points, {k: f"k{k}" for k in tried})
+            parts(points, {k: f"k{k}" for k in tried})
             .groupBy(F.col("number").alias("k"))
             .agg(F.avg("Silhouette").alias("Silhouette"))
             .collect()  # one row per k

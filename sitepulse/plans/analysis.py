@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sitepulse.functions.temporal import add_calendar
 from sitepulse.operators import clean, clusters, forecast, kmeans, patterns, profiles, recommend, rules
@@ -17,17 +18,30 @@ from sitepulse.sources.readings import load_readings
 from sitepulse.sources.tables import write_csv, write_readings
 
 
+def in_order(readings: DataFrame, order: str = "ID") -> tuple[DataFrame, str]:
+    """Readings with a column that says which of two copies came first: ``order``, else the place in the file."""
+    for name in (order, "SourceOrder"):
+        if name in readings.columns:
+            return readings, name
+    return readings.withColumn("SourceOrder", F.monotonically_increasing_id()), "SourceOrder"
+
+
 def prepare(readings: DataFrame, policy: str = "sum", cap: bool = True, order: str = "ID") -> DataFrame:
     """Cleaned readings with calendar columns.
 
-    For ``first`` a null is looked for before the fill, because the fill sorts every reading.
+    For ``first`` every column but junction and clock is filled where it has nulls; readings without
+    ``order`` are taken in the order of their file.
     """
     if policy == "sum":
         return add_calendar(clean.merge_duplicates(readings, order))
     if policy != "first":
         raise ValueError(f"unknown policy {policy!r}: use sum or first")
-    if clean.null_count(readings).first()["Nulls"]:
-        readings = clean.fill_gaps(readings, order=order)
+    readings, order = in_order(readings, order)
+    filled = [c for c in readings.columns if c not in (*clean.KEY, order)]
+    nulls = readings.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in filled]).first()
+    gaps = [c for c in filled if nulls[c]]
+    if gaps:
+        readings = clean.fill_gaps(readings, gaps, order)
     single = clean.keep_first(readings, order).drop("ID", "SourceOrder")
     return add_calendar(clean.cap_outliers(single) if cap else single, with_period=True)
 
@@ -62,7 +76,9 @@ def process_readings(spark: SparkSession, path: str, output: str | None = None,
 
 def preprocess(spark: SparkSession, path: str, fmt: str = "csv", order: str = "ID") -> dict[str, DataFrame]:
     """Load, fill, keep the first copy, cap, derive the calendar and build the feature matrix."""
-    raw = load_readings(spark, path, fmt=fmt, keep_file_order=order == "SourceOrder")
+    raw = load_readings(spark, path, fmt=fmt)
+    if order not in raw.columns:
+        raw = load_readings(spark, path, fmt=fmt, keep_file_order=True)
     timeseries = prepare(raw, "first", order=order)
     return {"timeseries": timeseries, "junction_features": profiles.junction_features(timeseries)}
 
@@ -178,7 +194,9 @@ def complete_analysis(
     )
     model, clustered = cluster_matrix(features, n_clusters, auto_select_k)
     assignments = clustered["cluster_assignments"]
-    table = rules.rules(clustered["cluster_profiles"], cube, assignments)
+    table = optimization_rules(
+        clustered["cluster_profiles"], cube, assignments, output and os.path.join(output, "rules")
+    )
     results = {
         "timeseries": timeseries,
         "junction_features": features,
@@ -189,7 +207,7 @@ def complete_analysis(
         "rules_summary": rules.rules_summary(table),
     }
     if output:
-        for name in ("timeseries", "junction_features", "cluster_assignments", "cluster_profiles", "rules"):
+        for name in ("timeseries", "junction_features", "cluster_assignments", "cluster_profiles"):
             export = results[name]
             if name == "timeseries":
                 export = export.select(

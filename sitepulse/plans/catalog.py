@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitepulse.functions.numeric import round_half_even
-from sitepulse.functions.temporal import add_calendar, date_range
+from sitepulse.functions.temporal import add_calendar
 from sitepulse.operators import clean, clusters, forecast, kmeans, patterns, profiles, recommend, rules
 from sitepulse.plans import analysis
 from sitepulse.session import scratch_folder
-from sitepulse.sources.readings import load_readings, readings_from_events
-from sitepulse.sources.tables import read_processed, write_csv, write_readings
+from sitepulse.sources.readings import clock_range, load_readings, readings_from_events
+from sitepulse.sources.tables import read_processed, read_readings, write_csv, write_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,13 +82,39 @@ def _rounded(table: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return table.withColumns({c: round_half_even(F.col(c), digits) for c in columns})
 
 
+def _kept(table: DataFrame) -> DataFrame:
+    """A table that a query reads more than once: written to scratch and read back."""
+    path = scratch_folder(table.sparkSession, "kept")
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    shaped = _shaped(spark, folder)
-    return clusters.label_profiles(profiles.enhanced_profiles(shaped), _assigned(shaped))
+    table = _kept(profiles.enhanced_profiles(_shaped(spark, folder)))
+    return clusters.label_profiles(table, _assigned(table))
 
 
 def _cluster_profiles(readings: DataFrame) -> DataFrame:
-    return clusters.cluster_profiles(profiles.junction_features(readings), _assigned(readings))
+    features = _kept(profiles.junction_features(readings))
+    return clusters.cluster_profiles(features, _assigned(features))
+
+
+OFFSETS = (0, 100_000, 300_000)
+
+
+def _offset() -> Column:
+    """Three levels, by Junction mod 3, so far apart that only this partition into three is good."""
+    kind = F.pmod("Junction", F.lit(3))
+    return F.when(kind == 0, OFFSETS[0]).when(kind == 1, OFFSETS[1]).otherwise(OFFSETS[2]).cast("bigint")
+
+
+def _apart(spark: SparkSession, folder: str) -> DataFrame:
+    return _shaped(spark, folder).withColumn("Vehicles", F.col("Vehicles") + _offset())
+
+
+def _level(spark: SparkSession, folder: str) -> DataFrame:
+    """Processed readings whose count is 100 times the junction's number, so that forecasts must be exact."""
+    return _processed(spark, folder).withColumn("Vehicles", (F.col("Junction") * 100).cast("bigint"))
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -108,6 +134,15 @@ def load_readings_without_id(spark, folder):
     return load_readings(spark, path, drop_id=True)
 
 
+@query
+def load_readings_mixed_headers(spark, folder):
+    """Two writers with different column orders."""
+    path, raw = scratch_folder(spark, "raw"), _raw(spark, folder)
+    write_csv(raw.where("ID % 2 = 0").select("DateTime", "Junction", "Vehicles", "ID"), path)
+    write_csv(raw.where("ID % 2 = 1").select("ID", "Vehicles", "DateTime", "Junction"), path, "append")
+    return load_readings(spark, path)
+
+
 @named("read_processed")
 def read_processed_csv(spark, folder):
     path = scratch_folder(spark, "processed")
@@ -125,6 +160,12 @@ def write_roundtrip(spark, folder):
 # --- cleaning ------------------------------------------------------------------------------
 
 
+@query
+def dedup_first_null_id(spark, folder):
+    """Every third reading has lost its ID."""
+    return clean.keep_first(_raw(spark, folder).withColumn("ID", F.when(F.pmod("ID", F.lit(3)) != 0, F.col("ID"))))
+
+
 @query
 def null_count(spark, folder):
     return clean.null_count(_with_gaps(spark, folder))
@@ -150,6 +191,12 @@ def dedup_first(spark, folder):
     return clean.keep_first(_raw(spark, folder))
 
 
+@query
+def outlier_bounds_double(spark, folder):
+    readings = spark.read.parquet(f"{folder}/events.parquet").select(F.col("value").alias("Vehicles"))
+    return clean.outlier_bounds(readings, spread_values=True)
+
+
 @query
 def outlier_bounds(spark, folder):
     return clean.outlier_bounds(_raw(spark, folder))
@@ -180,7 +227,15 @@ def period_of_day(spark, folder):
 
 @query
 def date_range_slice(spark, folder):
-    return date_range(_processed(spark, folder), *WEEK)
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    return analysis.prepare(readings_from_events(events, days=WEEK), "sum")
+
+
+@query
+def date_range_stored(spark, folder):
+    path = scratch_folder(spark, "timeseries")
+    write_readings(_first(spark, folder), path)
+    return read_readings(spark, path, *WEEK)
 
 
 @query
@@ -283,7 +338,7 @@ def hourly_daytype(spark, folder):
 
 @query
 def hourly_by_cluster(spark, folder):
-    processed = _processed(spark, folder)
+    processed = _kept(patterns.hour_cube(_processed(spark, folder)))
     return _rounded(clusters.hourly_by_cluster(processed, _assigned(processed)), "Avg_Vehicles")
 
 
@@ -301,7 +356,7 @@ def heatmap_by_junction(spark, folder):
 
 @query
 def heatmap_by_cluster(spark, folder):
-    processed = _processed(spark, folder)
+    processed = _kept(patterns.hour_cube(_processed(spark, folder)))
     table = patterns.heatmap(clusters.cluster_cube(processed, _assigned(processed)), "Cluster")
     return _rounded(table, *[c for c in table.columns if c.startswith("Day_")])
 
@@ -336,7 +391,7 @@ def junction_detail(spark, folder):
 
 @query
 def overview_metrics(spark, folder):
-    shaped = _shaped(spark, folder)
+    shaped = _kept(_shaped(spark, folder))
     assigned, profile = _assigned(shaped), _cluster_profiles(shaped)
     return clusters.overview_metrics(shaped, assigned, profile, rules.rules(profile, shaped, assigned))
 
@@ -449,6 +504,12 @@ def silhouette(spark, folder):
     return _rounded(clusters.silhouette(table, profiles.PROFILE_FEATURES), "Silhouette")
 
 
+@query
+def silhouette_squared_sites(spark, folder):
+    table = _with_cluster(_standardized(spark, folder, None))
+    return _rounded(clusters.silhouette(table, profiles.PROFILE_FEATURES, distance="squared"), "Silhouette")
+
+
 @query
 def silhouette_sites(spark, folder):
     table = _with_cluster(_standardized(spark, folder, None))
@@ -475,35 +536,77 @@ def kmeans_a(spark, folder):
 
 @query
 def kmeans_b(spark, folder):
-    features = profiles.junction_features(_shaped(spark, folder)).persist()
+    features = _kept(profiles.junction_features(_shaped(spark, folder)))
     _, tables = analysis.cluster_matrix(features)
     return tables["cluster_assignments"].join(tables["cluster_profiles"], "Cluster")
 
 
+@query
+def kmeans_a_apart(spark, folder):
+    _, labelled = analysis.cluster_profiles_of(_apart(spark, folder))
+    return _rounded(labelled.drop("Cluster"), *[c for c in PROFILE_COLUMNS if c != "Max_Vehicles"])
+
+
+@query
+def kmeans_b_apart(spark, folder):
+    _, tables = analysis.cluster_matrix(_kept(profiles.junction_features(_apart(spark, folder))))
+    joined = tables["cluster_assignments"].join(tables["cluster_profiles"], "Cluster").drop("Cluster")
+    return _rounded(joined, *[c for c, kind in joined.dtypes if kind == "double"])
+
+
+@query
+def k_selection_apart(spark, folder):
+    """The best number of clusters and its score."""
+    table = _kept(profiles.enhanced_profiles(_apart(spark, folder)))
+    choice = kmeans.choose_k(table, profiles.PROFILE_FEATURES)
+    return _rounded(choice.orderBy(F.desc("Silhouette"), "k").limit(1).select("k", "Silhouette"), "Silhouette")
+
+
+@query
+def predict_cluster_apart(spark, folder):
+    """Clusters by their smallest junction, as their numbers have no meaning."""
+    found = _predicted(_kept(_apart(spark, folder)))
+    return found.join(found.groupBy("Cluster").agg(F.min("Junction").alias("Smallest")), "Cluster").select("Junction", "Smallest")
+
+
+@query
+def model_roundtrip_apart(spark, folder):
+    return _reloaded(profiles.junction_features(_apart(spark, folder))).select("Junction", "CongestionLevel")
+
+
 @query
 def kmeans_sites(spark, folder):
-    table = profiles.enhanced_profiles(_processed(spark, folder, None)).persist()
+    table = _kept(profiles.enhanced_profiles(_processed(spark, folder, None)))
     return kmeans.fit_clusters(table, profiles.PROFILE_FEATURES).assign(table)
 
 
 @query
 def k_selection(spark, folder):
-    features = profiles.junction_features(_shaped(spark, folder)).persist()
+    features = _kept(profiles.junction_features(_shaped(spark, folder)))
     return kmeans.choose_k(features, profiles.MATRIX_FEATURES)
 
 
 @query
 def predict_cluster(spark, folder):
     """Assign the junctions of the second half of the clock range with a model of the first half."""
-    shaped = _shaped(spark, folder)
-    half = F.col("DateTime") < F.lit("2024-01-16").cast("timestamp_ntz")
-    known = profiles.junction_features(shaped.where(half)).persist()
-    return kmeans.fit_clusters(known, profiles.MATRIX_FEATURES).assign(profiles.junction_features(shaped.where(~half)))
+    return _predicted(_kept(_shaped(spark, folder)))
+
+
+def _predicted(readings: DataFrame) -> DataFrame:
+    clock = clock_range(readings).first()
+    half = F.col("DateTime") < F.lit(clock["First"] + (clock["Last"] - clock["First"]) / 2).cast("timestamp_ntz")
+    known = _kept(profiles.junction_features(readings.where(half)))
+    return kmeans.fit_clusters(known, profiles.MATRIX_FEATURES).assign(profiles.junction_features(readings.where(~half)))
 
 
 @query
 def model_roundtrip(spark, folder):
-    features = profiles.junction_features(_shaped(spark, folder)).persist()
+    return _reloaded(profiles.junction_features(_shaped(spark, folder)))
+
+
+def _reloaded(features: DataFrame) -> DataFrame:
+    """Assignments by a model that was saved and loaded."""
+    spark, features = features.sparkSession, _kept(features)
     model, tables = analysis.cluster_matrix(features)
     path = scratch_folder(spark, "clustering")
     model.save(path, tables["cluster_profiles"])
@@ -523,16 +626,14 @@ def _persistence(spark: SparkSession, folder: str) -> DataFrame:
     return _split(spark, folder).withColumn("Predicted", F.col(forecast.YESTERDAY).cast("double"))
 
 
-_trained: dict[tuple[str, str], tuple] = {}
+def _forest_of(readings: DataFrame, **settings) -> tuple:
+    """The pooled forest of some readings and their split table."""
+    split = _kept(forecast.add_site_mean(forecast.training_matrix(readings)))
+    return forecast.train_all(split, **settings), split
 
 
 def _forest(spark: SparkSession, folder: str) -> tuple:
-    """The pooled forest of a folder and its split table; queries of one session share it."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _trained:
-        split = forecast.add_site_mean(forecast.training_matrix(_shaped(spark, folder))).persist()
-        _trained[key] = forecast.train_all(split), split
-    return _trained[key]
+    return _forest_of(_shaped(spark, folder))
 
 
 @query
@@ -573,8 +674,8 @@ def rf_train(spark, folder):
 
 @query
 def rf_train_each(spark, folder):
-    split = forecast.training_matrix(_shaped(spark, folder)).persist()
-    return forecast.forecast_metrics(forecast.predict_each(forecast.train_each(split), split))
+    split = _kept(forecast.training_matrix(_shaped(spark, folder)))
+    return forecast.forecast_metrics(forecast.predict_each(forecast.train_each(split, range(1, 9)), split))
 
 
 @query
@@ -598,6 +699,47 @@ def forecast_summary(spark, folder):
     return forecast.forecast_summary(forecast.forecast_24h(*_forest(spark, folder)))
 
 
+# With a constant count per junction every forecast is exact, whatever the trees draw.
+SMALL_FOREST = {"trees": 10, "depth": 6}
+
+
+@query
+def rf_train_level(spark, folder):
+    model, split = _forest_of(_level(spark, folder), **SMALL_FOREST)
+    return forecast.forecast_metrics(forecast.predict(model, split))
+
+
+@query
+def rf_train_each_level(spark, folder):
+    split = _kept(forecast.training_matrix(_level(spark, folder)))
+    models = forecast.train_each(split, range(1, 9), trees=2, depth=2)
+    return forecast.forecast_metrics(forecast.predict_each(models, split))
+
+
+@query
+def actual_vs_predicted_level(spark, folder):
+    model, split = _forest_of(_level(spark, folder), **SMALL_FOREST)
+    return forecast.actual_vs_predicted(forecast.predict(model, split))
+
+
+@query
+def forecast_24h_level(spark, folder):
+    return forecast.forecast_24h(*_forest_of(_level(spark, folder), **SMALL_FOREST))
+
+
+@query
+def forecast_summary_level(spark, folder):
+    return forecast.forecast_summary(forecast.forecast_24h(*_forest_of(_level(spark, folder), **SMALL_FOREST)))
+
+
+@query
+def feature_importance_total(spark, folder):
+    """The features of the forest, and what their importances add up to."""
+    found = forecast.feature_importance(*_forest_of(_apart(spark, folder), **SMALL_FOREST))
+    names = F.array_join(F.sort_array(F.collect_list("Feature")), ",").alias("Features")
+    return _rounded(found.agg(names, F.sum("Importance").alias("Total")), "Total")
+
+
 # --- recommendations -----------------------------------------------------------------------
 
 
@@ -634,8 +776,8 @@ def junction_report(spark, folder):
 
 
 def _rules(spark: SparkSession, folder: str) -> DataFrame:
-    shaped = _shaped(spark, folder)
-    return rules.rules(_cluster_profiles(shaped), shaped, _assigned(shaped))
+    shaped = _kept(_shaped(spark, folder))
+    return analysis.optimization_rules(_cluster_profiles(shaped), shaped, _assigned(shaped))
 
 
 def _rules_of(*types: str) -> Query:
@@ -686,3 +828,53 @@ def advise(spark, folder):
         "Recommendations", F.array_join("Recommendations", "\n")
     )
 
+
+
+@query
+def complete_analysis_apart(spark, folder):
+    """The same on readings of three levels far apart; numbers of clusters and rules have no meaning."""
+    readings = _raw(spark, folder).withColumn("Vehicles", F.col("Vehicles") + _offset())
+    return analysis.complete_analysis(readings)["rules"].drop("rule_no", "cluster_id")
+
+
+@query
+def advise_apart(spark, folder):
+    return analysis.advise(_apart(spark, folder)).withColumn("Recommendations", F.array_join("Recommendations", "\n"))
+
+
+def _raw_csv(spark: SparkSession, folder: str) -> str:
+    path = scratch_folder(spark, "raw")
+    write_csv(_raw(spark, folder), path)
+    return path
+
+
+@query
+def process_traffic_data(spark, folder):
+    return analysis.process_readings(spark, _raw_csv(spark, folder))["processed"]
+
+
+@query
+def preprocess_pipeline(spark, folder):
+    features = analysis.preprocess(spark, _raw_csv(spark, folder))["junction_features"]
+    return _rounded(features, *[c for c, kind in features.dtypes if kind == "double"])
+
+
+@query
+def prepare_without_id(spark, folder):
+    """One file in the order of the IDs, which it doesn't hold."""
+    path = scratch_folder(spark, "raw")
+    write_csv(_raw(spark, folder).coalesce(1).sortWithinPartitions("ID").drop("ID"), path)
+    return analysis.preprocess(spark, path)["timeseries"]
+
+
+@query
+def run_pattern_analysis(spark, folder):
+    found = analysis.pattern_analysis(_processed(spark, folder))
+    joined = found["peak_hour"].join(found["junction_spread"], "Junction")
+    return _rounded(joined, *[c for c, kind in joined.dtypes if kind == "double"])
+
+
+@query
+def run_ml_engine(spark, folder):
+    found = analysis.learn(_level(spark, folder), forest=SMALL_FOREST)
+    return found["forecast_summary"].join(found["forecast_metrics"].where("Side = 'test'"), "Junction")

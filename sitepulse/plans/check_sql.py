@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from sitepulse.operators import recommend
 from sitepulse.operators.profiles import HOUR_COLUMNS, PROFILE_FEATURES
 from sitepulse.plans.catalog import WEEK
 
+# The advice texts.
+FLYOVER = 'Priority Intersection: Consider constructing a flyover or deploying traffic police during peak hours.'
+INBOUND = 'Commuter Route: Optimize signal timing for inbound traffic 08:00-10:00.'
+LEISURE = 'Leisure Zone: Expect delays near shopping/recreational areas on Saturdays.'
+ADAPTIVE = 'Moderate Congestion: Implement adaptive signal control systems to dynamically adjust timing based on real-time flow.'
+QUIET = 'Low Traffic Zone: Maintain current signal timings. Consider reducing cycle time to improve pedestrian crossing efficiency.'
+BALANCED = 'Balanced Traffic: Similar morning and evening peaks detected. Use time-of-day signal plans with consistent green time allocation.'
+OUTBOUND = 'Evening Rush Dominant: Optimize signal timing for outbound traffic 17:00-19:00. Prioritize routes away from city center.'
+NOTHING = 'No specific recommendations - traffic patterns are normal.'
+
 # --- building blocks -----------------------------------------------------------------------
 
 CALENDAR = """
@@ -43,6 +52,12 @@ r AS (
       ELSE CASE WHEN IsWeekend = 1 THEN 1 ELSE 2 END END AS BIGINT) AS Vehicles)
   FROM plain)"""
 
+_OFFSET = "CASE {junction} % 3 WHEN 0 THEN 0 WHEN 1 THEN 100000 ELSE 300000 END"
+APART = SHAPED.replace(
+    "ELSE 2 END END AS BIGINT) AS Vehicles)", f"ELSE 2 END END AS BIGINT) + {_OFFSET.format(junction='Junction')} AS Vehicles)"
+)
+LEVEL = SUMMED.replace("CAST(sum(Vehicles) AS BIGINT) AS Vehicles", "CAST(Junction * 100 AS BIGINT) AS Vehicles")
+
 FENCES = """,
 fences AS (
   SELECT Q1, Q3, Q3 - Q1 AS IQR, Q1 - 3 * (Q3 - Q1) AS LowerBound, Q3 + 3 * (Q3 - Q1) AS UpperBound
@@ -213,16 +228,16 @@ def _text(value: str) -> str:
 ADVISED = LABELLED + f""",
 advised AS (
   SELECT *, [x FOR x IN [
-      CASE WHEN Congestion_Level = 'High Congestion' THEN {_text(recommend.FLYOVER)} END,
-      CASE WHEN Morning_Peak > Evening_Peak THEN {_text(recommend.INBOUND)} END,
+      CASE WHEN Congestion_Level = 'High Congestion' THEN {_text(FLYOVER)} END,
+      CASE WHEN Morning_Peak > Evening_Peak THEN {_text(INBOUND)} END,
       CASE WHEN Weekend_Traffic > 0 AND Weekday_Traffic > 0 AND Weekend_Traffic > Weekday_Traffic
-           THEN {_text(recommend.LEISURE)} END,
-      CASE WHEN Congestion_Level = 'Medium Traffic' THEN {_text(recommend.ADAPTIVE)} END,
-      CASE WHEN Congestion_Level = 'Low Congestion' THEN {_text(recommend.QUIET)} END,
+           THEN {_text(LEISURE)} END,
+      CASE WHEN Congestion_Level = 'Medium Traffic' THEN {_text(ADAPTIVE)} END,
+      CASE WHEN Congestion_Level = 'Low Congestion' THEN {_text(QUIET)} END,
       CASE WHEN Morning_Peak > 0 AND Evening_Peak > 0
             AND abs(Morning_Peak - Evening_Peak) / greatest(Morning_Peak, Evening_Peak) < 0.15
-           THEN {_text(recommend.BALANCED)} END,
-      CASE WHEN Evening_Peak > Morning_Peak THEN {_text(recommend.OUTBOUND)} END
+           THEN {_text(BALANCED)} END,
+      CASE WHEN Evening_Peak > Morning_Peak THEN {_text(OUTBOUND)} END
     ] IF x IS NOT NULL] AS texts
   FROM labelled)"""
 
@@ -350,6 +365,18 @@ SQL: dict[str, str] = {
     "read_processed": over_sum("SELECT * FROM r"),
     "write_roundtrip": over_first("SELECT * FROM r"),
     # cleaning
+    "load_readings_mixed_headers": over_raw("SELECT ID, DateTime, Junction, Vehicles FROM raw"),
+    "dedup_first_null_id": over_raw(
+        """SELECT * FROM (SELECT * REPLACE (CASE WHEN ID % 3 <> 0 THEN ID END AS ID) FROM raw)
+           QUALIFY row_number() OVER (PARTITION BY Junction, DateTime ORDER BY ID NULLS LAST, Vehicles) = 1"""
+    ),
+    "prepare_without_id": over_first("SELECT * FROM r"),
+    "process_traffic_data": over_sum("SELECT * FROM r"),
+    "preprocess_pipeline": over_raw(SELECT_FEATURES, FIRST + FEATURES),
+    "date_range_stored": over_first(
+        f"SELECT * FROM r WHERE CAST(DateTime AS DATE) BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}'"
+    ),
+    "outlier_bounds_double": "WITH v AS (SELECT value AS Vehicles FROM events)" + FENCES.format(table="v") + " SELECT * FROM fences",
     "null_count": over_raw("SELECT count(*) AS Nulls FROM raw WHERE ID % 3 = 0 OR Vehicles IS NULL"),
     "fill_gaps": over_raw(
         """SELECT ID, DateTime, Junction, coalesce(v,
@@ -577,7 +604,7 @@ filled AS (
     ),
     "recommendation_lines": over_shaped(
         f"""SELECT Junction, Congestion_Level, CAST(pos AS INTEGER) AS Line,
-              coalesce(texts[pos], {_text(recommend.NOTHING)}) AS Recommendation
+              coalesce(texts[pos], {_text(NOTHING)}) AS Recommendation
             FROM (SELECT *, unnest(range(1, greatest(len(texts), 1) + 1)) AS pos FROM advised)""",
         ADVISED,
     ),
@@ -615,3 +642,74 @@ filled AS (
         RULES,
     ),
 }
+
+
+def _over(rows: str, select: str, extra: str = "") -> str:
+    return over_raw(select, rows + extra)
+
+
+_LAST = "(SELECT Junction, max(DateTime) AS t, count(*) AS n FROM split GROUP BY Junction) WHERE n >= 24"
+_EXACT = """SELECT Junction, Side, count(*) AS Records, 0::DOUBLE AS MAE, CASE WHEN count(*) > 1 THEN 1::DOUBLE END AS R2
+    FROM split GROUP BY Junction, Side"""
+_SUMMARY = f"""SELECT Junction, Junction * 100::DOUBLE AS Avg_Predicted, Junction * 100::DOUBLE AS Peak_Predicted,
+    CAST(1 AS INTEGER) AS Peak_Step, t + INTERVAL 1 HOUR AS Peak_Time FROM {_LAST}"""
+_RULES_UNNUMBERED = _RULE_COLUMNS.replace("rule_no, cluster_id, ", "")
+
+SQL |= {
+    "kmeans_a_apart": _over(
+        APART,
+        f"""SELECT Junction, Max_Vehicles, Congestion_Level, {_same(
+            ['Avg_Vehicles', 'Morning_Peak', 'Evening_Peak', 'Weekend_Traffic', 'Weekday_Traffic'])} FROM labelled""",
+        LABELLED,
+    ),
+    "kmeans_b_apart": _over(
+        APART,
+        f"""SELECT Junction, NumJunctions, PeakHour, CongestionLevel, {_same(
+            ['AvgTraffic', 'AvgStdDev', 'AvgMaxTraffic', 'PeakHourAvgTraffic', 'AvgWeekendWeekdayRatio'])}
+            FROM cluster_profiles JOIN assigned USING (Cluster)""",
+        CLUSTER_PROFILES,
+    ),
+    "k_selection_apart": _over(APART, SELECT_SILHOUETTE.replace("SELECT", "SELECT CAST(3 AS INTEGER) AS k,", 1), SILHOUETTE),
+    "predict_cluster_apart": _over(
+        APART,
+        "SELECT Junction, min(Junction) OVER (PARTITION BY Junction % 3) AS Smallest FROM (SELECT DISTINCT Junction FROM r)",
+    ),
+    "model_roundtrip_apart": _over(
+        APART, "SELECT Junction, CongestionLevel FROM cluster_profiles JOIN assigned USING (Cluster)", CLUSTER_PROFILES
+    ),
+    "silhouette_squared_sites": over_sum(SELECT_SILHOUETTE, SILHOUETTE.replace("sqrt", ""), sites=True),
+    "rf_train_level": _over(LEVEL, _EXACT, SPLIT),
+    "rf_train_each_level": _over(LEVEL, _EXACT, SPLIT),
+    "actual_vs_predicted_level": _over(
+        LEVEL,
+        """SELECT Junction, RowNo - TrainRows AS TimeIndex, DateTime, Vehicles AS Actual, Vehicles::DOUBLE AS Predicted
+           FROM split WHERE Side = 'test' AND RowNo - TrainRows <= 200""",
+        SPLIT,
+    ),
+    "forecast_24h_level": _over(
+        LEVEL,
+        f"""SELECT Junction, CAST(s AS INTEGER) AS Step, t + to_hours(s) AS DateTime, Junction * 100::DOUBLE AS Predicted
+            FROM (SELECT *, unnest(range(1, 25)) AS s FROM {_LAST})""",
+        SPLIT,
+    ),
+    "forecast_summary_level": _over(LEVEL, _SUMMARY, SPLIT),
+    "feature_importance_total": """
+        SELECT 'DayOfWeek,Hour,IsWeekend,Site_Mean,Traffic_Last_Hour,Traffic_Yesterday_Same_Hour' AS Features, 1::DOUBLE AS Total
+    """,
+    "complete_analysis_apart": f"WITH {RAW.replace(' AS Vehicles', ' + ' + _OFFSET.format(junction='(user_id % 8 + 1)') + ' AS Vehicles')}"
+    + FIRST
+    + RULES
+    + f" SELECT {_RULES_UNNUMBERED} FROM rules",
+    "advise_apart": _over(
+        APART,
+        """SELECT Junction, Congestion_Level, CAST(len(texts) AS INTEGER) AS Num_Recommendations,
+             array_to_string(texts, chr(10)) AS Recommendations FROM advised""",
+        ADVISED,
+    ),
+    "run_pattern_analysis": f"SELECT * FROM ({SQL['peak_hour']}) JOIN ({SQL['junction_spread']}) USING (Junction)",
+    "run_ml_engine": _over(
+        LEVEL,
+        f"""SELECT * FROM ({_SUMMARY}) JOIN (SELECT * FROM ({_EXACT}) WHERE Side = 'test') USING (Junction)""",
+        SPLIT,
+    ),
+}

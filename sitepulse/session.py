@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +29,14 @@ def get_session(app: str = "sitepulse", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    """One temporary folder for this process, removed at its end."""
+    folder = tempfile.mkdtemp(prefix="sitepulse-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, below the folder the cluster shares.
 
@@ -38,5 +49,5 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="sitepulse-")
+        shared = _local_folder()
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitepulse.functions.temporal import within_days
+
 CLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -20,21 +25,27 @@ def load_readings(
 ) -> DataFrame:
     """Read readings from CSV with a header, or from Parquet.
 
-    CSV columns are matched by header name, in any order, and typed here, so no inference pass
-    runs over the data. A clock text that does not parse fails the query; ``lenient`` turns it
+    CSV columns are matched by the header names of their own file, in any order, and typed here, so no
+    inference pass runs over the data. Whole counts are read exactly: a fraction fails the query unless
+    ``vehicles_type`` is "double". A clock text that does not parse fails the query; ``lenient`` turns it
     into null. ``keep_file_order`` adds the bigint SourceOrder, rising with the line number inside
     a file, for inputs that have no ID to say which of two copies came first.
     """
     if fmt == "csv":
-        raw = spark.read.option("header", True).csv(path)
+        raw = _read_csv(spark, path)
     elif fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}: use csv or parquet")
     clock = F.col("DateTime")
+    count = F.col("Vehicles")
+    if vehicles_type != "double":
+        # A column with gaps is often exported as 15.0 rather than 15; decimals keep long integers whole.
+        exact = count.cast("decimal(38,9)")
+        cut = F.raise_error(F.concat(F.lit("Vehicles is no whole count: "), count.cast("string")))
+        count = F.when(exact.isNull() | (exact == F.floor(exact)), exact).otherwise(cut.cast("decimal(38,9)"))
     typed = {
-        # Through double: a column with gaps is often exported as 15.0 rather than 15.
-        "Vehicles": F.col("Vehicles").cast("double").cast(vehicles_type),
+        "Vehicles": count.cast(vehicles_type),
         "Junction": F.col("Junction").cast("bigint"),
     }
     if dict(raw.dtypes)["DateTime"] == "string":
@@ -48,17 +59,45 @@ def load_readings(
     return readings.drop("ID") if drop_id else readings
 
 
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All files of a CSV folder as text columns by name.
+
+    Spark takes the header of one file for all. Where there are several, the first line of each is read
+    by a small job, and files with the same header are read together.
+    """
+    together = spark.read.option("header", True).csv(path)
+    files = together.inputFiles()
+    if len(files) < 2:
+        return together
+    with ThreadPool(min(16, len(files))) as pool:
+        headers = pool.map(lambda file: spark.read.text(file).first(), files)
+    groups: dict[str, list[str]] = {}
+    for file, header in zip(files, headers):
+        if header is not None:  # an empty file has none
+            groups.setdefault(header["value"], []).append(file)
+    if len(groups) < 2:
+        return together
+    tables = [spark.read.option("header", True).csv(group) for group in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def clock_range(readings: DataFrame) -> DataFrame:
     """First and last clock time of the readings, as one row."""
     return readings.agg(F.min("DateTime").alias("First"), F.max("DateTime").alias("Last"))
 
 
-def readings_from_events(events: DataFrame, sites: int | None = 8) -> DataFrame:
+def readings_from_events(
+    events: DataFrame, sites: int | None = 8, days: tuple[str, str] | None = None
+) -> DataFrame:
     """View an event log as readings: the hour of ``ts``, and ``floor(value)`` as the count.
 
     With ``sites`` the users are folded onto that many busy junctions with dense hourly series;
     with ``None`` every user is a junction of its own, so the number of junctions grows with the data.
+    ``days`` keeps the calendar days first..last; as whole days they hold for ``ts`` as for its hour, so
+    the range reaches the scan.
     """
+    if days:
+        events = events.where(within_days(F.col("ts"), *days))
     user = F.col("user_id")
     return events.select(
         F.col("event_id").alias("ID"),

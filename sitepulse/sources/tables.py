@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitepulse.functions.temporal import date_range
 from sitepulse.operators.recommend import joined_text
 from sitepulse.sources.readings import CLOCK_FORMAT
 
@@ -64,6 +65,17 @@ def write_readings(processed: DataFrame, path: str, mode: str = "overwrite") ->
     )
 
 
+def read_readings(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Read what ``write_readings`` wrote, all of it or the days first..last.
+
+    The range is put on the month folders as well, so that other months are never listed or read.
+    """
+    readings = spark.read.parquet(path).withColumn("ReadingMonth", F.col("ReadingMonth").cast("string"))
+    if first is not None and last is not None:
+        readings = date_range(readings.where(F.col("ReadingMonth").between(first[:7], last[:7])), first, last)
+    return readings.drop("ReadingMonth")
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Read a CSV table written by ``write_csv`` with its known schema."""
     return (
