@@ -632,7 +632,7 @@ def _forest_of(readings: DataFrame, **settings) -> tuple:
     return forecast.train_all(split, **settings), split
 
 
-def _forest(spark: SparkSession, folder: str) -> tuple:
+def fitted_forest(spark: SparkSession, folder: str) -> tuple:
     return _forest_of(_shaped(spark, folder))
 
 
@@ -668,7 +668,7 @@ def actual_vs_predicted(spark, folder):
 
 @query
 def rf_train(spark, folder):
-    model, split = _forest(spark, folder)
+    model, split = fitted_forest(spark, folder)
     return forecast.forecast_metrics(forecast.predict(model, split))
 
 
@@ -680,23 +680,23 @@ def rf_train_each(spark, folder):
 
 @query
 def feature_importance(spark, folder):
-    return forecast.feature_importance(*_forest(spark, folder))
+    return forecast.feature_importance(*fitted_forest(spark, folder))
 
 
 @query
 def actual_vs_predicted_rf(spark, folder):
-    model, split = _forest(spark, folder)
+    model, split = fitted_forest(spark, folder)
     return forecast.actual_vs_predicted(forecast.predict(model, split))
 
 
 @query
 def forecast_24h(spark, folder):
-    return forecast.forecast_24h(*_forest(spark, folder))
+    return forecast.forecast_24h(*fitted_forest(spark, folder))
 
 
 @query
 def forecast_summary(spark, folder):
-    return forecast.forecast_summary(forecast.forecast_24h(*_forest(spark, folder)))
+    return forecast.forecast_summary(forecast.forecast_24h(*fitted_forest(spark, folder)))
 
 
 # With a constant count per junction every forecast is exact, whatever the trees draw.

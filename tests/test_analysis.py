@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from sitepulse.plans import analysis
+from sitepulse.sources import readings as source
 from sitepulse.sources import tables
 from sitepulse.sources.readings import load_readings
 from tests.conftest import values
@@ -85,3 +86,21 @@ def test_pattern_tables(spark, raw):
     processed = analysis.prepare(load_readings(spark, raw), "sum")
     found = analysis.pattern_analysis(processed)
     assert found["hourly_trend"].count() == 6 * 24 and found["peak_hour"].count() == 6
+
+
+def test_readings_without_id_keep_the_first_of_the_file(spark, tmp_path):
+    path = tmp_path / "readings.csv"
+    lines = [f"2024-01-0{d} {h:02d}:00:00,{j},{j * 10 + h}" for d in (1, 6) for h in range(24) for j in (1, 2, 3)]
+    path.write_text("DateTime,Junction,Vehicles\n" + "\n".join(lines) + "\n2024-01-01 00:00:00,1,999\n2024-01-01 05:00:00,2,\n")
+    found = analysis.preprocess(spark, str(path))["timeseries"]
+    assert found.count() == 144 and found.where("Vehicles > 100 or Vehicles is null").count() == 0
+    results = analysis.complete_analysis(source.load_readings(spark, str(path), drop_id=True), n_clusters=2)
+    assert results["timeseries"].count() == 144 and results["rules"].count() > 0
+
+
+def test_one_scan_of_the_readings(spark, capsys):
+    from sitepulse.plans.catalog import QUERIES
+
+    for name in ("recommendations", "rules"):
+        QUERIES[name](spark, "/root/testdata/sf0.001").explain("formatted")
+        assert capsys.readouterr().out.count("events.parquet") <= 1

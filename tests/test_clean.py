@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sitepulse.functions.distribution import quantiles, quantiles_by_range, value_counts
 from sitepulse.operators import clean
 from tests.conftest import values
 
@@ -72,3 +73,31 @@ def test_outliers(readings):
     assert clean.outlier_count(frame).first()["Outliers"] == 1
     capped = {row["ID"]: row["Vehicles"] for row in clean.cap_outliers(frame).collect()}
     assert capped[10] == 32.5 and capped[3] == 13.0 and capped[11] is None
+
+
+def test_keep_first_keeps_whole_rows_without_an_id(readings):
+    frame = readings((None, 8, 1, 7), (None, 9, 1, 9), (None, 9, 1, 4), (5, 9, 2, 1), (None, 9, 2, 0))
+    assert values(clean.keep_first(frame), "Junction", "Vehicles") == [(1, 4), (1, 7), (2, 1)]
+    assert values(clean.keep_first(frame.drop("ID")), "Junction", "Vehicles") == [(1, 4), (1, 7), (2, 0)]
+
+
+def test_crowded_clock_with_one_distant_id(spark, readings):
+    rows = [(i, 8, 1, None if i % 3 else i) for i in range(1, 2000)] + [(10**12, 8, 1, None)]
+    filled = {r["ID"]: r["Vehicles"] for r in clean.fill_gaps(readings(*rows), rows_per_slice=100).collect()}
+    assert all(filled[i] == (i - i % 3 if i >= 3 else 3) for i in range(1, 2000)) and filled[10**12] == 1998
+
+
+def test_rows_without_gaps_are_not_sorted(readings):
+    frame = readings((1, 8, 1, 5), (2, 9, 1, None), (3, 10, 1, 7), (4, 10, None, None))
+    assert values(clean.fill_gaps(frame), "ID", "Vehicles") == [(1, 5), (2, 5), (3, 7), (4, None)]
+
+
+def test_ranged_quantiles_equal_counted_ones(spark):
+    rnd = random.Random(4)
+    frame = spark.createDataFrame([(round(rnd.gauss(0, 50), 3),) for _ in range(4000)], "Vehicles double")
+    counts = value_counts(frame)
+    probs = (0.0, 0.25, 0.333, 0.75, 1.0)
+    expected = quantiles(counts, probs=probs).first()["Quantiles"]
+    found = quantiles_by_range(counts, probs=probs, rows_at_end=50, ranges=8).first()["Quantiles"]
+    assert found == pytest.approx(expected, abs=1e-9)
+    assert quantiles_by_range(counts.where("false"), probs=probs).first()["Quantiles"] is None

@@ -32,6 +32,19 @@ def test_silhouette_equals_brute_force(spark, block_rows):
     assert found == pytest.approx(expected_silhouette(points, labels), abs=1e-12)
 
 
+def test_squared_silhouette_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    points, labels = rng.normal(size=(30, 2)), rng.integers(0, 3, 30)
+    gaps = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    scores = []
+    for i, own in enumerate(labels):
+        inner = gaps[i][labels == own].sum() / max((labels == own).sum() - 1, 1)
+        nearest = min(gaps[i][labels == c].mean() for c in set(labels) - {own})
+        scores.append((nearest - inner) / max(inner, nearest))
+    found = clusters.silhouette(table(spark, points, labels), COLUMNS, distance="squared").first()[0]
+    assert found == pytest.approx(float(np.mean(scores)), abs=1e-9)
+
+
 def test_davies_bouldin_equals_brute_force(spark):
     rng = np.random.default_rng(6)
     points, labels = rng.normal(size=(30, 2)), rng.integers(0, 4, 30)

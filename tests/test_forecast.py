@@ -130,12 +130,41 @@ def test_one_junction_forest(trained):
 
 def test_forest_per_junction(trained):
     _, split = trained
-    models = forecast.train_each(split, trees=5, depth=4)
+    models = forecast.train_each(split, [1, 2, 3], trees=5, depth=4)
     assert set(models) == {1, 2, 3}
     predicted = forecast.predict_each(models, split)
     assert predicted.count() == split.count()
-    with pytest.raises(ValueError):
-        forecast.train_each(split, most=2)
+    assert set(forecast.train_each(split, [2, 99], trees=1, depth=1)) == {2}
+
+
+def test_any_number_of_named_junctions(spark):
+    rows = [(j, h, j * 10 + h % 2, "train" if h < 8 else "test") for j in range(33) for h in range(10)]
+    split = spark.createDataFrame(rows, "Junction bigint, h int, Vehicles bigint, Side string").selectExpr(
+        "Junction", "Vehicles", "Side", "timestamp_ntz'2024-01-01' + make_dt_interval(0, h) DateTime",
+        "h Hour", "0 DayOfWeek", "0 IsWeekend", "Vehicles Traffic_Last_Hour", "Vehicles Traffic_Yesterday_Same_Hour",
+    )
+    assert len(forecast.train_each(split, range(33), trees=1, depth=1)) == 33
+
+
+def test_fit_does_not_follow_the_shuffle_setting(spark, trained):
+    _, split = trained
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for partitions in ("3", "5"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            model = forecast.train_all(split, trees=3, depth=4)
+            found.append(sorted(r["Predicted"] for r in forecast.predict(model, split).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert found[0] == found[1]
+
+
+def test_a_junction_without_training_rows_stays(spark):
+    rows = [(1, 5, "train"), (1, 7, "train"), (1, 9, "test"), (2, 3, "test")]
+    split = spark.createDataFrame(rows, "Junction bigint, Vehicles bigint, Side string")
+    found = {(r["Junction"], r["Vehicles"]): r["Site_Mean"] for r in forecast.add_site_mean(split).collect()}
+    assert found == {(1, 5): 6.0, (1, 7): 6.0, (1, 9): 6.0, (2, 3): 6.0}
 
 
 def test_rollout_equals_step_by_step(spark, trained):

@@ -29,6 +29,37 @@ def test_columns_match_by_name(spark, csv):
     assert (span["First"].hour, span["Last"].hour) == (0, 2)
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("DateTime,Junction,Vehicles,ID\n2024-01-01 00:00:00,2,30,1\n")
+    (tmp_path / "b.csv").write_text("DateTime,Vehicles,Junction,ID\n2024-01-01 01:00:00,40,3,2\n")
+    (tmp_path / "c.csv").write_text("Junction,DateTime,Vehicles\n4,2024-01-01 02:00:00,50\n")
+    found = source.load_readings(spark, str(tmp_path))
+    assert values(found.na.fill(0), "Junction", "Vehicles", "ID") == [(2, 30, 1), (3, 40, 2), (4, 50, 0)]
+
+
+def test_fractions_fail_unless_asked_for(spark, csv):
+    path = csv("DateTime,Junction,Vehicles\n2024-01-01 00:00:00,1,15.7\n2024-01-01 01:00:00,1,9007199254740993\n")
+    with pytest.raises(PySparkException, match="no whole count"):
+        source.load_readings(spark, path).collect()
+    assert values(source.load_readings(spark, path, vehicles_type="double"), "Vehicles")[0] == (15.7,)
+    path = csv("DateTime,Junction,Vehicles\n2024-01-01 01:00:00,1,9007199254740993\n")
+    assert source.load_readings(spark, path).first()["Vehicles"] == 9007199254740993
+
+
+def test_ranges_of_days_reach_the_scan(spark, readings, tmp_path, capsys):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    source.readings_from_events(events, days=("2024-01-08", "2024-01-14")).explain("formatted")
+    pushed = [x for x in capsys.readouterr().out.splitlines() if "PushedFilters" in x]
+    assert "GreaterThanOrEqual(ts" in pushed[0] and "LessThan(ts" in pushed[0]
+    path = str(tmp_path / "months")
+    tables.write_readings(readings((1, 0, 1, 5), (2, 24 * 40, 1, 7), (3, 24 * 70, 1, 9)), path)
+    february = tables.read_readings(spark, path, "2024-02-01", "2024-02-29")
+    february.explain("formatted")
+    filters = [x for x in capsys.readouterr().out.splitlines() if "PartitionFilters" in x]
+    assert "ReadingMonth" in filters[0]
+    assert values(february, "ID") == [(2,)] and tables.read_readings(spark, path).count() == 3
+
+
 def test_bad_clock(spark, csv):
     path = csv("DateTime,Junction,Vehicles\nyesterday,1,5\n")
     with pytest.raises(PySparkException):
