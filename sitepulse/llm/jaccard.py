@@ -19,16 +19,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import ROWS_PER_BATCH, WORD, components, lower_ascii, map_batches, stored
+from sitepulse.llm.common import ROWS_PER_BATCH, WORD, components, dropped, lower_ascii, map_batches, stored
 from sitepulse.llm.pieces import Memo
 
 #: Two sets link when 100 * intersection >= PERCENT * union. The bounds below are for this value.
 PERCENT = 90
 #: Slots of the count sketch and of the pieces in which it is summed.
-SLOT_BITS, PIECE_BITS = 20, 14
+SLOT_BITS, PIECE_BITS = 20, 16
+#: Bits of a bucket's number that its element shows.
+BUCKET_BITS = 7
+#: log2 of the bits of a filter of wanted numbers; a full one lets all pass and nothing goes missing.
+FILTER_BITS = 24
 #: Members of a slice of a group, whose tokens are united in one row.
 SLICE = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -45,12 +50,12 @@ def shingles(text: str | None, size: int = 3) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word shingles; of fewer words the whole sequence as one."""
     global _memo
     if _memo is None:
-        _memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")))
+        _memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 63))
     memo = _memo
     words = WORD.findall(lower_ascii(text or ""))
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.array([memo[w] for w in words], dtype=np.uint64)
+    h = np.array([memo[w] for w in words], dtype=np.int64).view(np.uint64)
     span = min(size, len(h))
     found = np.full(len(h) - span + 1, span, np.uint64)
     for j in range(span):
@@ -63,16 +68,25 @@ def digest(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def elements(tokens: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """The elements of a set in a size class, one per bucket, and whether the bucket holds anything."""
-    buckets = max(1, 1 << max(0, classes - 1))
-    at = (_mixed(tokens ^ _MIX) >> np.uint64(1)) % np.uint64(buckets)
-    order = np.argsort(at, kind="stable")  # tokens are sorted, so a bucket's are too
+def elements(tokens: np.ndarray, size_class: int, least: int) -> tuple[np.ndarray, int]:
+    """The elements of a set in a size class, one per bucket that holds something, and their number.
+
+    The lowest ``BUCKET_BITS`` bits of an element are those of its bucket's number.
+
+    Where they are fewer than ``least``, elements of empty buckets follow, which two sets may share as well.
+    """
+    buckets = max(1, 1 << max(0, size_class - 1))
+    at = ((_mixed(tokens ^ _MIX) >> np.uint64(1)) & np.uint64(buckets - 1)).astype(np.int64)
     own = np.zeros(buckets, np.uint64)
     # A sum of mixed tokens names what is in the bucket, whatever its order.
-    np.add.at(own, at[order].astype(np.int64), _mixed(tokens[order] * _MIX2 + np.uint64(classes)))
-    full = np.bincount(at.astype(np.int64), minlength=buckets) > 0
-    return _mixed(own * _MIX + np.arange(buckets, dtype=np.uint64) * np.uint64(64) + np.uint64(classes)), full
+    np.add.at(own, at, _mixed(tokens * _MIX2 + np.uint64(size_class)))
+    full = np.bincount(at, minlength=buckets) > 0
+    number = np.arange(buckets, dtype=np.uint64)
+    found = _mixed(own * _MIX + number * np.uint64(64) + np.uint64(size_class))
+    low = np.uint64((1 << BUCKET_BITS) - 1)
+    found = (found & ~low) | (number & low)
+    filled = int(full.sum())
+    return np.concatenate([found[full], found[~full][: max(0, least - filled)]]), filled
 
 
 def size_classes(size: int) -> list[int]:
@@ -86,13 +100,28 @@ def most_differing(size: int) -> int:
     return size // 9
 
 
+SCAN = (
+    "doc_id bigint, n_shingles bigint, set_key bigint, own array<bigint>, own_filled int, next array<bigint>, "
+    "next_filled int, piece int, counts binary"
+)
+
+
+def _slot(found: np.ndarray) -> np.ndarray:
+    return (found.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and name of every document's set; at the end of a task, its counts of elements in pieces."""
+    """Size, name and elements of every document's set; at the end of a task, its counts of elements in pieces."""
+    longs = pa.list_(pa.int64())
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
             ("n_shingles", pa.int64()),
             ("set_key", pa.int64()),
+            ("own", longs),
+            ("own_filled", pa.int32()),
+            ("next", longs),
+            ("next_filled", pa.int32()),
             ("piece", pa.int32()),
             ("counts", pa.binary()),
         ]
@@ -101,26 +130,33 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS_PER_BATCH):
             part = batch.slice(at, ROWS_PER_BATCH)
-            ids, texts = part.column(0), part.column(1).to_pylist()
-            sizes, keys = [], []
-            for text in texts:
+            out: list[list] = [[] for _ in range(6)]
+            for text in part.column(1).to_pylist():
                 tokens = shingles(text)
-                sizes.append(len(tokens))
-                keys.append(digest(tokens))
+                row: list = [len(tokens), digest(tokens)]
                 for c in size_classes(len(tokens)) if len(tokens) else ():
-                    own, full = elements(tokens, c)
-                    np.add.at(sketch, (own[full] >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
-            n = len(texts)
+                    found, filled = elements(tokens, c, most_differing(len(tokens)) + 1)
+                    np.add.at(sketch, _slot(found[:filled]), 1)
+                    row += [found.view(np.int64), filled]
+                row += [None] * (6 - len(row))
+                for values, value in zip(out, row):
+                    values.append(value)
+            n = part.num_rows
             yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                [
+                    part.column(0).cast(pa.int64()),
+                    *[pa.array(v, f.type) for v, f in zip(out, list(schema)[1:7])],
+                    pa.nulls(n, pa.int32()),
+                    pa.nulls(n, pa.binary()),
+                ],
                 schema=schema,
             )
-    pieces = [sketch[at : at + (1 << PIECE_BITS)].tobytes() for at in range(0, len(sketch), 1 << PIECE_BITS)]
-    n = len(pieces)
-    none = pa.nulls(n, pa.int64())
     if sketch.any():
+        pieces = [sketch[at : at + (1 << PIECE_BITS)].tobytes() for at in range(0, len(sketch), 1 << PIECE_BITS)]
+        n = len(pieces)
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(range(n), pa.int32()), pa.array(pieces, pa.binary())], schema=schema
+            [*[pa.nulls(n, f.type) for f in list(schema)[:7]], pa.array(range(n), pa.int32()), pa.array(pieces, pa.binary())],
+            schema=schema,
         )
 
 
@@ -163,16 +199,95 @@ def _common(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
+def _places(numbers: np.ndarray) -> np.ndarray:
+    return (_mixed(numbers.view(np.uint64) ^ _MIX) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    flags = np.zeros(1 << FILTER_BITS, bool)
+    for batch in batches:
+        flags[_places(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))] = True
+    bits = np.packbits(flags).reshape(16, -1)
+    used = np.flatnonzero(bits.any(axis=1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(used, pa.int32()), pa.array([bits[i].tobytes() for i in used], pa.binary())], names=["piece", "bits"]
+    )
+
+
+def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            values = np.frombuffer(bits, np.uint8)
+            total[piece] = total[piece] | values if piece in total else values
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+        names=["piece", "bits"],
+    )
+
+
+def _filter_of(wanted: DataFrame) -> Broadcast:
+    """Which numbers may be in the one column of ``wanted``: 2 MB, whatever their number.
+
+    It only saves shuffling rows that a join would drop; the join still follows.
+    """
+    schema = "piece int, bits binary"
+    marked = wanted.mapInArrow(_mark, schema).repartition(16, "piece").mapInArrow(_unite, schema)
+    bits = np.zeros((16, 1 << (FILTER_BITS - 7)), np.uint8)
+    for row in marked.collect():
+        bits[row["piece"]] |= np.frombuffer(row["bits"], np.uint8)
+    return wanted.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+
+def _may_be_in(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    at = _places(numbers)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
+def _only(table: DataFrame, column: str, bits: Broadcast) -> DataFrame:
+    """The rows of ``table`` whose number the filter lets pass."""
+    at = table.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield batch.filter(pa.array(_may_be_in(bits.value, numbers)))
+
+    return table.mapInArrow(run, table.schema)
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose elements don't rule a link out: few enough of either are missing in the other."""
+    columns = ("size", "size_class", "own", "next")
+    left, right = (
+        sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in ("a", "b")
+    )
+    most = F.floor((F.col("a_size") + F.col("b_size")) / 19)
+
+    def few(x: str, y: str) -> Column:
+        return F.greatest(F.size(x), F.size(y)) - _common(x, y) <= most
+
+    gap = F.col("b_size_class") - F.col("a_size_class")
+    near = F.when(gap == 0, few("a_own", "b_own")).when(gap == 1, few("a_next", "b_own")).when(gap == -1, few("a_own", "b_next"))
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) among pairs (a, a_key, b, b_key), by their whole sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("set_key").alias("a_key"), F.col("tokens").alias("a_tokens"))
-    right = sets.select(F.col("node").alias("b"), F.col("set_key").alias("b_key"), F.col("tokens").alias("b_tokens"))
-    return (
-        pairs.join(left, ["a", "a_key"])
-        .join(right, ["b", "b_key"])
+    """Links (a, b) among pairs (a, b), by their whole sets."""
+    pairs = stored(_near(pairs, sets), "jaccard-near")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    tokens = stored(_only(sets.select("node", "tokens"), "node", _filter_of(nodes)), "jaccard-tokens")
+    left, right = (tokens.select(F.col("node").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in ("a", "b"))
+    links = (
+        pairs.join(left, "a")
+        .join(right, "b")
         .where(_linked(_common("a_tokens", "b_tokens"), F.size("a_tokens"), F.size("b_tokens")))
         .select("a", "b")
+        .distinct()
     )
+    links = stored(links, "jaccard-links")
+    dropped(tokens)
+    return links
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
@@ -186,11 +301,9 @@ def join_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
-    scanned = stored(
-        rows.mapInArrow(_scan, "doc_id bigint, n_shingles bigint, set_key bigint, piece int, counts binary"), "jaccard-scan"
-    )
+    scanned = stored(rows.mapInArrow(_scan, SCAN), "jaccard-scan")
     levels = spark.sparkContext.broadcast(_levels(scanned))
-    sets_of = scanned.where("piece IS NULL").select("doc_id", "n_shingles", "set_key")
+    sets_of = stored(scanned.where("piece IS NULL").select("doc_id", "n_shingles", "set_key"), "jaccard-sizes")
     classes = stored(
         sets_of.where("n_shingles > 0")
         .groupBy("set_key", "n_shingles")
@@ -200,145 +313,104 @@ def join_documents(docs: DataFrame) -> DataFrame:
     )
 
     def prefixes(batch: dict) -> dict:
-        out: dict[str, list] = {k: [] for k in ("node", "set_key", "n_shingles", "elements", "places")}
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            tokens = shingles(text)
-            if not len(tokens):
-                continue
-            found, places = [], []
-            for c in size_classes(len(tokens)):
-                own, full = elements(tokens, c)
-                level = np.where(full, levels.value[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], 255)
-                order = np.lexsort((own, level))[: most_differing(len(tokens)) + 1]
-                found += own[order].view(np.int64).tolist()
-                places += range(len(order))
-            for name, value in zip(out, (doc_id, digest(tokens), len(tokens), found, places)):
-                out[name].append(value)
-        return out
-
-    first = (
+        """The first elements of every set in the order of levels."""
+        out: dict[str, list] = {"elements": [], "places": []}
+        for size, *parts in zip(*(batch[c] for c in ("n_shingles", "own", "own_filled", "next", "next_filled"))):
+            chosen, places = [], []
+            for found, filled in (parts[:2], parts[2:]):
+                if found:
+                    found = np.array(found, np.int64)
+                    level = levels.value[_slot(found)]
+                    level[filled:] = 255
+                    order = np.lexsort((found, level))[: most_differing(size) + 1]
+                    chosen += found[order].tolist()
+                    places += range(len(order))
+            out["elements"].append(chosen)
+            out["places"].append(places)
+        return {"node": batch["doc_id"], "set_key": batch["set_key"], "n_shingles": batch["n_shingles"]} | out
+
+    prefix = stored(
         map_batches(
-            rows.where("doc_id IS NOT NULL"),
+            scanned.where("piece IS NULL AND doc_id IS NOT NULL AND n_shingles > 0").drop("piece", "counts"),
             prefixes,
             "node bigint, set_key bigint, n_shingles bigint, elements array<bigint>, places array<int>",
         )
         .join(classes, ["node", "set_key", "n_shingles"], "left_semi")
-        .select("node", "set_key", F.col("n_shingles").alias("size"), F.explode(F.arrays_zip("elements", "places")).alias("e"))
-        .select("node", "set_key", "size", F.col("e.elements").alias("element"), F.col("e.places").alias("place"))
+        .select("node", F.col("n_shingles").cast("int").alias("size"), "elements", "places"),
+        "jaccard-prefix",
+    )
+    dropped(scanned)
+    common = stored(
+        prefix.select(F.explode("elements").alias("element")).groupBy("element").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("element"), "jaccard-common"
     )
-    first = stored(first, "jaccard-first")
+    known = _filter_of(common)
+
+    def cut(batch: dict) -> dict:
+        found = [np.array(e, np.int64) for e in batch["elements"]]
+        kept = [_may_be_in(known.value, e) for e in found]
+        return {
+            **{c: batch[c] for c in ("node", "size")},
+            "elements": [e[k] for e, k in zip(found, kept)],
+            "places": [np.array(p, np.int32)[k] for p, k in zip(batch["places"], kept)],
+        }
+
+    left = map_batches(prefix, cut, "node bigint, size int, elements array<bigint>, places array<int>")
+    shared = stored(_exploded(left).join(common, "element"), "jaccard-shared")
     heads = stored(
-        first.groupBy("element")
-        .agg(
-            F.min(F.struct("place", "node", "set_key", "size")).alias("head"),
-            F.max(F.struct("node", "set_key")).alias("_high"),
-            F.min(F.struct("node", "set_key")).alias("_low"),
-        )
-        .where("_low < _high")
-        .select("element", "head"),
-        "jaccard-heads",
+        shared.groupBy("element").agg(F.min(F.struct("place", "size", "node")).alias("head")), "jaccard-heads"
     )
-    shared = stored(first.join(heads, "element"), "jaccard-shared")
-    needed = shared.select("node", "set_key").distinct()
+    size, other = F.col("size"), F.col("head.size")
+    stars = stored(
+        shared.join(heads, "element")
+        .where(F.col("node") != F.col("head.node"))
+        .where(_close(size, other) & (19 * F.greatest("place", "head.place") <= size + other))
+        .select(F.col("node").alias("a"), F.col("head.node").alias("b"))
+        .distinct(),
+        "jaccard-stars",
+    )
+    # Whole sets of all that share an element, and their elements cut to 32 bits.
+    wanted = stored(shared.select(F.col("node").alias("doc_id")).distinct(), "jaccard-wanted")
 
     def whole(batch: dict) -> dict:
         found = [shingles(t) for t in batch["text"]]
+        classes = [size_classes(max(1, len(t))) for t in found]
+        prints = [[np.unique(elements(t, c, 0)[0].astype(np.uint32)).view(np.int32) for c in cs] for t, cs in zip(found, classes)]
         return {
             "node": batch["doc_id"],
-            "set_key": [digest(t) for t in found],
+            "size": [len(t) for t in found],
             "tokens": [t.view(np.int64) for t in found],
+            "size_class": [cs[0] for cs in classes],
+            "own": [p[0] for p in prints],
+            "next": [p[1] if len(p) > 1 else None for p in prints],
         }
 
     sets = stored(
         map_batches(
-            rows.join(needed.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"),
+            _only(rows.where("doc_id IS NOT NULL"), "doc_id", _filter_of(wanted))
+            .join(wanted, "doc_id")
+            .dropDuplicates(["doc_id", "text"]),
             whole,
-            "node bigint, set_key bigint, tokens array<bigint>",
-        )
-        .join(needed, ["node", "set_key"], "left_semi")
-        .dropDuplicates(["node", "set_key"]),
+            "node bigint, size int, tokens array<bigint>, size_class int, own array<int>, next array<int>",
+        ),
         "jaccard-sets",
     )
-    size, other = F.col("size"), F.col("head.size")
-    stars = (
-        shared.where((F.col("node") != F.col("head.node")) | (F.col("set_key") != F.col("head.set_key")))
-        .where(_close(size, other) & (19 * F.greatest("place", "head.place") <= size + other))
-        .select(
-            F.col("node").alias("a"),
-            F.col("set_key").alias("a_key"),
-            F.col("head.node").alias("b"),
-            F.col("head.set_key").alias("b_key"),
-        )
-        .distinct()
-    )
-    links = stored(_verify(stored(stars, "jaccard-stars"), sets), "jaccard-links")
+    links = _verify(stars, sets)
     groups = components(links, "jaccard-groups")
     placed = stored(
-        shared.drop("head")
-        .join(groups, "node", "left")
-        .withColumn("group", F.coalesce("component", "node"))
-        .drop("component"),
+        shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"),
         "jaccard-placed",
     )
     # Elements of more than one group, as a matrix of elements and groups.
     mixed = stored(
-        placed.groupBy("element").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("element"),
+        placed.groupBy("element")
+        .agg(F.min("group").alias("low"), F.max("group").alias("high"))
+        .where("low < high")
+        .select("element"),
         "jaccard-mixed",
     )
     if not mixed.isEmpty():
-        open_rows = stored(placed.join(mixed, "element"), "jaccard-open")
-        matrix = stored(
-            open_rows.groupBy("element", "group").agg(
-                F.min("size").alias("least"), F.max("size").alias("most"), F.min("place").alias("first")
-            ),
-            "jaccard-matrix",
-        )
-        reach = stored(
-            open_rows.alias("q")
-            .join(matrix.alias("g"), "element")
-            .where("q.group != g.group AND 10 * q.size >= 9 * g.least AND 10 * g.most >= 9 * q.size")
-            .where("19 * greatest(q.place, g.first) <= q.size + least(g.most, 10 * q.size / 9)")
-            .selectExpr("q.node", "q.set_key", "g.group")
-            .distinct(),
-            "jaccard-reach",
-        )
-        members = open_rows.select("node", "set_key", "group").distinct()
-        counts = members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
-        # A group is cut into slices of about SLICE members by a hash.
-        sliced = stored(
-            members.join(stored(counts, "jaccard-counts"), "group").withColumn(
-                "slice", F.pmod(F.xxhash64("node", "set_key"), F.col("slices")).cast("int")
-            ),
-            "jaccard-sliced",
-        )
-        unions = stored(
-            sliced.join(sets, ["node", "set_key"])
-            .groupBy("group", "slice")
-            .agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union_tokens")),
-            "jaccard-unions",
-        )
-        qualified = stored(
-            reach.join(sets, ["node", "set_key"])
-            .join(unions, "group")
-            .where(100 * _common("tokens", "union_tokens") >= PERCENT * F.size("tokens"))
-            .select("node", "set_key", "group", "slice"),
-            "jaccard-qualified",
-        )
-        if not qualified.isEmpty():
-            inside = open_rows.join(sliced.select("node", "set_key", "group", "slice"), ["node", "set_key", "group"])
-            pairs = (
-                open_rows.select("element", F.col("node").alias("a"), F.col("set_key").alias("a_key"), F.col("size").alias("a_size"))
-                .join(qualified.select(F.col("node").alias("a"), F.col("set_key").alias("a_key"), "group", "slice"), ["a", "a_key"])
-                .join(
-                    inside.select("element", "group", "slice", F.col("node").alias("b"), F.col("set_key").alias("b_key"), F.col("size").alias("b_size")),
-                    ["element", "group", "slice"],
-                )
-                .where(_close(F.col("a_size"), F.col("b_size")))
-                .select("a", "a_key", "b", "b_key")
-                .distinct()
-            )
-            more = stored(_verify(stored(pairs, "jaccard-pairs"), sets), "jaccard-more")
-            groups = components(links.union(more), "jaccard-components")
+        more = _open_groups(placed, mixed, prefix, sets)
+        groups = components(links.union(more), "jaccard-components")
     nodes = stored(
         classes.join(groups, "node", "left").select("set_key", "n_shingles", F.coalesce("component", "node").alias("low")),
         "jaccard-nodes",
@@ -346,3 +418,147 @@ def join_documents(docs: DataFrame) -> DataFrame:
     return sets_of.join(nodes, ["set_key", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
     )
+
+
+def _exploded(prefix: DataFrame) -> DataFrame:
+    return prefix.select("node", "size", F.explode(F.arrays_zip("elements", "places")).alias("e")).select(
+        "node", "size", F.col("e.elements").alias("element"), F.col("e.places").alias("place")
+    )
+
+
+def _masks(batch: dict) -> dict:
+    """For every first element the buckets of the rarer ones before it, as 128 bits."""
+    out: dict[str, list] = {**{k: batch[k] for k in ("node", "size", "elements", "places")}, "low": [], "high": []}
+    for found, places in zip(batch["elements"], batch["places"]):
+        masks, mask = [], 0
+        for element, place in zip(found, places):
+            if not place:
+                mask = 0
+            masks.append(mask)
+            mask |= 1 << (element & ((1 << BUCKET_BITS) - 1))
+        for name, shift in (("low", 0), ("high", 64)):
+            part = [(m >> shift) & (2**64 - 1) for m in masks]
+            out[name].append([p - 2**64 if p >> 63 else p for p in part])
+    return out
+
+
+def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different groups, from the rows (element, node, size, place, group).
+
+    Up to the first element that two sets share, the buckets of both sets' elements differ. So the
+    buckets before it, of both together, may be no more than the shingles that linked sets differ in.
+    """
+    nodes = placed.join(mixed, "element", "left_semi").select("node", "group").distinct()
+    arrays = prefix.join(stored(nodes, "jaccard-nodes-open"), "node")
+    groups = arrays.select("node", "group").distinct()
+    rows = stored(
+        map_batches(
+            arrays.drop("group"),
+            _masks,
+            "node bigint, size int, elements array<bigint>, places array<int>, low array<bigint>, high array<bigint>",
+        )
+        .select("node", "size", F.explode(F.arrays_zip("elements", "low", "high")).alias("e"))
+        .select("node", "size", F.col("e.elements").alias("element"), F.col("e.low").alias("low"), F.col("e.high").alias("high"))
+        .join(mixed, "element")
+        .join(groups, "node"),
+        "jaccard-open",
+    )
+    matrix = stored(
+        rows.groupBy("element", "group").agg(
+            F.min("size").alias("least"),
+            F.max("size").alias("most"),
+            F.min("node").alias("one"),
+            F.max("node").alias("other"),
+            F.bit_and("low").alias("low"),
+            F.bit_and("high").alias("high"),
+        ),
+        "jaccard-matrix",
+    )
+    # What a set might reach: sizes that fit, and few enough buckets that differ. Where one member of
+    # the group has the element, it is that one.
+    found = stored(
+        rows.alias("q")
+        .join(matrix.alias("g"), "element")
+        .where("q.group != g.group AND 10 * q.size >= 9 * g.least AND 10 * g.most >= 9 * q.size")
+        .where("19 * (bit_count(q.low | g.low) + bit_count(q.high | g.high)) <= q.size + least(g.most, 10 * q.size / 9)")
+        .selectExpr("q.node", "g.group", "CASE WHEN g.one = g.other THEN g.one END AS one")
+        .distinct(),
+        "jaccard-found",
+    )
+    direct = found.where("one IS NOT NULL").select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
+    more = _verify(stored(direct, "jaccard-direct"), sets)
+    reach = found.where("one IS NULL").select("node", "group")
+    if reach.isEmpty():
+        return more
+    # A group is cut into slices of about SLICE members by a hash.
+    members = stored(
+        rows.select("node", "group").distinct().join(reach.select("group").distinct(), "group", "left_semi"), "jaccard-members"
+    )
+    counts = members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    sliced = stored(
+        members.join(stored(counts, "jaccard-counts"), "group").withColumn(
+            "slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
+        ),
+        "jaccard-sliced",
+    )
+    # Only the sets of these groups and of what might reach them are moved.
+    nodes = reach.select("node").union(sliced.select("node")).distinct()
+    tokens = stored(_only(sets.select("node", "tokens"), "node", _filter_of(nodes)), "jaccard-tokens")
+    unions = stored(
+        sliced.join(tokens, "node")
+        .groupBy("group", "slice")
+        .agg(
+            F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union_tokens"),
+            F.min(F.size("tokens")).alias("least"),
+        ),
+        "jaccard-unions",
+    )
+    qualified = stored(
+        reach.join(tokens, "node")
+        .join(unions, "group")
+        .withColumn("common", _common("tokens", "union_tokens"))
+        # Linked sets share 9/10 of either and 9/19 of both sizes' sum.
+        .where(10 * F.col("common") >= 9 * F.size("tokens"))
+        .where(19 * F.col("common") >= 9 * (F.size("tokens") + F.greatest("least", F.ceil(0.9 * F.size("tokens")) - 1)))
+        .select("node", "group", "slice"),
+        "jaccard-qualified",
+    )
+    dropped(tokens)
+    left = rows.join(qualified, "node").select(
+        "element",
+        "slice",
+        qualified["group"],
+        *[F.col(c).alias(f"a_{c}") for c in ("size", "low", "high")],
+        F.col("node").alias("a"),
+    )
+    right = rows.join(sliced.select("node", "slice"), "node").select(
+        "element", "slice", "group", *[F.col(c).alias(f"b_{c}") for c in ("size", "low", "high")], F.col("node").alias("b")
+    )
+    pairs = (
+        left.join(right, ["element", "group", "slice"])
+        .where(_close(F.col("a_size"), F.col("b_size")))
+        .where("19 * (bit_count(a_low | b_low) + bit_count(a_high | b_high)) <= a_size + b_size")
+        .select("a", "b")
+        .distinct()
+    )
+    return more.union(_verify(stored(pairs, "jaccard-pairs"), sets))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that carry the smallest id of their component, one for each, with all columns.
+
+    Of rows that repeat an id the smallest in the order of the columns stays. Rows with a null id stay only
+    where no equal text has an id.
+    """
+    found = stored(join_documents(docs), "jaccard-found")
+    low = found.where("doc_id = component_id").select("doc_id").distinct()
+    others = [c for c in docs.columns if c != "doc_id"]
+    named = (
+        docs.join(low, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row")).select("doc_id", "_row.*")
+    )
+    if found.where("doc_id IS NULL AND component_id IS NULL").isEmpty():
+        return named.select(*docs.columns)
+    # Which of the rows without id have no equal text with one is told by their text.
+    texts = docs.where("doc_id IS NOT NULL").select("text").distinct()
+    unnamed = docs.where("doc_id IS NULL").join(texts, "text", "left_anti").dropDuplicates(["text"])
+    return named.select(*docs.columns).union(unnamed.select(*docs.columns))

@@ -112,6 +112,7 @@ def plain_repeats(rows, window=50):
 @pytest.mark.parametrize("salt", [1000, 2])
 def test_repeats_against_all_windows(documents, by_id, monkeypatch, salt):
     monkeypatch.setattr(substring, "ROWS_PER_SALT", salt)
+    monkeypatch.setattr(substring, "WINDOWS_PER_PART", salt * 5)
     rnd = random.Random(salt)
     passages = [[f"p{rnd.randrange(900)}" for _ in range(rnd.choice((49, 50, 51, 70, 130)))] for _ in range(6)]
     rows = []
@@ -208,7 +209,7 @@ def test_archive_deals_out_copies_and_reports_damage(spark, pages, tmp_path, mon
     folder = str(tmp_path / "archive")
     warc.write_archive(pages, folder)
     assert warc.parse_records(warc.read_archive(spark, folder)).count() == 8
-    broken = spark.read.parquet(f"{folder}/payloads").selectExpr("payload_key", "cast('no' as binary) payload", "copies")
+    broken = spark.read.parquet(f"{folder}/payloads").selectExpr("payload_key", "cast('no' as binary) packed", "copies")
     bad = str(tmp_path / "bad")
     spark.read.parquet(f"{folder}/headers").write.parquet(f"{bad}/headers")
     broken.write.parquet(f"{bad}/payloads")
