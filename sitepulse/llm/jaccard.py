@@ -14,7 +14,7 @@ reach it are opened.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from sitepulse.llm.pieces import Memo
 #: Two sets link when 100 * intersection >= PERCENT * union. The bounds below are for this value.
 PERCENT = 90
 #: Slots of the count sketch and of the pieces in which it is summed.
-SLOT_BITS, PIECE_BITS = 20, 16
+SLOT_BITS, PIECE_BITS = 22, 16
 #: Bits of a bucket's number that its element shows.
 BUCKET_BITS = 7
 #: log2 of the bits of a filter of wanted numbers; a full one lets all pass and nothing goes missing.
@@ -152,6 +152,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 schema=schema,
             )
     if sketch.any():
+        sketch = sketch.astype(np.int32)  # a task has fewer elements
         pieces = [sketch[at : at + (1 << PIECE_BITS)].tobytes() for at in range(0, len(sketch), 1 << PIECE_BITS)]
         n = len(pieces)
         yield pa.RecordBatch.from_arrays(
@@ -160,30 +161,40 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sum_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            values = np.frombuffer(counts, np.int64)
-            total[piece] = total[piece] + values if piece in total else values
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
-        names=["piece", "counts"],
-    )
+def _sum_pieces(kind: type, as_levels: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Add up pieces whose counts are of ``kind``, into 64-bit counts or their levels, four per doubling."""
+
+    def packed(counts: np.ndarray) -> bytes:
+        if as_levels:
+            return np.minimum(np.floor(4 * np.log2(counts + 1.0)), 254).astype(np.uint8).tobytes()
+        return counts.tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                values = np.frombuffer(counts, kind).astype(np.int64)
+                total[piece] = total[piece] + values if piece in total else values
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array([packed(v) for v in total.values()], pa.binary())],
+            names=["piece", "counts"],
+        )
+
+    return run
 
 
 def _levels(scanned: DataFrame) -> np.ndarray:
-    """Frequency level of every slot: four per doubling. 2^20 bytes, whatever the input."""
+    """Frequency level of every slot: four per doubling. 2^22 bytes, whatever the input."""
     pieces = scanned.where("piece IS NOT NULL").select("piece", "counts")
     n = 1 << (SLOT_BITS - PIECE_BITS)
     schema = "piece int, counts binary"
     salted = pieces.withColumn("salt", F.spark_partition_id() % 16)
-    once = salted.repartition(n, "piece", "salt").mapInArrow(_sum_pieces, schema)
-    sketch = np.zeros(1 << SLOT_BITS, np.int64)
-    for row in once.repartition(n, "piece").mapInArrow(_sum_pieces, schema).collect():
+    once = salted.repartition(n, "piece", "salt").mapInArrow(_sum_pieces(np.int32), schema)
+    levels = np.zeros(1 << SLOT_BITS, np.uint8)
+    for row in once.repartition(n, "piece").mapInArrow(_sum_pieces(np.int64, True), schema).collect():
         at = row["piece"] << PIECE_BITS
-        sketch[at : at + (1 << PIECE_BITS)] = np.frombuffer(row["counts"], np.int64)
-    return np.minimum(np.floor(4 * np.log2(sketch + 1.0)), 254).astype(np.uint8)
+        levels[at : at + (1 << PIECE_BITS)] = np.frombuffer(row["counts"], np.uint8)
+    return levels
 
 
 def _close(size: Column, other: Column) -> Column:
