@@ -25,6 +25,8 @@ WINDOW = 50
 MINIMISER = 8
 #: Super-k-mers of one minimiser that meet in a task; those of hotter ones are dealt out over salts.
 ROWS_PER_SALT = 1_000
+#: Windows of a hot minimiser that a task holds at once.
+WINDOWS_PER_PART = 100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
 
@@ -34,9 +36,9 @@ _memo: Memo | None = None
 def word_hashes(words: list[str]) -> np.ndarray:
     global _memo
     if _memo is None:
-        _memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")))
+        _memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 63))
     memo = _memo
-    return np.array([memo[w] for w in words], dtype=np.uint64)
+    return np.array([memo[w] for w in words], dtype=np.int64).view(np.uint64)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -90,7 +92,7 @@ def _cut(rows: dict) -> dict:
     return {k: v for k, v in rows.items() if k != "text"} | {"strings": strings}
 
 
-BUCKET = "hot boolean, window binary, low bigint, high bigint, doc_id bigint, text_hash bigint, starts array<int>"
+BUCKET = "hot boolean, minimiser bigint, window binary, salts int, low bigint, high bigint, doc_id bigint, text_hash bigint, starts array<int>"
 
 
 def _window_keys(string: str, count: int) -> list[str]:
@@ -98,17 +100,23 @@ def _window_keys(string: str, count: int) -> list[str]:
     return [" ".join(words[i : i + WINDOW]) for i in range(count)]
 
 
+def _window_digest(key: str) -> bytes:
+    return hashlib.sha256(key.encode("utf-8", "surrogatepass")).digest()[:16]
+
+
 def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort the windows of each minimiser; rows come sorted by minimiser and salt.
 
     Where a minimiser has one salt, the windows that also start in a smaller document come out per
     document; else the least and largest document of each window, to be brought together with other salts.
     """
-    names = ["hot", "window", "low", "high", "doc_id", "text_hash", "starts"]
+    names = ["hot", "minimiser", "window", "salts", "low", "high", "doc_id", "text_hash", "starts"]
     schema = pa.schema(
         [
             ("hot", pa.bool_()),
+            ("minimiser", pa.int64()),
             ("window", pa.binary()),
+            ("salts", pa.int32()),
             ("low", pa.int64()),
             ("high", pa.int64()),
             ("doc_id", pa.int64()),
@@ -118,7 +126,7 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     )
     out: dict[str, list] = {n: [] for n in names}
 
-    def finish(group: list[tuple], salts: int) -> None:
+    def finish(minimiser: int, group: list[tuple], salts: int) -> None:
         windows = []
         for doc_id, text_hash, first, count, string in group:
             windows += [(key, doc_id, text_hash, first + i) for i, key in enumerate(_window_keys(string, count))]
@@ -133,11 +141,12 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     marks.setdefault(windows[end][1:3], []).append(windows[end][3])
                 end += 1
             if salts > 1:
-                for n, v in zip(names, (True, hashlib.sha256(key.encode("utf-8", "surrogatepass")).digest()[:16], low, windows[end - 1][1], None, None, None)):
+                row = (True, minimiser, _window_digest(key), salts, low, windows[end - 1][1], None, None, None)
+                for n, v in zip(names, row):
                     out[n].append(v)
             at = end
         for (doc_id, text_hash), starts in marks.items():
-            for n, v in zip(names, (False, None, None, None, doc_id, text_hash, starts)):
+            for n, v in zip(names, (False, None, None, None, None, None, doc_id, text_hash, starts)):
                 out[n].append(v)
 
     def flush() -> pa.RecordBatch:
@@ -152,28 +161,37 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for row in zip(*(columns[c] for c in ("minimiser", "salt", "salts", "doc_id", "text_hash", "first", "count", "string"))):
             if row[:2] != key:
                 if group:
-                    finish(group, salts)
+                    finish(key[0], group, salts)
                 key, salts, group = row[:2], row[2], []
             group.append(row[3:])
         if len(out["hot"]) >= ROWS_PER_BATCH:
             yield flush()
     if group:
-        finish(group, salts)
+        finish(key[0], group, salts)
     yield flush()
 
 
-def _hot_windows(rows: dict) -> dict:
-    """A row per window of hot super-k-mers."""
-    out: dict[str, list] = {"window": [], "doc_id": [], "text_hash": [], "start": []}
-    for doc_id, text_hash, first, count, string in zip(
-        rows["doc_id"], rows["text_hash"], rows["first"], rows["count"], rows["string"]
-    ):
-        for i, key in enumerate(_window_keys(string, count)):
-            out["window"].append(hashlib.sha256(key.encode("utf-8", "surrogatepass")).digest()[:16])
-            out["doc_id"].append(doc_id)
-            out["text_hash"].append(text_hash)
-            out["start"].append(first + i)
-    return out
+def _match_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by minimiser, salt and part, windows with their least document before super-k-mers."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("starts", pa.list_(pa.int32()))])
+    current, least = None, {}
+    for batch in batches:
+        found: list[list] = [[], [], []]
+        columns = {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
+        rows = zip(*(columns[c] for c in ("minimiser", "salt", "part", "window", "low", "doc_id", "text_hash", "first", "string")))
+        for *key, window, low, doc_id, text_hash, first, string in rows:
+            if key != current:
+                current, least = key, {}
+            if window is not None:
+                least[window] = low
+            elif least:
+                count = string.count(" ") + 2 - WINDOW
+                keys = map(_window_digest, _window_keys(string, count))
+                starts = [first + i for i, k in enumerate(keys) if least.get(k, doc_id) < doc_id]
+                if starts:
+                    for values, value in zip(found, (doc_id, text_hash, starts)):
+                        values.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(found, schema)], schema=schema)
 
 
 def covered_words(n_words: int, starts: list[int], window: int = WINDOW) -> np.ndarray:
@@ -291,28 +309,39 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
         .mapInArrow(_sort_buckets, BUCKET),
         "repeats-buckets",
     )
-    # Windows of hot minimisers: the least document over all salts, then a look-up per window.
+    # Windows of hot minimisers: the least document over all salts goes to each of them. Should one
+    # minimiser have very many windows, they go in parts, and its super-k-mers to each part.
     least = stored(
         sorted_out.where("hot")
-        .groupBy("window")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .where("low < high")
-        .select("window", "low"),
+        .groupBy("minimiser", "window")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("salts").alias("salts"))
+        .where("low < high"),
         "repeats-least",
     )
-    hot = stored(
-        map_batches(
-            cut.where("salts > 1").drop("minimiser", "salts", "salt"),
-            _hot_windows,
-            "window binary, doc_id bigint, text_hash bigint, start int",
-        ),
-        "repeats-hot",
+    parts = stored(
+        least.groupBy("minimiser").agg(F.ceil(F.count(F.lit(1)) / WINDOWS_PER_PART).cast("int").alias("parts")), "repeats-parts"
+    )
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    strings = (
+        cut.where("salts > 1")
+        .join(parts, "minimiser")
+        .select("minimiser", "salt", every(F.col("parts")).alias("part"), "doc_id", "text_hash", "first", "string")
+    )
+    windows = (
+        least.join(parts, "minimiser")
+        .withColumn("part", F.pmod(F.xxhash64("window"), F.col("parts")).cast("int"))
+        .select("minimiser", every(F.col("salts")).alias("salt"), "part", "window", "low")
+    )
+    hot_marks = (
+        windows.unionByName(strings, allowMissingColumns=True)
+        .repartition(partitions, "minimiser", "salt", "part")
+        .sortWithinPartitions("minimiser", "salt", "part", F.col("window").asc_nulls_last())
+        .mapInArrow(_match_hot, "doc_id bigint, text_hash bigint, starts array<int>")
     )
-    hot_marks = hot.join(least, "window").where("doc_id > low").select("doc_id", "text_hash", F.array("start").alias("starts"))
     marks = (
         sorted_out.where("NOT hot")
         .select("doc_id", "text_hash", "starts")
-        .union(hot_marks)
+        .union(stored(hot_marks, "repeats-hot"))
         .groupBy("doc_id", "text_hash")
         .agg(F.flatten(F.collect_list("starts")).alias("starts"))
     )
