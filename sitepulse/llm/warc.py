@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitepulse.llm.common import map_batches
+
 #: Payloads below this size are always written as responses.
 LEAST_REVISIT_BYTES = 1000
 #: Copies of one payload that meet in a task when records are put together.
@@ -14,6 +18,23 @@ COPIES_PER_SALT = 500
 CRLF = "\r\n"
 
 
+def _pack(rows: dict) -> dict:
+    return {"payload_key": rows["payload_key"], "packed": [zlib.compress(p, 4) for p in rows["payload"]]}
+
+
+def _unpack(rows: dict) -> dict:
+    payloads = []
+    for key, packed in zip(rows["payload_key"], rows["packed"]):
+        try:
+            payload = zlib.decompress(packed)
+        except zlib.error:
+            payload = None
+        if payload is None or hashlib.sha256(payload).hexdigest() != key:
+            raise ValueError(f"stored payload is damaged: {key}")
+        payloads.append(payload)
+    return {"record_id": rows["record_id"], "header": rows["header"], "payload": payloads}
+
+
 def _line(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(CRLF))).otherwise("")
 
@@ -28,9 +49,8 @@ def write_archive(
 ) -> None:
     """Write one WARC record per row of ``pages`` below ``folder``.
 
-    ``payloads`` holds each payload once under its SHA-256, written from the row with the largest id
-    among equal ones. ``headers`` holds per record the exact header block, the key of its payload and
-    the number of its copies. SHA-256, SHA-1 and length of all copies of a key must agree, else the
+    ``payloads`` holds each payload once, compressed, under its SHA-256, with the number of its copies. ``headers``
+    holds per record the exact header block, the key of its payload and that number. SHA-256, SHA-1 and length of all copies of a key must agree, else the
     write fails; ``read_archive`` computes them again from the stored bytes.
 
     Of equal payloads of at least ``least_bytes`` bytes the one with the largest id is a response and
@@ -85,10 +105,12 @@ def write_archive(
         .write.parquet(os.path.join(folder, "headers"))
     )
     # Equal bodies are dropped before the shuffle; which of them is kept doesn't matter.
+    packed = map_batches(
+        rows.select(F.sha2("payload", 256).alias("payload_key"), "payload"), _pack, "payload_key string, packed binary"
+    )
     (
-        rows.select(F.sha2("payload", 256).alias("payload_key"), "payload")
-        .groupBy("payload_key")
-        .agg(F.first("payload").alias("payload"))
+        packed.groupBy("payload_key")
+        .agg(F.first("packed").alias("packed"), F.count(F.lit(1)).alias("copies"))
         .write.parquet(os.path.join(folder, "payloads"))
     )
 
@@ -102,23 +124,17 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """
     headers = spark.read.parquet(os.path.join(folder, "headers"))
     payloads = spark.read.parquet(os.path.join(folder, "payloads"))
-    copies = spark.read.parquet(os.path.join(folder, "groups")).select("payload_key", "copies")
 
     def salts(count: Column) -> Column:
         return F.greatest(F.lit(1), F.ceil(count / COPIES_PER_SALT)).cast("int")
 
-    sound = payloads.where(
-        F.when(F.sha2("payload", 256) == F.col("payload_key"), True).otherwise(
-            F.raise_error(F.concat(F.lit("stored payload is damaged: "), F.col("payload_key")))
-        )
-    )
-    dealt = (
-        sound.join(copies, "payload_key")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), salts(F.col("copies")) - 1)))
-        .drop("copies")
-    )
+    dealt = payloads.withColumn("salt", F.explode(F.sequence(F.lit(0), salts(F.col("copies")) - 1))).drop("copies")
     salted = headers.withColumn("salt", F.pmod(F.xxhash64("record_id"), salts(F.col("copies"))).cast("int"))
-    return salted.join(dealt, ["payload_key", "salt"]).select("record_id", "header", "payload")
+    return map_batches(
+        salted.join(dealt, ["payload_key", "salt"]).select("record_id", "header", "payload_key", "packed"),
+        _unpack,
+        "record_id bigint, header binary, payload binary",
+    )
 
 
 def parse_records(records: DataFrame) -> DataFrame:
