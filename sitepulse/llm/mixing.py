@@ -28,7 +28,7 @@ EDGES = {
 #: Words whose presence is a feature, and labelled documents they are chosen from.
 CUES, CUE_ROWS = 24, 4_000
 #: Gradient steps between two written tables of rates, and at most.
-STEPS_PER_TABLE, STEPS = 20, 120
+STEPS_PER_TABLE, STEPS = 8, 120
 
 
 def domain_column() -> Column:
