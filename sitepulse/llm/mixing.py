@@ -200,7 +200,8 @@ def mix_documents(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, tokens, domain (the likeliest), posteriors and rate.
 
-    ``targets`` maps each domain to its weight; labels of other domains are left out. A null or empty text
+    ``targets`` maps each domain to its weight; labels of other domains are left out, and so are domains
+    without a label, of which no text can be known to be. A null or empty text
     has no tokens and keeps rate 1; without labels the posteriors are equal. Rows with an id that repeats
     with another text count with their own; a null id is never labelled.
     """
@@ -209,6 +210,8 @@ def mix_documents(
         "cast(doc_id as bigint) doc_id", "xxhash64(cast(text as string)) text_hash", "cast(text as string) text"
     )
     domains = stored(labelled_domains(labels).where(F.col("domain").isin(names)), "mixing-domains")
+    labelled = {r["domain"] for r in domains.select("domain").distinct().collect()}
+    names = [n for n in names if n in labelled] or names
     cues = cue_words(texts.select("doc_id", "text"), domains, names)
     found = stored(features(texts, cues), "mixing-features")
     shares = stored(posteriors(found, domains, names, len(cues)), "mixing-shares")
