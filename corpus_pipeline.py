@@ -12,6 +12,8 @@ from sitepulse.llm.common import stored
 
 #: Documents are repeated to reach the target weights, never dropped, and so many times at most.
 MOST_COPIES = 4.0
+#: The share of all tokens by which a domain may miss its target.
+TOLERANCE = 0.005
 #: Toxic documents are gone by then, so only the other domains have a weight.
 CLEAN_TARGETS = {name: weight for name, weight in TARGETS.items() if name.endswith("_toxic0")}
 
@@ -40,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each stays at least once; the fitted rate, at most MOST_COPIES, says how often it is there.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    mixed = mixing.mix_documents(docs, labels, CLEAN_TARGETS, least=1.0, most=MOST_COPIES, upsample=True)
+    mixed = mixing.mix_documents(docs, labels, CLEAN_TARGETS, least=1.0, most=MOST_COPIES, upsample=True, tolerance=TOLERANCE)
     return mixing.repeat_documents(docs, mixed)
 
 

@@ -197,6 +197,7 @@ def mix_documents(
     least: float = 0.0,
     most: float = 16.0,
     upsample: bool = False,
+    tolerance: float = 1e-4,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, tokens, domain (the likeliest), posteriors and rate.
 
@@ -215,7 +216,7 @@ def mix_documents(
     cues = cue_words(texts.select("doc_id", "text"), domains, names)
     found = stored(features(texts, cues), "mixing-features")
     shares = stored(posteriors(found, domains, names, len(cues)), "mixing-shares")
-    rated = fit_rates(shares, [targets[n] for n in names], least, most, upsample)
+    rated = fit_rates(shares, [targets[n] for n in names], least, most, upsample, tolerance)
     likeliest = F.lit(names[0])
     best = F.col("p0")
     for i, name in enumerate(names[1:], 1):
