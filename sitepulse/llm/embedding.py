@@ -39,8 +39,8 @@ def rotation(size: int, seed: int = SEED) -> np.ndarray:
 
 
 def key_plan(rows: int, limit: float, recall: float = RECALL) -> tuple[int, int]:
-    """(bits, tables): bits grow with the logarithm of the rows, so that keys keep a few rows each."""
-    bits = min(24, max(4, round(math.log2(max(rows, 2))) - 5))
+    """(bits, tables): bits grow with the logarithm of the rows, so that keys keep some dozens of rows each."""
+    bits = min(24, max(4, round(math.log2(max(rows, 2))) - 8))
     agree = (1 - math.acos(limit) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log1p(-agree)))
 
