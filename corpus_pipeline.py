@@ -12,6 +12,8 @@ from sitepulse.llm.common import stored
 
 #: Documents are repeated to reach the target weights, never dropped, and so many times at most.
 MOST_COPIES = 4.0
+#: Near-duplicates share this percentage of their shingles of so many words.
+SHINGLE_WORDS, NEAR_PERCENT = 5, 80
 #: The share of all tokens by which a domain may miss its target.
 TOLERANCE = 0.005
 #: Toxic documents are gone by then, so only the other domains have a weight.
@@ -28,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of linked documents the one with the smallest id stays."""
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, words=SHINGLE_WORDS, percent=NEAR_PERCENT)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

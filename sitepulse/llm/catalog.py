@@ -42,7 +42,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.join_documents(_table(spark, folder, "documents"))
+    return jaccard.join_documents(_table(spark, folder, "documents"), words=3, percent=90)
 
 
 def op6_embedding(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Exact Jaccard join of word-shingle sets through a matrix of tokens and groups.
 
-Sets with Jaccard similarity of at least 0.9 differ in few shingles. A set is hashed into as many
+Sets with a high Jaccard similarity (0.9 unless said otherwise) differ in few shingles. A set is hashed into as many
 buckets as its size class has, and what falls into one bucket makes one element, so that sets that differ
 in d shingles differ in at most d elements. Elements are ordered from rare to frequent by a sketch of
 their counts; two linked sets then share one of their first d + 1 elements. That order is only a matter
@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from sitepulse.llm.common import ROWS_PER_BATCH, WORD, components, dropped, lower_ascii, map_batches, stored
 from sitepulse.llm.pieces import Memo
 
-#: Two sets link when 100 * intersection >= PERCENT * union. The bounds below are for this value.
-PERCENT = 90
+#: Words of a shingle; two sets link when 100 * intersection >= PERCENT * union. Values where none are given.
+WORDS, PERCENT = 3, 90
+#: A set of n shingles has over n / 4 buckets; below this percentage linked sets may differ in all of them.
+LEAST_PERCENT = 80
 #: Slots of the count sketch and of the pieces in which it is summed.
 SLOT_BITS, PIECE_BITS = 22, 16
 #: Bits of a bucket's number that its element shows.
@@ -46,7 +48,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingles(text: str | None, size: int = 3) -> np.ndarray:
+def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word shingles; of fewer words the whole sequence as one."""
     global _memo
     if _memo is None:
@@ -89,15 +91,18 @@ def elements(tokens: np.ndarray, size_class: int, least: int) -> tuple[np.ndarra
     return np.concatenate([found[full], found[~full][: max(0, least - filled)]]), filled
 
 
-def size_classes(size: int) -> list[int]:
+def size_classes(size: int, percent: int = PERCENT) -> list[int]:
     """The class of a set, and the next one where a linked set may be in it."""
     own = size.bit_length() - 1
-    return [own, own + 1] if 10 * size // 9 >= 1 << (own + 1) else [own]
+    return [own, own + 1] if 100 * size // percent >= 1 << (own + 1) else [own]
 
 
-def most_differing(size: int) -> int:
-    """Shingles that a set and a linked one may differ in: (|x| + |y|) / 19, with |y| <= 10 |x| / 9."""
-    return size // 9
+def most_differing(size: int, percent: int = PERCENT) -> int:
+    """Shingles that a set and a linked one may differ in.
+
+    With p percent these are (100 - p) / (100 + p) of |x| + |y|, and |y| <= 100 |x| / p.
+    """
+    return (100 - percent) * size // percent
 
 
 SCAN = (
@@ -110,55 +115,59 @@ def _slot(found: np.ndarray) -> np.ndarray:
     return (found.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Size, name and elements of every document's set; at the end of a task, its counts of elements in pieces."""
-    longs = pa.list_(pa.int64())
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("n_shingles", pa.int64()),
-            ("set_key", pa.int64()),
-            ("own", longs),
-            ("own_filled", pa.int32()),
-            ("next", longs),
-            ("next_filled", pa.int32()),
-            ("piece", pa.int32()),
-            ("counts", pa.binary()),
-        ]
-    )
-    sketch = np.zeros(1 << SLOT_BITS, np.int64)
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_PER_BATCH):
-            part = batch.slice(at, ROWS_PER_BATCH)
-            out: list[list] = [[] for _ in range(6)]
-            for text in part.column(1).to_pylist():
-                tokens = shingles(text)
-                row: list = [len(tokens), digest(tokens)]
-                for c in size_classes(len(tokens)) if len(tokens) else ():
-                    found, filled = elements(tokens, c, most_differing(len(tokens)) + 1)
-                    np.add.at(sketch, _slot(found[:filled]), 1)
-                    row += [found.view(np.int64), filled]
-                row += [None] * (6 - len(row))
-                for values, value in zip(out, row):
-                    values.append(value)
-            n = part.num_rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
+        schema = pa.schema(
+            [
+                ("doc_id", pa.int64()),
+                ("n_shingles", pa.int64()),
+                ("set_key", pa.int64()),
+                ("own", longs),
+                ("own_filled", pa.int32()),
+                ("next", longs),
+                ("next_filled", pa.int32()),
+                ("piece", pa.int32()),
+                ("counts", pa.binary()),
+            ]
+        )
+        sketch = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
+                part = batch.slice(at, ROWS_PER_BATCH)
+                out: list[list] = [[] for _ in range(6)]
+                for text in part.column(1).to_pylist():
+                    tokens = shingles(text, words)
+                    row: list = [len(tokens), digest(tokens)]
+                    for c in size_classes(len(tokens), percent) if len(tokens) else ():
+                        found, filled = elements(tokens, c, most_differing(len(tokens), percent) + 1)
+                        np.add.at(sketch, _slot(found[:filled]), 1)
+                        row += [found.view(np.int64), filled]
+                    row += [None] * (6 - len(row))
+                    for values, value in zip(out, row):
+                        values.append(value)
+                n = part.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).cast(pa.int64()),
+                        *[pa.array(v, f.type) for v, f in zip(out, list(schema)[1:7])],
+                        pa.nulls(n, pa.int32()),
+                        pa.nulls(n, pa.binary()),
+                    ],
+                    schema=schema,
+                )
+        if sketch.any():
+            sketch = sketch.astype(np.int32)  # a task has fewer elements
+            pieces = [sketch[at : at + (1 << PIECE_BITS)].tobytes() for at in range(0, len(sketch), 1 << PIECE_BITS)]
+            n = len(pieces)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0).cast(pa.int64()),
-                    *[pa.array(v, f.type) for v, f in zip(out, list(schema)[1:7])],
-                    pa.nulls(n, pa.int32()),
-                    pa.nulls(n, pa.binary()),
-                ],
+                [*[pa.nulls(n, f.type) for f in list(schema)[:7]], pa.array(range(n), pa.int32()), pa.array(pieces, pa.binary())],
                 schema=schema,
             )
-    if sketch.any():
-        sketch = sketch.astype(np.int32)  # a task has fewer elements
-        pieces = [sketch[at : at + (1 << PIECE_BITS)].tobytes() for at in range(0, len(sketch), 1 << PIECE_BITS)]
-        n = len(pieces)
-        yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(n, f.type) for f in list(schema)[:7]], pa.array(range(n), pa.int32()), pa.array(pieces, pa.binary())],
-            schema=schema,
-        )
+
+    return run
 
 
 def _sum_pieces(kind: type, as_levels: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -197,13 +206,15 @@ def _levels(scanned: DataFrame) -> np.ndarray:
     return levels
 
 
-def _close(size: Column, other: Column) -> Column:
+def _close(size: Column, other: Column, percent: int) -> Column:
     """Sizes that linked sets may have."""
-    return (10 * size >= 9 * other) & (10 * other >= 9 * size)
+    size, other = size.cast("bigint"), other.cast("bigint")
+    return (100 * size >= percent * other) & (100 * other >= percent * size)
 
 
-def _linked(common: Column, size: Column, other: Column) -> Column:
-    return 100 * common >= PERCENT * (size + other - common)
+def _linked(common: Column, size: Column, other: Column, percent: int) -> Column:
+    common = common.cast("bigint")
+    return 100 * common >= percent * (size + other - common)
 
 
 def _common(a: str, b: str) -> Column:
@@ -267,13 +278,13 @@ def _only(table: DataFrame, column: str, bits: Broadcast) -> DataFrame:
     return table.mapInArrow(run, table.schema)
 
 
-def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose elements don't rule a link out: few enough of either are missing in the other."""
     columns = ("size", "size_class", "own", "next")
     left, right = (
         sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in ("a", "b")
     )
-    most = F.floor((F.col("a_size") + F.col("b_size")) / 19)
+    most = F.floor((100 - percent) * (F.col("a_size") + F.col("b_size")).cast("bigint") / (100 + percent))
 
     def few(x: str, y: str) -> Column:
         return F.greatest(F.size(x), F.size(y)) - _common(x, y) <= most
@@ -283,16 +294,16 @@ def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) among pairs (a, b), by their whole sets."""
-    pairs = stored(_near(pairs, sets), "jaccard-near")
+    pairs = stored(_near(pairs, sets, percent), "jaccard-near")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     tokens = stored(_only(sets.select("node", "tokens"), "node", _filter_of(nodes)), "jaccard-tokens")
     left, right = (tokens.select(F.col("node").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in ("a", "b"))
     links = (
         pairs.join(left, "a")
         .join(right, "b")
-        .where(_linked(_common("a_tokens", "b_tokens"), F.size("a_tokens"), F.size("b_tokens")))
+        .where(_linked(_common("a_tokens", "b_tokens"), F.size("a_tokens"), F.size("b_tokens"), percent))
         .select("a", "b")
         .distinct()
     )
@@ -301,18 +312,22 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return links
 
 
-def join_documents(docs: DataFrame) -> DataFrame:
+def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
+    Sets are of shingles of ``words`` words and link from a similarity of ``percent`` / 100 on, at least 0.8.
+
     Rows with equal sets are one class, carried by its smallest id. component_id is the smallest id
     reachable over links; texts without a word have no shingles and are linked with nothing, so theirs is
     their own. Rows that repeat an id count as one document for reaching others; a row with a null id
     gets the component of its class's smallest id, and null where there is none.
     """
+    if words < 1 or not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"no join for {words} words and {percent} percent")
     spark = docs.sparkSession
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
-    scanned = stored(rows.mapInArrow(_scan, SCAN), "jaccard-scan")
+    scanned = stored(rows.mapInArrow(_scan(words, percent), SCAN), "jaccard-scan")
     levels = spark.sparkContext.broadcast(_levels(scanned))
     sets_of = stored(scanned.where("piece IS NULL").select("doc_id", "n_shingles", "set_key"), "jaccard-sizes")
     classes = stored(
@@ -333,7 +348,9 @@ def join_documents(docs: DataFrame) -> DataFrame:
                     found = np.array(found, np.int64)
                     level = levels.value[_slot(found)]
                     level[filled:] = 255
-                    order = np.lexsort((found, level))[: most_differing(size) + 1]
+                    # Those of empty buckets come last, by bucket, as they were cut off in that order.
+                    within = np.where(np.arange(len(found)) < filled, found, np.arange(len(found)))
+                    order = np.lexsort((within, level))[: most_differing(size, percent) + 1]
                     chosen += found[order].tolist()
                     places += range(len(order))
             out["elements"].append(chosen)
@@ -374,7 +391,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
     stars = stored(
         shared.join(heads, "element")
         .where(F.col("node") != F.col("head.node"))
-        .where(_close(size, other) & (19 * F.greatest("place", "head.place") <= size + other))
+        .where(_close(size, other, percent))
+        .where((100 + percent) * F.greatest("place", "head.place").cast("bigint") <= (100 - percent) * (size + other).cast("bigint"))
         .select(F.col("node").alias("a"), F.col("head.node").alias("b"))
         .distinct(),
         "jaccard-stars",
@@ -383,8 +401,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
     wanted = stored(shared.select(F.col("node").alias("doc_id")).distinct(), "jaccard-wanted")
 
     def whole(batch: dict) -> dict:
-        found = [shingles(t) for t in batch["text"]]
-        classes = [size_classes(max(1, len(t))) for t in found]
+        found = [shingles(t, words) for t in batch["text"]]
+        classes = [size_classes(max(1, len(t)), percent) for t in found]
         prints = [[np.unique(elements(t, c, 0)[0].astype(np.uint32)).view(np.int32) for c in cs] for t, cs in zip(found, classes)]
         return {
             "node": batch["doc_id"],
@@ -405,7 +423,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
         ),
         "jaccard-sets",
     )
-    links = _verify(stars, sets)
+    links = _verify(stars, sets, percent)
     groups = components(links, "jaccard-groups")
     placed = stored(
         shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"),
@@ -420,7 +438,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
         "jaccard-mixed",
     )
     if not mixed.isEmpty():
-        more = _open_groups(placed, mixed, prefix, sets)
+        more = _open_groups(placed, mixed, prefix, sets, percent)
         groups = components(links.union(more), "jaccard-components")
     nodes = stored(
         classes.join(groups, "node", "left").select("set_key", "n_shingles", F.coalesce("component", "node").alias("low")),
@@ -453,7 +471,7 @@ def _masks(batch: dict) -> dict:
     return out
 
 
-def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: DataFrame) -> DataFrame:
+def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different groups, from the rows (element, node, size, place, group).
 
     Up to the first element that two sets share, the buckets of both sets' elements differ. So the
@@ -490,14 +508,17 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
     found = stored(
         rows.alias("q")
         .join(matrix.alias("g"), "element")
-        .where("q.group != g.group AND 10 * q.size >= 9 * g.least AND 10 * g.most >= 9 * q.size")
-        .where("19 * (bit_count(q.low | g.low) + bit_count(q.high | g.high)) <= q.size + least(g.most, 10 * q.size / 9)")
+        .where(f"q.group != g.group AND 100L * q.size >= {percent}L * g.least AND 100L * g.most >= {percent}L * q.size")
+        .where(
+            f"{100 + percent} * (bit_count(q.low | g.low) + bit_count(q.high | g.high))"
+            f" <= {100 - percent}L * (q.size + least(g.most, 100L * q.size / {percent}))"
+        )
         .selectExpr("q.node", "g.group", "CASE WHEN g.one = g.other THEN g.one END AS one")
         .distinct(),
         "jaccard-found",
     )
     direct = found.where("one IS NOT NULL").select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
-    more = _verify(stored(direct, "jaccard-direct"), sets)
+    more = _verify(stored(direct, "jaccard-direct"), sets, percent)
     reach = found.where("one IS NULL").select("node", "group")
     if reach.isEmpty():
         return more
@@ -528,9 +549,10 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         reach.join(tokens, "node")
         .join(unions, "group")
         .withColumn("common", _common("tokens", "union_tokens"))
-        # Linked sets share 9/10 of either and 9/19 of both sizes' sum.
-        .where(10 * F.col("common") >= 9 * F.size("tokens"))
-        .where(19 * F.col("common") >= 9 * (F.size("tokens") + F.greatest("least", F.ceil(0.9 * F.size("tokens")) - 1)))
+        # Linked sets share p/100 of either and p/(100 + p) of both sizes' sum.
+        .withColumns({"common": F.col("common").cast("bigint"), "size": F.size("tokens").cast("bigint")})
+        .where(100 * F.col("common") >= percent * F.col("size"))
+        .where((100 + percent) * F.col("common") >= percent * (F.col("size") + F.greatest("least", F.ceil(percent * F.col("size") / 100) - 1)))
         .select("node", "group", "slice"),
         "jaccard-qualified",
     )
@@ -547,21 +569,23 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
     )
     pairs = (
         left.join(right, ["element", "group", "slice"])
-        .where(_close(F.col("a_size"), F.col("b_size")))
-        .where("19 * (bit_count(a_low | b_low) + bit_count(a_high | b_high)) <= a_size + b_size")
+        .where(_close(F.col("a_size"), F.col("b_size"), percent))
+        .where(f"{100 + percent} * (bit_count(a_low | b_low) + bit_count(a_high | b_high)) <= {100 - percent}L * (a_size + b_size)")
         .select("a", "b")
         .distinct()
     )
-    return more.union(_verify(stored(pairs, "jaccard-pairs"), sets))
+    return more.union(_verify(stored(pairs, "jaccard-pairs"), sets, percent))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that carry the smallest id of their component, one for each, with all columns.
 
+    ``words`` and ``percent`` are those of ``join_documents``.
+
     Of rows that repeat an id the smallest in the order of the columns stays. Rows with a null id stay only
     where no equal text has an id.
     """
-    found = stored(join_documents(docs), "jaccard-found")
+    found = stored(join_documents(docs, words, percent), "jaccard-found")
     low = found.where("doc_id = component_id").select("doc_id").distinct()
     others = [c for c in docs.columns if c != "doc_id"]
     named = (

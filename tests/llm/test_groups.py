@@ -93,6 +93,43 @@ def test_jaccard_odd_rows(documents):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, "other text here"), (3, "A B C D"), (9, "")]
 
 
+def word_sets(rows, words):
+    out = {}
+    for i, text in rows:
+        found = WORD.findall((text or "").encode().lower().decode())
+        out[i] = {tuple(found[k : k + words]) for k in range(len(found) - words + 1)} or ({tuple(found)} if found else set())
+    return out
+
+
+def all_links(sets, percent):
+    pairs = itertools.combinations(sets, 2)
+    return [(a, b) for a, b in pairs if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+
+
+@pytest.mark.parametrize(("seed", "words", "percent"), [(11, 5, 80), (12, 4, 85)])
+def test_jaccard_join_with_other_shingles_against_all_pairs(documents, by_id, seed, words, percent):
+    rows = list(enumerate([*near_texts(seed, (9, 11, 19, 35, 67, 70, 131)), "a b c d", "a b c d", "a b c", None, ""]))
+    sets = word_sets(rows, words)
+    linked = all_links(sets, percent)
+    found = by_id(jaccard.join_documents(documents(*rows), words, percent))
+    assert {i: r["component_id"] for i, r in found.items()} == plain_components(sets, linked)
+    assert {i: r["n_shingles"] for i, r in found.items()} == {i: len(s) for i, s in sets.items()}
+    with pytest.raises(ValueError, match="percent"):
+        jaccard.join_documents(documents(*rows), words, 79)
+
+
+def test_pipeline_drops_near_copies_by_five_words(spark, documents):
+    fifty, hundred = [[f"{x}{i}" for i in range(n)] for x, n in (("a", 50), ("b", 100))]
+    rows = [(1, fifty), (2, [*fifty[:20], "new", *fifty[21:]]), (3, hundred), (4, [*hundred[:30], "new", *hundred[31:70], "new", *hundred[71:]])]
+    rows += [(5, [*fifty[:20], "new", "newer", *fifty[22:]])]  # 40 of 52, over 41 of 51 with 2
+    texts = [(i, " ".join(w)) for i, w in rows] + list(enumerate(near_texts(21, (12, 40, 90)), 10))
+    sets = word_sets(texts, 5)
+    expected = {i for i, low in plain_components(sets, all_links(sets, 80)).items() if i == low}
+    assert 2 not in expected and 4 not in expected
+    left = corpus_pipeline.drop_near_duplicates(spark, documents(*texts), "")
+    assert {r["doc_id"] for r in left.collect()} == expected
+
+
 def plain_repeats(rows, window=50):
     words = {i: WORD.findall(t or "") for i, t in rows}
     first = {}
