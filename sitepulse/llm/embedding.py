@@ -1,13 +1,14 @@
-"""Near-duplicate vectors by randomly rotated binary codes with confidence bounds.
+"""Near-duplicate vectors by randomly rotated binary codes with bounds, over all pairs of a label.
 
 A vector is normalized, padded, rotated by a random orthogonal matrix and kept as the signs of its
 coordinates, with the inner product between the vector and its code as correction factor. The product of
 another rotated vector with the code, divided by the factor, estimates their cosine without bias, and the
-factor gives the estimate's confidence bound. Only pairs whose bound reaches the limit are computed
-again in double precision, so no link is ever below it.
+factor gives the estimate's confidence bound. The angles between both vectors and the code also give a
+bound that holds without chance; only pairs for which it reaches the limit are computed again in double
+precision. So every link is found, and none is below the limit.
 
-Pairs are looked for among vectors of one label that share a key: some bits of a second rotation's
-signs. The number of tables follows from the share of pairs at the limit that must meet.
+Code and factor are stored with each vector. Vectors of one label meet in blocks, each block with every
+other one, so the work is quadratic in the size of a label.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from sitepulse.llm.common import components, stored
 CODE_BITS = 128
 #: Width of the confidence bound in standard errors of the estimate.
 DEVIATIONS = 4.0
-#: Least chance that two vectors exactly at the limit meet in some table.
-RECALL = 0.97
-#: Vectors of one key that meet in a task; larger keys go in pairs of blocks.
-BLOCK = 1_024
+#: Vectors of one label that meet in a task; larger labels go in pairs of blocks.
+BLOCK = 4_096
+#: Rows of a block that are held against another block at a time.
+STRIP = 512
+#: Slack of the bound for rounding.
+SLACK = 1e-9
 SEED = 20_240_229
 
 
@@ -38,13 +41,6 @@ def rotation(size: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def key_plan(rows: int, limit: float, recall: float = RECALL) -> tuple[int, int]:
-    """(bits, tables): bits grow with the logarithm of the rows, so that keys keep some dozens of rows each."""
-    bits = min(24, max(4, round(math.log2(max(rows, 2))) - 8))
-    agree = (1 - math.acos(limit) / math.pi) ** bits
-    return bits, max(1, math.ceil(math.log(1 - recall) / math.log1p(-agree)))
-
-
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
     x = np.asarray(vectors, np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -67,20 +63,30 @@ def estimate(turned: np.ndarray, code: np.ndarray, factor: np.ndarray) -> tuple[
     return found, bound
 
 
+def highest(turned: np.ndarray, code: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """The most that the cosine of every row of ``turned`` with every coded vector can be, by their angles to the code."""
+    found = np.clip(turned @ code.T, -1, 1)
+    kept = np.clip(factor, -1, 1)
+    return found * kept + np.sqrt((1 - found**2) * (1 - kept**2)) + SLACK
+
+
 def link_block(
-    left: np.ndarray, right: np.ndarray, limit: float, turn: np.ndarray, bounded: bool = True
+    left: np.ndarray, right: np.ndarray, limit: float, turn: np.ndarray, code: np.ndarray, factor: np.ndarray
 ) -> np.ndarray:
-    """Which pairs of unit rows have a cosine of at least ``limit``: codes first, then exact."""
-    turned, _, _ = codes_of(left, turn)
-    _, code, factor = codes_of(right, turn)
-    found, bound = estimate(turned, code, factor)
-    open_pairs = found + bound >= limit if bounded else np.ones(found.shape, bool)
-    a, b = np.nonzero(open_pairs)
-    linked = np.zeros(found.shape, bool)
-    for at in range(0, len(a), 100_000):
-        i, j = a[at : at + 100_000], b[at : at + 100_000]
-        linked[i, j] = (left[i] * right[j]).sum(axis=1) >= limit
-    return linked
+    """Pairs (row of left, row of right) of unit rows with a cosine of at least ``limit``.
+
+    ``code`` and ``factor`` are those of ``right``; they leave few pairs open, which are computed exactly.
+    """
+    links = []
+    for start in range(0, len(left), STRIP):
+        turned, _, _ = codes_of(left[start : start + STRIP], turn)
+        a, b = np.nonzero(highest(turned, code, factor) >= limit)
+        a += start
+        for at in range(0, len(a), 100_000):
+            i, j = a[at : at + 100_000], b[at : at + 100_000]
+            linked = (left[i] * right[j]).sum(axis=1) >= limit
+            links.append(np.stack([i[linked], j[linked]], axis=1))
+    return np.concatenate(links) if links else np.zeros((0, 2), np.int64)
 
 
 def _lowest_reachable(n: int, pairs: np.ndarray) -> np.ndarray:
@@ -101,7 +107,6 @@ def link_vectors(
     vec_id: str = "vec_id",
     embedding: str = "embedding",
     label: str = "label",
-    recall: float = RECALL,
 ) -> DataFrame:
     """One row per row of ``table``: vec_id, n_links, component_id, kept.
 
@@ -111,10 +116,9 @@ def link_vectors(
     their number. Rows with a null id take part as others do but give no component; a repeated id counts
     as often as it is there.
 
-    Classes with the same key meet in blocks: a key with more than ``BLOCK`` classes is cut into blocks,
-    and every pair of blocks is a task of its own. Such a task returns a row per vector, with its new
-    links counted (pairs that already met in an earlier table are left out) and one link to the lowest
-    class reachable in the block; pairs never become rows.
+    Classes of a label and length meet in blocks: where they are more than ``BLOCK`` they are cut into
+    blocks by a hash, and every pair of blocks is a task of its own. Such a task returns a row per vector,
+    with its links counted and one link to the lowest class reachable in the block; pairs never become rows.
     """
     value = F.col("v").cast("array<double>")
     sound = F.coalesce(
@@ -136,38 +140,32 @@ def link_vectors(
         .withColumn("class", F.xxhash64("label", "v")),
         "vector-classes",
     )
-    bits, tables = key_plan(classes.count(), limit, recall)
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turns: dict[int, np.ndarray] = {}
         for batch in batches:
-            found: list = [None] * len(batch)
+            out: list[list] = [[None] * len(batch) for _ in range(3)]
             sizes = batch["v"].map(len)
             for size in sizes.unique():
                 at = np.flatnonzero(sizes == size)
                 unit = unit_rows(np.stack(batch["v"].to_numpy()[at]))
-                planes = np.random.default_rng(SEED + 1).normal(size=(size, bits * tables))
-                sign = (unit @ planes >= 0).reshape(len(at), tables, bits)
-                for i, k in zip(at, sign @ (1 << np.arange(bits))):
-                    found[i] = k.astype(np.int32)
-            yield batch.assign(keys=found)
-
-    kinds = "label string, v array<double>, node bigint, copies bigint, class bigint"
-    keyed = stored(classes.mapInPandas(keys, f"{kinds}, keys array<int>"), "vector-keys")
-    spots = keyed.select("label", F.size("v").alias("size"), "class", F.posexplode("keys").alias("table_no", "key"))
-    busy = stored(
-        spots.groupBy("label", "size", "table_no", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        .drop("n"),
-        "vector-busy",
+                if size not in turns:
+                    turns[size] = rotation(max(CODE_BITS, size))
+                _, code, factor = codes_of(unit, turns[size])
+                for i, u, c, f in zip(at, unit, np.packbits(code > 0, axis=1), factor):
+                    out[0][i], out[1][i], out[2][i] = u.tobytes(), c.tobytes(), float(f)
+            yield batch.drop(columns="v").assign(size=sizes, unit=out[0], code=out[1], factor=out[2])
+
+    kinds = "label string, node bigint, copies bigint, class bigint, size int, unit binary, code binary, factor double"
+    coded = stored(classes.mapInPandas(encoded, kinds), "vector-codes")
+    spot = ["label", "size"]
+    blocks = stored(
+        coded.groupBy(*spot).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*spot, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
+        "vector-blocks",
     )
-    spot = ["label", "size", "table_no", "key"]
-    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     dealt = (
-        keyed.select("*", F.size("v").alias("size"), F.posexplode("keys").alias("table_no", "key"))
-        .join(busy, spot)
-        .withColumn("block", block)
+        coded.join(blocks, spot)
+        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
         # A block meets itself and every other one once: one copy of it for each.
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
@@ -177,27 +175,23 @@ def link_vectors(
     turns: dict[int, np.ndarray] = {}
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["block", "class"], kind="stable")
-        unit = unit_rows(np.stack(group["v"].to_numpy()))
-        size = max(CODE_BITS, unit.shape[1])
-        turn = turns.setdefault(size, rotation(size))
-        mine = np.stack(group["keys"].to_numpy())
-        table_no = int(group["table_no"].iloc[0])
+        size = int(group["size"].iloc[0])
+        bits = max(CODE_BITS, size)
+        if bits not in turns:
+            turns[bits] = rotation(bits)
+        unit = np.frombuffer(b"".join(group["unit"]), np.float64).reshape(-1, size)
         low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
         own = group["block"].to_numpy() == low
         left = np.flatnonzero(own)
         right = left if low == high else np.flatnonzero(~own)
-        linked = link_block(unit[left], unit[right], limit, turn)
-        a, b = np.nonzero(linked)
-        a, b = left[a], right[b]
-        apart = a < b if low == high else np.ones(len(a), bool)
-        a, b = a[apart], b[apart]
-        if table_no:  # pairs that met before were counted there
-            new = np.ones(len(a), bool)
-            for at in range(0, len(a), 100_000):
-                part = slice(at, at + 100_000)
-                new[part] = (mine[a[part], :table_no] != mine[b[part], :table_no]).all(axis=1)
-            a, b = a[new], b[new]
+        packed = np.frombuffer(b"".join(group["code"].iloc[right]), np.uint8).reshape(-1, (bits + 7) // 8)
+        code = (np.unpackbits(packed, axis=1, count=bits) * 2.0 - 1) / math.sqrt(bits)
+        factor = group["factor"].to_numpy()[right]
+        pairs = link_block(unit[left], unit[right], limit, turns[bits], code, factor)
+        a, b = left[pairs[:, 0]], right[pairs[:, 1]]
+        if low == high:
+            # A pair met from both sides; sums of products don't hang on the order of factors.
+            a, b = a[a < b], b[a < b]
         copies = group["copies"].to_numpy()
         counts = np.bincount(a, copies[b], len(group)) + np.bincount(b, copies[a], len(group))
         reach = _lowest_reachable(len(group), np.stack([a, b], axis=1))
