@@ -7,6 +7,7 @@ Rates, one per document, are fitted so that the expected tokens of the domains m
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -29,6 +30,9 @@ EDGES = {
 CUES, CUE_ROWS = 24, 4_000
 #: Gradient steps between two written tables of rates, and at most.
 STEPS_PER_TABLE, STEPS = 8, 120
+#: Steps that change totals by no more than this share of the gap that is left lead no further.
+STILL = 1e-6
+log = logging.getLogger(__name__)
 
 
 def domain_column() -> Column:
@@ -142,7 +146,8 @@ def fit_rates(
     Least squares on the domain totals by projected gradients from rate 1, each taken a little ahead of the
     last rates. Totals are weighted by the inverse of their Gram matrix, which makes a full step safe and
     exact until a rate meets a bound; the steps end when all totals are within ``tolerance`` of the whole,
-    or when the bounds leave no way further. The whole is the number of tokens, or with ``upsample`` the
+    or when the bounds leave no way further: three steps in a row that change next to nothing of the gap that
+    is left. A gap beyond ``tolerance`` is then logged as a warning, and so is a whole that ``most`` cuts down. The whole is the number of tokens, or with ``upsample`` the
     smallest one in which no domain has to shrink. Every step is one aggregate of two rows of totals; rates
     are a chain of expressions that is written after every ``STEPS_PER_TABLE`` steps.
     """
@@ -162,15 +167,16 @@ def fit_rates(
     current = np.array([first[f"m{i}"] for i in range(k)]) / total
     whole = max(1.0, float(np.max(current / np.maximum(weights, 1e-6)))) if upsample else 1.0
     aim = weights * min(whole, most)
+    if whole > most:
+        log.warning("the targets need %.3g times the tokens, over the most copies of %.3g", whole, most)
     gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total**2
     inverse = np.linalg.inv(gram + np.eye(k) * max(np.trace(gram) * 1e-9, 1e-300))
     kept = [F.col(c) for c in shares.columns]
     now = now.withColumn("ahead", F.col("rate"))
     gap = gap_ahead = current - aim
-    since, still = 0, 0
-    for step in range(1, STEPS + 1):
-        if np.abs(gap).max() <= tolerance or still == 3:
-            break
+    since, still, step = 0, 0, 0
+    while np.abs(gap).max() > tolerance and still < 3 and step < STEPS:
+        step += 1
         pull = inverse @ gap_ahead
         change = F.lit(0.0)
         for i in range(k):
@@ -184,9 +190,11 @@ def fit_rates(
             *[F.sum(F.col(c) * tokens * p[i]).alias(f"{c}{i}") for c in ("rate", "ahead") for i in range(k)]
         ).first()
         moved, gap_ahead = (np.array([sums[f"{c}{i}"] for i in range(k)]) / total - aim for c in ("rate", "ahead"))
-        still = still + 1 if np.abs(moved - gap).max() < tolerance * 1e-2 else 0
+        still = still + 1 if np.abs(moved - gap).max() <= STILL * np.abs(moved).max() else 0
         since = 0 if moved @ inverse @ moved > gap @ inverse @ gap else since + 1
         gap = moved
+    if np.abs(gap).max() > tolerance:
+        log.warning("rates miss their targets by %s of the tokens after %d steps", [round(float(g), 6) for g in gap], step)
     return now.drop("ahead")
 
 

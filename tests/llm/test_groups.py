@@ -286,6 +286,29 @@ def test_rates_against_plain_projected_gradients(spark):
     assert (rate >= 0).all()
 
 
+def test_rates_go_on_while_small_steps_close_the_gap_and_tell_what_is_left(spark, caplog, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 7)  # the fixed step size ended this one after five
+    p = np.random.default_rng(0).dirichlet([0.5, 0.5], 1000)
+    rows = [(i, 10, *map(float, q)) for i, q in enumerate(p)] + [(1000, 1_000_000, 0.5, 0.5), (1001, 1_000_000, 0.52, 0.48)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, tokens bigint, p0 double, p1 double")
+    total = sum(r[1] for r in rows)
+    aim = [0.5 + 4_000 / total, 0.5 - 4_000 / total]
+    mixing.fit_rates(frame, aim, 1.0, 1.2, tolerance=5e-3)
+    assert "miss their targets" in caplog.text and "after 7 steps" in caplog.text
+    caplog.clear()
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    mixing.fit_rates(frame, [0.99, 0.01], 1.0, 4.0, upsample=True)
+    assert "most copies" in caplog.text and "miss their targets" in caplog.text
+
+
+def test_pipeline_mixes_to_the_tolerance_of_op9(spark, documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mixing, "fit_rates", lambda shares, *a: seen.append(a) or shares.selectExpr("*", "1.0D rate"))
+    corpus_pipeline.mix(spark, documents((1, "some words")), "/root/testdata/sf0.001")
+    mixing.mix_documents(documents((1, "some words")), spark.read.parquet("/root/testdata/sf0.001/labels.parquet"), TARGETS)
+    assert seen[0][-1] == seen[1][-1]
+
+
 def test_mixing_odd_rows(spark, documents):
     rows = [(1, None), (2, ""), (None, "some words here"), (4, "some words here"), (4, "some words here"), (5, "other words")]
     labels = spark.createDataFrame([(4, 1, 0), (4, 1, 0), (5, 0, 0), (None, 1, 1), (9, None, 1)], "doc_id bigint, quality int, toxic int")
