@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitepulse.llm import embedding, jaccard, license, mixing, pieces, quality, secrets, substring, toxicity, warc
+from sitepulse.llm import bpe, embedding, jaccard, license, mixing, pieces, quality, secrets, substring, toxicity, warc
 from sitepulse.session import scratch_folder
 
 #: Weights of the labelled domains in the mixed corpus.
@@ -67,6 +67,10 @@ def op10_substring(spark: SparkSession, folder: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, folder, "documents"))
 
 
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_documents(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_substring": op10_substring,
+    "op11_bpe": op11_bpe,
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
