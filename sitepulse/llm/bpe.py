@@ -1,8 +1,8 @@
 """Byte-level BPE over a table of distinct words, and decoding through a table of pieces.
 
-Texts are split into words chunk by chunk; the distinct words of all chunks make one table, in which
-each word is encoded once, and its ids meet the bytes of their pieces in a join. A chunk then gets back the ids and
-bytes of its own words and puts them in the places where the words stand.
+Texts are split into words chunk by chunk. The words of all chunks meet in one table of distinct words with the
+places where they stand; each word is encoded once, and its ids meet the bytes of their pieces in a join. A chunk then
+gets back ids and bytes by place and puts them where its words stand.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import heapq
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitepulse.llm.chunks import CHUNK_CHARS, by_frequency, map_chunks, pack, slices, unpack
-from sitepulse.llm.common import map_batches, stored
+from sitepulse.llm.common import stored_by
 
 #: Words of at most so many bytes are merged by plain search, longer ones with a heap.
 SHORT = 48
@@ -98,10 +99,9 @@ class ByteBpe:
         self.raw |= {t["id"]: t["content"].encode() for t in added}
         letter_of = {b: c for c, b in letters.items()}
         self.first = [vocabulary[letter_of[b]] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, merge in enumerate(model["merges"]):
-            left, right = merge if isinstance(merge, list) else merge.split(" ")
-            self.merges[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.ranks = {(vocabulary[left], vocabulary[right]): rank for rank, (left, right) in enumerate(merges)}
+        self.merged = [vocabulary[left + right] for left, right in merges]
         self.added = {t["content"]: t["id"] for t in added} if special else {}
         longest = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if self.added else None
@@ -137,37 +137,36 @@ class ByteBpe:
         return self._merge_short(ids) if len(ids) <= SHORT else self._merge_long(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        while len(ids) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:])):
-                found = merges.get(pair)
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
+        rank_of, never = self.ranks.get, len(self.merged)
+        ranks = [rank_of(pair, never) for pair in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < never:
+            at = ranks.index(best)
+            ids[at : at + 2] = [self.merged[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((ids[at - 1], ids[at]), never)
+            if at < len(ranks):
+                ranks[at] = rank_of((ids[at], ids[at + 1]), never)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """As above by a heap of pairs and links between neighbours, so a text without any space is no trouble."""
-        merges, size = self.merges, len(ids)
+        ranks, size = self.ranks, len(ids)
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        heap = [(*merges[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in merges]
-        heap = [(rank, i, new, left, right) for rank, new, i, left, right in heap]
+        heap = [(ranks[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]
         heapq.heapify(heap)
         while heap:
-            _, i, new, left, right = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j >= size or ids[j] != right:
                 continue  # one of the two has been joined otherwise
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = self.merged[rank], -1
             after[i] = k = after[j]
             if k < size:
                 before[k] = i
             for a, b in ((before[i], i), (i, k)):
-                if a >= 0 and b < size and (found := merges.get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (found[0], a, found[1], ids[a], ids[b]))
+                if a >= 0 and b < size and (pair := (ids[a], ids[b])) in ranks:
+                    heapq.heappush(heap, (ranks[pair], a, *pair))
         return [i for i in ids if i >= 0]
 
 
@@ -196,40 +195,94 @@ def decode_ids(tokens: DataFrame, key: str, path: str | None = None, ids: str =
     return joined.agg(F.unhex(hexed).alias("decoded"))
 
 
-def split_documents(
-    docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """A row per chunk: ids of its documents, their numbers of words, packed places of the words, distinct words."""
-
-    def work(ids: list, texts: list[np.ndarray], words: list[str]) -> dict:
-        places, order = by_frequency(np.concatenate(texts), len(words))
-        return {
-            "doc_ids": ids,
-            "sizes": [len(t) for t in texts],
-            "places": pack(places),
-            "words": [words[i] for i in order.tolist()],
-        }
-
-    schema = "doc_ids array<bigint>, sizes array<bigint>, places binary, words array<string>"
-    chunks = map_chunks(
-        docs, lambda: byte_bpe(path).split, work, schema, doc_id=doc_id, text=text, chunk_chars=chunk_chars
-    )
-    return stored(chunks, "bpe-chunks")
+class WordChunks:
+    """Chunks of words: ids of the documents, their numbers of words, packed places of the words, distinct words."""
 
+    SCHEMA = "doc_ids array<bigint>, sizes array<bigint>, places binary, words array<string>"
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, word_id, ids, decoded) of a table of distinct words; each is encoded and decoded once.
+    def __init__(self, path: str):
+        self.cut = byte_bpe(path).split
 
-    Words may be very long, so the rows of their pieces carry a number in place of the word.
-    """
+    def row(self, ids: list, texts: list[np.ndarray], strings: list[str]) -> dict:
+        places, order = by_frequency(np.concatenate(texts), len(strings))
+        words = [strings[i] for i in order.tolist()]
+        return {"doc_ids": ids, "sizes": [len(t) for t in texts], "places": pack(places), "words": words}
+
+    def last(self) -> None:
+        return None
+
+
+#: Words are short, and their rows are many.
+WORDS_PER_BATCH = 4096
+#: Places of a word in one row of the table of words; a word with more of them takes several rows.
+ROW_PLACES = 4096
 
-    def work(rows: dict) -> dict:
-        model = byte_bpe(path)
-        return {"word": rows["word"], "ids": [model.encode_word(w) for w in rows["word"]]}
 
-    encoded = map_batches(words, work, "word string, ids array<int>")
-    numbered = stored(encoded.withColumn("word_id", F.monotonically_increasing_id()), "bpe-words")
-    return numbered.join(decode_ids(numbered, "word_id", path), "word_id")
+def word_table(words: DataFrame, path: str) -> DataFrame:
+    """The table of distinct words from rows (chunk, at, word): their ids and where they stand.
+
+    All rows of a word come together, so it is encoded once. A word has a row per chunk that has it, and
+    so a frequent one is no hot key of the size of the corpus.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = byte_bpe(path).encode_word
+        last, ids = None, []
+        for batch in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for word, chunk, at in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                fresh = word != last
+                if fresh:
+                    last, ids = word, encode(word)
+                if fresh or not out[0] or len(out[1][-1]) >= ROW_PLACES:
+                    for column, value in zip(out, (ids, [], [])):
+                        column.append(value)
+                out[1][-1].append(chunk)
+                out[2][-1].append(at)
+            types = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], ["ids", "chunks", "ats"])
+
+    together = words.select("word", "chunk", "at").repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(run, "ids array<int>, chunks array<bigint>, ats array<int>")
+
+
+def decode_words(table: DataFrame, path: str) -> DataFrame:
+    """(chunk, at, ids, decoded) of every place, the bytes of a word's ids from a join with the table of pieces.
+
+    Neither the unfolding of ids nor a broadcast join moves rows, so the pieces of a word arrive one after
+    the other and are put together as they come; that they do is checked.
+    """
+    pieces = F.broadcast(piece_table(table.sparkSession, path))
+    first = F.col("pos") == 0
+    unfolded = table.select(F.posexplode("ids").alias("pos", "id"), F.size("ids").alias("size"), "chunks", "ats").select(
+        "id", "pos", "size", *[F.when(first, F.col(c)).alias(c) for c in ("chunks", "ats")]
+    )
+    joined = unfolded.join(pieces, "id", "left").select("id", "pos", "size", "chunks", "ats", "piece")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, raw, chunks, ats, expected = [], [], [], [], 0
+        for batch in batches:
+            out: tuple[list, list, list, list] = ([], [], [], [])
+            for i, pos, size, own, places, piece in zip(*(batch.column(c).to_pylist() for c in range(6))):
+                if pos != expected:
+                    raise ValueError("the pieces of a word are out of order")
+                if pos == 0:
+                    ids, raw, chunks, ats = [], [], own, places
+                ids.append(i)
+                raw.append(piece or b"")
+                expected = pos + 1
+                if expected == size:
+                    expected = 0
+                    out[0].extend(chunks)
+                    out[1].extend(ats)
+                    out[2].extend([np.array(ids, "<u4").tobytes()] * len(chunks))
+                    out[3].extend([b"".join(raw)] * len(chunks))
+            types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(out, types)], ["chunk", "at", "ids", "decoded"]
+            )
+
+    return joined.mapInArrow(run, "chunk bigint, at int, ids binary, decoded binary")
 
 
 def encode_documents(
@@ -247,11 +300,11 @@ def encode_documents(
     a null id stays null; an empty table gives no rows. Strings of added tokens are encoded as these.
     """
     path = path or default_path()
-    chunks = split_documents(docs, path, chunk_chars, doc_id, text)
+    cut = map_chunks(docs, lambda: WordChunks(path), WordChunks.SCHEMA, doc_id, text, chunk_chars)
+    chunks = stored_by(cut, "bpe-chunks", "chunk")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", WORDS_PER_BATCH)
     words = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    # A word has one row per chunk that has it, so a frequent word is no hot key of the size of the corpus.
-    table = encode_words(words.select("word").distinct(), path)
-    back = words.join(table, "word").select("chunk", "at", "ids", "decoded")
+    back = decode_words(word_table(words, path), path)
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     kinds = docs.sparkSession.createDataFrame([], schema + (", ids array<bigint>, decoded string" if keep_ids else "")).schema
 
@@ -260,7 +313,7 @@ def encode_documents(
 
         arrow = to_arrow_schema(kinds)
         found = found.sort_by("at")
-        ids = [np.array(v, "<u4").tobytes() for v in found.column("ids").to_pylist()]
+        ids = found.column("ids").to_pylist()
         raw = found.column("decoded").to_pylist()
         out: dict[str, list] = {name: [] for name in arrow.names}
         for row in chunk.to_pylist():  # one

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitepulse.llm import bpe, embedding, jaccard, license, mixing, pieces, quality, secrets, substring, toxicity, warc
+from sitepulse.llm import alignment, bpe, embedding, jaccard, license, mixing, pieces, quality, secrets, substring, toxicity, warc
 from sitepulse.session import scratch_folder
 
 #: Weights of the labelled domains in the mixed corpus.
@@ -71,6 +71,10 @@ def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, folder, "documents"))
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_substring": op10_substring,
     "op11_bpe": op11_bpe,
+    "op12_alignment": op12_alignment,
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"

@@ -8,6 +8,7 @@ is a row for each chunk that has it, not one for each time it occurs, however fr
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from sitepulse.llm.common import ROWS_PER_BATCH
 
 #: Characters of the texts of a chunk, but for the last text.
-CHUNK_CHARS = 1 << 23
+CHUNK_CHARS = 1 << 24
 
 
 class Places(dict):
@@ -53,21 +54,31 @@ def by_frequency(places: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray
     return rank[places], order
 
 
+class ChunkWork(Protocol):
+    """What a task does with its chunks."""
+
+    def cut(self, text: str) -> list[str]:
+        """The strings of a text."""
+
+    def row(self, ids: list, texts: list[np.ndarray], strings: list[str]) -> dict:
+        """The columns of a chunk from its ids, the places of its texts and its distinct strings."""
+
+    def last(self) -> dict | None:
+        """The columns of a last row for the whole task, if there is one."""
+
+
 def map_chunks(
     docs: DataFrame,
-    prepare: Callable[[], Callable[[str], list[str]]],
-    work: Callable[[list, list[np.ndarray], list[str]], dict],
+    prepare: Callable[[], ChunkWork],
     schema: str,
-    finish: Callable[[], dict | None] | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     chunk_chars: int = CHUNK_CHARS,
 ) -> DataFrame:
-    """A row per chunk of ``docs``: its number ``chunk`` and what ``work`` makes of its ids, places and strings.
+    """A row per chunk of ``docs``: its number ``chunk`` and the columns that the work makes of it.
 
-    ``prepare`` runs in the task and gives the function that cuts a text into strings; a null text is an
-    empty one. ``finish`` may give a last row for the whole task. Numbers are those of the task and of
-    the chunk in it: write the table before using it twice, as ``common.stored`` does.
+    ``prepare`` runs in the task. A null text is an empty one. Numbers are those of the task and of the
+    chunk in it: write the table before using it twice, as ``common.stored_by`` does.
     """
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     kinds = docs.sparkSession.createDataFrame([], f"chunk bigint, {schema}").schema
@@ -77,7 +88,7 @@ def map_chunks(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(kinds)
-        cut = prepare()
+        work = prepare()
         number = TaskContext.get().partitionId() << 32
 
         def row(values: dict) -> pa.RecordBatch:
@@ -90,16 +101,16 @@ def map_chunks(
         for batch in batches:
             for key, value in zip(batch.column(0), batch.column(1)):
                 body = value.as_py() or ""
-                strings = cut(body)
+                strings = work.cut(body)
                 ids.append(key.as_py())
                 texts.append(np.fromiter(map(places.__getitem__, strings), np.uint32, len(strings)))
                 chars += len(body)
                 if chars >= chunk_chars:
-                    yield row(work(ids, texts, list(places)))
+                    yield row(work.row(ids, texts, list(places)))
                     ids, texts, places, chars = [], [], Places(), 0
         if ids:
-            yield row(work(ids, texts, list(places)))
-        if finish is not None and (last := finish()) is not None:
+            yield row(work.row(ids, texts, list(places)))
+        if (last := work.last()) is not None:
             yield row(last)
 
     return docs.selectExpr(f"cast(`{doc_id}` as bigint) doc_id", f"cast(`{text}` as string) text").mapInArrow(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -36,6 +37,19 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def stored_by(table: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``stored``, in as many buckets of ``key`` as a shuffle has partitions, so that a join by it doesn't move the rows.
+
+    The files are below the shared folder; the session's catalogue knows them under a name of their own.
+    """
+    spark = table.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entry = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    writer = table.write.bucketBy(buckets, key).sortBy(key)
+    writer.option("path", scratch_folder(spark, name)).format("parquet").saveAsTable(entry)
+    return spark.table(entry)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete tables made by ``stored`` that no later stage reads, so that they don't fill the shared disk."""
     for table in tables:

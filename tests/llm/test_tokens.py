@@ -1,13 +1,15 @@
-"""Byte-level BPE through the table of words."""
+"""Byte-level BPE through the table of words, and the alignment of two tokenizers."""
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+import sentencepiece
 from tokenizers import Tokenizer
 
-from sitepulse.llm import bpe, chunks
+from sitepulse.llm import alignment, bpe, chunks, pieces
 
 ODD = [(1, None), (2, ""), (3, " \n\t "), (None, "one two three"), (5, "a"), (5, "a"), (6, "word. " * 60_000), (7, "x" * 50_000)]
 STRANGE = "aZ é́ß1²½٣ \t\r\n  　'’sS,.!?#▁–日本語กำ🙂‍\U0001f1e9\U000105c0Ɤ\x1c\x00"
@@ -87,3 +89,92 @@ def test_decoding_any_ids(spark, library):
     found = {r["k"]: r["decoded"] for r in bpe.decode_ids(spark.createDataFrame(rows, "k int, ids array<int>"), "k").collect()}
     for key, ids in rows:
         assert bytes(found[key]).decode("utf-8", "replace") == library.decode(ids or [], skip_special_tokens=False)
+
+
+def plain_alignment(rows):
+    """The contract's words: byte offsets of the tokens of whole texts, overlaps, counts over all rows."""
+    a = Tokenizer.from_file(bpe.default_path())
+    a.encode_special_tokens = True
+    raw_a = bpe.byte_bpe(bpe.default_path()).raw
+    b = sentencepiece.SentencePieceProcessor(model_file=pieces.default_path())
+
+    def bytes_b(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    made = []
+    for key, text in rows:
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        body = (" " + text).encode() if text else b""
+        tokens_a, tokens_b = [raw_a[i] for i in ids_a], [bytes_b(i) for i in ids_b]
+        if b"".join(tokens_a) != body or b"".join(tokens_b) != body:
+            ids_a, ids_b, tokens_a, tokens_b = [], [], [], []
+        ends_a, ends_b = np.cumsum([0] + [len(t) for t in tokens_a]), np.cumsum([0] + [len(t) for t in tokens_b])
+        both = [x for x in ends_a[1:].tolist() if x in set(ends_b[1:].tolist())]
+        groups, start = [], 0
+        for end in both:
+            parts = [
+                ",".join(str(i) for i, s, e in zip(ids, ends, ends[1:]) if start <= s and e <= end)
+                for ids, ends in ((ids_a, ends_a), (ids_b, ends_b))
+            ]
+            groups.append("|".join(parts))
+            start = end
+        links = [
+            (i, j)
+            for i, s, e in zip(ids_a, ends_a, ends_a[1:])
+            for j, t, f in zip(ids_b, ends_b, ends_b[1:])
+            if s < f and t < e
+        ]
+        made.append((key, len(ids_a), len(ids_b), groups, links))
+    count = Counter(pair for *_, links in made for pair in set(links))
+    best = {}
+    for (i, _), n in count.items():
+        best[i] = max(best.get(i, 0), n)
+    return count, [
+        {
+            "doc_id": key,
+            "n_a": n_a,
+            "n_b": n_b,
+            "n_groups": len(groups),
+            "n_links": len(links),
+            "n_best": sum(count[p] == best[p[0]] for p in links),
+            "count_sum": sum(count[p] for p in links),
+            "groups_sha256": hashlib.sha256(";".join(groups).encode()).hexdigest() if n_a else "",
+        }
+        for key, n_a, n_b, groups, links in made
+    ]
+
+
+def sorted_rows(rows):
+    return sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["groups_sha256"]))
+
+
+@pytest.mark.parametrize("chunk_chars", [1, 120, chunks.CHUNK_CHARS])
+def test_alignment_equals_plain_overlaps(documents, chunk_chars):
+    texts = strange_texts(40, 50, 5) + [t.replace("▁", "") for t in strange_texts(60, 60, 6)]
+    texts += ["The quick brown fox. Straßenbahn, " * k for k in range(1, 6)] + ["aaaaaaa aaaaa\n\n\nx   y", "<|endoftext|> a </s>"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(500, "same text"), (500, "same text"), (None, "no id"), (501, None), (502, "")]
+    count, expected = plain_alignment([(i, t or "") for i, t in rows])
+    found = [r.asDict() for r in alignment.align_documents(documents(*rows), chunk_chars=chunk_chars).collect()]
+    assert sorted_rows(found) == sorted_rows(expected)
+    if chunk_chars == 120:
+        pairs = alignment.pair_counts(documents(*rows), chunk_chars=chunk_chars).collect()
+        assert {(r["id_a"], r["id_b"]): r["documents"] for r in pairs} == count
+
+
+def test_alignment_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect() if len(r["text"] or "") < 3_000]
+    short = docs.where("coalesce(length(text), 0) < 3000")
+    _, expected = plain_alignment(rows)
+    found = [r.asDict() for r in alignment.align_documents(short).collect()]
+    assert sorted_rows(found) == sorted_rows(expected)
+
+
+def test_alignment_of_odd_rows(documents):
+    found = alignment.align_documents(documents(*ODD)).collect()
+    assert len(found) == len(ODD)
+    assert all((r["n_links"], r["groups_sha256"]) == (0, "") for r in found if r["doc_id"] in (1, 2))
+    assert all(r["n_links"] for r in found if r["doc_id"] not in (1, 2))
+    assert alignment.align_documents(documents(*ODD).where("false")).count() == 0
