@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitepulse.llm import alignment, bpe, embedding, jaccard, license, mixing, pieces, quality, secrets, substring, toxicity, warc
+from sitepulse.llm import alignment, audit, bpe, embedding, jaccard, license, mixing, pieces, quality, secrets, substring, toxicity, warc
 from sitepulse.session import scratch_folder
 
 #: Weights of the labelled domains in the mixed corpus.
@@ -75,6 +75,10 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_documents(_table(spark, folder, "documents"))
 
 
+def op13_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit_filters(spark, f"{folder}/documents.parquet", _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring": op10_substring,
     "op11_bpe": op11_bpe,
     "op12_alignment": op12_alignment,
+    "op13_audit": op13_audit,
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -224,4 +229,52 @@ SQL: dict[str, str] = {
                sha256(coalesce(body, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op13_audit": rf"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), {_WORD}) AS w,
+                   min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+            FROM documents
+        ), l AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                   max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels GROUP BY doc_id
+        ), f AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+                   (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+                   || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+                   || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END)
+                   || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+                   || (CASE WHEN first_id < d.doc_id THEN 'E' ELSE '' END) AS fails
+            FROM d LEFT JOIN l USING (doc_id)
+        ), c AS (
+            SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL
+        ), letter AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+        ), orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM letter a, letter b, letter c, letter d, letter e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), steps AS (
+            SELECT filter_order, step, filter_order[step] AS x, filter_order[1:step - 1] AS earlier
+            FROM orders, (SELECT unnest(range(1, 6)) AS step)
+        ), judged AS (
+            SELECT part, filter_order, step, x, n, good, c.toxic, fails,
+                   contains(fails, x) AS failing, translate(fails, earlier, '') <> fails AS gone
+            FROM c, steps
+        ), report AS (
+            SELECT part, filter_order, step, x,
+                   coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0) AS kept,
+                   coalesce(sum(n) FILTER (NOT gone AND failing), 0) AS removed,
+                   coalesce(sum(n) FILTER (gone AND failing), 0) AS redundant,
+                   coalesce(sum(n) FILTER (fails = x), 0) AS unique_fails,
+                   coalesce(sum(n) FILTER (NOT gone AND failing AND good = 1), 0) AS good_lost,
+                   coalesce(sum(n) FILTER (NOT gone AND failing AND toxic = 1), 0) AS toxic_lost
+            FROM judged GROUP BY part, filter_order, step, x
+        )
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+               redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+               toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+        FROM report
+    """,
 }
