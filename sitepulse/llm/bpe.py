@@ -1,8 +1,9 @@
 """Byte-level BPE over a table of distinct words, and decoding through a table of pieces.
 
-Texts are split into words chunk by chunk. The words of all chunks meet in one table of distinct words with the
-places where they stand; each word is encoded once, and its ids meet the bytes of their pieces in a join. A chunk then
-gets back ids and bytes by place and puts them where its words stand.
+Texts are split into words chunk by chunk. The words of all chunks meet in a table of distinct words, dealt into
+buckets by their hash; each word is encoded once, and its ids meet the bytes of their pieces in a join. A chunk
+then gets back the ids of its words by position and puts them where the words stand. What moves are packed lists of
+words and ids, so each word costs a few bytes.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import heapq
 import json
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.chunks import CHUNK_CHARS, by_frequency, map_chunks, pack, slices, unpack
-from sitepulse.llm.common import stored_by
+from sitepulse.llm.chunks import CHUNK_CHARS, by_frequency, map_chunks, pack, pack_strings, slices, unpack, unpack_strings
+from sitepulse.llm.common import ROWS_PER_BATCH, stored_by
 
 #: Words of at most so many bytes are merged by plain search, longer ones with a heap.
 SHORT = 48
@@ -195,94 +197,150 @@ def decode_ids(tokens: DataFrame, key: str, path: str | None = None, ids: str =
     return joined.agg(F.unhex(hexed).alias("decoded"))
 
 
+#: Words are short, and their rows are many.
+WORDS_PER_BATCH = 4096
+#: Bytes of words of a bucket of the table of words, counted once per chunk that has the word.
+BUCKET_BYTES = 1 << 22
+_PACKED = "struct<count:bigint,length:bigint,sizes:binary,body:binary>"
+
+
 class WordChunks:
     """Chunks of words: ids of the documents, their numbers of words, packed places of the words, distinct words."""
 
-    SCHEMA = "doc_ids array<bigint>, sizes array<bigint>, places binary, words array<string>"
+    SCHEMA = f"doc_ids array<bigint>, sizes array<bigint>, places binary, words {_PACKED}"
 
     def __init__(self, path: str):
         self.cut = byte_bpe(path).split
 
     def row(self, ids: list, texts: list[np.ndarray], strings: list[str]) -> dict:
         places, order = by_frequency(np.concatenate(texts), len(strings))
-        words = [strings[i] for i in order.tolist()]
+        words = pack_strings([strings[i] for i in order.tolist()])
         return {"doc_ids": ids, "sizes": [len(t) for t in texts], "places": pack(places), "words": words}
 
     def last(self) -> None:
         return None
 
 
-#: Words are short, and their rows are many.
-WORDS_PER_BATCH = 4096
-#: Places of a word in one row of the table of words; a word with more of them takes several rows.
-ROW_PLACES = 4096
+def _buckets_of(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+
+
+def _deal(chunks: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, words): the words of a chunk that belong to a bucket, in the order of their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = unpack_strings(packed)
+                of = _buckets_of(words, buckets)
+                order = np.argsort(of, kind="stable")
+                cells = slices(order, np.bincount(of, minlength=buckets))
+                found = [(b, pack_strings([words[i].decode() for i in own])) for b, own in enumerate(cells) if len(own)]
+                for at in range(0, len(found), ROWS_PER_BATCH):
+                    part = found[at : at + ROWS_PER_BATCH]
+                    columns = [[b for b, _ in part], [chunk] * len(part), [w for _, w in part]]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, arrow)], schema=arrow)
+
+    arrow = pa.schema(
+        [
+            ("bucket", pa.int64()),
+            ("chunk", pa.int64()),
+            ("words", pa.struct([("count", pa.int64()), ("length", pa.int64()), ("sizes", pa.binary()), ("body", pa.binary())])),
+        ]
+    )
+    return chunks.select("chunk", "words").mapInArrow(run, f"bucket bigint, chunk bigint, words {_PACKED}")
 
 
-def word_table(words: DataFrame, path: str) -> DataFrame:
-    """The table of distinct words from rows (chunk, at, word): their ids and where they stand.
+def word_table(dealt: DataFrame, path: str) -> DataFrame:
+    """The table of distinct words, bucket by bucket: each word with its number and ids, and behind them the chunks.
 
-    All rows of a word come together, so it is encoded once. A word has a row per chunk that has it, and
-    so a frequent one is no hot key of the size of the corpus.
+    A row of a chunk names the words it has by their numbers. A word has one place per chunk that has it,
+    and so a frequent one is no hot key of the size of the corpus.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def table_of(rows: pa.Table) -> pa.Table:
         encode = byte_bpe(path).encode_word
-        last, ids = None, []
-        for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for word, chunk, at in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                fresh = word != last
-                if fresh:
-                    last, ids = word, encode(word)
-                if fresh or not out[0] or len(out[1][-1]) >= ROW_PLACES:
-                    for column, value in zip(out, (ids, [], [])):
-                        column.append(value)
-                out[1][-1].append(chunk)
-                out[2][-1].append(at)
-            types = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], ["ids", "chunks", "ats"])
-
-    together = words.select("word", "chunk", "at").repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(run, "ids array<int>, chunks array<bigint>, ats array<int>")
-
-
-def decode_words(table: DataFrame, path: str) -> DataFrame:
-    """(chunk, at, ids, decoded) of every place, the bytes of a word's ids from a join with the table of pieces.
-
-    Neither the unfolding of ids nor a broadcast join moves rows, so the pieces of a word arrive one after
-    the other and are put together as they come; that they do is checked.
+        number: dict[bytes, int] = {}
+        chunks = []
+        for row in rows.select(["chunk", "words"]).to_pylist():
+            words = unpack_strings(row["words"])
+            places = [number.setdefault(w, len(number)) for w in words]
+            chunks.append({"chunk": row["chunk"], "count": len(places), "members": pack(np.array(places))})
+        bucket = rows.column("bucket")[0].as_py()
+        words = [{"number": i, "word": w, "ids": encode(w.decode())} for w, i in number.items()]
+        return pa.Table.from_pylist([{"bucket": bucket, **row} for row in words + chunks], schema=arrow)
+
+    arrow = pa.schema(
+        [
+            ("bucket", pa.int64()),
+            ("number", pa.int32()),
+            ("word", pa.binary()),
+            ("ids", pa.list_(pa.int32())),
+            ("chunk", pa.int64()),
+            ("count", pa.int64()),
+            ("members", pa.binary()),
+        ]
+    )
+    schema = "bucket bigint, number int, word binary, ids array<int>, chunk bigint, count bigint, members binary"
+    return dealt.groupBy("bucket").applyInArrow(table_of, schema)
+
+
+_BACK = "chunk bigint, bucket bigint, count bigint, total bigint, sizes binary, ids binary, odd_at array<int>, odd array<binary>"
+
+
+def decode_table(table: DataFrame, path: str) -> DataFrame:
+    """What a chunk gets back from a bucket: ids of its words, and bytes of their pieces where these aren't the word.
+
+    The bytes come from a join of the ids with the table of pieces. Neither the unfolding of ids nor a broadcast join
+    moves rows, so the pieces of a word arrive one after the other, before the chunks; that they do is checked.
     """
     pieces = F.broadcast(piece_table(table.sparkSession, path))
-    first = F.col("pos") == 0
-    unfolded = table.select(F.posexplode("ids").alias("pos", "id"), F.size("ids").alias("size"), "chunks", "ats").select(
-        "id", "pos", "size", *[F.when(first, F.col(c)).alias(c) for c in ("chunks", "ats")]
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    unfolded = table.select("*", F.posexplode_outer("ids").alias("pos", "id"))
+    joined = unfolded.join(pieces, "id", "left").select(
+        "id", "pos", "piece", "bucket", "number", *[F.when(first, F.col(c)).alias(c) for c in ("word", "chunk", "count", "members")]
     )
-    joined = unfolded.join(pieces, "id", "left").select("id", "pos", "size", "chunks", "ats", "piece")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, raw, chunks, ats, expected = [], [], [], [], 0
+        ids: list[list[int]] = []
+        raw: list[list[bytes]] = []
+        words: list[bytes] = []
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for i, pos, size, own, places, piece in zip(*(batch.column(c).to_pylist() for c in range(6))):
-                if pos != expected:
-                    raise ValueError("the pieces of a word are out of order")
+            out = []
+            columns = (batch.column(c).to_pylist() for c in range(9))
+            for i, pos, piece, bucket, number, word, chunk, count, members in zip(*columns):
+                if chunk is not None:
+                    own = unpack(members, count).tolist()
+                    found = [ids[n] for n in own]
+                    flat = np.array([i for f in found for i in f], np.int64)
+                    decoded = [b"".join(raw[n]) for n in own]
+                    odd = [at for at, (n, d) in enumerate(zip(own, decoded)) if d != words[n]]
+                    sizes = pack(np.fromiter(map(len, found), np.int64, count))
+                    out.append((chunk, bucket, count, len(flat), sizes, pack(flat), odd, [decoded[at] for at in odd]))
+                    continue
                 if pos == 0:
-                    ids, raw, chunks, ats = [], [], own, places
-                ids.append(i)
-                raw.append(piece or b"")
-                expected = pos + 1
-                if expected == size:
-                    expected = 0
-                    out[0].extend(chunks)
-                    out[1].extend(ats)
-                    out[2].extend([np.array(ids, "<u4").tobytes()] * len(chunks))
-                    out[3].extend([b"".join(raw)] * len(chunks))
-            types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, types)], ["chunk", "at", "ids", "decoded"]
-            )
-
-    return joined.mapInArrow(run, "chunk bigint, at int, ids binary, decoded binary")
+                    if number == 0:
+                        ids, raw, words = [], [], []
+                    ids.append([])
+                    raw.append([])
+                    words.append(word)
+                if number != len(ids) - 1 or pos != len(ids[-1]):
+                    raise ValueError("the pieces of a word are out of order")
+                ids[-1].append(i)
+                raw[-1].append(piece or b"")
+            columns = list(zip(*out)) or [()] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, arrow)], schema=arrow)
+
+    arrow = pa.schema(
+        [
+            *[(c, pa.int64()) for c in ("chunk", "bucket", "count", "total")],
+            ("sizes", pa.binary()),
+            ("ids", pa.binary()),
+            ("odd_at", pa.list_(pa.int32())),
+            ("odd", pa.list_(pa.binary())),
+        ]
+    )
+    return joined.mapInArrow(run, _BACK)
 
 
 def encode_documents(
@@ -303,8 +361,8 @@ def encode_documents(
     cut = map_chunks(docs, lambda: WordChunks(path), WordChunks.SCHEMA, doc_id, text, chunk_chars)
     chunks = stored_by(cut, "bpe-chunks", "chunk")
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", WORDS_PER_BATCH)
-    words = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    back = decode_words(word_table(words, path), path)
+    buckets = max(1, (chunks.agg(F.sum("words.length")).first()[0] or 0) // BUCKET_BYTES)
+    back = decode_table(word_table(_deal(chunks, buckets), path), path)
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     kinds = docs.sparkSession.createDataFrame([], schema + (", ids array<bigint>, decoded string" if keep_ids else "")).schema
 
@@ -312,12 +370,21 @@ def encode_documents(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(kinds)
-        found = found.sort_by("at")
-        ids = found.column("ids").to_pylist()
-        raw = found.column("decoded").to_pylist()
+        back = found.sort_by("bucket").to_pylist()
         out: dict[str, list] = {name: [] for name in arrow.names}
         for row in chunk.to_pylist():  # one
             out["doc_id"] += row["doc_ids"]
+            words = unpack_strings(row["words"])
+            order = np.argsort(_buckets_of(words, buckets), kind="stable").tolist()
+            raw, ids, at = list(words), [b""] * len(words), 0
+            for cell in back:
+                own = order[at : at + cell["count"]]
+                at += cell["count"]
+                flat = unpack(cell["ids"], cell["total"]).astype("<u4")
+                for place, part in zip(own, slices(flat, unpack(cell["sizes"], cell["count"]))):
+                    ids[place] = part.tobytes()
+                for odd, decoded in zip(cell["odd_at"], cell["odd"]):
+                    raw[own[odd]] = decoded
             places = unpack(row["places"], sum(row["sizes"]))
             for own in slices(places, row["sizes"]):
                 at = own.tolist()
@@ -335,5 +402,5 @@ def encode_documents(
                     out["decoded"].append(decoded.decode("utf-8"))
         return pa.table([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    texts = chunks.select(F.col("chunk").alias("of"), "doc_ids", "sizes", "places")
+    texts = chunks.select(F.col("chunk").alias("of"), "doc_ids", "sizes", "places", "words")
     return texts.groupBy("of").cogroup(back.groupBy("chunk")).applyInArrow(assemble, kinds)

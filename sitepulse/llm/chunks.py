@@ -39,6 +39,22 @@ def unpack(data: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
+def pack_strings(strings: list[str]) -> dict:
+    """Strings as their sizes in bytes and their bytes, both compressed."""
+    raw = [s.encode("utf-8", "surrogatepass") for s in strings]
+    body = b"".join(raw)
+    sizes = np.fromiter(map(len, raw), np.uint32, len(raw))
+    packed = pa.compress(body, codec="zstd", asbytes=True)
+    return {"count": len(raw), "length": len(body), "sizes": pack(sizes), "body": packed}
+
+
+def unpack_strings(packed: dict) -> list[bytes]:
+    """The bytes of strings packed by ``pack_strings``."""
+    body = pa.decompress(packed["body"], packed["length"], codec="zstd", asbytes=True)
+    ends = np.cumsum(unpack(packed["sizes"], packed["count"])).tolist()
+    return [body[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def slices(numbers: np.ndarray, sizes: Iterable[int]) -> Iterator[np.ndarray]:
     at = 0
     for size in sizes:
