@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitepulse.functions.temporal import calendar_columns
+from sitepulse.operators import forests
 from sitepulse.operators.series import BLOCK, add_lags, number_rows
 
 LAST_HOUR = "Traffic_Last_Hour"
@@ -198,30 +199,21 @@ def last_day(split: DataFrame) -> DataFrame:
     )
 
 
-def forecast_24h(model: PipelineModel, split: DataFrame) -> DataFrame:
-    """Recursive forecast of the next 24 hours for every junction with at least 24 rows.
+def roll_out_state(split: DataFrame) -> DataFrame:
+    """``last_day`` with the calendar of the next 24 hours, by the true clock."""
+    steps = F.sequence(F.lit(1), F.lit(HORIZON))
 
-    Each step predicts from the previous step's prediction and from the count 24 rows before it.
-    Predictions below 0 become 0. Calendar features follow the true clock. The 24 model steps are
-    narrow columns on one row per junction, so they run in a single stage without a shuffle.
-    """
-    state = last_day(split)
-    previous: Column = F.element_at("Day", -1)
-    for step in range(1, HORIZON + 1):
-        clock = calendar_columns(F.col("LastTime") + F.make_dt_interval(hours=F.lit(step)))
-        staged = state.withColumns(
-            {
-                **{name: clock[name] for name in ("Hour", "DayOfWeek", "IsWeekend")},
-                LAST_HOUR: previous,
-                YESTERDAY: F.element_at("Day", step),
-            }
-        )
-        name = f"_p{step}"
-        guess = model.transform(staged).withColumn(name, F.greatest(F.col("Predicted"), F.lit(0.0)))
-        state = guess.drop("features", "Predicted", *FEATURES)
-        previous = F.col(name)
-    steps = F.array(*[F.col(f"_p{step}") for step in range(1, HORIZON + 1)])
-    return state.select("Junction", "LastTime", F.posexplode(steps).alias("at", "Predicted")).select(
+    def ahead(name: str) -> Column:
+        clock = lambda hours: F.col("LastTime") + F.make_dt_interval(hours=hours)
+        return F.transform(steps, lambda hours: calendar_columns(clock(hours))[name])
+
+    return last_day(split).withColumns(
+        {"Hours": ahead("Hour"), "Weekdays": ahead("DayOfWeek"), "Weekends": ahead("IsWeekend")}
+    )
+
+
+def _by_step(rolled: DataFrame) -> DataFrame:
+    return rolled.select("Junction", "LastTime", F.posexplode("Ahead").alias("at", "Predicted")).select(
         "Junction",
         (F.col("at") + 1).alias("Step"),
         (F.col("LastTime") + F.make_dt_interval(hours=F.col("at") + 1)).alias("DateTime"),
@@ -229,6 +221,41 @@ def forecast_24h(model: PipelineModel, split: DataFrame) -> DataFrame:
     )
 
 
+def forecast_24h(model: PipelineModel, split: DataFrame) -> DataFrame:
+    """Recursive forecast of the next 24 hours for every junction with at least 24 rows.
+
+    Each step predicts from the previous step's prediction and from the count 24 rows before it.
+    Predictions below 0 become 0. Calendar features follow the true clock. The trees are read once as arrays, and
+    a task takes many junctions through all steps, so the plan is one narrow stage.
+    """
+    rest = [c for c in model.stages[0].getInputCols() if c not in FEATURES]
+    state = roll_out_state(split)
+    return _by_step(forests.roll_all(forests.flat_forest(_forest(model), split.sparkSession), state, rest))
+
+
+def train_sites(split: DataFrame, features: Sequence[str] = tuple(FEATURES), **forest) -> DataFrame:
+    """A forest of its own for every junction, as rows of arrays: see ``forests.train_sites`` for the arguments."""
+    return forests.train_sites(split, list(features), **forest)
+
+
+def predict_sites(trained: DataFrame, split: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> DataFrame:
+    """Rows of the junctions that have a forest of their own, with Predicted from it."""
+    return forests.predict_sites(trained, split, list(features))
+
+
+def importance_sites(trained: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> DataFrame:
+    """Importance of each feature for each junction that has a forest of its own."""
+    return forests.site_importance(trained, list(features))
+
+
+def forecast_sites(trained: DataFrame, split: DataFrame) -> DataFrame:
+    """As ``forecast_24h``, each junction by its own forest; those without one are left out.
+
+    A forest may have been trained on the first of ``FEATURES`` only.
+    """
+    return _by_step(forests.roll_each(trained, roll_out_state(split)))
+
+
 def forecast_summary(forecast: DataFrame) -> DataFrame:
     """Mean and peak of the forecast per junction; the earliest step wins a tie."""
     best = F.max(F.struct("Predicted", (-F.col("Step")).alias("back"), "DateTime"))

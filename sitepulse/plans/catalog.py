@@ -672,10 +672,89 @@ def rf_train(spark, folder):
     return forecast.forecast_metrics(forecast.predict(model, split))
 
 
+def site_forests(spark: SparkSession, folder: str, sites: int | None = 8) -> tuple[DataFrame, DataFrame]:
+    """A forest for each junction and the rows it was made from."""
+    readings = _shaped(spark, folder) if sites else _processed(spark, folder, None)
+    split = _kept(forecast.training_matrix(readings))
+    return _kept(forecast.train_sites(split)), split
+
+
 @query
 def rf_train_each(spark, folder):
-    split = _kept(forecast.training_matrix(_shaped(spark, folder)))
-    return forecast.forecast_metrics(forecast.predict_each(forecast.train_each(split, range(1, 9)), split))
+    trained, split = site_forests(spark, folder)
+    return forecast.forecast_metrics(forecast.predict_sites(trained, split))
+
+
+@query
+def rf_train_sites(spark, folder):
+    """As above, with every user as a junction."""
+    trained, split = site_forests(spark, folder, None)
+    return forecast.forecast_metrics(forecast.predict_sites(trained, split))
+
+
+@query
+def forecast_24h_sites(spark, folder):
+    return forecast.forecast_sites(*site_forests(spark, folder, None))
+
+
+@query
+def feature_importance_sites(spark, folder):
+    trained, _ = site_forests(spark, folder, None)
+    return forecast.importance_sites(trained)
+
+
+@query
+def forest_stump_sites(spark, folder):
+    """The first split of each junction's forest when every tree has all rows, on the counts as they are."""
+    split = _kept(forecast.training_matrix(_processed(spark, folder, None)))
+    stumps = forecast.train_sites(split, trees=1, depth=1, seed=None)
+    at = F.col("Feature")[0]
+    feature = F.when(at >= 0, F.element_at(F.array(*[F.lit(f) for f in forecast.FEATURES]), at + 1))
+    return _rounded(
+        stumps.select(
+            "Junction",
+            feature.alias("Feature"),
+            F.when(at >= 0, F.col("Threshold")[0]).alias("Threshold"),
+            F.col("Mean")[0].alias("Mean"),
+            F.when(at >= 0, F.col("Mean")[1]).alias("Left_Mean"),
+            F.when(at >= 0, F.col("Mean")[2]).alias("Right_Mean"),
+        ),
+        "Mean",
+        "Left_Mean",
+        "Right_Mean",
+    )
+
+
+CALENDAR_FEATURES = forecast.FEATURES[:3]
+
+
+def _stepped(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Forests of two junctions whose count hangs on the hour, 24 levels in no order; every tree has all rows."""
+    level = F.col("Junction") * 100 + F.pmod(F.col("Hour") * 7, F.lit(24))
+    readings = _processed(spark, folder, 2).withColumn("Vehicles", level.cast("bigint"))
+    split = _kept(forecast.training_matrix(readings))
+    return _kept(forecast.train_sites(split, CALENDAR_FEATURES, seed=None)), split
+
+
+@query
+def rf_train_step(spark, folder):
+    trained, split = _stepped(spark, folder)
+    return forecast.forecast_metrics(forecast.predict_sites(trained, split, CALENDAR_FEATURES))
+
+
+@query
+def feature_importance_step(spark, folder):
+    return _rounded(forecast.importance_sites(_stepped(spark, folder)[0], CALENDAR_FEATURES), "Importance")
+
+
+@query
+def forecast_24h_step(spark, folder):
+    return forecast.forecast_sites(*_stepped(spark, folder))
+
+
+@query
+def forecast_summary_step(spark, folder):
+    return forecast.forecast_summary(forecast.forecast_sites(*_stepped(spark, folder)))
 
 
 @query
@@ -876,5 +955,12 @@ def run_pattern_analysis(spark, folder):
 
 @query
 def run_ml_engine(spark, folder):
+    """The whole profile and forecast analysis on the counts as they are, with its default forest."""
+    found = analysis.learn(_processed(spark, folder))
+    return found["forecast_summary"].join(found["forecast_metrics"].where("Side = 'test'"), "Junction")
+
+
+@query
+def run_ml_engine_level(spark, folder):
     found = analysis.learn(_level(spark, folder), forest=SMALL_FOREST)
     return found["forecast_summary"].join(found["forecast_metrics"].where("Side = 'test'"), "Junction")

@@ -653,6 +653,43 @@ _EXACT = """SELECT Junction, Side, count(*) AS Records, 0::DOUBLE AS MAE, CASE W
     FROM split GROUP BY Junction, Side"""
 _SUMMARY = f"""SELECT Junction, Junction * 100::DOUBLE AS Avg_Predicted, Junction * 100::DOUBLE AS Peak_Predicted,
     CAST(1 AS INTEGER) AS Peak_Step, t + INTERVAL 1 HOUR AS Peak_Time FROM {_LAST}"""
+# Two junctions whose count hangs on the hour: 24 levels in no order.
+STEP = SUMMED.replace(
+    "CAST(sum(Vehicles) AS BIGINT) AS Vehicles", "CAST(Junction * 100 + (hour(DateTime) * 7) % 24 AS BIGINT) AS Vehicles"
+)
+
+
+def _over_step(select: str) -> str:
+    return f"WITH {RAW.replace('user_id % 8 + 1', 'user_id % 2 + 1')}{STEP}{SPLIT} {select}"
+
+
+_STEPS = f"""SELECT Junction, CAST(s AS INTEGER) AS Step, t + to_hours(s) AS DateTime,
+    (Junction * 100 + (hour(t + to_hours(s)) * 7) % 24)::DOUBLE AS Predicted
+  FROM (SELECT *, unnest(range(1, 25)) AS s FROM {_LAST})"""
+
+# The split of a tree of depth 1 over all training rows, from its definition: the borders are half-way between values,
+# all of at most 32 of them, else where the cumulative count passes another 32nd part.
+STUMP = SPLIT + """,
+long AS (
+  SELECT Junction, Vehicles::DOUBLE AS y, unnest([0, 1, 2, 3, 4]) AS f,
+    unnest(["Hour", DayOfWeek, IsWeekend, Traffic_Last_Hour, Traffic_Yesterday_Same_Hour])::DOUBLE AS v
+  FROM split WHERE Side = 'train'),
+counted AS (SELECT Junction, f, v, count(*) AS n, sum(y) AS s FROM long GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER line AS no, sum(n) OVER line AS upto, sum(s) OVER line AS left_sum,
+    sum(n) OVER own AS whole, sum(s) OVER own AS total, count(*) OVER own AS different
+  FROM counted WINDOW own AS (PARTITION BY Junction, f), line AS (PARTITION BY Junction, f ORDER BY v ROWS UNBOUNDED PRECEDING)),
+dealt AS (SELECT *, CASE WHEN different <= 32 THEN no ELSE (upto - 1) * 32 // whole END AS bin FROM ranked),
+following AS (
+  SELECT *, lead(v) OVER line AS next_v, lead(bin) OVER line AS next_bin
+  FROM dealt WINDOW line AS (PARTITION BY Junction, f ORDER BY v)),
+cuts AS (
+  SELECT *, left_sum * left_sum / upto + (total - left_sum) * (total - left_sum) / (whole - upto) AS score
+  FROM following WHERE bin <> next_bin),
+best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY Junction ORDER BY score DESC, f, v) = 1),
+good AS (
+  SELECT * FROM best WHERE score - total * total / whole > 1e-9 * greatest(total * total / whole, 1))"""
 _RULES_UNNUMBERED = _RULE_COLUMNS.replace("rule_no, cluster_id, ", "")
 
 SQL |= {
@@ -678,6 +715,25 @@ SQL |= {
         APART, "SELECT Junction, CongestionLevel FROM cluster_profiles JOIN assigned USING (Cluster)", CLUSTER_PROFILES
     ),
     "silhouette_squared_sites": over_sum(SELECT_SILHOUETTE, SILHOUETTE.replace("sqrt", ""), sites=True),
+    "rf_train_step": _over_step(_EXACT),
+    "feature_importance_step": _over_step(
+        """SELECT Junction, unnest(['Hour', 'DayOfWeek', 'IsWeekend']) AS Feature, unnest([1::DOUBLE, 0, 0]) AS Importance
+           FROM (SELECT DISTINCT Junction FROM split)"""
+    ),
+    "forecast_24h_step": _over_step(_STEPS),
+    "forecast_summary_step": _over_step(
+        f"""SELECT Junction, avg(Predicted) AS Avg_Predicted, max(Predicted) AS Peak_Predicted,
+              arg_max(Step, Predicted) AS Peak_Step, arg_max(DateTime, Predicted) AS Peak_Time
+            FROM ({_STEPS}) GROUP BY Junction"""
+    ),
+    "forest_stump_sites": f"WITH {RAW_SITES}{SUMMED}{STUMP}"
+    + """
+        SELECT w.Junction, ['Hour', 'DayOfWeek', 'IsWeekend', 'Traffic_Last_Hour', 'Traffic_Yesterday_Same_Hour'][f + 1] AS Feature,
+          (v + next_v) / 2 AS Threshold, round_even(mean, 6) AS Mean, round_even(left_sum / upto, 6) AS Left_Mean,
+          round_even((good.total - left_sum) / (whole - upto), 6) AS Right_Mean
+        FROM (SELECT Junction, avg(Vehicles) AS mean FROM split WHERE Side = 'train' GROUP BY Junction) w
+        LEFT JOIN good USING (Junction)
+    """,
     "rf_train_level": _over(LEVEL, _EXACT, SPLIT),
     "rf_train_each_level": _over(LEVEL, _EXACT, SPLIT),
     "actual_vs_predicted_level": _over(
@@ -707,7 +763,7 @@ SQL |= {
         ADVISED,
     ),
     "run_pattern_analysis": f"SELECT * FROM ({SQL['peak_hour']}) JOIN ({SQL['junction_spread']}) USING (Junction)",
-    "run_ml_engine": _over(
+    "run_ml_engine_level": _over(
         LEVEL,
         f"""SELECT * FROM ({_SUMMARY}) JOIN (SELECT * FROM ({_EXACT}) WHERE Side = 'test') USING (Junction)""",
         SPLIT,

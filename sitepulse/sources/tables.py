@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,23 @@ def write_readings(processed: DataFrame, path: str, mode: str = "overwrite") ->
     )
 
 
+def write_buckets(
+    table: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), buckets: int | None = None
+) -> DataFrame:
+    """Write a table in buckets of ``keys``, sorted inside a bucket, and read it back as a table of the session.
+
+    Grouping and joining by the keys then needs no exchange of these rows. As many buckets as a shuffle has
+    partitions unless stated; the files are at ``path``, and the session's catalogue names them.
+    """
+    spark = table.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"buckets_{uuid.uuid4().hex}"
+    placed = table.repartition(count, *keys)  # one writer for each bucket
+    writer = placed.write.format("parquet").option("path", path).bucketBy(count, *keys).sortBy(*keys, *order)
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
 def read_readings(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Read what ``write_readings`` wrote, all of it or the days first..last.
 
