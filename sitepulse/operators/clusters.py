@@ -179,18 +179,20 @@ def overview_metrics(readings: DataFrame, assignments: DataFrame, profiles: Data
 # --- scores --------------------------------------------------------------------------------
 
 
-def standardize(table: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns as (x - mean) / population deviation; a column without variance becomes 0."""
-    # One row of two numbers per column, fetched like any fitted scaler.
-    moments = table.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in columns], *[F.stddev_pop(c).alias(f"std_{c}") for c in columns]
-    ).first()
+def moments_of(table: DataFrame, columns: Sequence[str]) -> tuple[list[float], list[float]]:
+    """Means and population deviations: one row of two numbers per column, fetched like any fitted scaler."""
+    row = table.agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.avg, F.stddev_pop) for c in columns]).first()
+    return list(row[: len(columns)]), list(row[len(columns) :])
+
 
-    def scaled(c: str) -> Column:
-        mean, std = moments[f"mean_{c}"], moments[f"std_{c}"]
-        return (F.col(c) - F.lit(mean)) / F.lit(std) if std else F.lit(0.0)
+def scaled_column(column: Column, mean: float, deviation: float) -> Column:
+    return (column - F.lit(mean)) / F.lit(deviation) if deviation else F.lit(0.0)
 
-    return table.withColumns({c: scaled(c) for c in columns})
+
+def standardize(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns as (x - mean) / population deviation; a column without variance becomes 0."""
+    means, deviations = moments_of(table, columns)
+    return table.withColumns({c: scaled_column(F.col(c), m, d) for c, m, d in zip(columns, means, deviations)})
 
 
 def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from sitepulse.functions.hashing import mixed
 from sitepulse.session import scratch_folder
 from sitepulse.sources.tables import write_buckets
 
@@ -41,13 +42,6 @@ STATES = 1024
 _DRAWS = np.cumsum([np.exp(-1.0)] + [np.exp(-1.0) / np.prod(np.arange(1.0, k + 1)) for k in range(1, 12)])
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Hash of unsigned 64-bit numbers (the splitmix64 finalizer)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def bag_weights(junction: int, row_no: np.ndarray, trees: int, seed: int | None) -> np.ndarray:
     """How often each tree has each row, as (trees, rows); the junction's first row is in every tree.
 
@@ -55,10 +49,7 @@ def bag_weights(junction: int, row_no: np.ndarray, trees: int, seed: int | None)
     """
     if seed is None:
         return np.ones((trees, len(row_no)), np.int64)
-    with np.errstate(over="ignore"):
-        base = _mixed(np.uint64([seed % 2**64]) + np.uint64(junction % 2**64) * np.uint64(0x9E3779B97F4A7C15))
-        tree = _mixed(base + np.arange(1, trees + 1, dtype=np.uint64))
-        drawn = _mixed(tree[:, None] ^ _mixed(row_no.astype(np.uint64))[None, :])
+    drawn = mixed(seed, junction, np.arange(trees)[:, None], row_no[None, :])
     weights = np.searchsorted(_DRAWS, drawn / 2.0**64, side="right").astype(np.int64)
     weights[:, row_no == 1] = np.maximum(weights[:, row_no == 1], 1)
     return weights

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The advice texts.
@@ -79,13 +79,38 @@ def recommendations(profiles: DataFrame) -> DataFrame:
     )
 
 
+HISTORY = (
+    "Junction bigint, Cluster string, Morning_Peak double, Evening_Peak double, Recommendations array<string>, Run string"
+)
+
+
 def recommendation_history(profiles: DataFrame) -> DataFrame:
-    """What went into and came out of each piece of advice; append it to a table to keep a log."""
+    """What went into and came out of each piece of advice; ``append_history`` keeps a log of it."""
     return _advised(profiles).select(
         "Junction", F.col("Congestion_Level").alias("Cluster"), "Morning_Peak", "Evening_Peak", "Recommendations"
     )
 
 
+def append_history(history: DataFrame, path: str, run: str) -> None:
+    """Add the rows of one run to the log at ``path``.
+
+    A run has a folder of its own, which is replaced as a whole, so a run that is repeated or retried is there once.
+    """
+    (
+        history.withColumn("Run", F.lit(run))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("Run")
+        .parquet(path)
+    )
+
+
+def read_history(spark: SparkSession, path: str, *runs: str) -> DataFrame:
+    """The log, or the named runs of it, of which only the folders are read."""
+    log = spark.read.schema(HISTORY).parquet(path)
+    return log.where(F.col("Run").isin(list(runs))) if runs else log
+
+
 def recommendation_lines(recommended: DataFrame) -> DataFrame:
     """The report: one numbered line per text, and a single default line for a junction without advice."""
     return recommended.select(

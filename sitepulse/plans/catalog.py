@@ -580,6 +580,22 @@ def kmeans_sites(spark, folder):
     return kmeans.fit_clusters(table, profiles.PROFILE_FEATURES).assign(table)
 
 
+@query
+def cluster_scores_sites(spark, folder):
+    """Scores of a fitted clustering of all users as junctions."""
+    features = _kept(profiles.junction_features(_processed(spark, folder, None)))
+    return analysis.cluster_matrix(features)[1]["cluster_scores"]
+
+
+@query
+def cluster_scores_apart(spark, folder):
+    """The same for three levels far apart, which leave only one good clustering."""
+    table = _kept(profiles.enhanced_profiles(_apart(spark, folder)))
+    model = kmeans.fit_clusters(table, profiles.PROFILE_FEATURES)
+    scores = kmeans.cluster_scores(table, profiles.PROFILE_FEATURES, model.assign(table))
+    return _rounded(scores, "Silhouette", "Davies_Bouldin")
+
+
 @query
 def k_selection(spark, folder):
     features = _kept(profiles.junction_features(_shaped(spark, folder)))
@@ -846,6 +862,19 @@ def recommendation_history(spark, folder):
     )
 
 
+@query
+def recommendation_log(spark, folder):
+    """A log of two runs, the second of some junctions and repeated."""
+    labelled, path = _kept(_labelled(spark, folder)), scratch_folder(spark, "history")
+    recommend.append_history(recommend.recommendation_history(labelled), path, "monday")
+    for _ in range(2):
+        recommend.append_history(recommend.recommendation_history(labelled.where("Junction <= 4")), path, "tuesday")
+    table = recommend.read_history(spark, path)
+    return _rounded(
+        table.withColumn("Recommendations", F.array_join("Recommendations", "\n")), "Morning_Peak", "Evening_Peak"
+    )
+
+
 @query
 def junction_report(spark, folder):
     return _rounded(recommend.junction_report(_labelled(spark, folder)), "Avg_Traffic", "Morning_Peak", "Evening_Peak")
@@ -940,9 +969,9 @@ def preprocess_pipeline(spark, folder):
 
 @query
 def prepare_without_id(spark, folder):
-    """One file in the order of the IDs, which it doesn't hold."""
+    """Files whose names and lines are in the order of the IDs, which they don't hold."""
     path = scratch_folder(spark, "raw")
-    write_csv(_raw(spark, folder).coalesce(1).sortWithinPartitions("ID").drop("ID"), path)
+    write_csv(_raw(spark, folder).orderBy("ID").drop("ID"), path)
     return analysis.preprocess(spark, path)["timeseries"]
 
 

@@ -617,6 +617,13 @@ filled AS (
               array_to_string(texts, chr(10)) AS Recommendations FROM advised""",
         ADVISED,
     ),
+    "recommendation_log": over_shaped(
+        f"""SELECT Run, Junction, Congestion_Level AS Cluster, {_same(['Morning_Peak', 'Evening_Peak'])},
+              array_to_string(texts, chr(10)) AS Recommendations
+            FROM advised, (SELECT unnest(['monday', 'tuesday']) AS Run)
+            WHERE Run = 'monday' OR Junction <= 4""",
+        ADVISED,
+    ),
     "junction_report": over_shaped(
         f"""SELECT Junction, Congestion_Level, {_r('Avg_Vehicles', 'Avg_Traffic')},
               {_same(['Morning_Peak', 'Evening_Peak'])}, {JOINED} FROM advised""",
@@ -707,6 +714,9 @@ SQL |= {
         CLUSTER_PROFILES,
     ),
     "k_selection_apart": _over(APART, SELECT_SILHOUETTE.replace("SELECT", "SELECT CAST(3 AS INTEGER) AS k,", 1), SILHOUETTE),
+    "cluster_scores_apart": _over(
+        APART, f"SELECT * FROM ({SELECT_SILHOUETTE}), ({SELECT_DAVIES})", SILHOUETTE + DAVIES.removeprefix(SCALED)
+    ),
     "predict_cluster_apart": _over(
         APART,
         "SELECT Junction, min(Junction) OVER (PARTITION BY Junction % 3) AS Smallest FROM (SELECT DISTINCT Junction FROM r)",

@@ -98,6 +98,67 @@ def test_kmeans_finds_separate_groups_and_repeats(spark):
     assert again.inertia == pytest.approx(model.inertia)
 
 
+def test_clusters_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(11)
+    frame = table(spark, rng.normal(size=(300, 2))).persist()
+    found = []
+    for partitions in (1, 7, 50):
+        model = kmeans.fit_clusters(frame.repartition(partitions), COLUMNS, 4, restarts=3)
+        choice = kmeans.choose_k(frame.repartition(partitions), COLUMNS, max_clusters=4, restarts=2, distance="squared")
+        found.append((values(model.assign(frame), "Junction", "Cluster"), values(choice, "k", "Inertia")))
+    for assigned, costs in found[1:]:
+        assert assigned == found[0][0]
+        assert costs == [(k, pytest.approx(cost)) for k, cost in found[0][1]]
+
+
+def test_restarts_are_plain_lloyd_steps(spark):
+    """Every run ends where moving centres to means changes nothing, and the best of more runs costs no more."""
+    rng = np.random.default_rng(12)
+    points = rng.normal(size=(120, 2))
+    frame = table(spark, points).persist()
+    scaled = (points - points.mean(axis=0)) / points.std(axis=0)
+    costs = []
+    for restarts in (1, 8):
+        model = kmeans.fit_clusters(frame, COLUMNS, 5, restarts=restarts)
+        labels = np.array([c for _, c in values(model.assign(frame), "Junction", "Cluster")])
+        means = np.array([scaled[labels == c].mean(axis=0) for c in range(5)])
+        assert np.allclose(means, model.centers, atol=1e-8)
+        assert model.inertia == pytest.approx(((scaled - means[labels]) ** 2).sum(), rel=1e-6)
+        costs.append(model.inertia)
+    assert costs[1] <= costs[0] + 1e-9
+
+
+def test_start_centres_follow_squared_distances(spark):
+    """Over many seeds the second centre falls on far junctions as often as their distances say."""
+    frame = table(spark, [(0, 0), (0, 0), (1, 0), (3, 0)]).selectExpr("Junction", "array(a, b) AS vector").persist()
+    runs = [kmeans._Run(2, seed) for seed in range(600)]
+    kmeans._draw(frame, runs, 0)
+    kmeans._draw(frame, runs, 1)
+    first = [run.centers[0][0] for run in runs]
+    assert first.count(0) / 600 == pytest.approx(0.5, abs=0.07)
+    after_zero = [run.centers[1][0] for run in runs if run.centers[0][0] == 0]
+    assert after_zero.count(0) == 0
+    assert after_zero.count(3) / len(after_zero) == pytest.approx(0.9, abs=0.06)
+
+
+def test_all_junctions_on_one_place(spark):
+    frame = table(spark, [(2, 2)] * 4)
+    model = kmeans.fit_clusters(frame, COLUMNS, 2, restarts=2)
+    assert model.inertia == 0 and {c for _, c in values(model.assign(frame), "Junction", "Cluster")} == {0}
+
+
+def test_silhouettes_of_all_k_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(30, 2))
+    frame = table(spark, points)
+    scaled = (points - points.mean(axis=0)) / points.std(axis=0)
+    for row in kmeans.choose_k(frame, COLUMNS, max_clusters=4, restarts=2).collect():
+        model = kmeans.fit_clusters(frame, COLUMNS, row["k"], restarts=2)
+        labels = [c for _, c in values(model.assign(frame), "Junction", "Cluster")]
+        assert row["Silhouette"] == pytest.approx(expected_silhouette(scaled, labels))
+        assert row["Inertia"] == pytest.approx(model.inertia)
+
+
 def test_inertia_is_that_of_population_scaling(spark):
     frame, _ = blobs(spark)
     model = kmeans.fit_clusters(frame, COLUMNS, 3, restarts=3)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from sitepulse.functions.temporal import add_calendar
-from sitepulse.operators import clean
+from sitepulse.operators import clean, recommend
 from sitepulse.plans import analysis
 from sitepulse.sources import readings as source
 from sitepulse.sources import tables
@@ -100,3 +100,68 @@ def test_array_columns_are_joined(spark, tmp_path):
 def test_calendar_is_derived_from_the_clock(readings):
     row = add_calendar(readings((1, "2016-02-29 13:00:00", 1, 1))).first()
     assert (row["Hour"], row["DayOfWeek"], row["Month"], row["IsWeekend"]) == (13, 0, 2, 0)
+
+
+def test_many_files_take_one_job(spark, tmp_path):
+    """Two kinds of headers and some empty files; names with blanks."""
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for i in range(300):
+        head = "DateTime,Junction,Vehicles,ID" if i % 3 else "ID,Vehicles,Junction,DateTime"
+        row = f"2024-01-01 00:00:00,{i},7,{i}" if i % 3 else f"{i},7,{i},2024-01-01 00:00:00"
+        (folder / f"part {i:04d}.csv").write_text("" if i % 100 == 50 else f"{head}\n{row}\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    headers = source._headers(spark, str(folder))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 2  # both stages of one query
+    assert sorted(len(files) for _, files in headers) == [99, 198]
+    found = values(source.load_readings(spark, str(folder)), "Junction", "Vehicles", "ID")
+    assert found == [(i, 7, i) for i in range(300) if i % 100 != 50]
+
+
+def test_a_file_without_a_needed_column_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("DateTime,Junction,Vehicles\n2024-01-01 00:00:00,1,2\n")
+    (tmp_path / "b.csv").write_text("DateTime,Site,Vehicles\n2024-01-01 00:00:00,1,2\n")
+    with pytest.raises(ValueError, match="Junction"):
+        source.load_readings(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="Junction"):
+        source.load_readings(spark, str(tmp_path / "b.csv"))
+    assert source.load_readings(spark, str(tmp_path / "a.csv")).count() == 1
+
+
+def test_headers_of_files_in_pieces(spark, tmp_path):
+    """Pieces behind the first one have no header of their own."""
+    lines = "".join(f"2024-01-01 00:00:00,{i},1\n" for i in range(5000))
+    (tmp_path / "a.csv").write_text("\nDateTime,Junction,Vehicles\n" + lines)
+    (tmp_path / "b.csv").write_text("Junction,DateTime,Vehicles\n-1,2024-01-01 00:00:00,1\n")
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        assert sorted(len(files) for _, files in source._headers(spark, str(tmp_path))) == [1, 1]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert source.load_readings(spark, str(tmp_path)).count() == 5001
+
+
+def test_file_order_is_by_name_then_line(spark, tmp_path):
+    """The larger file is read first but comes second."""
+    (tmp_path / "b second.csv").write_text("DateTime,Junction,Vehicles\n" + "2024-01-01 00:00:00,1,3\n" * 500)
+    (tmp_path / "a first.csv").write_text("DateTime,Vehicles,Junction\n2024-01-01 00:00:00,1,1\n2024-01-01 00:00:00,2,1\n")
+    frame = source.load_readings(spark, str(tmp_path), keep_file_order=True)
+    assert [r["Vehicles"] for r in frame.orderBy("SourceOrder").take(3)] == [1, 2, 3]
+    assert frame.select("SourceOrder").distinct().count() == 502
+    assert clean.keep_first(frame, "SourceOrder").first()["Vehicles"] == 1
+    assert values(analysis.prepare(frame, "first", cap=False), "Vehicles") == [(1,)]
+
+
+def test_log_holds_every_run_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "High", 5.0, 6.0, ["a", "b"]), (2, None, 1.0, 2.0, [])], recommend.HISTORY.removesuffix(", Run string"))
+    path = str(tmp_path / "log")
+    recommend.append_history(rows, path, "first")
+    recommend.append_history(rows, path, "second")
+    recommend.append_history(rows.where("Junction = 1"), path, "second")
+    log = recommend.read_history(spark, path)
+    assert values(log, "Run", "Junction") == [("first", 1), ("first", 2), ("second", 1)]
+    assert values(recommend.read_history(spark, path, "second"), "Junction", "Recommendations") == [(1, ["a", "b"])]
+    plan = recommend.read_history(spark, path, "second")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Run" in plan or "PartitionFilters: [Run" in plan
