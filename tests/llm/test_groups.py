@@ -1,15 +1,19 @@
 """Operators on many documents: near copies, vectors, repeats, archives, mixing, toxicity, pipeline."""
 
+import collections
+import hashlib
 import itertools
 import random
 import re
 
 import numpy as np
 import pytest
+import sentencepiece
 
 import corpus_pipeline
-from sitepulse.llm import embedding, jaccard, mixing, secrets, substring, toxicity, warc
+from sitepulse.llm import embedding, jaccard, mixing, pieces, secrets, substring, toxicity, warc
 from sitepulse.llm.catalog import TARGETS
+from sitepulse.llm.common import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -348,31 +352,44 @@ def test_pipeline_against_plain_stages(spark):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     rows = {r["doc_id"]: r for r in docs.collect()}
     model = toxicity.train(docs, labels)
-    clean = corpus_pipeline.drop_toxic(spark, docs, folder)
+    clean = stored(corpus_pipeline.drop_toxic(spark, docs, folder), "test-clean")
     limits = {i: model.thresholds.get(r["lang"], model.threshold) for i, r in rows.items()}
     expected = {i for i, r in rows.items() if model.score(toxicity.word_rows(r["text"])) < limits[i]}
     assert {r["doc_id"] for r in clean.collect()} == expected and clean.columns == docs.columns
-    one = corpus_pipeline.drop_near_duplicates(spark, clean, folder)
-    sets = {i: shingles(rows[i]["text"]) for i in expected}
-    holders = {}
-    for i, s in sets.items():
-        for k in s:
-            holders.setdefault(k, []).append(i)
-    pairs = {p for h in holders.values() if len(h) < 400 for p in itertools.combinations(sorted(h), 2)}
-    linked = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
-    groups = plain_components(sets, linked)
+    one = stored(corpus_pipeline.drop_near_duplicates(spark, clean, folder), "test-one")
+    sets = word_sets([(i, rows[i]["text"]) for i in expected], 5)
+    groups = plain_components(sets, all_links(sets, 80))
     left = {r["doc_id"]: r for r in one.collect()}
     assert set(left) == {i for i in groups if groups[i] == i} and one.columns == docs.columns
-    hidden = corpus_pipeline.redact_secrets(spark, one, folder)
+    found = secrets.train(one)
+    hidden = stored(secrets.redact_documents(one, found), "test-hidden")
+    assert hidden.columns == docs.columns
     for r in hidden.collect():
-        spans = secrets.scan_text(rows[r["doc_id"]]["text"])["spans"]
-        assert (r["text"] == rows[r["doc_id"]]["text"]) or "[secret]" in r["text"]
-        assert not spans or r["text"] != rows[r["doc_id"]]["text"]
-        assert r["n_chars"] == len(r["text"])
-    mixed = corpus_pipeline.mix(spark, hidden, folder)
-    assert {r["doc_id"] for r in mixed.collect()} == set(left) and mixed.columns == docs.columns
-    tokens = corpus_pipeline.encode(spark, mixed, folder)
-    assert tokens.count() == mixed.count()
+        text = rows[r["doc_id"]]["text"]
+        assert r["text"] == secrets.redact(text, secrets.scan_text(text, found)["spans"]) and r["n_chars"] == len(r["text"])
+        base = secrets.scan_text(text)["spans"]
+        assert ("[secret]" in r["text"]) if base else (r["text"] == text or "[secret]" in r["text"])
+    mixed = stored(corpus_pipeline.mix(spark, hidden, folder), "test-mixed")
+    assert mixed.columns == docs.columns
+    rates = mixing.mix_documents(hidden, labels, corpus_pipeline.CLEAN_TARGETS, least=1.0, most=corpus_pipeline.MOST_COPIES, upsample=True)
+    rate = {r["doc_id"]: r["rate"] for r in rates.collect()}
+    copies = collections.Counter(r["doc_id"] for r in mixed.collect())
+    assert set(copies) == set(left)
+    assert all(np.floor(rate[i] + 1e-9) <= n <= np.ceil(rate[i] - 1e-9) for i, n in copies.items())
+    assert len(mixed.distinct().collect()) == len(left)
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.default_path())
+    texts = {r["doc_id"]: r["text"] for r in hidden.collect()}
+    plain = {}
+    for i, text in texts.items():
+        ids = library.encode(text, add_bos=True, add_eos=True)
+        plain[i] = (
+            len(ids),
+            hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+            hashlib.sha256(library.decode(ids).encode()).hexdigest(),
+        )
+    tokens = corpus_pipeline.encode(spark, mixed, folder).collect()
+    assert collections.Counter(r["doc_id"] for r in tokens) == copies
+    assert all((r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == plain[r["doc_id"]] for r in tokens)
 
 
 def test_pipeline_on_an_empty_table(spark, documents):

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -164,22 +165,59 @@ def test_a_failing_match_uses_up_its_characters():
     assert secrets.scan_text("é" * 3 + "AKIA" + "A1" * 8)["spans"] == "access:3:23"
 
 
-def test_trained_network_keeps_recall_and_base_spans(spark):
+@pytest.fixture(scope="module")
+def secret_model(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    model = secrets.train(docs, rows=3_000)
-    codes, labels = [], []
-    for row in docs.where("doc_id % 7 = 3").collect():
-        c, y = secrets._findings(row["text"])
-        codes += c
-        labels += y
-    scores = model.score(__import__("numpy").stack(codes))
-    good = [s >= model.threshold for s, y in zip(scores, labels) if y]
-    bad = [s >= model.threshold for s, y in zip(scores, labels) if not y]
-    assert sum(good) >= 0.93 * len(good)
-    assert sum(bad) <= 0.05 * len(bad)
-    for row in secrets.scan_secrets(docs.where("doc_id % 50 = 3"), model).join(docs, "doc_id").collect():
+    return secrets.train(docs.where("doc_id % 7 <> 3"), rows=6_000)
+
+
+def test_network_finds_every_kind_in_other_documents(spark, secret_model):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 7 = 3")
+    found = {(r["label"], r["kind"]): r for r in secrets.evaluate(docs, secret_model).collect()}
+    for kind in ("assign", "hex", *secrets.SECRET_SHAPES):
+        assert found[1, kind]["flagged"] >= 0.93 * found[1, kind]["n"], kind
+    plain = [r for (label, _), r in found.items() if not label]
+    assert sum(r["flagged"] for r in plain) <= 0.05 * sum(r["n"] for r in plain)
+    assert found[0, "text"]["flagged"] <= 0.01 * found[0, "text"]["n"]
+
+
+def test_network_adds_spans_and_keeps_base_spans(spark, secret_model):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 50 = 3")
+    for row in secrets.scan_secrets(docs, secret_model).join(docs, "doc_id").collect():
         base = plain_secrets(row["text"])
         assert set(filter(None, base.split(","))) <= set(filter(None, row["spans"].split(",")))
+    rng = np.random.default_rng(77)
+    hits = 0
+    for i in range(100):
+        body = secrets.made_secret(secrets.SECRET_SHAPES[i % 5], rng)
+        text = f"we sent the note to them and {body} was in it, as ever."
+        hits += any(p.startswith("net:29:") for p in secrets.scan_text(text, secret_model)["spans"].split(","))
+    assert hits >= 90
+    quiet = "The file /usr/share/doc/python3/examples was read at 2024-10-11T10-11-12Z by user_name_counter_17 again."
+    assert "net" not in secrets.scan_text(quiet, secret_model)["spans"]
+
+
+def test_a_candidate_beyond_a_base_span_is_judged(secret_model):
+    text = "x deadbeefdeadbeefdeadbeef7XQ9zLm2Kp4Vt8RwYb3Nc6Hs y"
+    spans = secrets.scan_text(text, secret_model)["spans"].split(",")
+    assert "hex:2:27" in spans and f"net:2:{len(text) - 2}" in spans
+    assert secrets.redact(text, ",".join(spans)) == "x [secret] y"
+
+
+def test_parts_show_all_of_a_candidate():
+    body = "".join(chr(33 + i % 90) for i in range(301))
+    seen = {bytes(p[i : i + 5]) for p in secrets.parts("left", body, "right") for i in range(secrets.SIDE, secrets.SIDE + secrets.BODY - 4)}
+    assert {body[i : i + 5].encode() for i in range(len(body) - 4)} <= seen
+    assert len(secrets.parts("", "a" * 20, "")) == 1
+
+
+def test_redacting_odd_rows(documents):
+    rows = [(1, None), (2, ""), (None, "token=abcdefgh"), (3, "token=abcdefgh"), (3, "token=abcdefgh"), (4, "x " * 90_000)]
+    found = secrets.redact_documents(documents(*rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["n_chars"] or 0) for r in found)[:4] == [
+        (0, "[secret]", 8), (1, "", 0), (2, "", 0), (3, "[secret]", 8)
+    ]
+    assert len(found) == 6 and secrets.redact_documents(documents(*rows).where("false")).count() == 0
 
 
 def test_redaction():
