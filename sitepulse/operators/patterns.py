@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitepulse.functions.distribution import quantile_array, quantiles, value_counts
+from sitepulse.functions.distribution import quantile_array, quantiles, quantiles_by_key, value_counts
 from sitepulse.functions.numeric import round_half_even
 
 HOURS = list(range(24))
@@ -217,16 +217,28 @@ def junction_slice(readings: DataFrame, junctions: int | DataFrame) -> DataFrame
 # --- spread of the counts ------------------------------------------------------------------
 
 
-def _spread(readings: DataFrame, factor: float = 1.5) -> tuple[DataFrame, DataFrame]:
-    """Quartiles, fences and moments per junction, and the value counts they all come from."""
+_QUARTILES = (0.25, 0.5, 0.75)
+
+
+def _spread(readings: DataFrame, factor: float = 1.5, spread_values: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Quartiles, fences and moments per junction, and the value counts they all come from.
+
+    The different values of a junction meet in one task, which suits whole counts; with ``spread_values``
+    they are ranked over many, for fractional values of which there may be as many as readings.
+    """
     counts = value_counts(readings, "Junction")
+    quartiles = [] if spread_values else [quantile_array(_QUARTILES).alias("q")]
     shape = counts.groupBy("Junction").agg(
-        quantile_array((0.25, 0.5, 0.75)).alias("q"),
+        *quartiles,
         F.expr("coalesce(sum(if(Vehicles IS NULL, 0, Readings)), 0) AS Count"),
         F.expr("double(sum(Vehicles * Readings)) / sum(if(Vehicles IS NULL, null, Readings)) AS Mean"),
         F.min("Vehicles").alias("Min"),
         F.max("Vehicles").alias("Max"),
     )
+    if spread_values:
+        ranked = quantiles_by_key(counts, "Junction", probs=_QUARTILES)
+        ranked = ranked.select(F.col("Junction").alias("_junction"), F.col("Quantiles").alias("q"))
+        shape = shape.join(ranked, F.col("Junction").eqNullSafe(F.col("_junction"))).drop("_junction")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     return (
         shape.select(
@@ -242,9 +254,9 @@ def _spread(readings: DataFrame, factor: float = 1.5) -> tuple[DataFrame, DataFr
     )
 
 
-def _spread_detail(readings: DataFrame) -> DataFrame:
+def _spread_detail(readings: DataFrame, spread_values: bool = False) -> DataFrame:
     """The spread with deviation, whisker ends and number of outliers."""
-    shape, counts = _spread(readings)
+    shape, counts = _spread(readings, spread_values=spread_values)
     inside = F.col("Vehicles").between(F.col("Low"), F.col("High"))
     squares = F.col("Readings") * F.pow(F.col("Vehicles") - F.col("Mean"), F.lit(2))
     deviation = F.sqrt(F.sum(squares) / F.when(F.col("Count") > 1, F.col("Count") - 1))
@@ -260,26 +272,26 @@ def _spread_detail(readings: DataFrame) -> DataFrame:
     )
 
 
-def junction_spread(readings: DataFrame) -> DataFrame:
+def junction_spread(readings: DataFrame, spread_values: bool = False) -> DataFrame:
     """Mean, median, standard deviation, IQR and number of readings beyond 1.5 IQR per junction."""
-    return _spread_detail(readings).select("Junction", "Mean", "Median", "Std", "IQR", "Outliers")
+    return _spread_detail(readings, spread_values).select("Junction", "Mean", "Median", "Std", "IQR", "Outliers")
 
 
-def junction_describe(readings: DataFrame) -> DataFrame:
+def junction_describe(readings: DataFrame, spread_values: bool = False) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per junction."""
-    return _spread_detail(readings).select("Junction", "Count", "Mean", "Std", "Min", "Q1", "Median", "Q3", "Max")
+    return _spread_detail(readings, spread_values).select("Junction", "Count", "Mean", "Std", "Min", "Q1", "Median", "Q3", "Max")
 
 
-def boxplot_stats(readings: DataFrame) -> DataFrame:
+def boxplot_stats(readings: DataFrame, spread_values: bool = False) -> DataFrame:
     """Quartiles, whisker ends (extreme readings within 1.5 IQR), outlier count and mean per junction."""
-    return _spread_detail(readings).select(
+    return _spread_detail(readings, spread_values).select(
         "Junction", "Q1", "Median", "Q3", "Whisker_Low", "Whisker_High", "Outliers", "Mean"
     )
 
 
-def boxplot_outliers(readings: DataFrame) -> DataFrame:
+def boxplot_outliers(readings: DataFrame, spread_values: bool = False) -> DataFrame:
     """The values drawn as single points in a box plot, with how often each occurs."""
-    shape, counts = _spread(readings)
+    shape, counts = _spread(readings, spread_values=spread_values)
     return (
         counts.join(shape.select("Junction", "Low", "High"), "Junction")
         .where(~F.col("Vehicles").between(F.col("Low"), F.col("High")))

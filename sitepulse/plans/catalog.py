@@ -306,6 +306,23 @@ def weekday_weekend_gap(spark, folder):
     return _rounded(gap, *gap.columns)
 
 
+def _fractional(spark: SparkSession, folder: str) -> DataFrame:
+    """The values of the events as they are, of which there are nearly as many as rows."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    return events.select((F.pmod("user_id", F.lit(8)) + 1).cast("bigint").alias("Junction"), F.col("value").alias("Vehicles"))
+
+
+@query
+def junction_spread_double(spark, folder):
+    return _rounded(patterns.junction_spread(_fractional(spark, folder), spread_values=True), "Mean", "Median", "Std", "IQR")
+
+
+@query
+def boxplot_stats_double(spark, folder):
+    found = patterns.boxplot_stats(_fractional(spark, folder), spread_values=True)
+    return _rounded(found, "Q1", "Median", "Q3", "Mean")
+
+
 @query
 def junction_spread(spark, folder):
     return _rounded(patterns.junction_spread(_processed(spark, folder)), "Mean", "Std")

@@ -714,6 +714,27 @@ SQL |= {
         CLUSTER_PROFILES,
     ),
     "k_selection_apart": _over(APART, SELECT_SILHOUETTE.replace("SELECT", "SELECT CAST(3 AS INTEGER) AS k,", 1), SILHOUETTE),
+    # The values of the events as they are; sums of fractions depend on their order in the last digits.
+    "junction_spread_double": """
+        WITH r AS (SELECT user_id % 8 + 1 AS Junction, value AS Vehicles FROM events),
+        q AS (SELECT Junction, quantile_cont(Vehicles, 0.25) AS Q1, quantile_cont(Vehicles, 0.5) AS Median,
+                quantile_cont(Vehicles, 0.75) AS Q3, avg(Vehicles) AS Mean, stddev_samp(Vehicles) AS Std FROM r GROUP BY Junction)
+        SELECT Junction, round_even(any_value(Mean), 6) AS Mean, round_even(any_value(Median), 6) AS Median,
+          round_even(any_value(Std), 6) AS Std, round_even(any_value(Q3 - Q1), 6) AS IQR,
+          count(*) FILTER (Vehicles < Q1 - 1.5 * (Q3 - Q1) OR Vehicles > Q3 + 1.5 * (Q3 - Q1)) AS Outliers
+        FROM r JOIN q USING (Junction) GROUP BY Junction
+    """,
+    "boxplot_stats_double": """
+        WITH r AS (SELECT user_id % 8 + 1 AS Junction, value AS Vehicles FROM events),
+        q AS (SELECT Junction, quantile_cont(Vehicles, 0.25) AS Q1, quantile_cont(Vehicles, 0.5) AS Median,
+                quantile_cont(Vehicles, 0.75) AS Q3, avg(Vehicles) AS Mean FROM r GROUP BY Junction),
+        f AS (SELECT *, Vehicles BETWEEN Q1 - 1.5 * (Q3 - Q1) AND Q3 + 1.5 * (Q3 - Q1) AS inside FROM r JOIN q USING (Junction))
+        SELECT Junction, round_even(any_value(Q1), 6) AS Q1, round_even(any_value(Median), 6) AS Median,
+          round_even(any_value(Q3), 6) AS Q3, min(Vehicles) FILTER (inside) AS Whisker_Low,
+          max(Vehicles) FILTER (inside) AS Whisker_High, count(*) FILTER (NOT inside) AS Outliers,
+          round_even(any_value(Mean), 6) AS Mean
+        FROM f GROUP BY Junction
+    """,
     "cluster_scores_apart": _over(
         APART, f"SELECT * FROM ({SELECT_SILHOUETTE}), ({SELECT_DAVIES})", SILHOUETTE + DAVIES.removeprefix(SCALED)
     ),

@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from sitepulse.functions.distribution import quantiles_by_key, value_counts
 from sitepulse.functions.temporal import add_calendar
 from sitepulse.operators import patterns, profiles
 from tests.conftest import values
@@ -100,3 +101,32 @@ def test_first_junctions_and_slices(readings):
     assert values(patterns.timeseries_first(frame), "Junction") == [(j,) for j in range(1, 6)]
     assert values(patterns.junction_slice(frame, 3), "Junction") == [(3,)]
     assert values(patterns.junction_slice(frame, patterns.top_junctions(frame, 2)), "Junction") == [(7,), (8,)]
+
+
+@pytest.mark.parametrize("rows_at_end, ranges", [(100_000, 256), (20, 4), (1, 2), (7, 256)])
+def test_quantiles_of_all_keys_side_by_side(spark, rows_at_end, ranges):
+    """Fractional values, repeated ones, a key with one value, one without any, and a null key."""
+    rng = np.random.default_rng(9)
+    groups = {1: rng.exponential(30, 400), 2: np.repeat([1.5, 2.5, 9.0], [30, 1, 50]), 3: [4.25], None: rng.normal(size=60), 5: []}
+    rows = [(k, float(v)) for k, values_ in groups.items() for v in values_] + [(5, None), (1, None)]
+    counts = value_counts(spark.createDataFrame(rows, "Junction bigint, Vehicles double"), "Junction")
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
+    found = quantiles_by_key(counts, "Junction", probs=probs, rows_at_end=rows_at_end, ranges=ranges)
+    got = {r["Junction"]: r["Quantiles"] for r in found.collect()}
+    assert set(got) == set(groups) and got[5] is None
+    for key, values_ in groups.items():
+        if key != 5:
+            assert got[key] == pytest.approx(np.quantile(values_, probs), abs=1e-12)
+
+
+def test_quantiles_of_no_rows(spark):
+    counts = value_counts(spark.createDataFrame([], "Junction bigint, Vehicles double"), "Junction")
+    assert quantiles_by_key(counts, "Junction", probs=(0.5,)).count() == 0
+
+
+def test_spread_over_many_tasks_equals_the_plain_one(spark, readings):
+    frame = readings(*[(i, i % 50, i % 3, (i * 37) % 101) for i in range(400)], (1000, 5, 2, None))
+    for run in (patterns.junction_spread, patterns.junction_describe, patterns.boxplot_stats, patterns.boxplot_outliers):
+        plain, spread = run(frame), run(frame, spread_values=True)
+        assert plain.columns == spread.columns and plain.dtypes == spread.dtypes
+        assert values(plain, *plain.columns) == values(spread, *plain.columns)
