@@ -117,8 +117,11 @@ def scan_text(text: str | None) -> dict:
     words = WORD.findall(low)
     line = f" {' '.join(words)} "
     base_labels, labels, base_starts, notices = set(), set(), [], 0
-    for end, (phrase, label, is_base) in phrases.iter(line):
-        start = line.count(" ", 0, end - len(phrase) + 1)  # words before the phrase
+    spaces = upto = 0
+    for end, (phrase, label, is_base) in phrases.iter(line):  # ends rise, so every character is counted once
+        spaces += line.count(" ", upto, end + 1)
+        upto = end + 1
+        start = spaces - phrase.count(" ")  # words before the phrase
         labels.add(label)
         if is_base:
             base_labels.add(label)

@@ -171,6 +171,14 @@ def secret_model(spark):
     return secrets.train(docs.where("doc_id % 7 <> 3"), rows=6_000)
 
 
+def test_places_of_many_phrases_in_a_long_text():
+    """Overlapping phrases too, and in time that grows with the text alone."""
+    unit = "under the mit license x apache license version 2 cc by nc "
+    found = license.scan_text(unit * 20_000)
+    assert (found["n_words"], found["n_base"]) == (12 * 20_000, 3 * 20_000)
+    assert (found["first_word"], found["last_word"]) == (0, 12 * 20_000 - 3)
+
+
 def test_network_finds_every_kind_in_other_documents(spark, secret_model):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 7 = 3")
     found = {(r["label"], r["kind"]): r for r in secrets.evaluate(docs, secret_model).collect()}
