@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sitepulse.operators import forecast  # noqa: E402
-from sitepulse.plans.catalog import QUERIES, fitted_forest  # noqa: E402
+from sitepulse.plans.catalog import QUERIES, fitted_forest, site_forests  # noqa: E402
 from sitepulse.session import get_session  # noqa: E402
 
 HEADLINE = [
@@ -53,11 +53,18 @@ HEADLINE = [
     "advise",
     "silhouette_squared_sites",
     "outlier_bounds_double",
+    "junction_spread_double",
+    "rf_train_sites",
+    "forecast_24h_sites",
+    "cluster_scores_sites",
 ]
 # Model fits dominate their own warm-up and repeat it; once is enough.
-ONCE = {"kmeans_a", "rf_train", "forecast_24h", "rf_train_each", "kmeans_b", "k_selection", "complete_analysis", "advise"}
+ONCE = {"kmeans_a", "rf_train", "forecast_24h", "rf_train_each", "kmeans_b", "k_selection", "complete_analysis", "advise", "rf_train_sites", "cluster_scores_sites"}
 # The roll-out is timed apart from the fit, which is rf_train.
-PREPARED = {"forecast_24h": (fitted_forest, forecast.forecast_24h)}
+PREPARED = {
+    "forecast_24h": (fitted_forest, forecast.forecast_24h),
+    "forecast_24h_sites": (lambda spark, folder: site_forests(spark, folder, None), forecast.forecast_sites),
+}
 
 
 def main() -> None:

@@ -762,8 +762,8 @@ CALENDAR_FEATURES = forecast.FEATURES[:3]
 
 
 def _stepped(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Forests of two junctions whose count hangs on the hour, 24 levels in no order; every tree has all rows."""
-    level = F.col("Junction") * 100 + F.pmod(F.col("Hour") * 7, F.lit(24))
+    """Forests of two junctions whose count hangs on the hour, highest before noon; every tree has all rows."""
+    level = F.col("Junction") * 100 + F.pmod(F.col("Hour") + 12, F.lit(24))
     readings = _processed(spark, folder, 2).withColumn("Vehicles", level.cast("bigint"))
     split = _kept(forecast.training_matrix(readings))
     return _kept(forecast.train_sites(split, CALENDAR_FEATURES, seed=None)), split
