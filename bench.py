@@ -55,8 +55,6 @@ HEADLINE = [
     "outlier_bounds_double",
     "junction_spread_double",
     "rf_train_sites",
-    "forecast_24h_sites",
-    "cluster_scores_sites",
 ]
 # Model fits dominate their own warm-up and repeat it; once is enough.
 ONCE = {"kmeans_a", "rf_train", "forecast_24h", "rf_train_each", "kmeans_b", "k_selection", "complete_analysis", "advise", "rf_train_sites", "cluster_scores_sites"}
