@@ -51,7 +51,10 @@ def stored_by(table: DataFrame, name: str, key: str) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Delete tables made by ``stored`` that no later stage reads, so that they don't fill the shared disk."""
+    """Delete tables made by ``stored`` that no later stage reads, so that they don't fill the shared disk.
+
+    Those deleted before are passed over.
+    """
     for table in tables:
         jvm = table.sparkSession._jvm
         configuration = table.sparkSession._jsc.hadoopConfiguration()

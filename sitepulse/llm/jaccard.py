@@ -77,6 +77,24 @@ def elements(tokens: np.ndarray, size_class: int, least: int) -> tuple[np.ndarra
 
     Where they are fewer than ``least``, elements of empty buckets follow, which two sets may share as well.
     """
+    found, full = _buckets(tokens, size_class)
+    low = np.uint64((1 << BUCKET_BITS) - 1)
+    found = (found & ~low) | (np.arange(len(found), dtype=np.uint64) & low)
+    filled = int(full.sum())
+    return np.concatenate([found[full], found[~full][: max(0, least - filled)]]), filled
+
+
+def prints(tokens: np.ndarray, size_class: int) -> bytes:
+    """A byte per bucket of a size class that hangs on what is in it, 0 where it is empty.
+
+    Sets that differ in d shingles have prints that differ in at most d places.
+    """
+    found, full = _buckets(tokens, size_class)
+    return np.where(full, (found >> np.uint64(32)) % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8).tobytes()
+
+
+def _buckets(tokens: np.ndarray, size_class: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every bucket of a size class by what is in it, and whether anything is."""
     buckets = max(1, 1 << max(0, size_class - 1))
     at = ((_mixed(tokens ^ _MIX) >> np.uint64(1)) & np.uint64(buckets - 1)).astype(np.int64)
     own = np.zeros(buckets, np.uint64)
@@ -84,11 +102,7 @@ def elements(tokens: np.ndarray, size_class: int, least: int) -> tuple[np.ndarra
     np.add.at(own, at, _mixed(tokens * _MIX2 + np.uint64(size_class)))
     full = np.bincount(at, minlength=buckets) > 0
     number = np.arange(buckets, dtype=np.uint64)
-    found = _mixed(own * _MIX + number * np.uint64(64) + np.uint64(size_class))
-    low = np.uint64((1 << BUCKET_BITS) - 1)
-    found = (found & ~low) | (number & low)
-    filled = int(full.sum())
-    return np.concatenate([found[full], found[~full][: max(0, least - filled)]]), filled
+    return _mixed(own * _MIX + number * np.uint64(64) + np.uint64(size_class)), full
 
 
 def size_classes(size: int, percent: int = PERCENT) -> list[int]:
@@ -278,37 +292,57 @@ def _only(table: DataFrame, column: str, bits: Broadcast) -> DataFrame:
     return table.mapInArrow(run, table.schema)
 
 
+def _few_differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of rows (a, b, most, x, y) where the prints x and y differ in ``most`` places or fewer."""
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (batch.column(i).to_pylist() for i in (3, 4))
+            starts = np.cumsum([0, *map(len, x[:-1])])
+            unequal = np.frombuffer(b"".join(x), np.uint8) != np.frombuffer(b"".join(y), np.uint8)
+            few = np.add.reduceat(unequal, starts, dtype=np.int64) <= batch.column(2).to_numpy(zero_copy_only=False)
+            yield batch.select(["a", "b"]).filter(pa.array(few))
+
+
 def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose elements don't rule a link out: few enough of either are missing in the other."""
+    """Pairs (a, b) whose prints don't rule a link out: few enough places differ."""
     columns = ("size", "size_class", "own", "next")
     left, right = (
         sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in ("a", "b")
     )
     most = F.floor((100 - percent) * (F.col("a_size") + F.col("b_size")).cast("bigint") / (100 + percent))
-
-    def few(x: str, y: str) -> Column:
-        return F.greatest(F.size(x), F.size(y)) - _common(x, y) <= most
-
     gap = F.col("b_size_class") - F.col("a_size_class")
-    near = F.when(gap == 0, few("a_own", "b_own")).when(gap == 1, few("a_next", "b_own")).when(gap == -1, few("a_own", "b_next"))
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+    compared = (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .where(_close(F.col("a_size"), F.col("b_size"), percent))
+        .select(
+            "a",
+            "b",
+            most.cast("bigint").alias("most"),
+            F.when(gap.isin(0, -1), F.col("a_own")).when(gap == 1, F.col("a_next")).alias("x"),
+            F.when(gap.isin(0, 1), F.col("b_own")).when(gap == -1, F.col("b_next")).alias("y"),
+        )
+        .where("x IS NOT NULL AND y IS NOT NULL")
+    )
+    return compared.mapInArrow(_few_differ, "a bigint, b bigint")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among pairs (a, b), by their whole sets."""
-    pairs = stored(_near(pairs, sets, percent), "jaccard-near")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    tokens = stored(_only(sets.select("node", "tokens"), "node", _filter_of(nodes)), "jaccard-tokens")
+    """Links (a, b) among the stored pairs (a, b), by their whole sets; the pairs are dropped."""
+    near = stored(_near(pairs, sets, percent), "jaccard-near")
+    dropped(pairs)
+    nodes = near.select(F.explode(F.array("a", "b")).alias("node"))
+    tokens = _only(sets.select("node", "tokens"), "node", _filter_of(nodes))
     left, right = (tokens.select(F.col("node").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in ("a", "b"))
     links = (
-        pairs.join(left, "a")
+        near.join(left, "a")
         .join(right, "b")
         .where(_linked(_common("a_tokens", "b_tokens"), F.size("a_tokens"), F.size("b_tokens"), percent))
         .select("a", "b")
         .distinct()
     )
     links = stored(links, "jaccard-links")
-    dropped(tokens)
+    dropped(near)
     return links
 
 
@@ -384,6 +418,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     left = map_batches(prefix, cut, "node bigint, size int, elements array<bigint>, places array<int>")
     shared = stored(_exploded(left).join(common, "element"), "jaccard-shared")
+    dropped(common)
     heads = stored(
         shared.groupBy("element").agg(F.min(F.struct("place", "size", "node")).alias("head")), "jaccard-heads"
     )
@@ -397,20 +432,21 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .distinct(),
         "jaccard-stars",
     )
-    # Whole sets of all that share an element, and their elements cut to 32 bits.
+    dropped(heads)
+    # Whole sets of all that share an element, and their prints.
     wanted = stored(shared.select(F.col("node").alias("doc_id")).distinct(), "jaccard-wanted")
 
     def whole(batch: dict) -> dict:
         found = [shingles(t, words) for t in batch["text"]]
         classes = [size_classes(max(1, len(t)), percent) for t in found]
-        prints = [[np.unique(elements(t, c, 0)[0].astype(np.uint32)).view(np.int32) for c in cs] for t, cs in zip(found, classes)]
+        seen = [[prints(t, c) for c in cs] for t, cs in zip(found, classes)]
         return {
             "node": batch["doc_id"],
             "size": [len(t) for t in found],
             "tokens": [t.view(np.int64) for t in found],
             "size_class": [cs[0] for cs in classes],
-            "own": [p[0] for p in prints],
-            "next": [p[1] if len(p) > 1 else None for p in prints],
+            "own": [p[0] for p in seen],
+            "next": [p[1] if len(p) > 1 else None for p in seen],
         }
 
     sets = stored(
@@ -419,16 +455,18 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             .join(wanted, "doc_id")
             .dropDuplicates(["doc_id", "text"]),
             whole,
-            "node bigint, size int, tokens array<bigint>, size_class int, own array<int>, next array<int>",
+            "node bigint, size int, tokens array<bigint>, size_class int, own binary, next binary",
         ),
         "jaccard-sets",
     )
+    dropped(wanted)
     links = _verify(stars, sets, percent)
     groups = components(links, "jaccard-groups")
     placed = stored(
         shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"),
         "jaccard-placed",
     )
+    dropped(shared)
     # Elements of more than one group, as a matrix of elements and groups.
     mixed = stored(
         placed.groupBy("element")
@@ -444,6 +482,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         classes.join(groups, "node", "left").select("set_key", "n_shingles", F.coalesce("component", "node").alias("low")),
         "jaccard-nodes",
     )
+    dropped(sets, prefix, placed, classes)
     return sets_of.join(nodes, ["set_key", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
     )
@@ -492,6 +531,7 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         .join(groups, "node"),
         "jaccard-open",
     )
+    dropped(placed, prefix)
     matrix = stored(
         rows.groupBy("element", "group").agg(
             F.min("size").alias("least"),
@@ -517,6 +557,7 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         .distinct(),
         "jaccard-found",
     )
+    dropped(matrix)
     direct = found.where("one IS NOT NULL").select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
     more = _verify(stored(direct, "jaccard-direct"), sets, percent)
     reach = found.where("one IS NULL").select("node", "group")
@@ -535,7 +576,7 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
     )
     # Only the sets of these groups and of what might reach them are moved.
     nodes = reach.select("node").union(sliced.select("node")).distinct()
-    tokens = stored(_only(sets.select("node", "tokens"), "node", _filter_of(nodes)), "jaccard-tokens")
+    tokens = _only(sets.select("node", "tokens"), "node", _filter_of(nodes))
     unions = stored(
         sliced.join(tokens, "node")
         .groupBy("group", "slice")
@@ -556,7 +597,7 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         .select("node", "group", "slice"),
         "jaccard-qualified",
     )
-    dropped(tokens)
+    dropped(unions)
     left = rows.join(qualified, "node").select(
         "element",
         "slice",
@@ -574,7 +615,9 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         .select("a", "b")
         .distinct()
     )
-    return more.union(_verify(stored(pairs, "jaccard-pairs"), sets, percent))
+    pairs = stored(pairs, "jaccard-pairs")
+    dropped(rows, found, qualified)
+    return more.union(_verify(pairs, sets, percent))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

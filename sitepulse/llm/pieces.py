@@ -14,26 +14,33 @@ from pyspark.sql import DataFrame
 from sitepulse.llm.common import map_batches
 
 SPACE = "▁"
-#: Entries of a cache; two generations of it are kept, so a worker's memory is bounded.
-CACHE = 250_000
+#: Bytes of a cache; two generations of it are kept, so a worker's memory is bounded.
+CACHE_BYTES = 16 << 20
+#: Entries of more bytes are made each time anew; what a dictionary needs for an entry besides key and value.
+LARGE_ENTRY, ENTRY_BYTES = 4096, 100
 _NORMAL, _CONTROL, _BYTE = 1, 3, 6
 
 
 class Memo(dict):
-    """A mapping of bounded size: when it is full, the older half is forgotten."""
+    """A mapping of bounded bytes: when it is full, the older half is forgotten; large entries are never kept."""
 
-    def __init__(self, make, size: int = CACHE):
+    def __init__(self, make, size: int = CACHE_BYTES):
         super().__init__()
-        self.make, self.size, self.older = make, size, {}
+        self.make, self.size, self.held, self.older = make, size, 0, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.size:
+        needs = sys.getsizeof(key) + sys.getsizeof(value) + ENTRY_BYTES
+        if needs > LARGE_ENTRY:
+            return value
+        if self.held + needs > self.size:
             self.older = dict(self)
             self.clear()
+            self.held = 0
         self[key] = value
+        self.held += needs
         return value
 
 
@@ -130,14 +137,15 @@ class PieceModel:
             starts[end + 1 - match[0]].append(match)  # rising in length, as ends rise
         out: list[int] = []
         taken: list[int] = []  # index of the match taken at each start
-        failed = 0  # bit p: no encoding goes on from p
+        failed = bytearray((size >> 3) + 1)  # bit p: no encoding goes on from p
         at, choice, fits = 0, len(starts[0]) - 1, self.fits
         while at < size:
             options = starts[at]
             last = out[-1] << 32 if out else -1
             while choice >= 0:
                 length, piece = options[choice]
-                if not failed >> (at + length) & 1 and (last < 0 or fits[last | piece]):
+                end = at + length
+                if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or fits[last | piece]):
                     break
                 choice -= 1
             if choice >= 0:
@@ -148,7 +156,7 @@ class PieceModel:
             else:
                 if not out:
                     raise ValueError(f"no encoding of {text!r}")
-                failed |= 1 << at
+                failed[at >> 3] |= 1 << (at & 7)
                 at -= len(self.text[out.pop()])
                 choice = taken.pop() - 1
         return out
