@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitepulse.functions.distribution import quantiles, quantiles_by_range, value_counts
+from sitepulse.session import scratch_folder
 
 KEY = ["Junction", "DateTime"]
 
@@ -22,84 +23,64 @@ def null_count(readings: DataFrame) -> DataFrame:
 
 
 def fill_gaps(
-    readings: DataFrame,
-    columns: Sequence[str] = ("Vehicles",),
-    order: str = "ID",
-    rows_per_slice: int = 5_000_000,
+    readings: DataFrame, columns: Sequence[str] = ("Vehicles",), order: str = "ID", pieces: int | None = None
 ) -> DataFrame:
     """Fill nulls from the previous value of the same junction, else from the next one.
 
     Readings are ordered by (DateTime, order) inside a junction; values never cross junctions.
-    ``order`` must be a number that no two copies of a reading share.
-
-    A junction may hold a large part of all rows, so no window spans its readings. Rows of a clock time
-    without nulls pass as they are. The last value of every clock time travels through the month, then
-    from month to month, and only rows of one clock time that holds a null meet in a task. Clock times
-    with very many copies are cut further into slices: ``order`` is dealt into ranges by its quantiles,
-    so slices hold about as many rows however the numbers are spread. Filling from the next value only
-    concerns rows before the first value of a junction, so that one value serves them all.
+    ``order`` must be a number that no two copies of a reading share. Readings without a junction or a
+    clock time pass as they are and give no values.
+
+    A junction or a single clock time may hold a large part of all rows, so the readings are cut along
+    (Junction, DateTime, order) into ``pieces`` of even size, as many as a shuffle has partitions unless
+    stated, and written once with the number of their piece below the shared folder. What a piece
+    passes on is one row per junction in it: its first and last values, carried from piece to piece. Only where a
+    junction has a null in a piece are the rows of both put in order; all others are read back as they are. Filling
+    from the next value only concerns rows before the first value of a junction, so that one value serves them all.
     """
-    month = ["Junction", "_month"]
-    block = [*KEY, "_slice"]
-    missing = F.lit(False)
-    for c in columns:
-        missing = missing | F.col(c).isNull()
+    spark = readings.sparkSession
+    count = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = readings.repartitionByRange(count, *KEY, order).withColumn("_piece", F.spark_partition_id())
+    path = scratch_folder(spark, "gaps")
+    cut.write.parquet(path)
+    placed = spark.read.schema(cut.schema).parquet(path)
 
-    def ends(table: DataFrame, keys: list[str], along: Column, first: str, last: str) -> DataFrame:
-        """The first and last non-null value of each column per key."""
+    keyed = F.col("Junction").isNotNull() & F.col("DateTime").isNotNull()
+    part = ["_piece", "Junction"]
 
-        def place(c: str) -> Column:
-            return F.when(F.col(c).isNotNull(), along)
+    def place(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.struct("DateTime", order))
 
-        return table.groupBy(*keys).agg(
-            *[F.min_by(first.format(c), place(first.format(c))).alias(f"_first_{c}") for c in columns],
-            *[F.max_by(last.format(c), place(last.format(c))).alias(f"_last_{c}") for c in columns],
-        )
-
-    def earlier(window: WindowSpec, column: str) -> Column:
-        return F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
-
-    # One pass over the readings: per clock time its ends, its size, whether it holds a null, its slices.
-    clocks = (
-        readings.groupBy(*KEY)
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    ends = (
+        placed.where(keyed)
+        .groupBy(*part)
         .agg(
-            *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first_{c}") for c in columns],
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}") for c in columns],
-            F.count(F.lit(1)).alias("_n"),
             F.max(missing).alias("_gap"),
-            F.percentile_approx(F.col(order), [i / 128 for i in range(1, 128)], 1_000).alias("_borders"),
-        )
-        .withColumn("_month", F.trunc("DateTime", "month"))
-        # Of 127 borders as many are kept as the size asks for; a small clock time keeps none.
-        .withColumn("_step", F.greatest(F.lit(1), F.floor(128 * rows_per_slice / F.col("_n"))).cast("int"))
-        .withColumn(
-            "_borders",
-            F.when(F.col("_n") > rows_per_slice, F.filter("_borders", lambda x, i: (i + 1) % F.col("_step") == 0)).otherwise(
-                F.array().cast("array<double>")
-            ),
+            *[F.min_by(c, place(c)).alias(f"_first_{c}") for c in columns],
+            *[F.max_by(c, place(c)).alias(f"_last_{c}") for c in columns],
         )
     )
-    months = ends(clocks, month, F.col("DateTime"), "_first_{}", "_last_{}")
-    in_month = Window.partitionBy(*month).orderBy("DateTime")
-    over_months = Window.partitionBy("Junction").orderBy("_month")
-    whole = over_months.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    near = clocks.select(*KEY, "_month", "_gap", "_borders", *[earlier(in_month, f"_last_{c}").alias(f"_near_{c}") for c in columns])
-    far = months.select(
-        *month,
-        *[earlier(over_months, f"_last_{c}").alias(f"_far_{c}") for c in columns],
+    line = Window.partitionBy("Junction").orderBy("_piece")
+    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = ends.select(
+        *part,
+        "_gap",
+        *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in columns],
         *[F.first(f"_first_{c}", ignorenulls=True).over(whole).alias(f"_opening_{c}") for c in columns],
     )
-    carried = near.where("_gap").join(far, month, "left").drop("_month", "_gap")
-    sound = readings.join(carried.select(*KEY), KEY, "left_anti")
-    placed = readings.join(carried, KEY).withColumn("_slice", F.size(F.filter("_borders", lambda x: x < F.col(order))))
-    # What earlier slices of the same clock time end with.
-    slices = ends(placed, block, F.col(order), "{}", "{}")
-    in_clock = Window.partitionBy(*KEY).orderBy("_slice")
-    before = slices.select(*block, *[earlier(in_clock, f"_last_{c}").alias(f"_here_{c}") for c in columns])
-    inside = Window.partitionBy(*block).orderBy(order)
-    filled = placed.join(before, block).withColumns(
-        {c: F.coalesce(c, earlier(inside, c), f"_here_{c}", f"_near_{c}", f"_far_{c}", f"_opening_{c}") for c in columns}
-    )
+    gapped = carried.where("_gap").drop("_gap")
+    sound = placed.join(gapped.select(*part), part, "left_anti")
+    inside = Window.partitionBy(*part).orderBy("DateTime", order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def repaired(c: str) -> Column:
+        so_far = F.last(F.when(keyed, F.col(c)), ignorenulls=True).over(inside)
+        return F.when(keyed, F.coalesce(so_far, f"_before_{c}", f"_opening_{c}")).otherwise(F.col(c))
+
+    filled = placed.join(gapped, part).withColumns({c: repaired(c) for c in columns})
     return sound.select(*readings.columns).union(filled.select(*readings.columns))
 
 

@@ -38,10 +38,10 @@ def test_gap_stays_inside_its_junction(readings):
     assert values(filled, "ID", "Vehicles") == [(1, 10), (2, 10), (3, 12), (4, 7), (5, 7)]
 
 
-@pytest.mark.parametrize("rows_per_slice", [2, 7, 5_000_000])
-def test_fill_equals_brute_force(spark, readings, rows_per_slice):
+@pytest.mark.parametrize("pieces", [1, 5, 60, None])
+def test_fill_equals_brute_force(spark, readings, pieces):
     """One junction holds most rows, one clock time holds most of those, months lie between readings."""
-    rng = random.Random(rows_per_slice)
+    rng = random.Random(pieces or 0)
     ids = rng.sample(range(100_000), 400)
     rows = []
     for i in ids:
@@ -53,7 +53,7 @@ def test_fill_equals_brute_force(spark, readings, rows_per_slice):
     expected = pd.DataFrame(rows, columns=["ID", "hour", "Junction", "Vehicles"]).sort_values(["Junction", "hour", "ID"])
     expected["Vehicles"] = expected.groupby("Junction")["Vehicles"].transform(lambda s: s.ffill().bfill())
     want = {int(i): None if pd.isna(v) else int(v) for i, v in zip(expected["ID"], expected["Vehicles"])}
-    filled = clean.fill_gaps(frame, rows_per_slice=rows_per_slice)
+    filled = clean.fill_gaps(frame, pieces=pieces)
     assert {row["ID"]: row["Vehicles"] for row in filled.collect()} == want
     assert filled.columns == frame.columns
 
@@ -83,7 +83,7 @@ def test_keep_first_keeps_whole_rows_without_an_id(readings):
 
 def test_crowded_clock_with_one_distant_id(spark, readings):
     rows = [(i, 8, 1, None if i % 3 else i) for i in range(1, 2000)] + [(10**12, 8, 1, None)]
-    filled = {r["ID"]: r["Vehicles"] for r in clean.fill_gaps(readings(*rows), rows_per_slice=100).collect()}
+    filled = {r["ID"]: r["Vehicles"] for r in clean.fill_gaps(readings(*rows), pieces=20).collect()}
     assert all(filled[i] == (i - i % 3 if i >= 3 else 3) for i in range(1, 2000)) and filled[10**12] == 1998
 
 
@@ -92,6 +92,22 @@ def test_rows_without_gaps_are_not_sorted(readings):
     assert values(clean.fill_gaps(frame), "ID", "Vehicles") == [(1, 5), (2, 5), (3, 7), (4, None)]
 
 
+def test_readings_without_clock_neither_give_nor_take(spark, readings):
+    frame = readings((1, 8, 1, None), (2, 9, 1, 6), (3, 10, 1, None)).withColumn(
+        "DateTime", F.when(F.col("ID") != 1, F.col("DateTime"))
+    )
+    extra = spark.createDataFrame([(4, None, 1, 50)], frame.schema)
+    for pieces in (1, 4):
+        assert values(clean.fill_gaps(frame.union(extra), pieces=pieces), "ID", "Vehicles") == [(1, None), (2, 6), (3, 6), (4, 50)]
+
+
+def test_fill_reads_the_readings_once(spark, readings, tmp_path):
+    readings((1, 8, 1, 5), (2, 9, 1, None), (3, 8, 2, 1)).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    assert not any(str(tmp_path) in file for file in clean.fill_gaps(raw).inputFiles())
+    assert clean.fill_gaps(raw.where("false")).count() == 0
+
+
 def test_ranged_quantiles_equal_counted_ones(spark):
     rnd = random.Random(4)
     frame = spark.createDataFrame([(round(rnd.gauss(0, 50), 3),) for _ in range(4000)], "Vehicles double")
