@@ -234,3 +234,14 @@ def test_redaction():
     assert secrets.redact(text, spans) == "x [secret] y"
     assert secrets.redact("abcdef", "hex:0:3,assign:2:5") == "[secret]f"
     assert secrets.redact(None, "") is None
+
+
+def test_memo_is_bounded_in_bytes():
+    made = []
+    memo = pieces.Memo(lambda key: made.append(key) or len(key), size=10_000)
+    words = [f"word{i}" for i in range(5_000)]
+    assert [memo[w] for w in words] == [len(w) for w in words]
+    assert len(memo) + len(memo.older) < 200 and memo.held <= 10_000
+    assert memo[words[-1]] == 8 and made.count(words[-1]) == 1
+    long = "x" * 100_000
+    assert memo[long] == memo[long] == 100_000 and long not in memo and made.count(long) == 2
