@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sitepulse.functions.hashing import mixed
-from sitepulse.session import scratch_folder
+from sitepulse.session import scratch_folder, spread
 from sitepulse.sources.tables import write_buckets
 
 FOREST = (
@@ -98,25 +98,66 @@ def best_splits(counts: list[np.ndarray], sums: list[np.ndarray], leaves: bool)
         found = score[np.arange(len(at)), at]
         better = found > best
         best, feature, cut = np.where(better, found, best), np.where(better, f, feature), np.where(better, at, cut)
+    return _chosen(best, feature, cut, weight, total)
+
+
+def _chosen(best: np.ndarray, feature: np.ndarray, cut: np.ndarray, weight: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Feature, bin, gain and mean of nodes with their best splits; the feature is -1 where nothing is gained."""
     whole = total**2 / weight
     gain = best - whole
     feature[~(gain > LEAST_GAIN * np.maximum(whole, 1))] = -1
     return feature, cut, np.where(feature >= 0, gain, 0.0), total / weight
 
 
+def best_of_cells(x: np.ndarray, slot: np.ndarray, w: np.ndarray, s: np.ndarray, nodes: int) -> tuple[np.ndarray, ...]:
+    """As ``best_splits``, for weights and sums in whole numbers, from the bins (features, entries) of a level's entries.
+
+    All features go in one pass, and only bins that hold something are looked at. Sums run on over all nodes and
+    lose what came before a node, which is exact in whole numbers alone.
+    """
+    features, size = len(x), int(x.max(initial=0)) + 1
+    key = ((np.arange(features)[:, None] * nodes + slot) * size + x).ravel()
+    counts = np.bincount(key, np.tile(w, features), features * nodes * size)
+    held = np.flatnonzero(counts)
+    own, own_sum = counts[held], np.bincount(key, np.tile(s, features), len(counts))[held]
+    line = held // size  # feature and node; every node has entries
+    first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    left, left_sum = own.cumsum(), own_sum.cumsum()
+    weight, total = np.bincount(slot, w, nodes), np.bincount(slot, s, nodes)
+    runs = np.diff(np.append(first, len(held)))
+    left -= np.repeat((left - own)[first], runs)
+    left_sum -= np.repeat((left_sum - own_sum)[first], runs)
+    right, right_sum = np.repeat(np.tile(weight, features), runs) - left, np.repeat(np.tile(total, features), runs) - left_sum
+    score = np.where(right > 0, left_sum**2 / left + right_sum**2 / np.maximum(right, 1), -np.inf)
+    found = np.maximum.reduceat(score, first)
+    at = np.zeros(len(first), np.int64)
+    top = np.flatnonzero(score == np.repeat(found, runs))[::-1]
+    at[line[top]] = held[top] % size  # the first of equal bins is written last
+    found, at = found.reshape(features, nodes), at.reshape(features, nodes)
+    feature = found.argmax(axis=0)
+    chosen = np.arange(nodes)
+    return _chosen(found[feature, chosen], feature, at[feature, chosen], weight, total)
+
+
 def grow(x: np.ndarray, bins: list[int], y: np.ndarray, weights: np.ndarray, depth: int) -> Nodes:
     """All trees of a junction from its binned features (rows, features), a level at a time."""
     tree, place = np.arange(len(weights)), np.ones(len(weights), np.int64)
     slot, row = np.nonzero(weights)
     w = weights[slot, row].astype(float)
+    # Whole numbers whose sums over all trees a float holds exactly.
+    exact = bool((y == np.rint(y)).all()) and float((w * np.abs(y[row])).sum()) < 2.0**53
+    across = np.ascontiguousarray(x.T)
     levels: list[Nodes] = []
     for level in range(depth + 1):
-        counts, sums = [], []
-        for f, size in enumerate(bins):
-            key = slot * size + x[row, f]
-            counts.append(np.bincount(key, w, len(tree) * size).reshape(len(tree), size))
-            sums.append(np.bincount(key, w * y[row], len(tree) * size).reshape(len(tree), size))
-        feature, cut, gain, mean = best_splits(counts, sums, level == depth)
+        if exact and level < depth:
+            feature, cut, gain, mean = best_of_cells(across[:, row], slot, w, w * y[row], len(tree))
+        else:
+            counts, sums = [], []
+            for f, size in enumerate(bins):
+                key = slot * size + x[row, f]
+                counts.append(np.bincount(key, w, len(tree) * size).reshape(len(tree), size))
+                sums.append(np.bincount(key, w * y[row], len(tree) * size).reshape(len(tree), size))
+            feature, cut, gain, mean = best_splits(counts, sums, level == depth)
         levels.append(Nodes(tree, place, feature, cut, mean, gain))
         goes_on = feature >= 0
         if not goes_on.any():
@@ -129,27 +170,33 @@ def grow(x: np.ndarray, bins: list[int], y: np.ndarray, weights: np.ndarray, dep
     return Nodes(*(np.concatenate([getattr(n, name) for n in levels]) for name in Nodes.__annotations__))
 
 
-def as_rows(junction: int, nodes: Nodes, thresholds: list[np.ndarray]) -> list[dict]:
+def as_table(junction: int, nodes: Nodes, thresholds: list[np.ndarray], schema: pa.Schema) -> pa.Table:
     """One row of arrays per tree."""
     order = np.lexsort((nodes.place, nodes.tree))
     tree, place, feature, cut = (a[order] for a in (nodes.tree, nodes.place, nodes.feature, nodes.bin))
-    border = np.array([thresholds[f][c] if f >= 0 else 0.0 for f, c in zip(feature, cut)])
-    rows = []
-    for t, start, size in zip(*np.unique(tree, return_index=True, return_counts=True)):
-        own = slice(start, start + size)
-        left = np.where(feature[own] >= 0, np.searchsorted(place[own], 2 * place[own]), -1)
-        rows.append(
-            {
-                "Junction": junction,
-                "Tree": int(t),
-                "Feature": feature[own],
-                "Threshold": border[own],
-                "Left": left,
-                "Mean": nodes.mean[order][own],
-                "Gain": nodes.gain[order][own],
-            }
-        )
-    return rows
+    inner = feature >= 0
+    first_border = np.cumsum([0, *map(len, thresholds)])
+    borders = np.concatenate([*thresholds, [0.0]])  # the last one is for leaves
+    border = borders[np.where(inner, first_border[np.maximum(feature, 0)] + cut, len(borders) - 1)]
+    numbers, starts, at = np.unique(tree, return_index=True, return_inverse=True)
+    width = 2 * int(place.max(initial=0)) + 2
+    child = np.searchsorted(at * width + place, at * width + 2 * place) - starts[at]
+    offsets = pa.array(np.append(starts, len(tree)), pa.int32())
+    lists = {
+        "Feature": feature,
+        "Threshold": border,
+        "Left": np.where(inner, child, -1),
+        "Mean": nodes.mean[order],
+        "Gain": nodes.gain[order],
+    }
+    plain = {"Junction": np.full(len(numbers), junction), "Tree": numbers}
+    columns = [
+        pa.array(plain[f.name]).cast(f.type)
+        if f.name in plain
+        else pa.ListArray.from_arrays(offsets, pa.array(lists[f.name]).cast(f.type.value_type)).cast(f.type)
+        for f in schema
+    ]
+    return pa.table(columns, schema=schema)
 
 
 @dataclass
@@ -177,12 +224,14 @@ class Forest:
         return self.mean[node].sum(axis=1) / len(self.roots)
 
 
-def _joined(trees: list[dict], depth: int = 64) -> Forest:
-    sizes = np.array([len(t["Feature"]) for t in trees])
+def _joined(trees: pa.Table, depth: int = 64) -> Forest:
+    def flat(name: str) -> np.ndarray:
+        return np.concatenate([chunk.flatten().to_numpy() for chunk in trees.column(name).chunks])
+
+    sizes = np.concatenate([chunk.value_lengths().to_numpy() for chunk in trees.column("Feature").chunks]).astype(np.int64)
     roots = np.cumsum(sizes) - sizes
-    left = [np.asarray(t["Left"]) + r for t, r in zip(trees, roots)]
-    whole = [np.concatenate([np.asarray(t[c]) for t in trees]) for c in ("Feature", "Threshold", "Mean")]
-    return Forest(roots, whole[0], whole[1], np.concatenate(left), whole[2], depth)
+    left = flat("Left") + np.repeat(roots, sizes)
+    return Forest(roots, flat("Feature"), flat("Threshold"), left, flat("Mean"), depth)
 
 
 def flat_forest(model: RandomForestRegressionModel, spark) -> Forest:
@@ -216,10 +265,6 @@ def flat_forest(model: RandomForestRegressionModel, spark) -> Forest:
 # --- training ------------------------------------------------------------------------------
 
 
-def _table(rows: list[dict], schema: pa.Schema) -> pa.Table:
-    return pa.Table.from_pydict({f.name: [r[f.name] for r in rows] for f in schema}, schema=schema)
-
-
 def _arrow(spark, schema: str) -> tuple[StructType, pa.Schema]:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -238,9 +283,9 @@ def _small_forests(rows: DataFrame, features: list[str], trees: int, depth: int,
         weights = bag_weights(junction, table.column("RowNo").to_numpy(), trees, seed)
         y = table.column("Vehicles").to_numpy().astype(float)
         nodes = grow(x, [len(b) + 1 for b in borders], y, weights, depth)
-        return _table(as_rows(junction, nodes, borders), arrow)
+        return as_table(junction, nodes, borders, arrow)
 
-    return rows.groupBy("Junction").applyInArrow(fit, kinds)
+    return spread(rows, "Junction").groupBy("Junction").applyInArrow(fit, kinds)
 
 
 def feature_borders(rows: DataFrame, features: list[str], bins: int) -> DataFrame:
@@ -363,7 +408,7 @@ def _large_forests(
     def assemble(table: pa.Table) -> pa.Table:
         columns = (table.column(c).to_numpy() for c in ("Tree", "Place", "Feature", "Bin", "Mean", "Gain"))
         own = [np.array(b) for b in table.column("Borders")[0].as_py()]
-        return _table(as_rows(table.column("Junction")[0].as_py(), Nodes(*columns), own), arrow)
+        return as_table(table.column("Junction")[0].as_py(), Nodes(*columns), own, arrow)
 
     return nodes.join(borders, "Junction").groupBy("Junction", "Tree").applyInArrow(assemble, kinds)
 
@@ -407,12 +452,13 @@ def predict_sites(forests: DataFrame, rows: DataFrame, features: list[str], bloc
         if not own.num_rows or not trees.num_rows:
             return arrow.empty_table()
         x = np.stack([own.column(f).to_numpy().astype(float) for f in features], axis=1)
-        forest = _joined(trees.to_pylist())
+        forest = _joined(trees)
         guess = np.concatenate([forest.predict(x[at : at + STATES]) for at in range(0, len(x), STATES)])
         return own.drop_columns(["_block"]).append_column("Predicted", pa.array(guess)).cast(arrow)
 
     trees = shared.select(F.col("Junction").alias("j"), F.col("_block").alias("b"), "Feature", "Threshold", "Left", "Mean")
-    return placed.groupBy("Junction", "_block").cogroup(trees.groupBy("j", "b")).applyInArrow(predict, kinds)
+    own = spread(placed, "Junction", "_block").groupBy("Junction", "_block")
+    return own.cogroup(spread(trees, "j", "b").groupBy("j", "b")).applyInArrow(predict, kinds)
 
 
 def site_importance(forests: DataFrame, features: list[str]) -> DataFrame:
@@ -488,9 +534,9 @@ def roll_each(forests: DataFrame, state: DataFrame) -> DataFrame:
     def run(own: pa.Table, trees: pa.Table) -> pa.Table:
         if not own.num_rows or not trees.num_rows:
             return arrow.empty_table()
-        ahead = roll(_joined(trees.to_pylist()), *_arrays(own, []))
+        ahead = roll(_joined(trees), *_arrays(own, []))
         columns = [own.column("Junction"), own.column("LastTime"), pa.array(list(ahead), arrow.field(2).type)]
         return pa.table([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     trees = forests.select(F.col("Junction").alias("j"), "Feature", "Threshold", "Left", "Mean")
-    return state.groupBy("Junction").cogroup(trees.groupBy("j")).applyInArrow(run, kinds)
+    return spread(state, "Junction").groupBy("Junction").cogroup(spread(trees, "j").groupBy("j")).applyInArrow(run, kinds)

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "sitepulse", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,3 +51,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = _local_folder()
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")
+
+
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """``table`` dealt by the keys into a stated number of partitions, for groups that are few bytes but much work.
+
+    Spark would merge small partitions by their bytes into one task.
+    """
+    spark = table.sparkSession
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return table.repartition(count, *keys)

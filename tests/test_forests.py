@@ -173,3 +173,30 @@ def test_bucketed_rows_stay_where_they_are(spark, split, tmp_path):
     assert values(table, "Junction", "RowNo") == values(split, "Junction", "RowNo")
     plan = table.groupBy("Junction").agg(F.sum("Vehicles"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_forests_of_small_junctions_are_shared_among_tasks(spark):
+    rows = [(j, n, 40, "train" if n <= 32 else "test", (n * j) % 7, n % 24, n % 7, n % 2, n % 5, n % 3) for j in range(1, 41) for n in range(1, 41)]
+    split = spark.createDataFrame(rows, "Junction bigint, RowNo bigint, RowCount bigint, Side string, Vehicles bigint, " + ", ".join(f"{f} bigint" for f in FEATURES))
+    split = split.withColumn("TrainRows", F.lit(32).cast("bigint"))
+    trained = forests.train_sites(split, FEATURES, trees=2, depth=3)
+    assert trained.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    predicted = forests.predict_sites(trained.persist(), split, FEATURES)
+    assert predicted.count() == len(rows)
+    assert predicted.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
+def test_splits_from_held_bins_are_those_from_all_bins():
+    rng = np.random.default_rng(5)
+    for rows in (1, 2, 30, 400):
+        x = np.stack([rng.integers(0, n, rows) for n in (24, 7, 1, 3, 30)], axis=1)
+        y, weights = rng.integers(0, 50, rows).astype(float), forests.bag_weights(1, np.arange(1, rows + 1), 20, 3)
+        slot, row = np.nonzero(weights)
+        w = weights[slot, row].astype(float)
+        bins = (24, 7, 1, 3, 30)
+        grids = [[np.bincount(slot * b + x[row, f], v, 20 * b).reshape(20, b) for f, b in enumerate(bins)] for v in (w, w * y[row])]
+        plain = forests.best_splits(*grids, False)
+        quick = forests.best_of_cells(x.T[:, row], slot, w, w * y[row], 20)
+        inner = plain[0] >= 0
+        assert (plain[0] == quick[0]).all() and (plain[1] == quick[1])[inner].all()
+        assert (plain[2] == quick[2]).all() and (plain[3] == quick[3]).all()
