@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sitepulse.functions.numeric import round_half_even
 from sitepulse.operators.patterns import as_cube, cube_mean
 from sitepulse.operators.profiles import HOUR_COLUMNS, PROFILE_FEATURES
+from sitepulse.session import spread
 
 # Names of the congestion levels, from least to most traffic.
 PROFILE_LABELS = ("Low Congestion", "Medium Traffic", "High Congestion")
@@ -27,6 +28,8 @@ MATRIX_LABELS_4 = (
 # formed for a few rows at a time, so that two blocks fit in a task.
 BLOCK_ROWS = 8192
 ROWS_AT_A_TIME = 512
+#: Share of the vectors' squares below which a squared distance is formed from differences; pairs of a step of that.
+CLOSE, NEAR_PAIRS = 1e-3, 1 << 16
 
 
 def matrix_labels(k: int) -> tuple[str, ...]:
@@ -195,6 +198,21 @@ def standardize(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     return table.withColumns({c: scaled_column(F.col(c), m, d) for c, m, d in zip(columns, means, deviations)})
 
 
+def pair_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of x and of y, as (x, y).
+
+    They come from one product of matrices; pairs so close that it loses digits are formed anew from their differences.
+    """
+    lengths = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)
+    squares = lengths - 2 * (x @ y.T)
+    near = np.flatnonzero(squares < CLOSE * lengths)
+    for at in range(0, len(near), NEAR_PAIRS):
+        some = near[at : at + NEAR_PAIRS]
+        i, j = np.divmod(some, len(y))
+        squares.ravel()[some] = ((x[i] - y[j]) ** 2).sum(axis=1)
+    return np.sqrt(squares)
+
+
 def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Silhouette of every junction for several labelings, keyed by their number in ``label_sets``.
 
@@ -232,8 +250,7 @@ def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows:
         parts, back = [], {}
         for start in range(0, len(x), ROWS_AT_A_TIME):
             some = slice(start, start + ROWS_AT_A_TIME)
-            squares = sum((x[some, axis, None] - y[None, :, axis]) ** 2 for axis in range(x.shape[1]))
-            distances = np.sqrt(squares)
+            distances = pair_distances(x[some], y)
             for at, number in enumerate(numbers):
                 for cluster in np.unique(their_labels[:, at]):
                     total = distances[:, their_labels[:, at] == cluster].sum(axis=1)
@@ -249,7 +266,8 @@ def silhouette_parts(points: DataFrame, label_sets: dict[int, str], block_rows:
         return pd.concat(parts)[columns]
 
     totals = (
-        dealt.groupBy("a", "b")
+        spread(dealt, "a", "b")
+        .groupBy("a", "b")
         .applyInPandas(sums, "Junction bigint, number int, Cluster int, distance double")
         .groupBy("Junction", "number", "Cluster")
         .agg(F.sum("distance").alias("distance"))

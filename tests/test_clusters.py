@@ -217,3 +217,18 @@ def test_member_curves_take_the_first_ids(readings):
     frame = add_calendar(readings(*[(j, 5, j, j) for j in range(1, 9)]))
     together = frame.selectExpr("Junction", "0 AS Cluster")
     assert values(clusters.cluster_member_curves(frame, together, 3), "Junction") == [(1,), (2,), (3,)]
+
+
+def test_distances_by_a_product_keep_their_digits():
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(0, 1, (40, 34)), rng.normal(50, 1e-6, (40, 34)), np.zeros((2, 34))])
+    y = np.concatenate([x[20:60], rng.normal(50, 1e-3, (30, 34))])
+    plain = np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+    found = clusters.pair_distances(x, y)
+    assert np.allclose(found, plain, rtol=1e-10, atol=0) and (found[plain == 0] == 0).all()
+
+
+def test_blocks_of_the_silhouette_are_dealt_by_number(spark):
+    rows = [(i, [float(i % 9), float(i % 5)], i % 3) for i in range(60)]
+    parts = clusters.silhouette_parts(spark.createDataFrame(rows, "Junction bigint, vector array<double>, Cluster int"), {0: "Cluster"}, 10)
+    assert "REPARTITION_BY_NUM" in parts._jdf.queryExecution().executedPlan().toString()
