@@ -147,7 +147,7 @@ def _scan(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 ("counts", pa.binary()),
             ]
         )
-        sketch = np.zeros(1 << SLOT_BITS, np.int64)
+        sketch = np.zeros(1 << SLOT_BITS, np.int32)  # a task has fewer elements
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(at, ROWS_PER_BATCH)
@@ -173,13 +173,12 @@ def _scan(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                     schema=schema,
                 )
         if sketch.any():
-            sketch = sketch.astype(np.int32)  # a task has fewer elements
-            pieces = [sketch[at : at + (1 << PIECE_BITS)].tobytes() for at in range(0, len(sketch), 1 << PIECE_BITS)]
-            n = len(pieces)
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(n, f.type) for f in list(schema)[:7]], pa.array(range(n), pa.int32()), pa.array(pieces, pa.binary())],
-                schema=schema,
-            )
+            for piece, at in enumerate(range(0, len(sketch), 1 << PIECE_BITS)):  # one by one, so that no second copy is held
+                counts = sketch[at : at + (1 << PIECE_BITS)].tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.nulls(1, f.type) for f in list(schema)[:7]], pa.array([piece], pa.int32()), pa.array([counts], pa.binary())],
+                    schema=schema,
+                )
 
     return run
 

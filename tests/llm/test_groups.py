@@ -5,8 +5,10 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -397,3 +399,13 @@ def test_pipeline_on_an_empty_table(spark, documents):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.count() == 0
+
+
+def test_the_sketch_of_a_scan_is_held_once():
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    rows = [r.num_rows for r in jaccard._scan(3, 90)(iter([batch]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(rows) == 40 + (1 << (jaccard.SLOT_BITS - jaccard.PIECE_BITS)) and most < 30 << 20
