@@ -25,6 +25,8 @@ from sitepulse.llm.common import stored, stored_by
 
 #: Stands between two words of a segment; no text holds half of a surrogate pair.
 BETWEEN = "\ud800"
+#: Characters of a chunk of texts to align: their links and groups are held until the chunk ends, many times the texts.
+ALIGN_CHARS = CHUNK_CHARS // 4
 _LOW = 0xFFFFFFFF
 
 
@@ -248,7 +250,7 @@ def _counts(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 def pair_counts(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, **columns) -> DataFrame:
     """(id_a, id_b, documents) of every pair of ids that any document of ``docs`` links."""
     path_a, path_b = path_a or bpe.default_path(), path_b or pieces.default_path()
-    cut = map_chunks(docs, lambda: PairChunks(path_a, path_b), PairChunks.SCHEMA, **columns)
+    cut = map_chunks(docs, lambda: PairChunks(path_a, path_b), PairChunks.SCHEMA, **{"chunk_chars": ALIGN_CHARS, **columns})
     same, odd = _counts(stored_by(cut, "align-chunks", "chunk"))
     partner = [(a, int(b)) for a, b in enumerate(aligner(path_a, path_b).same) if b >= 0]
     partners = F.broadcast(docs.sparkSession.createDataFrame(partner, "id int, id_b bigint"))  # a row per id of A at most
@@ -263,7 +265,7 @@ def align_documents(
     path_b: str | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
-    chunk_chars: int = CHUNK_CHARS,
+    chunk_chars: int = ALIGN_CHARS,
 ) -> DataFrame:
     """One row per row of ``docs``: tokens, groups and links of its text, and how its links stand in the corpus.
 

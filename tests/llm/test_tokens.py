@@ -1,6 +1,7 @@
 """Byte-level BPE through the table of words, and the alignment of two tokenizers."""
 
 import hashlib
+import inspect
 import random
 from collections import Counter
 
