@@ -179,3 +179,18 @@ def test_alignment_of_odd_rows(documents):
     assert all((r["n_links"], r["groups_sha256"]) == (0, "") for r in found if r["doc_id"] in (1, 2))
     assert all(r["n_links"] for r in found if r["doc_id"] not in (1, 2))
     assert alignment.align_documents(documents(*ODD).where("false")).count() == 0
+
+
+def test_segments_of_pieces_are_kept_longer_and_encoded_whole():
+    model = pieces.piece_model(pieces.default_path())
+    assert model.segments.size > pieces.CACHE_BYTES
+    rng = random.Random(4)
+    known = sorted(c for c in model.single if c.isalpha())[:60]
+    for _ in range(300):
+        text = pieces.SPACE + "".join(rng.choices(known, k=rng.randint(1, 14)))
+        assert model.backtrack(text) == model.merge(text)
+        assert pieces.unpacked(model._encode_segment(text)).tolist() == model.merge(text)
+
+
+def test_links_of_a_chunk_are_held_for_fewer_characters():
+    assert inspect.signature(alignment.align_documents).parameters["chunk_chars"].default <= 1 << 22
