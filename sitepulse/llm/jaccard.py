@@ -36,6 +36,8 @@ SLOT_BITS, PIECE_BITS = 22, 16
 BUCKET_BITS = 7
 #: log2 of the bits of a filter of wanted numbers; a full one lets all pass and nothing goes missing.
 FILTER_BITS = 24
+#: log2 of the least bits of a sign, which is as long as those of a pair of rows of the matrix.
+SIGN_BITS = 9
 #: Members of a slice of a group, whose tokens are united in one row.
 SLICE = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -84,13 +86,22 @@ def elements(tokens: np.ndarray, size_class: int, least: int) -> tuple[np.ndarra
     return np.concatenate([found[full], found[~full][: max(0, least - filled)]]), filled
 
 
-def prints(tokens: np.ndarray, size_class: int) -> bytes:
-    """A byte per bucket of a size class that hangs on what is in it, 0 where it is empty.
+def sign(tokens: np.ndarray) -> bytes:
+    """Whether an odd number of shingles falls on a bit, for two to four times as many bits as shingles.
 
-    Sets that differ in d shingles have prints that differ in at most d places.
+    Sets that differ in d shingles have signs that differ in at most d bits, and so have the folded ones.
     """
-    found, full = _buckets(tokens, size_class)
-    return np.where(full, (found >> np.uint64(32)) % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8).tobytes()
+    bits = 1 << max(SIGN_BITS, (2 * len(tokens)).bit_length())
+    at = (_mixed(tokens ^ _MIX2) >> np.uint64(8)).astype(np.int64) & (bits - 1)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """The signs in the rows of ``bits`` at a length of ``size`` bytes: both halves of a longer one over each other."""
+    while bits.shape[1] > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
 
 
 def _buckets(tokens: np.ndarray, size_class: int) -> tuple[np.ndarray, np.ndarray]:
@@ -292,36 +303,30 @@ def _only(table: DataFrame, column: str, bits: Broadcast) -> DataFrame:
 
 
 def _few_differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b) of rows (a, b, most, x, y) where the prints x and y differ in ``most`` places or fewer."""
+    """The pairs (a, b) of rows (a, b, most, x, y) where the signs x and y differ in ``most`` bits or fewer."""
     for batch in batches:
-        if batch.num_rows:
-            x, y = (batch.column(i).to_pylist() for i in (3, 4))
-            starts = np.cumsum([0, *map(len, x[:-1])])
-            unequal = np.frombuffer(b"".join(x), np.uint8) != np.frombuffer(b"".join(y), np.uint8)
-            few = np.add.reduceat(unequal, starts, dtype=np.int64) <= batch.column(2).to_numpy(zero_copy_only=False)
-            yield batch.select(["a", "b"]).filter(pa.array(few))
+        x, y = (batch.column(i).to_pylist() for i in (3, 4))
+        most = batch.column(2).to_numpy(zero_copy_only=False)
+        lengths = np.array([(len(v), len(w)) for v, w in zip(x, y)], np.int64).reshape(-1, 2)
+        few = np.zeros(len(x), bool)
+        for n, m in np.unique(lengths, axis=0).tolist():
+            own = np.flatnonzero((lengths == (n, m)).all(axis=1))
+            left, right = (
+                folded(np.frombuffer(b"".join([v[i] for i in own]), np.uint8).reshape(len(own), -1), min(n, m)) for v in (x, y)
+            )
+            few[own] = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64) <= most[own]
+        yield batch.select(["a", "b"]).filter(pa.array(few))
 
 
 def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose prints don't rule a link out: few enough places differ."""
-    columns = ("size", "size_class", "own", "next")
-    left, right = (
-        sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in ("a", "b")
-    )
+    """Pairs (a, b) whose signs don't rule a link out: few enough bits differ."""
+    left, right = (sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("size", "sign")]) for x in ("a", "b"))
     most = F.floor((100 - percent) * (F.col("a_size") + F.col("b_size")).cast("bigint") / (100 + percent))
-    gap = F.col("b_size_class") - F.col("a_size_class")
     compared = (
         pairs.join(left, "a")
         .join(right, "b")
         .where(_close(F.col("a_size"), F.col("b_size"), percent))
-        .select(
-            "a",
-            "b",
-            most.cast("bigint").alias("most"),
-            F.when(gap.isin(0, -1), F.col("a_own")).when(gap == 1, F.col("a_next")).alias("x"),
-            F.when(gap.isin(0, 1), F.col("b_own")).when(gap == -1, F.col("b_next")).alias("y"),
-        )
-        .where("x IS NOT NULL AND y IS NOT NULL")
+        .select("a", "b", most.cast("bigint").alias("most"), F.col("a_sign").alias("x"), F.col("b_sign").alias("y"))
     )
     return compared.mapInArrow(_few_differ, "a bigint, b bigint")
 
@@ -432,20 +437,19 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "jaccard-stars",
     )
     dropped(heads)
-    # Whole sets of all that share an element, and their prints.
+    # Whole sets of all that share an element, and their signs.
     wanted = stored(shared.select(F.col("node").alias("doc_id")).distinct(), "jaccard-wanted")
 
     def whole(batch: dict) -> dict:
         found = [shingles(t, words) for t in batch["text"]]
-        classes = [size_classes(max(1, len(t)), percent) for t in found]
-        seen = [[prints(t, c) for c in cs] for t, cs in zip(found, classes)]
+        signs = [sign(t) for t in found]
+        short = [folded(np.frombuffer(x, np.uint8)[None], 1 << (SIGN_BITS - 3))[0] for x in signs]
         return {
             "node": batch["doc_id"],
             "size": [len(t) for t in found],
             "tokens": [t.view(np.int64) for t in found],
-            "size_class": [cs[0] for cs in classes],
-            "own": [p[0] for p in seen],
-            "next": [p[1] if len(p) > 1 else None for p in seen],
+            "sign": signs,
+            "short": [x.view(np.int64) for x in short],
         }
 
     sets = stored(
@@ -454,7 +458,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             .join(wanted, "doc_id")
             .dropDuplicates(["doc_id", "text"]),
             whole,
-            "node bigint, size int, tokens array<bigint>, size_class int, own binary, next binary",
+            "node bigint, size int, tokens array<bigint>, sign binary, short array<bigint>",
         ),
         "jaccard-sets",
     )
@@ -513,11 +517,14 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
     """Links (a, b) between different groups, from the rows (element, node, size, place, group).
 
     Up to the first element that two sets share, the buckets of both sets' elements differ. So the
-    buckets before it, of both together, may be no more than the shingles that linked sets differ in.
+    buckets before it, of both together, may be no more than the shingles that linked sets differ in, and
+    so may the bits of a set's short sign that no member of a group has as they are.
     """
+    signs = [f"s{i}" for i in range(1 << (SIGN_BITS - 6))]
     nodes = placed.join(mixed, "element", "left_semi").select("node", "group").distinct()
     arrays = prefix.join(stored(nodes, "jaccard-nodes-open"), "node")
-    groups = arrays.select("node", "group").distinct()
+    short = sets.select("node", *[F.col("short")[i].alias(c) for i, c in enumerate(signs)])
+    groups = arrays.select("node", "group").distinct().join(short, "node")
     rows = stored(
         map_batches(
             arrays.drop("group"),
@@ -539,11 +546,14 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
             F.max("node").alias("other"),
             F.bit_and("low").alias("low"),
             F.bit_and("high").alias("high"),
+            *[F.bit_and(c).alias(f"all_{c}") for c in signs],
+            *[F.bit_or(c).alias(f"any_{c}") for c in signs],
         ),
         "jaccard-matrix",
     )
-    # What a set might reach: sizes that fit, and few enough buckets that differ. Where one member of
-    # the group has the element, it is that one.
+    # What a set might reach: sizes that fit, and few enough buckets and bits that differ. Where one
+    # member of the group has the element, it is that one.
+    apart = " + ".join(f"bit_count((q.{c} & ~g.any_{c}) | (g.all_{c} & ~q.{c}))" for c in signs)
     found = stored(
         rows.alias("q")
         .join(matrix.alias("g"), "element")
@@ -552,6 +562,7 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
             f"{100 + percent} * (bit_count(q.low | g.low) + bit_count(q.high | g.high))"
             f" <= {100 - percent}L * (q.size + least(g.most, 100L * q.size / {percent}))"
         )
+        .where(f"{100 + percent} * ({apart}) <= {100 - percent}L * (q.size + least(g.most, 100L * q.size / {percent}))")
         .selectExpr("q.node", "g.group", "CASE WHEN g.one = g.other THEN g.one END AS one")
         .distinct(),
         "jaccard-found",
@@ -601,16 +612,18 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         "element",
         "slice",
         qualified["group"],
-        *[F.col(c).alias(f"a_{c}") for c in ("size", "low", "high")],
+        *[F.col(c).alias(f"a_{c}") for c in ("size", "low", "high", *signs)],
         F.col("node").alias("a"),
     )
     right = rows.join(sliced.select("node", "slice"), "node").select(
-        "element", "slice", "group", *[F.col(c).alias(f"b_{c}") for c in ("size", "low", "high")], F.col("node").alias("b")
+        "element", "slice", "group", *[F.col(c).alias(f"b_{c}") for c in ("size", "low", "high", *signs)], F.col("node").alias("b")
     )
+    apart = " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in signs)
     pairs = (
         left.join(right, ["element", "group", "slice"])
         .where(_close(F.col("a_size"), F.col("b_size"), percent))
         .where(f"{100 + percent} * (bit_count(a_low | b_low) + bit_count(a_high | b_high)) <= {100 - percent}L * (a_size + b_size)")
+        .where(f"{100 + percent} * ({apart}) <= {100 - percent}L * (a_size + b_size)")
         .select("a", "b")
         .distinct()
     )

@@ -124,6 +124,43 @@ def test_jaccard_join_with_other_shingles_against_all_pairs(documents, by_id, se
         jaccard.join_documents(documents(*rows), words, 79)
 
 
+def test_copies_that_just_miss_a_link_are_not_compared_one_by_one(documents, by_id, monkeypatch):
+    rnd = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(50):
+        words = list(base)
+        for at in rnd.sample(range(300), 5):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    sets = word_sets(rows, 5)
+    linked = all_links(sets, 80)
+    compared = []
+
+    def counted(table, name):
+        found = stored(table, name)
+        if name in ("jaccard-direct", "jaccard-pairs"):
+            compared.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    found = by_id(jaccard.join_documents(documents(*rows), 5, 80))
+    assert {i: r["component_id"] for i, r in found.items()} == plain_components(sets, linked)
+    assert compared and sum(compared) <= 5 * len(rows) < 50 * 49 / 2 - len(linked)
+
+
+@pytest.mark.parametrize("size", [0, 1, 100, 300, 5000])
+def test_signs_differ_in_no_more_bits_than_sets(size):
+    rng = np.random.default_rng(size)
+    x = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+    y = np.unique(np.concatenate([x[: size // 2], rng.integers(0, 1 << 63, size).astype(np.uint64)]))
+    one, other = (np.frombuffer(jaccard.sign(t), np.uint8)[None] for t in (x, y))
+    for length in (64, min(one.size, other.size)):
+        apart = np.bitwise_count(jaccard.folded(one, length) ^ jaccard.folded(other, length)).sum()
+        assert apart <= len(np.setxor1d(x, y))
+    assert 8 * one.size >= 2 * len(x)
+
+
 def test_pipeline_drops_near_copies_by_five_words(spark, documents):
     fifty, hundred = [[f"{x}{i}" for i in range(n)] for x, n in (("a", 50), ("b", 100))]
     rows = [(1, fifty), (2, [*fifty[:20], "new", *fifty[21:]]), (3, hundred), (4, [*hundred[:30], "new", *hundred[31:70], "new", *hundred[71:]])]
