@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import tracemalloc
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -386,6 +387,25 @@ def test_toxicity_odd_rows_and_long_texts(spark, documents, monkeypatch):
     assert abs(model.logit(rows) - whole) < 1e-5
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, documents):
+    rnd = random.Random(9)
+    texts = []
+    for i in range(900):
+        words = [rnd.choice(["calm", "plain", "river", "stone", "table", "window"]) for _ in range(12)]
+        texts.append((i, " ".join([*words, f"nasty{chr(97 + i // 3 % 20)}word" if i % 3 == 0 else "kind"])))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(900)], "doc_id bigint, toxic int")
+    docs = documents(*texts)
+    model = toxicity.train(docs, labels, rows=300)
+    again = toxicity.train(docs.repartition(7), labels.repartition(3), rows=300)
+    assert (model.weights() == again.weights()).all() and model.scale == again.scale
+    found = toxicity.score_documents(docs, model).collect()
+    assert sum(r["predicted"] == (r["doc_id"] % 3 == 0) for r in found) >= 0.95 * len(found)
+    # Whichever row goes, the model is another one, however small the blocks are.
+    for gone in [i for i, _ in texts if zlib.crc32(str(i).encode()) % 4 != 2][:3]:
+        less = toxicity.train(docs, labels.where(f"doc_id <> {gone}"), rows=300)
+        assert (less.weights() != model.weights()).any() or less.scale != model.scale
+
+
 def test_pipeline_against_plain_stages(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
