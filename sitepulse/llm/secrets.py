@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import add_columns, lower_ascii, map_batches
+from sitepulse.llm.common import add_columns, dropped, lower_ascii, map_batches, stored
+from sitepulse.llm.learning import STEPS, averaged, scale, steps
 
 # The base patterns. Matches are as long as possible and those that are too short are
 # dropped afterwards, so that a failing match still uses up its characters.
@@ -90,6 +91,17 @@ class CharCnn:
             "out_bias": np.zeros(1),
         }
 
+    def row(self) -> np.ndarray:
+        """All weights in a row."""
+        return np.concatenate([v.ravel() for v in self.weights.values()])
+
+    def take(self, row: np.ndarray) -> None:
+        """Set all weights from those in a row."""
+        at = 0
+        for k, v in self.weights.items():
+            self.weights[k] = row[at : at + v.size].reshape(v.shape).copy()
+            at += v.size
+
     @staticmethod
     def _zones(w: int) -> list[slice]:
         """Windows that lie in the left context, touch the candidate, lie in the right context."""
@@ -163,29 +175,19 @@ class CharCnn:
                     seen[name] += g * g
                     p[name] -= rate * g / np.sqrt(seen[name])
 
-    def calibrate(self, codes: np.ndarray, labels: np.ndarray, recall: float) -> None:
+    def calibrate(self, logits: np.ndarray, labels: np.ndarray, recall: float, n: np.ndarray | None = None) -> None:
         """Scale the score, then take the highest threshold that still finds ``recall`` of the labelled secrets.
 
-        It is set in the middle of the gap below that secret, up to the next other candidate.
+        It is set in the middle of the gap below that secret, up to the next other candidate. There are ``n`` rows of each kind.
         """
-        logits = self.logits(codes)
-        a, b = 1.0, 0.0
-        for _ in range(100):
-            p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-            v = p * (1 - p)
-            g = np.array([((p - labels) * logits).sum() + (a - 1), (p - labels).sum() + 0.1 * b])
-            h = np.array([[(v * logits * logits).sum() + 1, (v * logits).sum()], [(v * logits).sum(), v.sum() + 0.1]])
-            change = np.linalg.solve(h, g)
-            a, b = a - change[0], b - change[1]
-            if np.abs(change).max() < 1e-8:
-                break
-        self.scale = (float(a), float(b))
-        scores = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-        good = np.sort(scores[labels > 0])
+        n = np.ones(len(logits), np.int64) if n is None else n
+        a, b = self.scale = scale(logits, labels, n)
+        good = np.sort(logits[labels > 0])
         if len(good):
-            reached = float(good[int((1 - recall) * len(good))])
-            below = logits[(labels == 0) & (scores < reached)]
-            middle = (logits[scores >= reached].min() + below.max()) / 2 if len(below) else logits.min()
+            sums = np.cumsum(n[labels > 0][np.argsort(logits[labels > 0], kind="stable")])
+            reached = float(good[np.searchsorted(sums, int((1 - recall) * sums[-1]), "right")])
+            below = logits[(labels == 0) & (logits < reached)]
+            middle = (reached + below.max()) / 2 if len(below) else logits.min()
             self.threshold = float(1 / (1 + np.exp(-np.clip(a * middle + b, -30, 30))))
 
 
@@ -203,6 +205,10 @@ BASE_SHAPES = ("assign", "access", "hex")
 PLAIN_SHAPES = ("uuid", "path", "identifier", "slug", "stamp")
 #: Made examples of either label per document, and long words of a text among the negatives.
 MADE, LONG_WORDS = 2, 8
+#: Parts that the network is fitted on at least; fewer come several times.
+LEAST_PARTS, MOST_ROUNDS = 50_000, 10
+#: Rates of the first half of the texts, and of the second, which goes on from the weights that the first has reached.
+RATES = (0.05, 0.02)
 
 
 def made_secret(shape: str, rng: np.random.Generator) -> str:
@@ -301,38 +307,66 @@ def examples(text: str) -> list[Example]:
     return found
 
 
-def _chosen(docs: DataFrame, rows: int) -> DataFrame:
-    own = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text").where("text IS NOT NULL")
-    share = min(1.0, rows / max(1, docs.count()))
-    return own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(2 * rows)
-
-
-def train(docs: DataFrame, rows: int = 10_000, recall: float = 0.98, windows: int = 4_000) -> CharCnn:
-    """Fit on the labelled examples of about ``rows`` documents, chosen by a hash of their id.
+def train(docs: DataFrame, rows: int = 8_192, recall: float = 0.98) -> CharCnn:
+    """Fit on the labelled examples of all documents, in blocks of about ``rows`` side by side whose weights are averaged, half by half.
 
-    At most ``windows`` parts of secrets and as many of other strings are used; a third of them is kept for
-    the threshold. Without both kinds the network stays untrained and adds nothing.
+    Equal texts count once. A third of the texts, by a hash, is kept for the scale and the threshold, from the
+    counts of all its logits. Blocks are dealt by a hash too, so they don't hang on how the table is spread.
+    Without both kinds the network stays untrained and adds nothing.
     """
 
     def work(batch: dict) -> dict:
         out = [[(p, e[3]) for e in examples(t) for p in parts(*e[:3])] for t in batch["text"]]
+        codes = [np.concatenate([p for p, _ in found]).tobytes() if found else b"" for found in out]
         return {
-            "codes": [np.concatenate([p for p, _ in found]).tobytes() if found else b"" for found in out],
+            "key": [xxhash.xxh3_64_intdigest(c) - (1 << 63) for c in codes],
             "labels": [bytes(y for _, y in found) for found in out],
+            "codes": codes,
         }
 
-    found = map_batches(_chosen(docs, rows), work, "codes binary, labels binary").where("length(labels) > 0").distinct().collect()
-    found.sort(key=lambda r: xxhash.xxh3_64_intdigest(r["codes"]))
-    codes = np.frombuffer(b"".join(r["codes"] for r in found), np.uint8).reshape(-1, LENGTH)
-    labels = np.frombuffer(b"".join(r["labels"] for r in found), np.uint8).astype(float)
-    used = np.sort(np.concatenate([np.flatnonzero(labels == y)[:windows] for y in (0, 1)]))
-    codes, labels = codes[used], labels[used]
+    texts = docs.selectExpr("cast(text as string) text").where("text IS NOT NULL")
+    made = map_batches(texts, work, "key bigint, labels binary, codes binary").where("length(labels) > 0")
+    table = stored(made.distinct(), "secrets-examples")
+    count, *ends = table.agg(
+        F.count(F.lit(1)),
+        F.max(F.instr(F.hex("labels"), "00") > 0),
+        F.max(F.instr(F.hex("labels"), "01") > 0),
+        F.sum(F.length("labels")),
+    ).first()
     model = CharCnn()
-    if not len(labels) or labels.min() == labels.max():
+    if not count or not all(ends[:2]):
+        dropped(table)
         return model
-    aside = np.arange(len(labels)) % 3 == 2
-    model.fit(codes[~aside], labels[~aside])
-    model.calibrate(codes[aside], labels[aside], recall)
+    names = list(model.weights)
+    rounds = min(MOST_ROUNDS, max(1, -(-LEAST_PARTS // ends[2])))
+    shards = -(-count // (len(RATES) * rows))
+    # The same hash deals the rows, so a shard is one partition.
+    shard = F.pmod(F.hash("key"), F.lit(shards)).alias("shard")
+    for half, rate in enumerate(RATES):
+        start = model.row()
+
+        def fit(columns: list[list], start: np.ndarray = start, rate: float = rate) -> tuple[np.ndarray, np.ndarray, int]:
+            own = CharCnn()
+            own.take(start)
+            codes = np.frombuffer(b"".join(columns[2]), np.uint8).reshape(-1, LENGTH)
+            own.fit(codes, np.frombuffer(b"".join(columns[1]), np.uint8).astype(float), rounds, rate=rate)
+            return own.row(), np.ones(len(start), bool), len(codes)
+
+        some = table.where("pmod(key, 3) <> 2").where(F.pmod(F.xxhash64("key"), F.lit(len(RATES))) == half)
+        dealt = some.repartition(shards, "key").sortWithinPartitions(shard, "key").select(shard, "labels", "codes")
+        model.take(averaged(dealt, start, rows, fit))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(batch: dict) -> dict:
+        codes = np.frombuffer(b"".join(batch["codes"]), np.uint8).reshape(-1, LENGTH)
+        return {"label": list(b"".join(batch["labels"])), "step": steps(shared.value.logits(codes))}
+
+    counts = map_batches(table.where("pmod(key, 3) = 2").select("labels", "codes"), judge, "label int, step int")
+    found = counts.groupBy("label", "step").agg(F.count(F.lit(1)).alias("n")).orderBy("label", "step").collect()
+    dropped(table)
+    if found:
+        y, step, n = (np.array(c) for c in zip(*found))
+        model.calibrate(step / STEPS, y.astype(float), recall, n)
     return model
 
 

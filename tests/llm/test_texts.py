@@ -212,6 +212,18 @@ def test_a_candidate_beyond_a_base_span_is_judged(secret_model):
     assert secrets.redact(text, ",".join(spans)) == "x [secret] y"
 
 
+def test_network_learns_from_every_text(documents):
+    rows = [(i, f"report {i} was sent to the {i % 7} other desks and read there by all of the staff") for i in range(60)]
+    docs = documents(*rows)
+    model = secrets.train(docs, rows=20)
+    again = secrets.train(docs.repartition(5).union(docs), rows=20)
+    assert (model.row() == again.row()).all() and (model.scale, model.threshold) == (again.scale, again.threshold)
+    # Whichever text goes, the network is another one, however small the blocks are.
+    for gone in (0, 17, 42):
+        less = secrets.train(docs.where(f"doc_id <> {gone}"), rows=20)
+        assert (less.row() != model.row()).any() or less.scale != model.scale
+
+
 def test_parts_show_all_of_a_candidate():
     body = "".join(chr(33 + i % 90) for i in range(301))
     seen = {bytes(p[i : i + 5]) for p in secrets.parts("left", body, "right") for i in range(secrets.SIDE, secrets.SIDE + secrets.BODY - 4)}
