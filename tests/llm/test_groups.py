@@ -14,7 +14,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline
-from sitepulse.llm import embedding, jaccard, mixing, pieces, secrets, substring, toxicity, warc
+from sitepulse.llm import embedding, jaccard, learning, mixing, pieces, secrets, substring, toxicity, warc
 from sitepulse.llm.catalog import TARGETS
 from sitepulse.llm.common import stored
 
@@ -406,6 +406,14 @@ def test_toxicity_learns_from_every_labelled_row(spark, documents):
         assert (less.weights() != model.weights()).any() or less.scale != model.scale
 
 
+def test_scale_of_well_separated_logits_keeps_their_order():
+    rng = np.random.default_rng(5)
+    logits = np.concatenate([rng.normal(-6, 1, 130), rng.normal(6, 1, 8), rng.normal(-5, 1, 4)])
+    labels = np.repeat([0.0, 1.0], [130, 12])
+    a, _ = learning.scale(logits, labels, np.ones(142))
+    assert 0 < a < 2
+
+
 def test_pipeline_against_plain_stages(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
