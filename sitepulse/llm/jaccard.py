@@ -14,6 +14,7 @@ reach it are opened.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -521,14 +522,24 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
     so may the bits of a set's short sign that no member of a group has as they are.
     """
     signs = [f"s{i}" for i in range(1 << (SIGN_BITS - 6))]
-    nodes = placed.join(mixed, "element", "left_semi").select("node", "group").distinct()
-    arrays = prefix.join(stored(nodes, "jaccard-nodes-open"), "node")
+    nodes = stored(placed.join(mixed, "element", "left_semi").select("node", "group").distinct(), "jaccard-nodes-open")
+    # Only sets and elements that the joins may keep are moved.
+    arrays = _only(prefix, "node", _filter_of(nodes.select("node"))).join(nodes, "node")
+    known = _filter_of(mixed)
+
+    def masks(batch: dict) -> dict:
+        out = _masks(batch)
+        kept = [_may_be_in(known.value, np.array(e, np.int64)) for e in out["elements"]]
+        for name in ("elements", "places", "low", "high"):
+            out[name] = [list(itertools.compress(values, k)) for values, k in zip(out[name], kept)]
+        return out
+
     short = sets.select("node", *[F.col("short")[i].alias(c) for i, c in enumerate(signs)])
     groups = arrays.select("node", "group").distinct().join(short, "node")
     rows = stored(
         map_batches(
             arrays.drop("group"),
-            _masks,
+            masks,
             "node bigint, size int, elements array<bigint>, places array<int>, low array<bigint>, high array<bigint>",
         )
         .select("node", "size", F.explode(F.arrays_zip("elements", "low", "high")).alias("e"))
