@@ -19,13 +19,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import ROWS_PER_BATCH, WORD, components, dropped, lower_ascii, map_batches, stored
-from sitepulse.llm.pieces import Memo
+from sitepulse.llm.common import ROWS_PER_BATCH, WORD, components, dropped, map_batches, stored
 
 #: Words of a shingle; two sets link when 100 * intersection >= PERCENT * union. Values where none are given.
 WORDS, PERCENT = 3, 90
@@ -43,7 +43,11 @@ SIGN_BITS = 9
 SLICE = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
-_memo: Memo | None = None
+#: Bytes of a word for whose places there is a number of every letter; those of later places are mixed with how far they are.
+LETTERS = 64
+_IN_WORD = np.array([WORD.match(chr(b)) is not None for b in range(256)])
+_LETTER = np.random.default_rng(29).integers(0, 1 << 64, (LETTERS, 256), np.uint64)
+_LETTER[:, ord("A") : ord("Z") + 1] = _LETTER[:, ord("a") : ord("z") + 1]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -51,21 +55,35 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of every word, the same for A-Z as for a-z: the sum of a random number for each letter and place."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    inside = _IN_WORD[data]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    lengths = edges[1::2] - edges[::2]
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    starts = np.cumsum(lengths) - lengths
+    letters = data[inside]
+    place = np.arange(len(letters)) - np.repeat(starts, lengths)
+    found = _LETTER.reshape(-1)[((place & (LETTERS - 1)) << 8) | letters]
+    if lengths.max() > LETTERS:
+        far = place >= LETTERS
+        found[far] = _mixed(found[far] + (place[far] // LETTERS).astype(np.uint64) * _MIX)
+    return np.add.reduceat(found, starts)
+
+
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word shingles; of fewer words the whole sequence as one."""
-    global _memo
-    if _memo is None:
-        _memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 63))
-    memo = _memo
-    words = WORD.findall(lower_ascii(text or ""))
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.array([memo[w] for w in words], dtype=np.int64).view(np.uint64)
+    h = word_hashes(text or "")
+    if not len(h):
+        return h
     span = min(size, len(h))
     found = np.full(len(h) - span + 1, span, np.uint64)
     for j in range(span):
         found = _mixed(found * _MIX + h[j : len(found) + j])
-    return np.unique(found)
+    found.sort()
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
 def digest(tokens: np.ndarray) -> int:
@@ -132,7 +150,7 @@ def most_differing(size: int, percent: int = PERCENT) -> int:
 
 
 SCAN = (
-    "doc_id bigint, n_shingles bigint, set_key bigint, own array<bigint>, own_filled int, next array<bigint>, "
+    "doc_id bigint, n_shingles bigint, set_key bigint, sign binary, own array<bigint>, own_filled int, next array<bigint>, "
     "next_filled int, piece int, counts binary"
 )
 
@@ -142,7 +160,7 @@ def _slot(found: np.ndarray) -> np.ndarray:
 
 
 def _scan(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Size, name and elements of every document's set; at the end of a task, its counts of elements in pieces."""
+    """Size, name, sign and elements of every document's set; at the end of a task, its counts of elements in pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
@@ -151,6 +169,7 @@ def _scan(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 ("doc_id", pa.int64()),
                 ("n_shingles", pa.int64()),
                 ("set_key", pa.int64()),
+                ("sign", pa.binary()),
                 ("own", longs),
                 ("own_filled", pa.int32()),
                 ("next", longs),
@@ -163,22 +182,25 @@ def _scan(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(at, ROWS_PER_BATCH)
-                out: list[list] = [[] for _ in range(6)]
+                out: list[list] = [[] for _ in range(7)]
+                slots = []
                 for text in part.column(1).to_pylist():
                     tokens = shingles(text, words)
-                    row: list = [len(tokens), digest(tokens)]
+                    row: list = [len(tokens), digest(tokens), sign(tokens)]
                     for c in size_classes(len(tokens), percent) if len(tokens) else ():
                         found, filled = elements(tokens, c, most_differing(len(tokens), percent) + 1)
-                        np.add.at(sketch, _slot(found[:filled]), 1)
+                        slots.append(_slot(found[:filled]))
                         row += [found.view(np.int64), filled]
-                    row += [None] * (6 - len(row))
+                    row += [None] * (7 - len(row))
                     for values, value in zip(out, row):
                         values.append(value)
+                if slots:
+                    np.add.at(sketch, np.concatenate(slots), 1)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).cast(pa.int64()),
-                        *[pa.array(v, f.type) for v, f in zip(out, list(schema)[1:7])],
+                        *[pa.array(v, f.type) for v, f in zip(out, list(schema)[1:8])],
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.binary()),
                     ],
@@ -188,7 +210,7 @@ def _scan(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             for piece, at in enumerate(range(0, len(sketch), 1 << PIECE_BITS)):  # one by one, so that no second copy is held
                 counts = sketch[at : at + (1 << PIECE_BITS)].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.nulls(1, f.type) for f in list(schema)[:7]], pa.array([piece], pa.int32()), pa.array([counts], pa.binary())],
+                    [*[pa.nulls(1, f.type) for f in list(schema)[:8]], pa.array([piece], pa.int32()), pa.array([counts], pa.binary())],
                     schema=schema,
                 )
 
@@ -319,9 +341,10 @@ def _few_differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(few))
 
 
-def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose signs don't rule a link out: few enough bits differ."""
-    left, right = (sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("size", "sign")]) for x in ("a", "b"))
+def _near(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) among the stored ones whose signs don't rule a link out: few enough bits differ. The pairs are dropped."""
+    own = _only(signs.select("node", "size", "sign"), "node", _filter_of(_ends(pairs)))
+    left, right = (own.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("size", "sign")]) for x in ("a", "b"))
     most = F.floor((100 - percent) * (F.col("a_size") + F.col("b_size")).cast("bigint") / (100 + percent))
     compared = (
         pairs.join(left, "a")
@@ -329,15 +352,18 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(_close(F.col("a_size"), F.col("b_size"), percent))
         .select("a", "b", most.cast("bigint").alias("most"), F.col("a_sign").alias("x"), F.col("b_sign").alias("y"))
     )
-    return compared.mapInArrow(_few_differ, "a bigint, b bigint")
+    near = stored(compared.mapInArrow(_few_differ, "a bigint, b bigint"), "jaccard-near")
+    dropped(pairs)
+    return near
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+
+def _verify(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) among the stored pairs (a, b), by their whole sets; the pairs are dropped."""
-    near = stored(_near(pairs, sets, percent), "jaccard-near")
-    dropped(pairs)
-    nodes = near.select(F.explode(F.array("a", "b")).alias("node"))
-    tokens = _only(sets.select("node", "tokens"), "node", _filter_of(nodes))
+    tokens = _only(sets, "node", _filter_of(_ends(near)))
     left, right = (tokens.select(F.col("node").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in ("a", "b"))
     links = (
         near.join(left, "a")
@@ -351,6 +377,67 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return links
 
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the lists of a column, one behind the other, and the lengths of the lists."""
+    lengths = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), lengths
+
+
+def _as_lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values))
+
+
+def _prefixes(levels: Broadcast, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first elements of every set in the order of levels, and their places in it, from the columns of a scan."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            most = most_differing(batch.column("n_shingles").to_numpy(zero_copy_only=False).astype(np.int64), percent) + 1
+            parts = []
+            for name in ("own", "next"):
+                found, lengths = _lists(batch.column(name))
+                filled = batch.column(f"{name}_filled").fill_null(0).to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(n), lengths)
+                at = np.arange(len(found)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                real = at < filled[row]
+                level = np.where(real, levels.value[_slot(found)], 255)
+                # Those of empty buckets come last, by bucket, as they were cut off in that order.
+                order = np.lexsort((np.where(real, found, at), row << 8 | level))
+                kept = at < most[row]  # rows are as long in their new order
+                parts.append((row[kept], found[order][kept], at[kept].astype(np.int32)))
+            row, found, places = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(row, kind="stable")
+            lengths = np.bincount(row, minlength=n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c) for c in ("doc_id", "set_key", "n_shingles")],
+                    _as_lists(found[order], lengths),
+                    _as_lists(places[order], lengths),
+                ],
+                names=["node", "set_key", "n_shingles", "elements", "places"],
+            )
+
+    return run
+
+
+def _known_elements(known: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (node, size, elements, places) with those elements that the filter lets pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, lengths = _lists(batch.column("elements"))
+            places, _ = _lists(batch.column("places"))
+            kept = _may_be_in(known.value, found)
+            lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[kept], minlength=len(lengths))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("size"), _as_lists(found[kept], lengths), _as_lists(places[kept], lengths)],
+                names=["node", "size", "elements", "places"],
+            )
+
+    return run
+
+
 def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -368,7 +455,7 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     scanned = stored(rows.mapInArrow(_scan(words, percent), SCAN), "jaccard-scan")
     levels = spark.sparkContext.broadcast(_levels(scanned))
-    sets_of = stored(scanned.where("piece IS NULL").select("doc_id", "n_shingles", "set_key"), "jaccard-sizes")
+    sets_of = stored(scanned.where("piece IS NULL").select("doc_id", "n_shingles", "set_key", "sign"), "jaccard-sizes")
     classes = stored(
         sets_of.where("n_shingles > 0")
         .groupBy("set_key", "n_shingles")
@@ -377,30 +464,11 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "jaccard-classes",
     )
 
-    def prefixes(batch: dict) -> dict:
-        """The first elements of every set in the order of levels."""
-        out: dict[str, list] = {"elements": [], "places": []}
-        for size, *parts in zip(*(batch[c] for c in ("n_shingles", "own", "own_filled", "next", "next_filled"))):
-            chosen, places = [], []
-            for found, filled in (parts[:2], parts[2:]):
-                if found:
-                    found = np.array(found, np.int64)
-                    level = levels.value[_slot(found)]
-                    level[filled:] = 255
-                    # Those of empty buckets come last, by bucket, as they were cut off in that order.
-                    within = np.where(np.arange(len(found)) < filled, found, np.arange(len(found)))
-                    order = np.lexsort((within, level))[: most_differing(size, percent) + 1]
-                    chosen += found[order].tolist()
-                    places += range(len(order))
-            out["elements"].append(chosen)
-            out["places"].append(places)
-        return {"node": batch["doc_id"], "set_key": batch["set_key"], "n_shingles": batch["n_shingles"]} | out
-
     prefix = stored(
-        map_batches(
-            scanned.where("piece IS NULL AND doc_id IS NOT NULL AND n_shingles > 0").drop("piece", "counts"),
-            prefixes,
-            "node bigint, set_key bigint, n_shingles bigint, elements array<bigint>, places array<int>",
+        scanned.where("piece IS NULL AND doc_id IS NOT NULL AND n_shingles > 0")
+        .drop("piece", "counts", "sign")
+        .mapInArrow(
+            _prefixes(levels, percent), "node bigint, set_key bigint, n_shingles bigint, elements array<bigint>, places array<int>"
         )
         .join(classes, ["node", "set_key", "n_shingles"], "left_semi")
         .select("node", F.col("n_shingles").cast("int").alias("size"), "elements", "places"),
@@ -410,18 +478,9 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     common = stored(
         prefix.select(F.explode("elements").alias("element")).groupBy("element").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("element"), "jaccard-common"
     )
-    known = _filter_of(common)
-
-    def cut(batch: dict) -> dict:
-        found = [np.array(e, np.int64) for e in batch["elements"]]
-        kept = [_may_be_in(known.value, e) for e in found]
-        return {
-            **{c: batch[c] for c in ("node", "size")},
-            "elements": [e[k] for e, k in zip(found, kept)],
-            "places": [np.array(p, np.int32)[k] for p, k in zip(batch["places"], kept)],
-        }
-
-    left = map_batches(prefix, cut, "node bigint, size int, elements array<bigint>, places array<int>")
+    left = prefix.select("node", "size", "elements", "places").mapInArrow(
+        _known_elements(_filter_of(common)), "node bigint, size int, elements array<bigint>, places array<int>"
+    )
     shared = stored(_exploded(left).join(common, "element"), "jaccard-shared")
     dropped(common)
     heads = stored(
@@ -438,33 +497,42 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "jaccard-stars",
     )
     dropped(heads)
-    # Whole sets of all that share an element, and their signs.
-    wanted = stored(shared.select(F.col("node").alias("doc_id")).distinct(), "jaccard-wanted")
-
-    def whole(batch: dict) -> dict:
-        found = [shingles(t, words) for t in batch["text"]]
-        signs = [sign(t) for t in found]
-        short = [folded(np.frombuffer(x, np.uint8)[None], 1 << (SIGN_BITS - 3))[0] for x in signs]
-        return {
-            "node": batch["doc_id"],
-            "size": [len(t) for t in found],
-            "tokens": [t.view(np.int64) for t in found],
-            "sign": signs,
-            "short": [x.view(np.int64) for x in short],
-        }
-
-    sets = stored(
+    # Signs of all that share an element. Whole sets are made of those alone whose signs leave a link open.
+    wanted = stored(shared.select("node").distinct(), "jaccard-wanted")
+
+    def shorter(batch: dict) -> dict:
+        short = [folded(np.frombuffer(x, np.uint8)[None], 1 << (SIGN_BITS - 3))[0].view(np.int64) for x in batch["sign"]]
+        return {c: batch[c] for c in ("node", "size", "sign")} | {"short": short}
+
+    named = sets_of.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), F.col("n_shingles").cast("int").alias("size"), "set_key", "sign")
+    signs = stored(
         map_batches(
-            _only(rows.where("doc_id IS NOT NULL"), "doc_id", _filter_of(wanted))
-            .join(wanted, "doc_id")
-            .dropDuplicates(["doc_id", "text"]),
-            whole,
-            "node bigint, size int, tokens array<bigint>, sign binary, short array<bigint>",
+            _only(named, "node", _filter_of(wanted)).join(wanted, "node").dropDuplicates(["node", "set_key"]),
+            shorter,
+            "node bigint, size int, sign binary, short array<bigint>",
         ),
-        "jaccard-sets",
+        "jaccard-signs",
     )
     dropped(wanted)
-    links = _verify(stars, sets, percent)
+
+    def whole(nodes: DataFrame) -> DataFrame:
+        """(node, tokens): the whole sets of the documents in the one column of ``nodes``, made anew from their texts."""
+        own = stored(nodes.select(F.col("node").alias("doc_id")).distinct(), "jaccard-whole")
+        sets = stored(
+            map_batches(
+                _only(rows.where("doc_id IS NOT NULL"), "doc_id", _filter_of(own)).join(own, "doc_id").dropDuplicates(["doc_id", "text"]),
+                lambda batch: {"node": batch["doc_id"], "tokens": [shingles(t, words).view(np.int64) for t in batch["text"]]},
+                "node bigint, tokens array<bigint>",
+            ),
+            "jaccard-sets",
+        )
+        dropped(own)
+        return sets
+
+    near = _near(stars, signs, percent)
+    sets = whole(_ends(near))
+    links = _verify(near, sets, percent)
+    dropped(sets)
     groups = components(links, "jaccard-groups")
     placed = stored(
         shared.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component"),
@@ -480,13 +548,13 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "jaccard-mixed",
     )
     if not mixed.isEmpty():
-        more = _open_groups(placed, mixed, prefix, sets, percent)
+        more = _open_groups(placed, mixed, prefix, signs, whole, percent)
         groups = components(links.union(more), "jaccard-components")
     nodes = stored(
         classes.join(groups, "node", "left").select("set_key", "n_shingles", F.coalesce("component", "node").alias("low")),
         "jaccard-nodes",
     )
-    dropped(sets, prefix, placed, classes)
+    dropped(signs, prefix, placed, classes)
     return sets_of.join(nodes, ["set_key", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
     )
@@ -514,14 +582,18 @@ def _masks(batch: dict) -> dict:
     return out
 
 
-def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _open_groups(
+    placed: DataFrame, mixed: DataFrame, prefix: DataFrame, signs: DataFrame, whole: Callable[[DataFrame], DataFrame], percent: int
+) -> DataFrame:
     """Links (a, b) between different groups, from the rows (element, node, size, place, group).
 
     Up to the first element that two sets share, the buckets of both sets' elements differ. So the
     buckets before it, of both together, may be no more than the shingles that linked sets differ in, and
     so may the bits of a set's short sign that no member of a group has as they are.
+
+    ``signs`` are those of all sets that share an element, ``whole`` makes the whole sets of documents.
     """
-    signs = [f"s{i}" for i in range(1 << (SIGN_BITS - 6))]
+    words = [f"s{i}" for i in range(1 << (SIGN_BITS - 6))]
     nodes = stored(placed.join(mixed, "element", "left_semi").select("node", "group").distinct(), "jaccard-nodes-open")
     # Only sets and elements that the joins may keep are moved.
     arrays = _only(prefix, "node", _filter_of(nodes.select("node"))).join(nodes, "node")
@@ -534,7 +606,7 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
             out[name] = [list(itertools.compress(values, k)) for values, k in zip(out[name], kept)]
         return out
 
-    short = sets.select("node", *[F.col("short")[i].alias(c) for i, c in enumerate(signs)])
+    short = signs.select("node", *[F.col("short")[i].alias(c) for i, c in enumerate(words)])
     groups = arrays.select("node", "group").distinct().join(short, "node")
     rows = stored(
         map_batches(
@@ -557,14 +629,14 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
             F.max("node").alias("other"),
             F.bit_and("low").alias("low"),
             F.bit_and("high").alias("high"),
-            *[F.bit_and(c).alias(f"all_{c}") for c in signs],
-            *[F.bit_or(c).alias(f"any_{c}") for c in signs],
+            *[F.bit_and(c).alias(f"all_{c}") for c in words],
+            *[F.bit_or(c).alias(f"any_{c}") for c in words],
         ),
         "jaccard-matrix",
     )
     # What a set might reach: sizes that fit, and few enough buckets and bits that differ. Where one
     # member of the group has the element, it is that one.
-    apart = " + ".join(f"bit_count((q.{c} & ~g.any_{c}) | (g.all_{c} & ~q.{c}))" for c in signs)
+    apart = " + ".join(f"bit_count((q.{c} & ~g.any_{c}) | (g.all_{c} & ~q.{c}))" for c in words)
     found = stored(
         rows.alias("q")
         .join(matrix.alias("g"), "element")
@@ -580,9 +652,12 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
     )
     dropped(matrix)
     direct = found.where("one IS NOT NULL").select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
-    more = _verify(stored(direct, "jaccard-direct"), sets, percent)
+    near = _near(stored(direct, "jaccard-direct"), signs, percent)
     reach = found.where("one IS NULL").select("node", "group")
     if reach.isEmpty():
+        sets = whole(_ends(near))
+        more = _verify(near, sets, percent)
+        dropped(sets)
         return more
     # A group is cut into slices of about SLICE members by a hash.
     members = stored(
@@ -595,9 +670,11 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         ),
         "jaccard-sliced",
     )
-    # Only the sets of these groups and of what might reach them are moved.
-    nodes = reach.select("node").union(sliced.select("node")).distinct()
-    tokens = _only(sets.select("node", "tokens"), "node", _filter_of(nodes))
+    # Only the sets of these groups and of what might reach them are moved; those of pairs are made along with them.
+    nodes = reach.select("node").union(sliced.select("node"))
+    sets = whole(nodes.union(_ends(near)))
+    more = _verify(near, sets, percent)
+    tokens = _only(sets, "node", _filter_of(nodes))
     unions = stored(
         sliced.join(tokens, "node")
         .groupBy("group", "slice")
@@ -623,13 +700,13 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
         "element",
         "slice",
         qualified["group"],
-        *[F.col(c).alias(f"a_{c}") for c in ("size", "low", "high", *signs)],
+        *[F.col(c).alias(f"a_{c}") for c in ("size", "low", "high", *words)],
         F.col("node").alias("a"),
     )
     right = rows.join(sliced.select("node", "slice"), "node").select(
-        "element", "slice", "group", *[F.col(c).alias(f"b_{c}") for c in ("size", "low", "high", *signs)], F.col("node").alias("b")
+        "element", "slice", "group", *[F.col(c).alias(f"b_{c}") for c in ("size", "low", "high", *words)], F.col("node").alias("b")
     )
-    apart = " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in signs)
+    apart = " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in words)
     pairs = (
         left.join(right, ["element", "group", "slice"])
         .where(_close(F.col("a_size"), F.col("b_size"), percent))
@@ -640,7 +717,9 @@ def _open_groups(placed: DataFrame, mixed: DataFrame, prefix: DataFrame, sets: D
     )
     pairs = stored(pairs, "jaccard-pairs")
     dropped(rows, found, qualified)
-    return more.union(_verify(pairs, sets, percent))
+    last = _verify(_near(pairs, signs, percent), sets, percent)
+    dropped(sets)
+    return more.union(last)
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

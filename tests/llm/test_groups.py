@@ -150,6 +150,41 @@ def test_copies_that_just_miss_a_link_are_not_compared_one_by_one(documents, by_
     assert compared and sum(compared) <= 5 * len(rows) < 50 * 49 / 2 - len(linked)
 
 
+def test_whole_sets_are_made_of_possible_links_alone(documents, by_id, monkeypatch):
+    """Texts with a passage in common share elements; only those that nearly are the same are read again."""
+    passage = [f"p{i}" for i in range(150)]
+    rows = [(i, " ".join([*[f"u{i}v{k}" for k in range(150)], *passage])) for i in range(40)]
+    rows += [(50, rows[7][1] + " end"), (51, rows[9][1].replace("p40 ", "")), (52, None), (9, "of another text")]
+    sets = {}
+    for i, text in rows:
+        sets.setdefault(i, []).append(word_sets([(i, text)], 3)[i])
+    made = []
+
+    def counted(table, name):
+        found = stored(table, name)
+        if name == "jaccard-sets":
+            made.append(sorted(r["node"] for r in found.select("node").collect()))
+        return found
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    found = jaccard.join_documents(documents(*rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: {50: 7, 51: 9}.get(i, i) for i in sets}
+    assert sorted((r["doc_id"], r["n_shingles"]) for r in found) == sorted((i, len(s)) for i, each in sets.items() for s in each)
+    assert made and {i for each in made for i in each} <= {7, 9, 50, 51} and max(map(len, made)) <= 5
+
+
+def test_words_are_told_apart_by_their_letters_alone():
+    texts = ["", " \t\n\x0b\x0c\r", "One oNE one", "a\x1cb c\x85d e\xa0f É é", "\ud800 x\ud800", "ab ba a b aa", "x" * 64 + "Y " + "x" * 64 + "y"]
+    texts += [" ".join(["k" * n for n in range(1, 200)]), "k" * 5000 + " " + "k" * 4999 + "j", "y" + "x" * 64 + " " + "x" * 64 + "Y"]
+    number, word = {}, {}
+    for text in texts:
+        words = [w.encode("utf-8", "surrogatepass").lower() for w in WORD.findall(text)]
+        hashes = jaccard.word_hashes(text).tolist()
+        assert len(words) == len(hashes)
+        for w, h in zip(words, hashes):
+            assert number.setdefault(w, h) == h and word.setdefault(h, w) == w
+
+
 @pytest.mark.parametrize("size", [0, 1, 100, 300, 5000])
 def test_signs_differ_in_no_more_bits_than_sets(size):
     rng = np.random.default_rng(size)
