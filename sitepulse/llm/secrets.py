@@ -126,7 +126,8 @@ class CharCnn:
         return np.maximum(found, 0) @ p["out"] + p["out_bias"][0], memory
 
     def logits(self, codes: np.ndarray) -> np.ndarray:
-        parts = [self._forward(codes[at : at + 512])[0] for at in range(0, len(codes), 512)]
+        # Few at a time, so that their windows stay in the processor's cache.
+        parts = [self._forward(codes[at : at + 64])[0] for at in range(0, len(codes), 64)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
     def score(self, codes: np.ndarray) -> np.ndarray:
@@ -160,17 +161,25 @@ class CharCnn:
                 back = d[:, None] * p["out"] * (pooled > 0)
                 k = 0
                 lines = np.arange(len(some))[:, None]
+                cells, shares = [], []
                 for w in WIDTHS:
                     flat, tops = memory[w]
+                    turned = np.ascontiguousarray(p[f"bank{w}"].T)
                     for top in tops:
                         own = back[:, k : k + self.filters]
                         k += self.filters
                         grads[f"bias{w}"] += own.sum(axis=0)
                         won = flat[lines, top]  # (texts, filters, w * size)
                         grads[f"bank{w}"] += np.einsum("nf,nfd->df", own, won)
-                        spread = (own[:, :, None] * p[f"bank{w}"].T[None]).reshape(len(some), self.filters, w, self.size)
+                        # Filters that found nothing share in nothing.
+                        some_lines, some_filters = np.nonzero(own)
+                        first, lines_of = top[some_lines, some_filters], some[some_lines]
+                        spread = own[some_lines, some_filters, None] * turned[some_filters]
                         for j in range(w):
-                            np.add.at(grads["table"], codes[some][lines, top + j], spread[:, :, j])
+                            cells.append(codes[lines_of, first + j])
+                            shares.append(spread[:, j * self.size : (j + 1) * self.size])
+                at_table = np.concatenate(cells).astype(np.int64)[:, None] * self.size + np.arange(self.size)
+                grads["table"] += np.bincount(at_table.ravel(), np.concatenate(shares).ravel(), ALPHABET * self.size).reshape(ALPHABET, self.size)
                 for name, g in grads.items():
                     seen[name] += g * g
                     p[name] -= rate * g / np.sqrt(seen[name])
@@ -199,6 +208,8 @@ _VENDORS = (("ghp_", 36), ("gho_", 36), ("xoxb-", 48), ("xoxp-", 48), ("AIza", 3
 _CUES = ("key: ", "key=", "Bearer ", "pwd: ", "credential ", "auth=", "private_key = ", "use ", "the code is ", '"', "= ")
 _KEYS = ("password", "passwd", "secret", "token", "api_key", "apikey", "Password", "TOKEN", "API_KEY")
 _PLAIN_CUES = ("id: ", "id=", "see ", "file ", "path: ", "ref ", "name=", "at ", "the page is ", '"', "= ")
+#: Whether a code point is white space; the last entry stands for all higher ones.
+_SPACE = np.array([chr(i).isspace() for i in range(0x3002)])
 SECRET_SHAPES = ("jwt", "vendor", "base64", "pem", "mixed")
 #: Shapes that the rules know, of which texts alone hold too few to learn from.
 BASE_SHAPES = ("assign", "access", "hex")
@@ -215,7 +226,7 @@ def made_secret(shape: str, rng: np.random.Generator) -> str:
     """A made-up secret of a shape."""
 
     def some(letters: str, least: int, most: int) -> str:
-        return "".join(rng.choice(list(letters), rng.integers(least, most + 1)))
+        return "".join([letters[i] for i in rng.integers(0, len(letters), rng.integers(least, most + 1)).tolist()])
 
     if shape == "jwt":
         return "eyJ" + some(_ALNUM + "-_", 24, 120)
@@ -276,7 +287,9 @@ def examples(text: str) -> list[Example]:
     def around(start: int, end: int) -> tuple[str, str]:
         return text[max(0, start - SIDE) : start], text[end : end + SIDE]
 
-    spaces = [m.start() for m in re.finditer(r"\s", text)] or [0]
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    gaps = np.flatnonzero(_SPACE[np.minimum(points, len(_SPACE) - 1)])
+    spaces = gaps if len(gaps) else np.zeros(1, np.int64)
     for start, end, kind in base:
         if kind == "assign":
             start = ASSIGN.match(text, start).start(2)
@@ -285,12 +298,16 @@ def examples(text: str) -> list[Example]:
             at = spaces[rng.integers(len(spaces))]
             left = text[max(0, at - SIDE) : at] + " "
         found.append((left, text[start:end], right, 1, kind))
-    long_words = [m.span() for m in re.finditer(r"\S{12,}", text)]
+    starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(text)]])
+    wide = ends - starts >= 12
+    long_words = list(zip(starts[wide].tolist(), ends[wide].tolist()))
     order = sorted(long_words, key=lambda span: xxhash.xxh3_64_intdigest(f"{span}{text[span[0]:span[1]]}".encode("utf-8", "replace")))
-    for start, end in dict.fromkeys(candidates(text) + order[:LONG_WORDS]):
+    # A candidate lies in one long word.
+    asked = [(a + s, a + e) for a, b in long_words if b - a >= 16 for s, e in candidates(text[a:b])]
+    for start, end in dict.fromkeys(asked + order[:LONG_WORDS]):
         if all(end <= s or start >= e for s, e, _ in base):
             found.append((*around(start, end)[:1], text[start:end], around(start, end)[1], 0, "text"))
-    words = [w for w in re.findall(r"[A-Za-z]{3,12}", text[:20_000])]
+    words = re.findall(r"[A-Za-z]{3,12}", text[:20_000])
     for _ in range(MADE):
         for label, shapes, cues in ((1, SECRET_SHAPES + BASE_SHAPES, _CUES), (0, PLAIN_SHAPES, _PLAIN_CUES)):
             shape = shapes[rng.integers(len(shapes))]

@@ -224,6 +224,48 @@ def test_network_learns_from_every_text(documents):
         assert (less.row() != model.row()).any() or less.scale != model.scale
 
 
+def test_examples_take_no_match_for_each_word_and_gap(monkeypatch):
+    word = "x" * 11
+    texts = ["", " \u3000\x1c", f"{word} {word}y\x85{word}zz\u2003{word}", "\ud800 \U0001f600" + "q" * 12, f"a {word}12345 b/{word}9+0 c"]
+    for text in texts:
+        long_words = {m[0] for m in re.finditer(r"\S{12,}", text)}
+        found = {body for _, body, _, _, kind in secrets.examples(text) if kind == "text"}
+        assert found == long_words | {text[a:b] for a, b in secrets.candidates(text)}
+
+    class Counted:
+        """Patterns over a whole text that were asked for one match object after the other."""
+
+        finditer = None
+        findall = staticmethod(re.findall)
+
+    usual = [secrets.examples(text) for text in texts]
+    monkeypatch.setattr(secrets, "re", Counted)
+    assert [secrets.examples(text) for text in texts] == usual
+
+
+def test_a_step_adds_up_what_each_character_shares_in():
+    """The first step against derivatives by differences: each goes the learning rate against the sign of its derivative."""
+    rng = np.random.default_rng(5)
+    codes = rng.integers(40, 60, (20, secrets.LENGTH)).astype(np.uint8)
+    labels = np.arange(20) % 2.0
+    start, model = secrets.CharCnn(), secrets.CharCnn()
+    model.fit(codes, labels, 1, rate=1.0)
+
+    def loss(table):
+        own = secrets.CharCnn()
+        own.weights["table"] = table
+        z = own.logits(codes)
+        return float((np.logaddexp(0, z) - labels * z).mean())
+
+    for at in [(45, 0), (52, 3), (59, 7), (40, 5)]:
+        step = np.zeros_like(start.weights["table"])
+        step[at] = 1e-6
+        d = (loss(start.weights["table"] + step) - loss(start.weights["table"] - step)) / 2e-6
+        moved = (start.weights["table"] - model.weights["table"])[at]
+        assert abs(moved - d / np.sqrt(1e-2 + d * d)) < 1e-4
+    assert (start.weights["table"][:40] == model.weights["table"][:40]).all()
+
+
 def test_parts_show_all_of_a_candidate():
     body = "".join(chr(33 + i % 90) for i in range(301))
     seen = {bytes(p[i : i + 5]) for p in secrets.parts("left", body, "right") for i in range(secrets.SIDE, secrets.SIDE + secrets.BODY - 4)}
